@@ -40,4 +40,37 @@ SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (NOT ke
 FROM j GROUP BY doc_id
 """
 
-SQL: dict[str, str] = {"op1_decontaminate": OP1, "op5_topk": OP5, "op7_line_dedup": OP7}
+_HASH = "sha1(coalesce(html, ''))"
+#: 160 bits as 32 letters: each five hexadecimal digits make four letters.
+_BASE32 = "list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(((CAST('0x' || substr(h, 5 * (i // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31) AS BIGINT) + 1, 1)), 'string_agg', '')"
+
+OP3 = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, {_HASH} AS h, max(page_id) OVER (PARTITION BY {_HASH}) AS keeper FROM pages)
+SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> keeper THEN keeper END AS refers_to
+FROM p
+"""
+
+OP4 = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS s FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
+both_ AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM sh a JOIN sh b USING (s) WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM both_ JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 80 * (x.n + y.n - i)),
+links AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+r AS (SELECT doc_id, doc_id AS reach FROM d UNION SELECT r.doc_id, links.b FROM r JOIN links ON r.reach = links.a)
+SELECT r.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(reach) AS component_id FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""
+
+_ESCAPED = "length({0}) + length(regexp_replace({0}, '[^\\\\<>]', '', 'g'))"
+
+OP9 = rf"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || E'\n' || text || E'\n', '' ORDER BY turn)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(16 + {_ESCAPED.format("role")} + {_ESCAPED.format("text")}) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
+SQL: dict[str, str] = {"op1_decontaminate": OP1, "op3_warc_index": OP3, "op4_ngram_join": OP4, "op5_topk": OP5, "op7_line_dedup": OP7, "op9_chat": OP9}

@@ -40,7 +40,7 @@ def op3_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "warc")
     index = checkpointed(warc.archive_and_index(spark, table(spark, sf_dir, "pages"), path))
     remove_folder(spark, path)
-    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured_at")
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
