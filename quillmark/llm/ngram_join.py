@@ -14,8 +14,8 @@ isn't empty agrees, and signs them otherwise.
 **Candidates.** Rows (signature, document) are sorted by signature. Buckets of up to ``small`` documents give all their
 pairs, larger ones only a star and a chain of pairs at first. Pairs are pruned by sizes and by a parity sketch whose
 Hamming distance never exceeds that of the sets, so nothing similar is lost. The rest is verified on whole sets, the most
-promising pair of each document first, then the best between each two components, until no component merges any more;
-what then remains between components is verified pair by pair. Pairs within one component need no proof.
+promising pair of each document first, then the best between each two components, then all that remains between
+components. Pairs within one component need no proof.
 
 **Large buckets** are then revisited: their members, in square blocks of at most ``block`` by ``block`` documents, give pairs between different
 components that pass the same exact-safe tests, and these go through the same verification. So no bucket emits all its
@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmark.llm.components import components
-from quillmark.llm.shared import checkpointed
+from quillmark.llm.shared import Tables, checkpointed, join_counted
 
 _U = np.uint64
 BAND_STEPS = 4
@@ -203,11 +203,6 @@ def _column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
 
-def _join(left: DataFrame, right: DataFrame, on: str | list[str], how: str, rows: int, broadcast_rows: int) -> DataFrame:
-    """``right`` has been counted: it is broadcast only within the bound."""
-    return left.join(F.broadcast(right) if rows <= broadcast_rows else right, on, how)
-
-
 def _buckets(signed: DataFrame, small: int) -> DataFrame:
     """From rows (sig, doc): (sig, a, b, n) with pairs, and (sig, a, null, 0) for the members of buckets over ``small``."""
 
@@ -289,8 +284,10 @@ class NgramJoin:
 
     def __init__(self, docs: DataFrame, *, n: int = 5, percent: int = 80, small: int = 32, block: int = 2048, broadcast_rows: int = 400_000):
         self.texts, self.n, self.schemes = _texts(docs), n, Schemes(percent)
-        self.small, self.block, self.broadcast_rows = small, block, broadcast_rows
-        self.result = self._run()
+        self.small, self.block, self.broadcast_rows, self.labelled = small, block, broadcast_rows, 0
+        self.tables = Tables(docs.sparkSession, "ngram-join")
+        self.result = checkpointed(self._run())
+        self.tables.drop()
 
     def _shingled(self) -> DataFrame:
         """(doc, n_shingles, k1, k2): the set's size and a 128-bit digest of it."""
@@ -335,37 +332,37 @@ class NgramJoin:
                 sets = list(shingle_sets(batch.column(1), n))
                 yield pa.RecordBatch.from_pydict({"doc": batch.column(0), "size": pa.array([len(s) for s in sets], pa.int64()), "sketch": pa.array([sketch(s).tobytes() for s in sets], pa.binary()), "own": pa.array([s.tobytes() for s in sets], pa.binary())})
 
-        found = _join(self.texts, wanted.select("doc"), "doc", "left_semi", rows, self.broadcast_rows)
+        found = join_counted(self.texts, wanted.select("doc"), "doc", "left_semi", rows, self.broadcast_rows)
         return found.mapInArrow(profile, "doc long, size long, sketch binary, own binary")
 
     def _run(self) -> DataFrame:
-        base = checkpointed(self._shingled())
+        base, _ = self.tables.keep(self._shingled())
         classes = base.where("n_shingles > 0 and doc is not null").groupBy("k1", "k2").agg(F.min("doc").alias("rep"), F.count("*").alias("n"))
         copies = classes.where("n > 1").select("k1", "k2", "rep")
-        based = checkpointed(base.join(copies, ["k1", "k2"], "left").select("doc", "n_shingles", F.coalesce("rep", "doc").alias("rep")))
-        of_copy = based.where("doc <> rep").select("doc", "rep").distinct()
-        n_copies = of_copy.count()
+        based, _ = self.tables.keep(base.join(copies, ["k1", "k2"], "left").select("doc", "n_shingles", F.coalesce("rep", "doc").alias("rep")))
+        of_copy, found = self.tables.keep(based.where("doc <> rep").select("doc", "rep").distinct(), n=F.count("*"))
+        n_copies = found["n"]
 
         def to_rep(df: DataFrame, column: str) -> DataFrame:
             if not n_copies:
                 return df
             other = of_copy.select(F.col("doc").alias(column), F.col("rep").alias("__rep"))
-            return _join(df, other, column, "left", n_copies, self.broadcast_rows).withColumn(column, F.coalesce("__rep", column)).drop("__rep")
+            return join_counted(df, other, column, "left", n_copies, self.broadcast_rows).withColumn(column, F.coalesce("__rep", column)).drop("__rep")
 
-        met = checkpointed(_buckets(self._signed(), self.small))
+        met, _ = self.tables.keep(_buckets(self._signed(), self.small))
         pairs = to_rep(to_rep(met.where("n > 0").select("a", "b", "n"), "a"), "b").where("a <> b")
-        pairs = checkpointed(pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("n").alias("n")))
-        large = checkpointed(to_rep(met.where("n = 0").select("sig", F.col("a").alias("doc")), "doc").distinct())
-        wanted = checkpointed(pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).union(large.select("doc")).distinct())
-        rows = wanted.count()
+        pairs, _ = self.tables.keep(pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("n").alias("n")))
+        large, _ = self.tables.keep(to_rep(met.where("n = 0").select("sig", F.col("a").alias("doc")), "doc").distinct())
+        wanted, found = self.tables.keep(pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).union(large.select("doc")).distinct(), n=F.count("*"))
+        rows = found["n"]
         labels = None
         if rows:
-            self.profiles = checkpointed(self._profiles(wanted, rows))
+            self.profiles, _ = self.tables.keep(self._profiles(wanted, rows))
             labels = self._verified(self._pruned(pairs), None)
             labels = self._large_buckets(large, labels)
         if labels is None:
             return based.select("doc", "n_shingles", "rep", F.col("rep").alias("component"))
-        found = based.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left")
+        found = join_counted(based, labels.select(F.col("node").alias("rep"), "label"), "rep", "left", self.labelled, self.broadcast_rows)
         return found.select("doc", "n_shingles", "rep", F.coalesce("label", "rep").alias("component"))
 
     def _pruned(self, pairs: DataFrame) -> DataFrame:
@@ -382,11 +379,11 @@ class NgramJoin:
 
         return met.mapInArrow(prune, "a long, b long, n long").dropDuplicates(["a", "b"])
 
-    def _linked(self, pairs: DataFrame) -> DataFrame:
-        """(a, b, linked) for each pair, by its whole sets. Every set goes only where its pairs are, one row a pair and side."""
-        percent, rows = self.schemes.percent, pairs.count()
+    def _linked(self, pairs: DataFrame, rows: int) -> tuple[DataFrame, int]:
+        """(a, b, linked) for each of ``rows`` pairs, by its whole sets, and how many are. Every set goes only where its pairs are."""
+        percent = self.schemes.percent
         sent = pairs.select(F.explode(F.array("a", "b")).alias("doc"), "a", "b")
-        sets = _join(self.profiles.select("doc", "own"), sent, "doc", "inner", 2 * rows, self.broadcast_rows)
+        sets = join_counted(self.profiles.select("doc", "own"), sent, "doc", "inner", 2 * rows, self.broadcast_rows)
 
         def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             now, of = (None, None), {}
@@ -407,61 +404,65 @@ class NgramJoin:
             close()
             yield pa.RecordBatch.from_pydict({"a": pa.array(out["a"], pa.int64()), "b": pa.array(out["b"], pa.int64()), "linked": pa.array(out["linked"], pa.bool_())})
 
-        return checkpointed(sets.select("doc", "a", "b", "own").repartition("a", "b").sortWithinPartitions("a", "b").mapInArrow(verify, "a long, b long, linked boolean"))
+        met = sets.select("doc", "a", "b", "own").repartition("a", "b").sortWithinPartitions("a", "b")
+        out, seen = self.tables.keep(met.mapInArrow(verify, "a long, b long, linked boolean"), n=F.count_if("linked"))
+        return out, seen["n"]
 
     def _verified(self, pairs: DataFrame, labels: DataFrame | None) -> DataFrame | None:
-        """Labels (node, label) after all links among ``pairs`` between different components have been found."""
-        left = checkpointed(pairs)
-        first = labels is None
-        while True:
-            count = left.count()
-            if not count:
-                return labels
-            if first:  # the pair with the most shared signatures of each document
+        """Labels (node, label) after all links among ``pairs`` between different components have been found.
+
+        Two rounds take the most promising pairs, one each document and then one each two components; the third verifies
+        all that is still between components. Each is one verification, whatever the input.
+        """
+        left, seen = self.tables.keep(pairs, n=F.count("*"))
+        rounds = ("document", "components", "rest") if labels is None else ("components", "rest")
+        for kind in rounds:
+            if not seen["n"]:
+                break
+            if kind == "document":
                 ends = left.select(F.explode(F.array("a", "b")).alias("doc"), F.struct("n", (-F.col("a")).alias("x"), (-F.col("b")).alias("y")).alias("p"))
                 best = ends.groupBy("doc").agg(F.max("p").alias("p")).select((-F.col("p.x")).alias("a"), (-F.col("p.y")).alias("b")).distinct()
-            else:  # the best pair between each two components
+            elif kind == "components":
                 best = left.groupBy("la", "lb").agg(F.max(F.struct("n", (-F.col("a")).alias("x"), (-F.col("b")).alias("y"))).alias("p")).select((-F.col("p.x")).alias("a"), (-F.col("p.y")).alias("b"))
-            verdict = self._linked(checkpointed(best))
-            yes = verdict.where("linked")
-            merged = yes.limit(1).count()
-            if merged:
-                labels = self._merge(labels, yes)
-            left = left.select("a", "b", "n").join(verdict.select("a", "b"), ["a", "b"], "left_anti")
-            left = checkpointed(self._apart(left, labels))
-            if not merged and not first:
-                if left.limit(1).count():
-                    rest = self._linked(left.select("a", "b"))
-                    if rest.where("linked").limit(1).count():
-                        labels = self._merge(labels, rest.where("linked"))
-                return labels
-            first = False
+            else:
+                best = left.select("a", "b")
+            verdict, yes = self._linked(best, seen["n"])  # at most as many pairs as are left
+            if yes:
+                labels = self._merge(labels, verdict.where("linked"))
+            if kind != "rest":
+                left = join_counted(left.select("a", "b", "n"), verdict.select("a", "b"), ["a", "b"], "left_anti", seen["n"], self.broadcast_rows)
+                left, seen = self.tables.keep(self._apart(left, labels), n=F.count("*"))
+        return labels
 
     def _apart(self, pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
         """Pairs whose ends are in different components, with those components as la < lb."""
         out = self._label(self._label(pairs, "a", "x", labels), "b", "y", labels).where("x <> y")
         return out.select("a", "b", "n", F.least("x", "y").alias("la"), F.greatest("x", "y").alias("lb"))
 
-    @staticmethod
-    def _label(df: DataFrame, column: str, name: str, labels: DataFrame | None) -> DataFrame:
+    def _label(self, df: DataFrame, column: str, name: str, labels: DataFrame | None) -> DataFrame:
         if labels is None:
             return df.withColumn(name, F.col(column))
-        return df.join(labels.select(F.col("node").alias(column), F.col("label").alias("__label")), column, "left").withColumn(name, F.coalesce("__label", column)).drop("__label")
+        known = labels.select(F.col("node").alias(column), F.col("label").alias("__label"))
+        return join_counted(df, known, column, "left", self.labelled, self.broadcast_rows).withColumn(name, F.coalesce("__label", column)).drop("__label")
 
     def _merge(self, labels: DataFrame | None, yes: DataFrame) -> DataFrame:
         """New labels once the linked pairs are added; the step works on components, not on documents."""
         if labels is None:
-            return checkpointed(components(yes.select("a", "b")))
+            labels, self.labelled = components(yes.select("a", "b"), self.tables, broadcast_rows=self.broadcast_rows)
+            return labels
         edges = self._label(self._label(yes.select("a", "b"), "a", "x", labels), "b", "y", labels).select(F.col("x").alias("a"), F.col("y").alias("b"))
-        more = components(edges)
-        old = labels.join(more.select(F.col("node").alias("label"), F.col("label").alias("__low")), "label", "left").select("node", F.coalesce("__low", "label").alias("label"))
-        return checkpointed(old.union(more.join(labels.select("node"), "node", "left_anti").select("node", "label")))
+        more, rows = components(edges, self.tables, broadcast_rows=self.broadcast_rows)
+        old = join_counted(labels, more.select(F.col("node").alias("label"), F.col("label").alias("__low")), "label", "left", rows, self.broadcast_rows).select("node", F.coalesce("__low", "label").alias("label"))
+        new = join_counted(more, labels.select("node"), "node", "left_anti", self.labelled, self.broadcast_rows).select("node", "label")
+        labels, seen = self.tables.keep(old.union(new), n=F.count("*"))
+        self.labelled = seen["n"]
+        return labels
 
     def _large_buckets(self, large: DataFrame, labels: DataFrame | None) -> DataFrame | None:
         members = self._label(large, "doc", "label", labels)
         mixed = members.groupBy("sig").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("sig", F.expr(f"cast(ceil(n / {self.block}) as int)").alias("blocks"))
-        members = checkpointed(members.join(mixed, "sig"))
-        if not members.limit(1).count():
+        members, seen = self.tables.keep(members.join(mixed, "sig"), n=F.count("*"))
+        if not seen["n"]:
             return labels
         schemes = self.schemes
         # Buckets with the same members are one: only the first is looked at.
@@ -474,26 +475,28 @@ class NgramJoin:
         def cross(key: tuple, rows):
             import pandas as pd
 
-            rows = rows.sort_values("doc", ignore_index=True)
+            rows = rows.sort_values(["size", "doc"], ignore_index=True)
             own, size, label, doc = rows["own"].to_numpy(), rows["size"].to_numpy(), rows["label"].to_numpy(), rows["doc"].to_numpy()
             bits = [np.frombuffer(x, np.uint8) for x in rows["sketch"]]
-            shortest = min(map(len, bits))
-            flat = np.stack([folded(x, min(shortest, 512)) for x in bits])
+            # About one bit an element already tells unrelated sets apart; what passes meets the whole sketches.
+            short = min(min(map(len, bits)), 1 << max(3, int(size[-1]).bit_length() - 3))
+            flat = np.stack([folded(x, short) for x in bits]).view(np.uint64)
+            last = np.searchsorted(size, size * 100 // schemes.percent, side="right")
             out = []
-            for p in range(len(rows)):
-                q = np.arange(p + 1, len(rows))
-                q = q[(label[q] != label[p]) & (100 * np.minimum(size[q], size[p]) >= schemes.percent * np.maximum(size[q], size[p]))]
+            for at in range(0, len(rows), 64):  # by size: a stretch of documents meets those up to 1 / t times its largest
+                p, q = np.arange(at, min(at + 64, len(rows))), np.arange(at, last[min(at + 64, len(rows)) - 1])
+                far = np.bitwise_count(flat[p][:, None] ^ flat[q][None]).sum(2, dtype=np.int64)
+                fine = (far <= (size[p][:, None] + size[q]) * (100 - schemes.percent) // (100 + schemes.percent)) & (label[p][:, None] != label[q]) & (p[:, None] < q) & (q < last[p][:, None])
                 if key[1] != key[2]:
-                    q = q[own[q] != own[p]]
-                if len(q):
-                    far = _ONES[flat[q] ^ flat[p]].sum(1, dtype=np.int64)
-                    for x in q[far <= (size[q] + size[p]) * (100 - schemes.percent) // (100 + schemes.percent)]:
-                        if may_link(int(size[p]), int(size[x]), bits[p], bits[x], schemes):
-                            out.append((min(doc[p], doc[x]), max(doc[p], doc[x])))
+                    fine &= own[p][:, None] != own[q]
+                for i, j in zip(*np.nonzero(fine), strict=True):
+                    x, y = p[i], q[j]
+                    if may_link(int(size[x]), int(size[y]), bits[x], bits[y], schemes):
+                        out.append((min(doc[x], doc[y]), max(doc[x], doc[y])))
             return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
         pairs = met.groupBy("sig", "i", "j").applyInPandas(cross, "a long, b long").groupBy("a", "b").agg(F.count("*").alias("n"))
-        return self._verified(checkpointed(self._apart(pairs, labels)), labels) if labels is not None else self._verified(pairs, None)
+        return self._verified(pairs if labels is None else self._apart(pairs, labels), labels)
 
 
 def join_ngrams(docs: DataFrame, **options) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Characters the contracts call white space.
@@ -30,6 +30,33 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Tables:
+    """Intermediate tables of one run, written to the shared folder and read again.
+
+    Iterative jobs use them instead of checkpoints: a checkpoint keeps the size estimate of the plan that it replaces, which
+    every join multiplies, until planning takes longer than the work. A table's size is that of its files, and small ones
+    are read by few tasks.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.path, self.made = spark, new_folder(spark, name), 0
+
+    def keep(self, df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
+        """The table, and metrics that the writing job observes: no second pass, nothing else reaches the driver."""
+        self.made += 1
+        path, seen = f"{self.path}/{self.made:04d}", Observation()
+        (df.observe(seen, *[m.alias(n) for n, m in metrics.items()]) if metrics else df).write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path), seen.get if metrics else {}
+
+    def drop(self) -> None:
+        remove_folder(self.spark, self.path)
+
+
+def join_counted(left: DataFrame, right: DataFrame, on: str | list[str], how: str, rows: int, most: int) -> DataFrame:
+    """``right`` has at most ``rows`` rows: it is broadcast within ``most`` rows, and joined by shuffle beyond."""
+    return left.join(F.broadcast(right) if rows <= most else right, on, how)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/quillmark/{name}-{uuid.uuid4().hex}"
 
