@@ -1,7 +1,7 @@
 """WARC archives of pages, and their capture index made by an external merge of sorted runs.
 
 ``write_archive`` turns pages into WARC/1.1 records and lets Spark's text writer lay them out: a record's two closing
-line ends are the writer's line separator, so every part file is a plain WARC file in whatever store Spark writes to.
+line ends are the writer's line separator, so every part file is a gzipped WARC file in whatever store Spark writes to.
 Of the pages with one payload the largest ``page_id`` is the response; the others become revisit records that keep the
 HTTP head only, and name the response by ``WARC-Refers-To``. The response of a payload is found by a partial aggregate
 over digests and a join that adaptive execution can split, so a payload shared by a third of all pages is no hot group.
@@ -19,6 +19,7 @@ seconds from a fixed day, which keeps the archive reproducible.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
@@ -91,7 +92,7 @@ def write_archive(pages: DataFrame, path: str, *, min_bytes: int = 0, records_pe
             yield pa.RecordBatch.from_pydict({"value": pa.array(out, pa.string())})
 
     records = rows.select("page_id", "url", "crawled", "html", "sha1", "refers_to").mapInArrow(to_records, "value string")
-    records.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", records_per_file).mode("overwrite").text(path)
+    records.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", records_per_file).option("compression", "gzip").mode("overwrite").text(path)
 
 
 def parse_archive(data: bytes) -> Iterator[tuple]:
@@ -141,10 +142,10 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
         types = [pa.int64() if "long" in c else pa.string() for c in CAPTURES.split(", ")]
         for batch in batches:
             for content in batch.column(0):
-                rows = list(zip(*parse_archive(content.as_py()), strict=True)) or [[]] * len(names)
+                rows = list(zip(*parse_archive(gzip.decompress(content.as_py())), strict=True)) or [[]] * len(names)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types, strict=True)], names=names)
 
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path).select("content").mapInArrow(parse, CAPTURES)
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.txt.gz").load(path).select("content").mapInArrow(parse, CAPTURES)
 
 
 class LoserTree:
