@@ -1,13 +1,13 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine, found in a block-max inverted index.
 
 Terms are a text's words and the leading ``stem`` characters of longer words. Labelled rows outside the held-out fold,
-at most about ``max_examples`` by a hash of the id, choose the vocabulary (terms associated with either label by the
-chi-squared statistic, at most ``max_terms``) and are the examples. Document frequencies of that vocabulary are counted
+at most about ``max_examples`` by a hash of the id, choose the vocabulary (terms whose documents are toxic at least
+twice as often as all, with a chi-squared statistic of ``least_chi`` or more, at most ``max_terms``) and are the examples. Document frequencies of that vocabulary are counted
 over all documents, by partial counts in tasks.
 
 The index lays examples out in blocks of ``block`` and keeps, per term, each block's largest weight. For a text, the sum
-over its terms of weight times block maximum bounds every cosine in the block; blocks are scored exactly in descending
-order of that bound until it falls below the k-th best cosine, so the k nearest are exact. They vote with the square of
+over its terms of weight times block maximum bounds every cosine in the block; the blocks with the largest bounds are scored
+first, and then only those whose bound reaches the k-th best cosine, so the k nearest are exact. They vote with the square of
 their cosine. Votes are calibrated by a monotone step function fitted to the examples' own leave-one-out votes. A text that
 shares no term with any example gets the share of toxic ones among such examples. ``evidence`` names the neighbours.
 
@@ -96,29 +96,62 @@ class BlockMaxIndex:
             self.starts.append(np.append(starts, len(e)))
             self.maxima.append(np.maximum.reduceat(w, starts) if len(e) else w)
 
+    def _scores(self, terms: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Exact cosines of the examples in some blocks: (examples, cosines) where positive."""
+        few = len(blocks) * 8 < self.n_blocks
+        examples, parts = [], []
+        for t, w in zip(terms, weights, strict=True):
+            if few:
+                at = np.searchsorted(self.of_block[t], blocks)
+                at = at[at < len(self.of_block[t])]
+                at = at[np.isin(self.of_block[t][at], blocks)]
+                rows = np.concatenate([np.arange(self.starts[t][j], self.starts[t][j + 1]) for j in np.unique(at)]) if len(at) else np.empty(0, int)
+            else:
+                rows = slice(None)
+            examples.append(self.examples[t][rows])
+            parts.append(w * self.weights[t][rows])
+        found = np.concatenate(examples)
+        score = np.bincount(found, np.concatenate(parts), minlength=1) if len(found) else np.empty(0)
+        hit = np.flatnonzero(score)
+        if not few:
+            hit = hit[np.isin(hit // self.block, blocks)] if len(blocks) < self.n_blocks else hit
+        return hit, np.round(score[hit], 12)
+
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, leave_out: int | None = None) -> list[tuple[float, int]]:
-        """(cosine, example) of the k nearest with a positive cosine."""
+        """(cosine, example) of the k nearest with a positive cosine.
+
+        The blocks with the largest bounds are scored first; then, at once, all others whose bound reaches the k-th best cosine.
+        """
         if not self.n_blocks or not len(terms):
             return []
+        if sum(len(self.examples[t]) for t in terms) <= 2 * len(self.ids):  # few postings: scoring them is cheaper than bounds
+            return self._pairs(*self._best(*self._scores(terms, weights, np.arange(self.n_blocks)), k, leave_out))
         bound = np.zeros(self.n_blocks)
         for t, w in zip(terms, weights, strict=True):
             bound[self.of_block[t]] += w * self.maxima[t]
-        best: list[tuple[float, int, int]] = []
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(best) == k and bound[b] < best[-1][0] - 1e-12:
-                break
-            score = np.zeros(self.block)
-            for t, w in zip(terms, weights, strict=True):
-                j = np.searchsorted(self.of_block[t], b)
-                if j < len(self.of_block[t]) and self.of_block[t][j] == b:
-                    part = slice(self.starts[t][j], self.starts[t][j + 1])
-                    score[self.examples[t][part] - b * self.block] += w * self.weights[t][part]
-            for x in np.flatnonzero(score > 0):
-                e = int(b) * self.block + int(x)
-                if leave_out is None or self.ids[e] != leave_out:
-                    best.append((round(float(score[x]), 12), -int(self.ids[e]), e))
-            best = sorted(best, reverse=True)[:k]
-        return [(s, e) for s, _, e in best]
+        first = np.sort(np.argpartition(-bound, min(4, self.n_blocks - 1))[:4])
+        kept, cosines = self._best(*self._scores(terms, weights, first[bound[first] > 0]), k, leave_out)
+        least = cosines[-1] if len(cosines) == k else 0.0
+        rest = (bound > 0) & (bound >= least - 1e-9)
+        rest[first] = False
+        if rest.any():
+            more, scores = self._scores(terms, weights, np.flatnonzero(rest))
+            kept, cosines = self._best(np.concatenate([kept, more]), np.concatenate([cosines, scores]), k, leave_out)
+        return self._pairs(kept, cosines)
+
+    @staticmethod
+    def _pairs(examples: np.ndarray, cosines: np.ndarray) -> list[tuple[float, int]]:
+        return list(zip(cosines.tolist(), examples.tolist(), strict=True))
+
+    def _best(self, examples: np.ndarray, cosines: np.ndarray, k: int, leave_out: int | None) -> tuple[np.ndarray, np.ndarray]:
+        if leave_out is not None:
+            fine = self.ids[examples] != leave_out
+            examples, cosines = examples[fine], cosines[fine]
+        if len(examples) > 4 * k:  # all that could be among the k, ties included
+            fine = cosines >= np.partition(cosines, -k)[-k]
+            examples, cosines = examples[fine], cosines[fine]
+        order = np.lexsort((self.ids[examples], -cosines))[:k]
+        return examples[order], cosines[order]
 
 
 class Scorer:
@@ -174,7 +207,8 @@ def train(docs: DataFrame, labels: DataFrame, *, max_examples: int = 12_000, max
         a, b = F.col("toxic").cast("double"), F.col("clean").cast("double")
         chi = (n0 + n1) * F.pow(a * (n0 - b) - b * (n1 - a), 2) / (n1 * n0 * (a + b) * F.greatest(n0 + n1 - a - b, F.lit(1.0)))
         counted = sample.select("text", "toxic").mapInArrow(count, "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-        strong = counted.where(a + b >= 3).select("term", chi.alias("chi")).where(F.col("chi") >= least_chi)
+        # A term speaks for toxicity if its documents are toxic at least twice as often as all are.
+        strong = counted.where((a + b >= 3) & (a * (n0 + n1) >= 2 * n1 * (a + b))).select("term", chi.alias("chi")).where(F.col("chi") >= least_chi)
         chosen = [r["term"] for r in strong.orderBy(F.desc("chi"), "term").limit(max_terms).collect()]
     vocabulary = Vocabulary(_idf(texts, chosen, stem), stem)
     ids, toxic, vectors, silent = [], [], [], [1.0, 1.0 if not n0 + n1 else (n0 + n1) / max(n1, 1.0)]
