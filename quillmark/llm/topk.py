@@ -152,7 +152,8 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = 5, column: str = "em
                 row = (block.as_py(), own.tobytes(), q.tobytes(), _kth(q, own, head_ids, head, k).tobytes())
                 yield pa.RecordBatch.from_pydict({n: pa.array([x], pa.int64() if n == "query_block" else pa.binary()) for n, x in zip(("query_block", "q_ids", "q", "bound"), row, strict=True)})
 
-    head_row = candidates.orderBy(F.desc("longest"), "block").select(F.substring("ids", 1, 8 * 1024).alias("i"), F.substring("data", 1, 8 * 1024 * max(1, dims)).alias("x")).first()
+    first = candidates.orderBy(F.desc("longest"), "block").select("block").first()
+    head_row = first and candidates.where(F.col("block") == first["block"]).select(F.substring("ids", 1, 8 * 1024).alias("i"), F.substring("data", 1, 8 * 1024 * max(1, dims)).alias("x")).first()
     head_ids = np.frombuffer(bytes(head_row["i"]), "int64") if head_row else np.empty(0, "int64")
     head = np.frombuffer(bytes(head_row["x"]), "float64").reshape(len(head_ids), dims) if head_row else np.empty((0, dims))
     queries = checkpointed(dealt.mapInArrow(bounds, "query_block long, q_ids binary, q binary, bound binary"))
