@@ -34,6 +34,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -329,8 +330,10 @@ class NgramJoin:
 
         def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                sets = list(shingle_sets(batch.column(1), n))
-                yield pa.RecordBatch.from_pydict({"doc": batch.column(0), "size": pa.array([len(s) for s in sets], pa.int64()), "sketch": pa.array([sketch(s).tobytes() for s in sets], pa.binary()), "own": pa.array([s.tobytes() for s in sets], pa.binary())})
+                for at in range(0, batch.num_rows, 1000):  # whole sets are held for so many documents at a time
+                    part = batch.slice(at, 1000)
+                    sets = list(shingle_sets(part.column(1), n))
+                    yield pa.RecordBatch.from_pydict({"doc": part.column(0), "size": pa.array([len(s) for s in sets], pa.int64()), "sketch": pa.array([sketch(s).tobytes() for s in sets], pa.binary()), "own": pa.array([s.tobytes() for s in sets], pa.binary())})
 
         found = join_counted(self.texts, wanted.select("doc"), "doc", "left_semi", rows, self.broadcast_rows)
         return found.mapInArrow(profile, "doc long, size long, sketch binary, own binary")
@@ -472,9 +475,7 @@ class NgramJoin:
         met = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         met = met.select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc", "label").join(self.profiles.select("doc", "size", "sketch"), "doc")
 
-        def cross(key: tuple, rows):
-            import pandas as pd
-
+        def cross(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
             rows = rows.sort_values(["size", "doc"], ignore_index=True)
             own, size, label, doc = rows["own"].to_numpy(), rows["size"].to_numpy(), rows["label"].to_numpy(), rows["doc"].to_numpy()
             bits = [np.frombuffer(x, np.uint8) for x in rows["sketch"]]
