@@ -1,17 +1,17 @@
-"""Toxicity by the nearest labelled examples under exact TF-IDF cosine, found in a block-max inverted index.
+"""Toxicity by the nearest labelled examples under exact TF-IDF cosine, found in an inverted index with bounds.
 
 Terms are a text's words and the leading ``stem`` characters of longer words. Labelled rows outside the held-out fold,
-at most about ``max_examples`` by a hash of the id, choose the vocabulary (terms whose documents are toxic at least
-twice as often as all, with a chi-squared statistic of ``least_chi`` or more, at most ``max_terms``) and are the examples. Document frequencies of that vocabulary are counted
-over all documents, by partial counts in tasks.
+at most about ``max_examples`` by a hash of the id, are the examples. Every term of an example is in the vocabulary, and texts are
+normalised over all their terms in it. Document frequencies are counted over all documents, by partial counts in tasks.
 
-The index lays examples out in blocks of ``block`` and keeps, per term, each block's largest weight. For a text, the sum
-over its terms of weight times block maximum bounds every cosine in the block; the blocks with the largest bounds are scored
-first, and then only those whose bound reaches the k-th best cosine, so the k nearest are exact. They vote with the square of
-their cosine. Votes are calibrated by a monotone step function fitted to the examples' own leave-one-out votes. A text that
-shares no term with any example gets the share of toxic ones among such examples. ``evidence`` names the neighbours.
+The ``n_dense`` terms that most examples have stand in a dense matrix, all others in postings. For a text, the postings give every
+example's exact sum over the rarer terms; with it, the norms of both dense parts bound the example's cosine (Cauchy-Schwarz). The
+examples with the largest bounds are scored first, and then only those whose bound reaches the k-th best cosine, so the k nearest
+are exact. They vote with the square of their cosine. Votes are calibrated by a monotone step function fitted to the examples' own
+leave-one-out votes. A text that shares no term with any example gets the share of toxic ones among examples without a term, drawn
+towards that among all. ``evidence`` names the neighbours.
 
-Vocabulary, examples and calibration have bounds that don't grow with the input; scoring reads every whole text and shuffles nothing.
+The number of examples doesn't grow with the input; scoring reads every whole text and shuffles nothing.
 
 Defined results: a null or empty text has no terms. Null labels don't count; where a document has several, toxic wins. Without any label
 the score is 0. Ties between examples go to the smaller doc_id. Repeated rows are scored alike.
@@ -21,11 +21,14 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,116 +52,144 @@ def with_stems(counted: Counter, stem: int) -> Counter:
 
 
 class Vocabulary:
-    """Terms with their inverse document frequencies; makes unit vectors."""
+    """Terms by number, with their inverse document frequencies; makes unit vectors."""
 
-    def __init__(self, idf: dict[str, float], stem: int):
-        self.stem, self.terms = stem, sorted(idf)
-        self.row = {t: i for i, t in enumerate(self.terms)}
-        self.idf = np.array([idf[t] for t in self.terms])
-        self.whole = {t: i for t, i in self.row.items() if not t.endswith("*")}
-        self.stems = {t[:-1]: i for t, i in self.row.items() if t.endswith("*")}
+    def __init__(self, terms: list[str], stem: int):
+        self.stem, self.terms, self.idf = stem, terms, np.ones(len(terms))
+        self.whole = {t: i for i, t in enumerate(terms) if not t.endswith("*")}
+        self.stems = {t[:-1]: i for i, t in enumerate(terms) if t.endswith("*")}
 
-    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    def __len__(self) -> int:
+        return len(self.idf)
+
+    def __getstate__(self) -> tuple:
+        return self.stem, self.idf, zlib.compress("\n".join(self.terms).encode(), 1)
+
+    def __setstate__(self, state: tuple) -> None:
+        stem, idf, packed = state
+        joined = zlib.decompress(packed).decode()
+        self.__init__(joined.split("\n") if joined else [], stem)
+        self.idf = idf
+
+    def counts(self, text: str | None) -> dict[int, int]:
+        """How often a text has each term, by the term's number."""
         counts: dict[int, int] = {}
         for w, n in words(text).items():
             i = self.whole.get(w)
             if i is not None:
-                counts[i] = counts.get(i, 0) + n
+                counts[i] = n
             if len(w) > self.stem:
                 i = self.stems.get(w[: self.stem])
                 if i is not None:
                     counts[i] = counts.get(i, 0) + n
+        return counts
+
+    def numbers(self, text: str | None) -> list[int]:
+        """The numbers of the terms that a text has, each once."""
+        own = set(_WORD.findall(text.lower())) if text else set()
+        stems = {w[: self.stem] for w in own if len(w) > self.stem}
+        whole, starts = self.whole, self.stems
+        return [whole[w] for w in own if w in whole] + [starts[w] for w in stems if w in starts]
+
+    def weighted(self, terms: np.ndarray, n: np.ndarray) -> np.ndarray:
+        weights = (1 + np.log(n)) * self.idf[terms]
+        return weights / np.sqrt((weights**2).sum())
+
+    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        counts = self.counts(text)
         if not counts:
             return np.empty(0, int), np.empty(0)
-        terms = np.array(sorted(counts))
-        weights = np.array([1 + math.log(counts[t]) for t in terms]) * self.idf[terms]
-        return terms, weights / np.sqrt((weights**2).sum())
+        terms, n = np.fromiter(counts, "int64", len(counts)), np.fromiter(counts.values(), "float64", len(counts))
+        order = np.argsort(terms)
+        return terms[order], self.weighted(terms[order], n[order])
 
 
 class BlockMaxIndex:
-    """Postings by term; example numbers ascend with doc_id within the order that keeps like examples in one block."""
+    """Postings of the rarer terms and a dense block of the most frequent; examples are numbered by doc_id."""
 
-    def __init__(self, ids: list[int], toxic: list[int], vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int):
-        # Examples with one strongest term are neighbours in the layout, which keeps block maxima tight.
-        order = sorted(range(len(ids)), key=lambda i: (int(vectors[i][0][vectors[i][1].argmax()]), ids[i]))
+    def __init__(self, ids: list[int], toxic: list[int], vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, n_dense: int):
+        order = sorted(range(len(ids)), key=ids.__getitem__)
         self.ids, self.toxic = np.array([ids[i] for i in order], "int64"), np.array([toxic[i] for i in order], "int32")
-        self.block, self.n_blocks = block, -(-len(order) // block)
-        posted: list[list[tuple[int, float]]] = [[] for _ in range(n_terms)]
-        for e, i in enumerate(order):
-            for t, w in zip(*vectors[i], strict=True):
-                posted[t].append((e, w))
-        self.examples = [np.array([e for e, _ in p], "int64") for p in posted]
-        self.weights = [np.array([w for _, w in p]) for p in posted]
-        self.of_block, self.starts, self.maxima = [], [], []
-        for e, w in zip(self.examples, self.weights, strict=True):
-            blocks, starts = np.unique(e // block, return_index=True)
-            self.of_block.append(blocks)
-            self.starts.append(np.append(starts, len(e)))
-            self.maxima.append(np.maximum.reduceat(w, starts) if len(e) else w)
-
-    def _scores(self, terms: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Exact cosines of the examples in some blocks: (examples, cosines) where positive."""
-        few = len(blocks) * 8 < self.n_blocks
-        examples, parts = [], []
-        for t, w in zip(terms, weights, strict=True):
-            if few:
-                at = np.searchsorted(self.of_block[t], blocks)
-                at = at[at < len(self.of_block[t])]
-                at = at[np.isin(self.of_block[t][at], blocks)]
-                rows = np.concatenate([np.arange(self.starts[t][j], self.starts[t][j + 1]) for j in np.unique(at)]) if len(at) else np.empty(0, int)
-            else:
-                rows = slice(None)
-            examples.append(self.examples[t][rows])
-            parts.append(w * self.weights[t][rows])
-        found = np.concatenate(examples)
-        score = np.bincount(found, np.concatenate(parts), minlength=1) if len(found) else np.empty(0)
-        hit = np.flatnonzero(score)
-        if not few:
-            hit = hit[np.isin(hit // self.block, blocks)] if len(blocks) < self.n_blocks else hit
-        return hit, np.round(score[hit], 12)
+        sizes = np.array([len(vectors[i][0]) for i in order], "int64")
+        terms = np.concatenate([vectors[i][0] for i in order]).astype("int32") if len(order) else np.empty(0, "int32")
+        weights = np.concatenate([vectors[i][1] for i in order]) if len(order) else np.empty(0)
+        examples = np.repeat(np.arange(len(order), dtype="int32"), sizes)
+        df = np.bincount(terms, minlength=n_terms)
+        frequent = np.sort(np.argsort(-df, kind="stable")[:n_dense])
+        self.column = np.full(n_terms, -1, "int32")
+        self.column[frequent] = np.arange(len(frequent))
+        at = self.column[terms]
+        inside = at >= 0
+        self.dense = np.zeros((len(order), len(frequent)))
+        self.dense[examples[inside], at[inside]] = weights[inside]
+        self.norms = np.sqrt((self.dense**2).sum(axis=1))
+        terms, weights, examples = terms[~inside], weights[~inside], examples[~inside]
+        by_term = np.argsort(terms, kind="stable")
+        self.examples, self.weights = examples[by_term].astype("intp"), weights[by_term]
+        self.starts = np.concatenate([[0], np.cumsum(np.bincount(terms, minlength=n_terms))])
+
+    def _postings(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Every example's sum over terms that aren't in the dense block."""
+        a, b = self.starts[terms], self.starts[terms + 1]
+        some = b > a
+        a, b, weights = a[some], b[some], weights[some]
+        if not len(a):
+            return np.zeros(len(self.ids))
+        spans = [slice(x, y) for x, y in zip(a.tolist(), b.tolist(), strict=True)]
+        by = np.concatenate([self.weights[x] for x in spans])
+        by *= np.repeat(weights, b - a)
+        return np.bincount(np.concatenate([self.examples[x] for x in spans]), by, minlength=len(self.ids))
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, leave_out: int | None = None) -> list[tuple[float, int]]:
         """(cosine, example) of the k nearest with a positive cosine.
 
-        The blocks with the largest bounds are scored first; then, at once, all others whose bound reaches the k-th best cosine.
+        The examples with the largest bounds are scored first; then, at once, all others whose bound reaches the k-th best cosine.
         """
-        if not self.n_blocks or not len(terms):
+        if not len(self.ids) or not len(terms):
             return []
-        if sum(len(self.examples[t]) for t in terms) <= 2 * len(self.ids):  # few postings: scoring them is cheaper than bounds
-            return self._pairs(*self._best(*self._scores(terms, weights, np.arange(self.n_blocks)), k, leave_out))
-        bound = np.zeros(self.n_blocks)
-        for t, w in zip(terms, weights, strict=True):
-            bound[self.of_block[t]] += w * self.maxima[t]
-        first = np.sort(np.argpartition(-bound, min(4, self.n_blocks - 1))[:4])
-        kept, cosines = self._best(*self._scores(terms, weights, first[bound[first] > 0]), k, leave_out)
-        least = cosines[-1] if len(cosines) == k else 0.0
-        rest = (bound > 0) & (bound >= least - 1e-9)
-        rest[first] = False
-        if rest.any():
-            more, scores = self._scores(terms, weights, np.flatnonzero(rest))
-            kept, cosines = self._best(np.concatenate([kept, more]), np.concatenate([cosines, scores]), k, leave_out)
-        return self._pairs(kept, cosines)
-
-    @staticmethod
-    def _pairs(examples: np.ndarray, cosines: np.ndarray) -> list[tuple[float, int]]:
-        return list(zip(cosines.tolist(), examples.tolist(), strict=True))
-
-    def _best(self, examples: np.ndarray, cosines: np.ndarray, k: int, leave_out: int | None) -> tuple[np.ndarray, np.ndarray]:
+        column = self.column[terms]
+        inside = column >= 0
+        frequent = np.zeros(self.dense.shape[1])
+        frequent[column[inside]] = weights[inside]
+        partial = self._postings(terms[~inside], weights[~inside])
+        bound = partial + self.norms * math.sqrt(float((frequent**2).sum()))
         if leave_out is not None:
-            fine = self.ids[examples] != leave_out
-            examples, cosines = examples[fine], cosines[fine]
-        if len(examples) > 4 * k:  # all that could be among the k, ties included
+            bound[self.ids == leave_out] = 0.0
+        first = np.argpartition(-bound, 2 * k)[: 2 * k] if len(bound) > 2 * k else np.arange(len(bound))
+        cosines = partial[first] + self.dense[first] @ frequent
+        least = np.partition(cosines, -k)[-k] if len(cosines) >= k else 0.0
+        found = np.flatnonzero((bound > 0) & (bound >= least - 1e-9))
+        cosines = np.round(partial[found] + self.dense[found] @ frequent, 12)
+        found, cosines = found[cosines > 0], cosines[cosines > 0]
+        if len(found) > 4 * k:  # all that could be among the k, ties included
             fine = cosines >= np.partition(cosines, -k)[-k]
-            examples, cosines = examples[fine], cosines[fine]
-        order = np.lexsort((self.ids[examples], -cosines))[:k]
-        return examples[order], cosines[order]
+            found, cosines = found[fine], cosines[fine]
+        order = np.lexsort((self.ids[found], -cosines))[:k]
+        return list(zip(cosines[order].tolist(), found[order].tolist(), strict=True))
 
 
 class Scorer:
-    def __init__(self, vocabulary: Vocabulary, index: BlockMaxIndex, k: int):
-        self.vocabulary, self.index, self.k = vocabulary, index, k
+    """Goes to the tasks once, as packed counts; a worker lays out the index when it first needs it."""
+
+    def __init__(self, vocabulary: Vocabulary, ids: list[int], toxic: list[int], counts: list[tuple[np.ndarray, np.ndarray]], k: int, n_dense: int):
+        """counts: an example's ascending terms and how often it has each."""
+        self.vocabulary, self.ids, self.toxic, self.k, self.n_dense = vocabulary, ids, toxic, k, n_dense
+        steps = [np.diff(t, prepend=0).astype("int32") for t, _ in counts]
+        self.packed = [zlib.compress(b"".join(a.tobytes() for a in part), 1) for part in (steps, [n.astype("int32") for _, n in counts])]
+        self.sizes = [len(t) for t, _ in counts]
+        self.shared: Broadcast | None = None
         self.edges, self.levels, self.silent = np.array([0.0]), np.array([0.0]), 0.0
 
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("index", "shared")}
+
+    @cached_property
+    def index(self) -> BlockMaxIndex:
+        ends = np.cumsum(self.sizes)[:-1] if self.sizes else []
+        steps, n = (np.split(np.frombuffer(zlib.decompress(p), "int32"), ends) for p in self.packed)
+        vectors = [(t, self.vocabulary.weighted(t, m)) for t, m in zip(map(np.cumsum, steps), n, strict=True) if len(t)]
+        return BlockMaxIndex(self.ids, self.toxic, vectors, len(self.vocabulary), self.n_dense)
+
     def vote(self, text: str | None, leave_out: int | None = None) -> tuple[float | None, list[tuple[float, int]]]:
         near = self.index.nearest(*self.vocabulary.vector(text), self.k, leave_out)
         if not near:
@@ -181,7 +212,7 @@ def monotone(points: list[tuple[float, float, float]]) -> tuple[np.ndarray, np.n
     return np.array([p[0] / p[2] for p in pools]), np.array([p[1] / p[2] for p in pools])
 
 
-def train(docs: DataFrame, labels: DataFrame, *, max_examples: int = 12_000, max_terms: int = 8000, least_chi: float = 30.0, stem: int = 5, k: int = 15, block: int = 64) -> Scorer:
+def train(docs: DataFrame, labels: DataFrame, *, max_examples: int = 12_000, stem: int = 5, k: int = 15, n_dense: int = 96) -> Scorer:
     spark = docs.sparkSession
     known = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     known = known.where(~held_out(F.col("doc_id")))
@@ -192,68 +223,61 @@ def train(docs: DataFrame, labels: DataFrame, *, max_examples: int = 12_000, max
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sample = checkpointed(texts.join(F.broadcast(known), "doc_id").select("doc_id", "text", "toxic").dropDuplicates(["doc_id", "text"]))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: dict[str, list[int]] = {}
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for t in with_stems(words(text), stem):
-                    seen.setdefault(t, [0, 0])[1 if toxic else 0] += 1
-            yield pa.RecordBatch.from_pydict({"term": pa.array(list(seen), pa.string()), "clean": pa.array([c[0] for c in seen.values()], pa.int64()), "toxic": pa.array([c[1] for c in seen.values()], pa.int64())})
-
-    sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
-    n1, n0 = float(sizes.get(1, 0)), float(sizes.get(0, 0))
-    chosen: list[str] = []
-    if n1 and n0:
-        a, b = F.col("toxic").cast("double"), F.col("clean").cast("double")
-        chi = (n0 + n1) * F.pow(a * (n0 - b) - b * (n1 - a), 2) / (n1 * n0 * (a + b) * F.greatest(n0 + n1 - a - b, F.lit(1.0)))
-        counted = sample.select("text", "toxic").mapInArrow(count, "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-        # A term speaks for toxicity if its documents are toxic at least twice as often as all are.
-        strong = counted.where((a + b >= 3) & (a * (n0 + n1) >= 2 * n1 * (a + b))).select("term", chi.alias("chi")).where(F.col("chi") >= least_chi)
-        chosen = [r["term"] for r in strong.orderBy(F.desc("chi"), "term").limit(max_terms).collect()]
-    vocabulary = Vocabulary(_idf(texts, chosen, stem), stem)
-    ids, toxic, vectors, silent = [], [], [], [1.0, 1.0 if not n0 + n1 else (n0 + n1) / max(n1, 1.0)]
+            seen: set[str] = set()
+            for text in batch.column(0).to_pylist():
+                seen.update(with_stems(words(text), stem))
+            yield pa.RecordBatch.from_pydict({"term": pa.array(list(seen), pa.string())})
+
+    terms = sample.select("text").mapInArrow(distinct, "term string").distinct().toArrow().column(0).to_pylist()
+    vocabulary = Vocabulary(sorted(terms), stem)
     shared = spark.sparkContext.broadcast(vocabulary)
 
-    def to_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def to_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [shared.value.vector(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([m[0] for m in made], pa.list_(pa.int64())), pa.array([m[1] for m in made], pa.list_(pa.float64()))], names=["doc_id", "toxic", "terms", "weights"])
+            made = [dict(sorted(shared.value.counts(t).items())) for t in batch.column(1).to_pylist()]
+            packed = [pa.array([np.fromiter(part(m), "int32", len(m)).tobytes() for m in made], pa.binary()) for part in (dict.keys, dict.values)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *packed], names=["doc_id", "toxic", "terms", "n"])
 
-    for r in sample.mapInArrow(to_vectors, "doc_id long, toxic int, terms array<long>, weights array<double>").collect():
+    vocabulary.idf = _idf(texts, shared, len(vocabulary))
+    ids, toxic, counts, silent = [], [], [], [0, 0]
+    for r in sample.mapInArrow(to_counts, "doc_id long, toxic int, terms binary, n binary").collect():
         if r["terms"]:
-            ids.append(r["doc_id"]), toxic.append(r["toxic"]), vectors.append((np.array(r["terms"]), np.array(r["weights"])))
+            ids.append(r["doc_id"]), toxic.append(r["toxic"]), counts.append((np.frombuffer(r["terms"], "int32"), np.frombuffer(r["n"], "int32")))
         else:
             silent[0] += r["toxic"]
             silent[1] += 1
-    scorer = Scorer(vocabulary, BlockMaxIndex(ids, toxic, vectors, len(vocabulary.terms), block), k)
-    scorer.silent = silent[0] / silent[1] if n1 else 0.0
-    scorer.edges, scorer.levels = _calibration(sample, scorer)
+    shared.destroy()
+    n1, n = sum(toxic) + silent[0], len(toxic) + silent[1]
+    scorer = Scorer(vocabulary, ids, toxic, counts, k, n_dense)
+    scorer.silent = (silent[0] + 1) / (silent[1] + n / n1) if n1 else 0.0
+    scorer.shared = spark.sparkContext.broadcast(scorer)
+    scorer.edges, scorer.levels = _calibration(sample, scorer.shared)
     return scorer
 
 
-def _idf(texts: DataFrame, chosen: list[str], stem: int) -> dict[str, float]:
-    """Inverse document frequencies over all documents."""
-    whole, stems = frozenset(t for t in chosen if not t.endswith("*")), frozenset(t[:-1] for t in chosen if t.endswith("*"))
+def _idf(texts: DataFrame, shared: Broadcast[Vocabulary], size: int) -> np.ndarray:
+    """Inverse document frequencies over all documents, by the term's number."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        vocabulary, df, total = shared.value, np.zeros(size, "int64"), 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                own = set(_WORD.findall(text.lower())) if text else set()
-                seen.update(whole & own)
-                seen.update({w[:stem] + "*" for w in own if len(w) > stem and w[:stem] in stems})
-                seen[""] += 1
-        yield pa.RecordBatch.from_pydict({"term": pa.array(list(seen), pa.string()), "n": pa.array(list(seen.values()), pa.int64())})
+                df[vocabulary.numbers(text)] += 1
+                total += 1
+        some = np.flatnonzero(df)
+        yield pa.RecordBatch.from_pydict({"term": pa.array(np.append(some, -1), pa.int64()), "n": pa.array(np.append(df[some], total), pa.int64())})
 
-    if not chosen:
-        return {}
-    df = {r["term"]: r["n"] for r in texts.select("text").mapInArrow(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    return {t: math.log((1 + df.get("", 0)) / (1 + df.get(t, 0))) + 1 for t in chosen}
+    found = texts.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    terms, n = found.column(0).to_numpy(), found.column(1).to_numpy()
+    df, total = np.zeros(size), int(n[terms == -1].sum())
+    df[terms[terms >= 0]] = n[terms >= 0]
+    return np.log((1 + total) / (1 + df)) + 1
 
 
-def _calibration(sample: DataFrame, scorer: Scorer, bins: int = 50) -> tuple[np.ndarray, np.ndarray]:
+def _calibration(sample: DataFrame, shared: Broadcast[Scorer], bins: int = 50) -> tuple[np.ndarray, np.ndarray]:
     """Monotone rates from leave-one-out votes; tasks return counts by bin."""
-    shared = sample.sparkSession.sparkContext.broadcast(scorer)
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -274,12 +298,13 @@ def _calibration(sample: DataFrame, scorer: Scorer, bins: int = 50) -> tuple[np.
 def score(docs: DataFrame, scorer: Scorer, *, threshold: float = 0.7) -> DataFrame:
     """``docs`` with score, predicted and evidence."""
     docs = without(docs, "score", "predicted", "evidence")
-    shared = docs.sparkSession.sparkContext.broadcast(scorer)
+    shared, edges, levels = scorer.shared, scorer.edges, scorer.levels
     added = T._parse_datatype_string(f"score double, evidence {EVIDENCE}")  # noqa: SLF001
     schema = T.StructType([*docs.schema, *added])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = shared.value
+        s.edges, s.levels = edges, levels
         kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
         for batch in batches:
             found = [s.vote(t) for t in batch.column(batch.schema.get_field_index("text")).cast(pa.string()).to_pylist()]

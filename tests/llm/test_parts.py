@@ -136,6 +136,24 @@ def test_toxicity_separates(spark):
     assert toxic["evidence"][0]["toxic"] == 1 and toxic["evidence"][0]["cosine"] >= toxic["evidence"][-1]["cosine"]
 
 
+def test_toxicity_cosine_is_over_all_terms(spark):
+    plain = [" ".join(f"{'abcdefghij'[i % 10]}{'klmnopqrst'[j]}word" for j in range(10)) for i in range(60)]
+    docs = [(i, t + (" vilely" if i % 3 == 0 else "")) for i, t in enumerate(plain)] + [(100, plain[1] + " vilely"), (101, plain[1])]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    lab = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int")
+    found = {r["doc_id"]: r["evidence"] for r in toxicity.score(d, toxicity.train(d, lab, k=100)).collect()}
+    own = [toxicity.with_stems(toxicity.words(t), 5) for _, t in docs]
+    idf = {t: np.log((1 + len(docs)) / (1 + sum(t in o for o in own))) + 1 for o in own for t in o}
+    unit = {i: {t: (1 + np.log(n)) * idf[t] for t, n in o.items()} for (i, _), o in zip(docs, own)}
+    cosine = lambda a, b: sum(w * b.get(t, 0) for t, w in a.items()) / np.sqrt(sum(w * w for w in a.values()) * sum(w * w for w in b.values()))
+    learned = [i for i in range(60) if not brute.held_out(i)]
+    for q in (100, 101):
+        expected = {e: cosine(unit[q], unit[e]) for e in learned if cosine(unit[q], unit[e]) > 0}
+        assert {e["doc_id"] for e in found[q]} == set(expected) and expected
+        assert all(abs(e["cosine"] - expected[e["doc_id"]]) < 1e-9 for e in found[q])
+    assert {e["toxic"] for e in found[101]} == {0, 1}
+
+
 def test_nearest_is_exact():
     rng = np.random.default_rng(6)
     vectors = []
