@@ -6,11 +6,12 @@ mean log frequency of those of the longest order of which the model knows any. T
 its posterior with the evidence of a long text scaled to ``evidence_words`` words, so that mixed texts score lower.
 
 Training reads rows with text and language outside the held-out fold. It is a classifier fitted on a bounded sample: of
-more than ``max_rows`` labelled rows a hash of the id picks about that many. Words and n-grams are counted by Spark; the
-``max_words`` most frequent words and ``max_grams`` most frequent n-grams are the model, whose size is so bounded. Scoring reads
-every whole text and shuffles nothing.
+more than ``max_rows`` labelled rows a hash of the id picks about that many. Words and n-grams are counted by Spark. The
+model holds the ``max_words`` words and ``max_grams`` n-grams that come first by their rank within a language, so that each language
+has its most frequent ones however few its rows are. Scoring reads every whole text and shuffles nothing.
 
-Defined results: a null text, or one without a letter, is ``und`` with score 0. Without any labelled row every text is
+Defined results: a null text, or one without a letter, is ``und`` with score 0. A text with letters of which the model knows
+nothing gets the language with the most words in training and its share of them as score. Without any labelled row every text is
 ``und``. Ties between languages go to the first in order. Repeated rows are scored alike.
 """
 
@@ -22,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,6 +65,7 @@ class Model:
             table[self.row[f], column[lang]] = n
         of_kind = Counter(f[0] for f in features)
         spread = np.array([sums[f[0]] + 0.5 * (of_kind[f[0]] + 1) for f in features]).reshape(table.shape)
+        self.prior = sums.get("w", np.zeros(len(self.languages)))
         self.table = np.log((table + 0.5) / spread).astype("float64")
         self.word_row = {f[1:]: i for f, i in self.row.items() if f[0] == "w"}
         self.gram_row = [{f[1:]: i for f, i in self.row.items() if f[0] == str(n)} for n in range(max_n + 1)]
@@ -100,7 +102,8 @@ class Model:
                 rows += found
                 weights += [n / len(found)] * len(found) if found else []
         if not rows:
-            return "und", 0.0
+            best = int(self.prior.argmax())
+            return self.languages[best], float(self.prior[best] / max(1.0, self.prior.sum()))
         total = np.asarray(weights) @ self.table[rows]
         total *= min(1.0, self.evidence_words / max(1, n_words))
         p = np.exp(total - total.max())
@@ -148,8 +151,12 @@ def train(docs: DataFrame, *, max_rows: int = 20_000, max_words: int = 60_000, m
         totals: dict[tuple[str, str], int] = {}
         for table, most in ((by_word, max_words), (by_gram, max_grams)):
             totals |= {(r["k"], r["lang"]): r["n"] for r in table.groupBy(F.substring("feature", 1, 1).alias("k"), "lang").agg(F.sum("n").alias("n")).collect()}
-            packed = table.groupBy("feature").agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by"))
-            for r in packed.orderBy(F.desc("total"), "feature").limit(most).collect():
+            # No feature below rank ``most`` in all its languages is kept, so the rank filter leaves out none that could be.
+            rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "feature"))
+            first = table.select("feature", "lang", "n", rank.alias("rank")).where(F.col("rank") <= most).groupBy("feature").agg(F.min("rank").alias("rank"))
+            kept = first.orderBy("rank", "feature").limit(most).select("feature", "rank")
+            packed = table.join(F.broadcast(kept), "feature").groupBy("feature").agg(F.collect_list(F.struct("lang", "n")).alias("by"))
+            for r in packed.collect():
                 counts += [(r["feature"], lang, n) for lang, n in r["by"]]
     finally:
         by_gram.unpersist()

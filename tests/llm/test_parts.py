@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+import corpus_pipeline
 from quillmark.llm import chat, components, langid, ngram_join, packing, pii, toxicity, warc
 from quillmark.llm.shared import Tables
 from tests.llm import brute
@@ -118,6 +119,19 @@ def test_langid_backs_off():
     assert model.backoff("these") == [model.gram_row[3]["<th"]] and model.score("123 !") == ("und", 0.0)
 
 
+def test_langid_names_every_text_with_letters(spark):
+    rows = [(i, "en", " ".join(f"{a}{b}ing" for a in "bcdfghklmn" for b in "aeiou") + " the") for i in range(60)] + [(100 + i, "zh", "\u6c34\u706b\u6728 \u91d1\u571f") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    model = langid.train(docs, max_words=12, max_grams=40)
+    assert model.score("\u6c34\u706b")[0] == "zh"
+    name, score = model.score("\u0e20\u0e32\u0e29\u0e32")
+    assert name == "en" and 0 < score < 1 and model.score("12 !") == ("und", 0.0)
+    unseen = spark.createDataFrame([(900, "\u0e20\u0e32", None, "web", 2), (901, "12", None, "web", 2)], "doc_id long, text string, lang string, source string, n_chars long")
+    given = docs.selectExpr("doc_id", "text", "lang", "'web' source", "cast(length(text) as long) n_chars").unionByName(unseen)
+    kept = {r["doc_id"] for r in corpus_pipeline.language_id(spark, given, "").collect()}
+    assert 900 in kept and 901 not in kept
+
+
 def test_toxicity_separates(spark):
     rng = random.Random(4)
     plain = [f"word{i}" for i in range(200)]
