@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_WORDS = 3
-
+#: Names that the equi-join finds: up to MAX_WORDS letter runs with marks between them that the rule takes as they stand (or, a hyphen, as a space too).
+SIMPLE = rf"^[a-z]+([^a-z \\^$|?*+()\[\]{{}}]+[a-z]+){{0,{MAX_WORDS - 1}}}$"
 
 
 
@@ -18,11 +19,12 @@ def mentions_by_regex(cards: DataFrame, species: DataFrame) -> DataFrame:
 
 
 def mentions(cards: DataFrame, species: DataFrame) -> DataFrame:
-    """(card_slug, name) by equi-join.
+    """(card_slug, name) by equi-join, and by the rule's pattern for the few names of another form.
 
-    A species name is letters and single marks between them; a hyphen also matches a space. Each name is split into letter runs and
-    the marks between them; an item's name yields every stretch of up to ``MAX_WORDS`` runs with the marks as they stand.
-    Equal stretches, hyphens read as spaces, are exactly the matches: runs are whole, so no letter adjoins a match.
+    Most species names are letters and marks between them; a hyphen also matches a space. An item's name yields every stretch of up to
+    ``MAX_WORDS`` letter runs with the marks as they stand. Equal stretches, hyphens read as spaces, are exactly the matches of
+    ``SIMPLE`` names: runs are whole, so no letter adjoins a match. Names with more runs, with another beginning or end (``porygon2``)
+    or with a space or a sign of the pattern language are joined by ``mentions_by_regex``.
     """
     plain = F.replace(F.lower("card_name"), F.lit("-"), F.lit(" "))
     runs = F.regexp_extract_all(plain, F.lit(r"[a-z]+"), F.lit(0))
@@ -35,8 +37,10 @@ def mentions(cards: DataFrame, species: DataFrame) -> DataFrame:
 
     stretches = F.array_distinct(F.concat(*[stretch(n) for n in range(1, MAX_WORDS + 1)]))
     exploded = cards.select("card_slug", F.explode(stretches).alias("key"))
-    keys = species.select("name", F.replace(F.lower("name"), F.lit("-"), F.lit(" ")).alias("key"))
-    return exploded.join(keys, "key").select("card_slug", "name").distinct()
+    simple = F.lower("name").rlike(SIMPLE)
+    keys = species.where(simple).select("name", F.replace(F.lower("name"), F.lit("-"), F.lit(" ")).alias("key"))
+    found = exploded.join(keys, "key").select("card_slug", "name")
+    return found.unionByName(mentions_by_regex(cards, species.where(~simple))).distinct()
 
 
 def species_stats(cards: DataFrame, species: DataFrame, prices: DataFrame) -> DataFrame:

@@ -113,6 +113,14 @@ def test_species(spark):
     assert ("7", "mew") in fast and ("3", "mew") not in fast
 
 
+def test_species_of_other_forms(spark):
+    cards = spark.createDataFrame([("1", "Porygon2 #6"), ("2", "Porygon-Z"), ("3", "Tapu the great Koko V"), ("4", "Tapu-the great koko"), ("5", "Nidoran\u2640 8")], "card_slug string, card_name string")
+    names = spark.createDataFrame([("porygon",), ("porygon2",), ("tapu-the-great-koko",), ("nidoran\u2640",)], "name string")
+    fast = sorted(map(tuple, species.mentions(cards, names).collect()))
+    assert fast == sorted(map(tuple, species.mentions_by_regex(cards, names).collect()))
+    assert {("1", "porygon2"), ("3", "tapu-the-great-koko"), ("4", "tapu-the-great-koko"), ("5", "nidoran\u2640")} <= set(fast)
+
+
 PAGE = """<html><h1>x</h1><div class="completed-auctions-used tab available"></div>
 <div class="completed-auctions-used"><table class="hoverable-rows sortable"><tbody>
 <tr id="ebay-123456"><td class="date">2024-01-05</td><td class="title"><a class="js-ebay-completed-sale" href="https://www.ebay.co.uk/itm/123456?x=1">Mew near mint #8</a> [eBay]</td><td class="numeric"><span class="js-price">$1,050.00</span></td></tr>
