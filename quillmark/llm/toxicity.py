@@ -1,30 +1,34 @@
-"""Toxicity by the nearest labelled examples under exact TF-IDF cosine, found in an inverted index with bounds.
+"""Toxicity by the nearest labelled examples under exact TF-IDF cosine, found in a block-max inverted index.
 
 Terms are a text's words and the leading ``stem`` characters of longer words. Labelled rows outside the held-out fold,
-at most about ``max_examples`` by a hash of the id, are the examples. Every term of an example is in the vocabulary, and texts are
-normalised over all their terms in it. Document frequencies are counted over all documents, by partial counts in tasks.
-
-The ``n_dense`` terms that most examples have stand in a dense matrix, all others in postings. For a text, the postings give every
-example's exact sum over the rarer terms; with it, the norms of both dense parts bound the example's cosine (Cauchy-Schwarz). The
-examples with the largest bounds are scored first, and then only those whose bound reaches the k-th best cosine, so the k nearest
-are exact. They vote with the square of their cosine. Votes are calibrated by a monotone step function fitted to the examples' own
-leave-one-out votes. A text that shares no term with any example gets the share of toxic ones among examples without a term, drawn
-towards that among all. ``evidence`` names the neighbours.
+at most about ``max_examples`` by a hash of the id, are the examples, toxic and clean ones. Every term of an example is in the
+vocabulary, and texts are normalised over all their terms in it. A term weighs tf * idf * delta: its inverse document frequency is
+counted over all documents, by partial counts in tasks, and its delta is the difference between its (smoothed) document frequencies among toxic
+and clean examples on a log scale ("Delta TF-IDF"), which lets a few telling words outweigh a long text's topic. ``smooth`` imagined examples
+of the usual make-up keep rare terms' deltas small; no term is left out.
+
+The index keeps the examples in blocks of neighbours in kind. Short lists of postings are summed for all examples. The long lists, those of terms
+in more than one of ``1 / frequent`` examples, are not gone through: their largest weight in each block bounds what they can add. The
+examples with the largest bounds are scored in full first and after them only those whose bound reaches the k-th best cosine, so the k
+nearest are exact. They vote with the square of their cosine. Votes are calibrated by a
+monotone step function fitted to the examples' own leave-one-out votes. A text that shares no term with any example gets the share of toxic ones
+among examples without a term, drawn towards that among all. ``evidence`` names the neighbours.
 
 The number of examples doesn't grow with the input; scoring reads every whole text and shuffles nothing.
 
-Defined results: a null or empty text has no terms. Null labels don't count; where a document has several, toxic wins. Without any label
-the score is 0. Ties between examples go to the smaller doc_id. Repeated rows are scored alike.
+Defined results: a null or empty text has no terms. Null labels don't count; where a document has several, toxic wins. Without any label, as in
+empty tables, the score is 0. Ties between examples go to the smaller doc_id. Repeated rows are scored alike. Input columns with
+the names of result columns are replaced; others stay.
 """
 
 from __future__ import annotations
 
-import math
 import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import cached_property
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -52,10 +56,10 @@ def with_stems(counted: Counter, stem: int) -> Counter:
 
 
 class Vocabulary:
-    """Terms by number, with their inverse document frequencies; makes unit vectors."""
+    """Terms by number, with their inverse document frequencies and deltas; makes unit vectors."""
 
     def __init__(self, terms: list[str], stem: int):
-        self.stem, self.terms, self.idf = stem, terms, np.ones(len(terms))
+        self.stem, self.terms, self.idf, self.delta = stem, terms, np.ones(len(terms)), np.ones(len(terms))
         self.whole = {t: i for i, t in enumerate(terms) if not t.endswith("*")}
         self.stems = {t[:-1]: i for i, t in enumerate(terms) if t.endswith("*")}
 
@@ -63,103 +67,95 @@ class Vocabulary:
         return len(self.idf)
 
     def __getstate__(self) -> tuple:
-        return self.stem, self.idf, zlib.compress("\n".join(self.terms).encode(), 1)
+        return self.stem, self.idf, self.delta, zlib.compress("\n".join(self.terms).encode(), 1)
 
     def __setstate__(self, state: tuple) -> None:
-        stem, idf, packed = state
+        stem, idf, delta, packed = state
         joined = zlib.decompress(packed).decode()
         self.__init__(joined.split("\n") if joined else [], stem)
-        self.idf = idf
-
-    def counts(self, text: str | None) -> dict[int, int]:
-        """How often a text has each term, by the term's number."""
-        counts: dict[int, int] = {}
-        for w, n in words(text).items():
-            i = self.whole.get(w)
-            if i is not None:
-                counts[i] = n
-            if len(w) > self.stem:
-                i = self.stems.get(w[: self.stem])
-                if i is not None:
-                    counts[i] = counts.get(i, 0) + n
-        return counts
-
-    def numbers(self, text: str | None) -> list[int]:
-        """The numbers of the terms that a text has, each once."""
-        own = set(_WORD.findall(text.lower())) if text else set()
-        stems = {w[: self.stem] for w in own if len(w) > self.stem}
-        whole, starts = self.whole, self.stems
-        return [whole[w] for w in own if w in whole] + [starts[w] for w in stems if w in starts]
+        self.idf, self.delta = idf, delta
+
+    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the terms that a text has, ascending, and how often it has each."""
+        own = words(text)
+        stem, stems = self.stem, self.stems.get
+        found = np.array([*map(self.whole.get, own, repeat(-1)), *[stems(w[:stem], -1) if len(w) > stem else -1 for w in own]], "int64")
+        n = np.tile(np.fromiter(own.values(), "float64", len(own)), 2)
+        known = found >= 0
+        terms, at = np.unique(found[known], return_inverse=True)
+        return terms, np.bincount(at, n[known], minlength=len(terms))
 
     def weighted(self, terms: np.ndarray, n: np.ndarray) -> np.ndarray:
-        weights = (1 + np.log(n)) * self.idf[terms]
-        return weights / np.sqrt((weights**2).sum())
+        weights = (1 + np.log(n)) * self.idf[terms] * self.delta[terms]
+        return weights / max(np.sqrt((weights**2).sum()), 1e-300)
+
+    def learn_delta(self, toxic: list[int], counts: list[tuple[np.ndarray, np.ndarray]], smooth: float) -> None:
+        """Deltas of all terms from the examples' labels and terms; all ones where a class has no example."""
+        size, n = np.bincount(toxic, minlength=2).astype(float), np.zeros((2, len(self)))
+        if not size.all():
+            return
+        for label, (terms, _) in zip(toxic, counts, strict=True):
+            n[label, terms] += 1
+        imagined = smooth * size / size.sum()
+        clean, bad = (n + imagined[:, None]) / (size + imagined)[:, None]
+        self.delta = np.abs(np.log(bad / clean))
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        counts = self.counts(text)
-        if not counts:
-            return np.empty(0, int), np.empty(0)
-        terms, n = np.fromiter(counts, "int64", len(counts)), np.fromiter(counts.values(), "float64", len(counts))
-        order = np.argsort(terms)
-        return terms[order], self.weighted(terms[order], n[order])
+        terms, n = self.counts(text)
+        return terms, self.weighted(terms, n)
 
 
 class BlockMaxIndex:
-    """Postings of the rarer terms and a dense block of the most frequent; examples are numbered by doc_id."""
+    """Short postings by term; long ones as columns of a matrix with their largest weights in each block of examples.
+
+    Examples are laid out by label and strongest term, so that those of a block are alike and its maxima say much.
+    """
 
-    def __init__(self, ids: list[int], toxic: list[int], vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, n_dense: int):
-        order = sorted(range(len(ids)), key=ids.__getitem__)
+    def __init__(self, ids: list[int], toxic: list[int], vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, *, block: int = 16, frequent: float = 1 / 16):
+        strongest = [int(t[np.argmax(w)]) for t, w in vectors]
+        order = sorted(range(len(ids)), key=lambda i: (-toxic[i], strongest[i], ids[i]))
         self.ids, self.toxic = np.array([ids[i] for i in order], "int64"), np.array([toxic[i] for i in order], "int32")
-        sizes = np.array([len(vectors[i][0]) for i in order], "int64")
-        terms = np.concatenate([vectors[i][0] for i in order]).astype("int32") if len(order) else np.empty(0, "int32")
+        terms = np.concatenate([vectors[i][0] for i in order]).astype("intp") if len(order) else np.empty(0, "intp")
         weights = np.concatenate([vectors[i][1] for i in order]) if len(order) else np.empty(0)
-        examples = np.repeat(np.arange(len(order), dtype="int32"), sizes)
-        df = np.bincount(terms, minlength=n_terms)
-        frequent = np.sort(np.argsort(-df, kind="stable")[:n_dense])
-        self.column = np.full(n_terms, -1, "int32")
-        self.column[frequent] = np.arange(len(frequent))
+        examples = np.repeat(np.arange(len(order), dtype="intp"), [len(vectors[i][0]) for i in order])
+        long = np.flatnonzero(np.bincount(terms, minlength=n_terms) > frequent * len(order))
+        self.column = np.full(n_terms, -1, "intp")
+        self.column[long] = np.arange(len(long))
         at = self.column[terms]
-        inside = at >= 0
-        self.dense = np.zeros((len(order), len(frequent)))
-        self.dense[examples[inside], at[inside]] = weights[inside]
-        self.norms = np.sqrt((self.dense**2).sum(axis=1))
-        terms, weights, examples = terms[~inside], weights[~inside], examples[~inside]
+        n_blocks = -(-len(order) // block)
+        self.matrix = np.zeros((n_blocks * block, len(long)))
+        self.matrix[examples[at >= 0], at[at >= 0]] = weights[at >= 0]
+        self.maxima = self.matrix.reshape(n_blocks, block, len(long)).max(1)
+        self.block_of = np.arange(len(order)) // block
+        terms, weights, examples = terms[at < 0], weights[at < 0], examples[at < 0]
         by_term = np.argsort(terms, kind="stable")
-        self.examples, self.weights = examples[by_term].astype("intp"), weights[by_term]
-        self.starts = np.concatenate([[0], np.cumsum(np.bincount(terms, minlength=n_terms))])
-
-    def _postings(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """Every example's sum over terms that aren't in the dense block."""
-        a, b = self.starts[terms], self.starts[terms + 1]
-        some = b > a
-        a, b, weights = a[some], b[some], weights[some]
-        if not len(a):
-            return np.zeros(len(self.ids))
-        spans = [slice(x, y) for x, y in zip(a.tolist(), b.tolist(), strict=True)]
-        by = np.concatenate([self.weights[x] for x in spans])
-        by *= np.repeat(weights, b - a)
-        return np.bincount(np.concatenate([self.examples[x] for x in spans]), by, minlength=len(self.ids))
+        self.examples, self.weights = examples[by_term], weights[by_term]
+        self.starts = np.searchsorted(terms[by_term], np.arange(n_terms + 1))
 
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, leave_out: int | None = None) -> list[tuple[float, int]]:
-        """(cosine, example) of the k nearest with a positive cosine.
+    def _short(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Every example's sum over the terms with short lists."""
+        a, sizes = self.starts[terms], self.starts[terms + 1] - self.starts[terms]
+        at = np.arange(sizes.sum()) + np.repeat(a - np.cumsum(sizes) + sizes, sizes)
+        return np.bincount(self.examples[at], self.weights[at] * np.repeat(weights, sizes), minlength=len(self.ids))
 
-        The examples with the largest bounds are scored first; then, at once, all others whose bound reaches the k-th best cosine.
-        """
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, leave_out: int | None = None) -> list[tuple[float, int]]:
+        """(cosine, example) of the k nearest with a positive cosine."""
         if not len(self.ids) or not len(terms):
             return []
         column = self.column[terms]
-        inside = column >= 0
-        frequent = np.zeros(self.dense.shape[1])
-        frequent[column[inside]] = weights[inside]
-        partial = self._postings(terms[~inside], weights[~inside])
-        bound = partial + self.norms * math.sqrt(float((frequent**2).sum()))
+        long = column >= 0
+        query = np.zeros(self.matrix.shape[1])
+        query[column[long]] = weights[long]
+        partial = self._short(terms[~long], weights[~long])
+        bound = partial + (self.maxima @ query)[self.block_of]
         if leave_out is not None:
             bound[self.ids == leave_out] = 0.0
         first = np.argpartition(-bound, 2 * k)[: 2 * k] if len(bound) > 2 * k else np.arange(len(bound))
-        cosines = partial[first] + self.dense[first] @ frequent
+        cosines = partial[first] + self.matrix[first] @ query
         least = np.partition(cosines, -k)[-k] if len(cosines) >= k else 0.0
         found = np.flatnonzero((bound > 0) & (bound >= least - 1e-9))
-        cosines = np.round(partial[found] + self.dense[found] @ frequent, 12)
+        rest = self.matrix[found] @ query if 4 * len(found) < len(bound) else (self.matrix @ query)[found]
+        cosines = np.round(partial[found] + rest, 12)
         found, cosines = found[cosines > 0], cosines[cosines > 0]
         if len(found) > 4 * k:  # all that could be among the k, ties included
             fine = cosines >= np.partition(cosines, -k)[-k]
@@ -171,9 +167,9 @@ class BlockMaxIndex:
 class Scorer:
     """Goes to the tasks once, as packed counts; a worker lays out the index when it first needs it."""
 
-    def __init__(self, vocabulary: Vocabulary, ids: list[int], toxic: list[int], counts: list[tuple[np.ndarray, np.ndarray]], k: int, n_dense: int):
+    def __init__(self, vocabulary: Vocabulary, ids: list[int], toxic: list[int], counts: list[tuple[np.ndarray, np.ndarray]], k: int):
         """counts: an example's ascending terms and how often it has each."""
-        self.vocabulary, self.ids, self.toxic, self.k, self.n_dense = vocabulary, ids, toxic, k, n_dense
+        self.vocabulary, self.ids, self.toxic, self.k = vocabulary, ids, toxic, k
         steps = [np.diff(t, prepend=0).astype("int32") for t, _ in counts]
         self.packed = [zlib.compress(b"".join(a.tobytes() for a in part), 1) for part in (steps, [n.astype("int32") for _, n in counts])]
         self.sizes = [len(t) for t, _ in counts]
@@ -188,7 +184,7 @@ class Scorer:
         ends = np.cumsum(self.sizes)[:-1] if self.sizes else []
         steps, n = (np.split(np.frombuffer(zlib.decompress(p), "int32"), ends) for p in self.packed)
         vectors = [(t, self.vocabulary.weighted(t, m)) for t, m in zip(map(np.cumsum, steps), n, strict=True) if len(t)]
-        return BlockMaxIndex(self.ids, self.toxic, vectors, len(self.vocabulary), self.n_dense)
+        return BlockMaxIndex(self.ids, self.toxic, vectors, len(self.vocabulary))
 
     def vote(self, text: str | None, leave_out: int | None = None) -> tuple[float | None, list[tuple[float, int]]]:
         near = self.index.nearest(*self.vocabulary.vector(text), self.k, leave_out)
@@ -212,7 +208,7 @@ def monotone(points: list[tuple[float, float, float]]) -> tuple[np.ndarray, np.n
     return np.array([p[0] / p[2] for p in pools]), np.array([p[1] / p[2] for p in pools])
 
 
-def train(docs: DataFrame, labels: DataFrame, *, max_examples: int = 12_000, stem: int = 5, k: int = 15, n_dense: int = 96) -> Scorer:
+def train(docs: DataFrame, labels: DataFrame, *, max_examples: int = 4000, stem: int = 5, k: int = 15, smooth: float = 50.0) -> Scorer:
     spark = docs.sparkSession
     known = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     known = known.where(~held_out(F.col("doc_id")))
@@ -236,8 +232,8 @@ def train(docs: DataFrame, labels: DataFrame, *, max_examples: int = 12_000, ste
 
     def to_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [dict(sorted(shared.value.counts(t).items())) for t in batch.column(1).to_pylist()]
-            packed = [pa.array([np.fromiter(part(m), "int32", len(m)).tobytes() for m in made], pa.binary()) for part in (dict.keys, dict.values)]
+            made = [shared.value.counts(t) for t in batch.column(1).to_pylist()]
+            packed = [pa.array([m[part].astype("int32").tobytes() for m in made], pa.binary()) for part in (0, 1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *packed], names=["doc_id", "toxic", "terms", "n"])
 
     vocabulary.idf = _idf(texts, shared, len(vocabulary))
@@ -250,7 +246,8 @@ def train(docs: DataFrame, labels: DataFrame, *, max_examples: int = 12_000, ste
             silent[1] += 1
     shared.destroy()
     n1, n = sum(toxic) + silent[0], len(toxic) + silent[1]
-    scorer = Scorer(vocabulary, ids, toxic, counts, k, n_dense)
+    vocabulary.learn_delta(toxic, counts, smooth)
+    scorer = Scorer(vocabulary, ids, toxic, counts, k)
     scorer.silent = (silent[0] + 1) / (silent[1] + n / n1) if n1 else 0.0
     scorer.shared = spark.sparkContext.broadcast(scorer)
     scorer.edges, scorer.levels = _calibration(sample, scorer.shared)
@@ -264,7 +261,7 @@ def _idf(texts: DataFrame, shared: Broadcast[Vocabulary], size: int) -> np.ndarr
         vocabulary, df, total = shared.value, np.zeros(size, "int64"), 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                df[vocabulary.numbers(text)] += 1
+                df[vocabulary.counts(text)[0]] += 1
                 total += 1
         some = np.flatnonzero(df)
         yield pa.RecordBatch.from_pydict({"term": pa.array(np.append(some, -1), pa.int64()), "n": pa.array(np.append(df[some], total), pa.int64())})
