@@ -67,7 +67,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("spans", lambda s: s["base"])
     count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
-    return out.select("doc_id", *[count(k).alias(f"n_{k}") for k in pii.BASE], F.sha2(pii.as_text(base).cast("binary"), 256).alias("base_sha256"), pii.as_text(F.col("spans")).alias("spans"))
+    return out.select("doc_id", *[count(k).alias(f"n_{k}") for k in pii.BASE], F.sha2(pii.as_text(base).cast("binary"), 256).alias("base_sha256"), pii.as_text(F.col("spans")).alias("spans"), F.size(F.filter("spans", lambda s: s["kind"] == "secret")).cast("long").alias("n_secret"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from quillmark.llm import chat, components, langid, ngram_join, packing, pii, toxicity, warc
@@ -211,7 +212,51 @@ def _check_nearest(index, vectors):
 
 
 def test_pii_adds_credentials(spark):
+    """Credentials with a cue or a known prefix become spans in their full length, runs of words and numbers don't."""
+    rng, letters = random.Random(8), "abcdefghijkmnpqrstuvwxyzABCDEFGHIJKLMNPQRSTUVWXYZ0123456789"
+    key = lambda n: "".join(rng.choice(letters) for _ in range(n))
     rows = [(i, f"say token = \"{'%040x' % (i * 7919 + 2**150)}\" here, mail me{i}@x.org or +1 (132) 555-0{i:03d}") for i in range(40)]
-    found = pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert all([s["kind"] for s in r["spans"]] == ["secret", "email", "phone"] for r in found)
-    assert all(0 <= s["probability"] <= 1 for r in found for s in r["spans"])
+    rows += [(100 + i, f"our release-candidate-{2000 + i}-final-build and see part-{i}/of/the-{i}-year-plan") for i in range(40)]
+    rows += [(200 + i, f"password: {key(300)} then") for i in range(10)] + [(300 + i, f"left AKIA{key(16).upper()} there") for i in range(10)]
+    found = {r["doc_id"]: r["spans"] for r in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i in range(40):
+        assert [s["kind"] for s in found[i]] == ["secret", "email", "phone"] and not found[100 + i]
+    assert all([(s["kind"], s["end"] - s["start"]) for s in found[200 + i]] == [("secret", 300)] for i in range(10))
+    assert sum([s["kind"] for s in found[300 + i]] == ["secret"] for i in range(10)) >= 8
+    assert all(0 <= s["probability"] <= 1 for spans in found.values() for s in spans)
+
+
+def test_pii_classifier_follows_the_votes(spark):
+    """Posteriors of expectation-maximisation in numpy, and classifier scores that agree with confident posteriors."""
+    data = SMALL.replace("0.001", "0.01")
+    if not os.path.isdir(data):
+        pytest.skip("the tables aren't here")
+    docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text")
+    found = pii.candidates(docs).cache()
+    rows = pii.estimate(found).collect()
+    counted = {tuple(r["pattern"]): r["n"] for r in found.selectExpr("explode(found) as s").select(pii.votes(F.col("s")).alias("pattern")).groupBy("pattern").agg(F.count("*").alias("n")).collect()}
+    votes, n = np.array(list(counted)), np.array(list(counted.values()), float)
+    q = np.zeros(len(n))
+    for base in (0, 1):
+        mine = votes[:, 0] == base
+        v, m = votes[mine], n[mine]
+        prior, rates = 0.5, [np.tile(r, (5, 1)) for r in (pii._TRUE, pii._FALSE)]
+        sides = lambda: [np.stack([r[i][v[:, i] + 1] for i in range(5)]).prod(0) for r in rates]  # noqa: E731, B023
+        for _ in range(20):
+            a, b = sides()
+            t = m * prior * a / (prior * a + (1 - prior) * b)
+            prior = (t.sum() + 1) / (m.sum() + 2)
+            rates = [np.array([[(w[v[:, i] == k].sum() + 4 * r[k + 1]) / (w.sum() + 4) for k in (-1, 0, 1)] for i in range(5)]) for w, r in ((t, pii._TRUE), (m - t, pii._FALSE))]
+        a, b = sides()
+        q[mine] = prior * a / (prior * a + (1 - prior) * b)
+    expected = dict(zip(map(tuple, votes.tolist()), q, strict=True))
+    assert all(abs(r["posterior"] - expected[tuple(r["pattern"])]) < 1e-9 for r in rows) and len(rows) == len(expected)
+    spans = pii.find_pii(docs).selectExpr("explode(spans) as s").select("s.*").collect()
+    assert all(s["probability"] > 0.5 for s in spans) and len(spans) == sum(counted[v] for v, p in expected.items() if p > 0.9)
+    assert sum(s["kind"] == "secret" for s in spans) == 13
+
+
+def test_pii_positions_of_many_matches(spark):
+    text = " é ".join(f"a{i}@b{i % 7}.org" for i in range(700))
+    found = pii.find_pii(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()[0]["spans"]
+    assert [(s["start"], s["end"]) for s in found] == [(a, b) for a, _, _, b in brute.spans(text)] and len(found) == 700
