@@ -3,13 +3,13 @@
 Tokens are made by the byte-level BPE named by path, in tasks. A document longer than a sequence is cut from its end, so
 that all its pieces but the first are full; full pieces are sequences of their own. The other pieces are dealt by a hash
 of (doc_id, piece) over shards of about ``shard_pieces`` pieces, a number that doesn't grow with the input, and each
-shard is packed on its own: best fit by descending length, then local search. The search takes the emptiest underfull
-bins and moves documents out of them into other bins, exchanges one for one or two for one, whenever that makes the sum
-of squared fills grow, until bins empty or no step helps. One shard costs at most about one bin above its own optimum,
-one in several thousand.
+shard is packed on its own: best fit by descending length, then local search. The search takes underfull bins from the emptiest up
+and moves documents out of them into other bins, exchanges one for one or two for one, whenever that makes the sum
+of squared fills grow, until bins empty or no step helps. Every bin and every pair of a donor's documents is tried; bins with equal
+contents are tried once. Shards leave at most a bin each that one global packing might have saved, one in several thousand.
 
 Defined results: a null or empty text is the end token alone. Ties go by (length, doc_id, piece), so a lost task packs
-the same again. Repeated rows are packed as often as they come. An empty table gives no rows.
+the same again. Repeated rows are packed as often as they come, rows without an id too. An empty table gives no rows. Other columns aren't used.
 """
 
 from __future__ import annotations
@@ -21,7 +21,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -31,6 +30,7 @@ from quillmark.llm.shared import checkpointed
 
 #: Where a run of white space that another character follows must be cut: the BPE's pattern keeps its last character for the next word.
 _RUN = regex.compile(r"\p{White_Space}(?=\p{White_Space}\P{White_Space})")
+_SPECIAL, _SPECIAL_ID = "<|endoftext|>", 50256
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -46,16 +46,19 @@ def encoder(ranks_path: str):
 
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines)}
-    bpe = tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN.replace(r"|\s+(?!\S)", ""), mergeable_ranks=ranks, special_tokens={"<|endoftext|>": 50256})
+    bpe = tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN.replace(r"|\s+(?!\S)", ""), mergeable_ranks=ranks, special_tokens={_SPECIAL: _SPECIAL_ID})
 
     def encode(text: str) -> np.ndarray:
-        parts, at = [], 0
-        for m in _RUN.finditer(text):
-            parts.append(text[at : m.end()])
-            at = m.end()
-        parts.append(text[at:])
-        ids = [bpe.encode_to_numpy(p, allowed_special="all") for p in parts if p]
-        return np.concatenate(ids).astype("<u4") if ids else np.empty(0, "<u4")
+        ids = []
+        for k, between in enumerate(text.split(_SPECIAL)):  # the special token ends a text like the text's own end does
+            if k:
+                ids.append(np.array([_SPECIAL_ID]))
+            at = 0
+            for m in _RUN.finditer(between):
+                ids.append(bpe.encode_to_numpy(between[at : m.end()], disallowed_special=()))
+                at = m.end()
+            ids.append(bpe.encode_to_numpy(between[at:], disallowed_special=()))
+        return np.concatenate(ids).astype("<u4")
 
     return encode
 
@@ -108,76 +111,103 @@ class Bins:
             insort(self.order, (self.room[b], b))
 
 
-def improve(members: list[list[int]], lengths: list[int], size: int, rounds: int = 4) -> list[list[int]]:
+class OpenBins:
+    """The underfull bins of a search, by room and by contents; bins with the same lengths in them stand for each other."""
+
+    def __init__(self, members: list[list[int]], lengths: list[int], size: int):
+        self.members, self.lengths, self.size = members, lengths, size
+        self.fill = [sum(lengths[i] for i in m) for m in members]
+        self.rooms: list[tuple[int, int]] = []
+        self.alike: dict[tuple[int, ...], set[int]] = {}
+        for b in range(len(members)):
+            self._put(b)
+
+    def _contents(self, b: int) -> tuple[int, ...]:
+        return tuple(sorted(self.lengths[i] for i in self.members[b]))
+
+    def is_open(self, b: int) -> bool:
+        return 0 < self.fill[b] < self.size
+
+    def _put(self, b: int) -> None:
+        if self.is_open(b):
+            insort(self.rooms, (self.size - self.fill[b], b))
+            self.alike.setdefault(self._contents(b), set()).add(b)
+
+    def _take(self, b: int) -> None:
+        if self.is_open(b):
+            self.rooms.pop(bisect_left(self.rooms, (self.size - self.fill[b], b)))
+            same = self.alike[self._contents(b)]
+            same.discard(b)
+            if not same:
+                del self.alike[self._contents(b)]
+
+    def exchange(self, donor: int, to: int, out: list[int], back: int | None) -> None:
+        self._take(donor), self._take(to)
+        for x in out:
+            self.members[donor].remove(x)
+            self.members[to].append(x)
+        if back is not None:
+            self.members[to].remove(back)
+            self.members[donor].append(back)
+        moved = sum(self.lengths[x] for x in out) - (self.lengths[back] if back is not None else 0)
+        self.fill[donor] -= moved
+        self.fill[to] += moved
+        self._put(donor), self._put(to)
+
+    def step(self, donor: int, i: int) -> tuple[int, list[int], int | None] | None:
+        """(bin, documents that go there, document that comes back) of a helpful step for document i of the donor, or None."""
+        k = bisect_left(self.rooms, (self.lengths[i], -1))
+        if k < len(self.rooms) and self.rooms[k][1] == donor:
+            k += 1
+        # A move: the tightest bin that takes it is the fullest one, so if it doesn't help none does.
+        if k < len(self.rooms) and self.fill[self.rooms[k][1]] + self.lengths[i] > self.fill[donor]:
+            return self.rooms[k][1], [i], None
+        others = {self.lengths[j]: j for j in self.members[donor] if j != i}
+        out = {self.lengths[i]: [i]} | {self.lengths[i] + n: [i, j] for n, j in others.items() if n <= self.lengths[i]}
+        best: tuple[int, int, int, int] | None = None
+        for contents, same in self.alike.items():
+            fill = sum(contents)
+            if same == {donor}:
+                continue
+            for back in set(contents):
+                for gone in out:
+                    # The step helps when the receiver ends fuller than the donor was; the fullest such end is taken.
+                    end = fill + gone - back
+                    if gone > back and end <= self.size and end > self.fill[donor] and (best is None or (-end, gone, back) < best[:3]):
+                        best = -end, gone, back, min(same - {donor})
+            if best is not None and best[0] == -self.size:
+                break
+        if best is None:
+            return None
+        _, gone, back, to = best
+        return to, out[gone], next(x for x in self.members[to] if self.lengths[x] == back)
+
+
+def improve(members: list[list[int]], lengths: list[int], size: int) -> list[list[int]]:
     """Local search over the underfull bins; every step raises the sum of squared fills, so it ends.
 
     A donor bin, taken from the emptiest up, gives away its documents: by a move into a bin with room, else by swapping
-    one of them for one smaller, or two for one smaller, in a fuller bin. A step raises the squared fill exactly when
-    the receiving bin ends up fuller than the donor was before.
+    one of them for one smaller, or two for one smaller, in another bin. A step raises the squared fill exactly when
+    the receiving bin ends up fuller than the donor was before. The search ends with a round in which no step helps.
     """
-    members = [list(m) for m in members]
-    fill = [sum(lengths[i] for i in m) for m in members]
-    for _ in range(rounds):
+    bins = OpenBins([list(m) for m in members], lengths, size)
+    changed = True
+    while changed:
         changed = False
-        open_bins = sorted((b for b in range(len(members)) if 0 < fill[b] < size), key=lambda b: (fill[b], b))
-        rooms = sorted((size - fill[b], b) for b in open_bins)
-
-        def place(b: int, rooms: list = rooms) -> None:
-            if 0 < fill[b] < size:
-                insort(rooms, (size - fill[b], b))
-
-        def take(b: int, rooms: list = rooms) -> None:
-            k = bisect_left(rooms, (size - fill[b], b))
-            if k < len(rooms) and rooms[k] == (size - fill[b], b):
-                rooms.pop(k)
-
-        for donor in open_bins[: max(1, len(open_bins) // 2)]:
-            if not 0 < fill[donor] < size:
-                continue
-            for i in sorted(members[donor], key=lambda x: -lengths[x]):
-                step = _step(donor, i, members, lengths, fill, size, rooms)
-                if step is None:
-                    continue
-                to, out, back = step
-                take(donor), take(to)
-                for x in out:
-                    members[donor].remove(x)
-                    members[to].append(x)
-                if back is not None:
-                    members[to].remove(back)
-                    members[donor].append(back)
-                moved = sum(lengths[x] for x in out) - (lengths[back] if back is not None else 0)
-                fill[donor] -= moved
-                fill[to] += moved
-                place(donor), place(to)
-                changed = True
-                if i not in members[donor] and not members[donor]:
+        for donor in [b for _, b in reversed(bins.rooms)]:
+            tried: set[int] = set()  # lengths without a helpful step since the donor last changed
+            while bins.is_open(donor):
+                i = max((x for x in bins.members[donor] if lengths[x] not in tried), key=lambda x: (lengths[x], -x), default=None)
+                if i is None:
                     break
-        if not changed:
-            break
-    return [m for m in members if m]
-
-
-def _step(donor: int, i: int, members: list, lengths: list, fill: list, size: int, rooms: list, look: int = 24):
-    """(bin, documents that go there, document that comes back) of a helpful step for document i of the donor, or None."""
-    if i not in members[donor]:
-        return None
-    k = bisect_left(rooms, (lengths[i], -1))
-    for room, b in rooms[k : k + 3]:  # a move: the tightest bin that takes it
-        if b != donor and fill[b] + lengths[i] > fill[donor]:
-            return b, [i], None
-    tight = rooms[:look]  # the fullest of the underfull bins
-    pairs = [(i,)] + [(i, j) for j in members[donor][:8] if j != i]
-    for out in pairs:
-        gone = sum(lengths[x] for x in out)
-        for room, b in tight:
-            if b == donor:
-                continue
-            for back in members[b]:
-                gain = gone - lengths[back]
-                if 0 < gain <= room and fill[b] + gain > fill[donor]:
-                    return b, list(out), back
-    return None
+                step = bins.step(donor, i)
+                if step is None:
+                    tried.add(lengths[i])
+                else:
+                    bins.exchange(donor, *step)
+                    tried.clear()
+                    changed = True
+    return [m for m in bins.members if m]
 
 
 def pack_shard(lengths: list[int], size: int) -> list[list[int]]:
@@ -193,16 +223,16 @@ def pack(docs: DataFrame, tokenizer: str, *, size: int = 1024, end_id: int = 2,
     pieces = checkpointed(tokenized(docs, tokenizer, size=size, end_id=end_id))
     shards = max(1, -(-pieces.count() // shard_pieces))
 
-    def pack_one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "doc_id", "piece", "ids_crc32"], kind="stable", ignore_index=True)
+    def pack_one(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([(c, "ascending") for c in ("length", "doc_id", "piece", "ids_crc32")])
         sequence, offset = np.zeros(len(rows), "int64"), np.zeros(len(rows), "int64")
-        lengths = rows["length"].tolist()
+        lengths = rows["length"].to_pylist()
         for s, members in enumerate(pack_shard(lengths, size)):
             at = 0
             for i in members:
-                sequence[i], offset[i] = (int(key[0]) << 32) + s, at
+                sequence[i], offset[i] = (rows["shard"][0].as_py() << 32) + s, at
                 at += lengths[i]
-        return rows.assign(sequence_id=sequence, offset=offset).drop(columns="shard")
+        return rows.drop_columns("shard").append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
 
     dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards)))
-    return dealt.groupBy("shard").applyInPandas(pack_one, PIECES + ", sequence_id long, offset long")
+    return dealt.groupBy("shard").applyInArrow(pack_one, PIECES + ", sequence_id long, offset long")
