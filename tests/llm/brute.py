@@ -83,14 +83,14 @@ def op4(docs):
 def op5(vectors, k=5):
     fine = [(i, [int(np.floor(256 * float(x))) for x in v]) for i, v in vectors if v is not None and all(x is not None and np.isfinite(x) for x in v)]
     size = max((len(v) for _, v in fine), default=0)
-    x = np.array([v + [0] * (size - len(v)) for _, v in fine], dtype=object if not fine else "int64").reshape(len(fine), size)
+    x = np.array([v + [0] * (size - len(v)) for _, v in fine], dtype=object).reshape(len(fine), size)
     ids = np.array([i for i, _ in fine])
     out = []
     for i, v in zip(ids, x, strict=True):
         if i % 50 == 0:
             s = x @ v
-            for r, j in enumerate([j for j in np.lexsort((ids, -s)) if ids[j] != i][:k]):
-                out.append((int(i), r + 1, int(ids[j]), int(s[j])))
+            for r, j in enumerate([j for j in sorted(range(len(ids)), key=lambda j: (-s[j], ids[j])) if ids[j] != i][:k]):
+                out.append((int(i), r + 1, int(ids[j]), min(max(int(s[j]), -(2**63)), 2**63 - 1)))
     return out
 
 

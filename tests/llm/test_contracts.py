@@ -49,6 +49,7 @@ def odd(tmp_path_factory):
     vectors[3], vectors[4], vectors[5], vectors[6] = None, [None] * 6, [float("nan")] + [0.0] * 5, [float("inf")] * 6
     vectors[10] = vectors[11] = vectors[12]
     vectors[20] = vectors[20][:3]
+    vectors[30], vectors[31], vectors[32] = [1e6, -3e5, 7.5, 0.25, 1e5, 2.0], [9e5, -2e5, 1.5, 3.25, 1e5, 2.0], [1e20, 0.0, 0.0, 0.0, 0.0, 0.0]
     write("embeddings", {"vec_id": pa.array(range(140), pa.int64()), "embedding": pa.array(vectors, pa.list_(pa.float32())), "label": [0] * 140})
     htmls = [None, "", "x", "x", "x", "WARC/1.1\r\n\r\nContent-Length: 3\r\n\r\n", "é\r\n\r\n" * 5, "\r\n", "y" * 70_000]
     write("pages", {"page_id": pa.array(range(len(htmls)), pa.int64()), "url": [None, "http://A.com/b?c", "https://www.a.com:80/", "a b\nc%0A", "http://[bad", "x", "", "//h/p", "http://b.org"], "html": htmls})

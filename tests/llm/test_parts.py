@@ -97,6 +97,38 @@ def test_packing_improves():
     assert squares(better) > squares(worse) and len(better) < len(worse)
 
 
+def test_packing_leaves_no_helpful_step():
+    rng = random.Random(4)
+    for lengths in ([rng.randrange(1, 200) for _ in range(60)], [rng.choice([60, 61, 33, 34, 35, 51]) for _ in range(80)], [40] * 30):
+        bins = packing.pack_shard(lengths, 100)
+        fill = [sum(lengths[i] for i in b) for b in bins]
+        open_ = [b for b in range(len(bins)) if 0 < fill[b] < 100]
+        for d in open_:
+            for b in open_:
+                if b != d:
+                    for i in bins[d]:
+                        for out in [(i,), *[(i, j) for j in bins[d] if j != i]]:
+                            for back in [None, *bins[b]] if len(out) == 1 else bins[b]:
+                                end = fill[b] + sum(lengths[x] for x in out) - (lengths[back] if back is not None else 0)
+                                assert not fill[d] < end <= 100 or end <= fill[b]
+
+
+def test_packing_keeps_large_ids_beside_null(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = [(None, "x"), (2**60 + 1, "y"), (2**60 + 3, None)]
+    found = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), path).collect()
+    assert {r["doc_id"] for r in found} == {None, 2**60 + 1, 2**60 + 3}
+    rng, bpe = random.Random(9), Tokenizer.from_file(path)
+    pieces = ["<|endoftext|>", " ", "  ", "\n", "\t", "\x85", "\xa0", "\u2003", "a", "B1", "'s", "é", "<|", "endoftext", "|>", "漢", "."]
+    encode = packing.encoder(packing.ranks_path(path))
+    for _ in range(3000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randrange(1, 9)))
+        assert encode(text).tolist() == bpe.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_chat_parts(spark):
     rows = [
         (1, 0, "user", [("text", "see <part:image:0> ", None, None), ("image", None, "a.png", 256), ("text", " and ", None, None), ("audio", None, "b.wav", 90)]),
