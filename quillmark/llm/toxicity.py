@@ -26,7 +26,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from functools import cached_property
 from itertools import repeat
 
@@ -78,13 +78,21 @@ class Vocabulary:
     def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of the terms that a text has, ascending, and how often it has each."""
         own = words(text)
-        stem, stems = self.stem, self.stems.get
-        found = np.array([*map(self.whole.get, own, repeat(-1)), *[stems(w[:stem], -1) if len(w) > stem else -1 for w in own]], "int64")
+        found = self._looked_up(own)
         n = np.tile(np.fromiter(own.values(), "float64", len(own)), 2)
         known = found >= 0
         terms, at = np.unique(found[known], return_inverse=True)
         return terms, np.bincount(at, n[known], minlength=len(terms))
 
+    def present(self, text: str | None) -> np.ndarray:
+        """The numbers of the terms that a text has, and -1 if it has words that aren't terms."""
+        return np.unique(self._looked_up(set(_WORD.findall(text.lower())) if text else set()))
+
+    def _looked_up(self, own: Collection[str]) -> np.ndarray:
+        """The numbers of the words, then those of their stems; -1 for what isn't a term."""
+        stem, stems = self.stem, self.stems.get
+        return np.array([*map(self.whole.get, own, repeat(-1)), *[stems(w[:stem], -1) if len(w) > stem else -1 for w in own]], "int64")
+
     def weighted(self, terms: np.ndarray, n: np.ndarray) -> np.ndarray:
         weights = (1 + np.log(n)) * self.idf[terms] * self.delta[terms]
         return weights / max(np.sqrt((weights**2).sum()), 1e-300)
@@ -111,7 +119,7 @@ class BlockMaxIndex:
     Examples are laid out by label and strongest term, so that those of a block are alike and its maxima say much.
     """
 
-    def __init__(self, ids: list[int], toxic: list[int], vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, *, block: int = 16, frequent: float = 1 / 16):
+    def __init__(self, ids: list[int], toxic: list[int], vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, *, block: int = 16, frequent: float = 1 / 8):
         strongest = [int(t[np.argmax(w)]) for t, w in vectors]
         order = sorted(range(len(ids)), key=lambda i: (-toxic[i], strongest[i], ids[i]))
         self.ids, self.toxic = np.array([ids[i] for i in order], "int64"), np.array([toxic[i] for i in order], "int32")
@@ -258,12 +266,12 @@ def _idf(texts: DataFrame, shared: Broadcast[Vocabulary], size: int) -> np.ndarr
     """Inverse document frequencies over all documents, by the term's number."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, df, total = shared.value, np.zeros(size, "int64"), 0
+        vocabulary, df, total = shared.value, np.zeros(size + 1, "int64"), 0  # the last place takes what isn't a term
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                df[vocabulary.counts(text)[0]] += 1
+                df[vocabulary.present(text)] += 1
                 total += 1
-        some = np.flatnonzero(df)
+        some = np.flatnonzero(df[:size])
         yield pa.RecordBatch.from_pydict({"term": pa.array(np.append(some, -1), pa.int64()), "n": pa.array(np.append(df[some], total), pa.int64())})
 
     found = texts.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
