@@ -116,8 +116,9 @@ def display_number(number: Column, total: Column) -> Column:
 
 def contains_any(text: Column, keywords: tuple[str, ...] | list[str]) -> Column:
     """Whether the lower-cased text holds one of the literal keywords, also inside words."""
-    low = F.lower(F.coalesce(text, F.lit("")))
-    return F.exists(F.array(*map(F.lit, keywords)), lambda k: F.contains(low, k))
+    # The text is bound to a variable first: inside the inner function it would be lower-cased again for every keyword.
+    once = F.array(F.lower(F.coalesce(text, F.lit(""))))
+    return F.exists(once, lambda low: F.exists(F.array(*map(F.lit, keywords)), lambda k: F.contains(low, k)))
 
 
 #: Keywords of sealed products at import.

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillmark.functions.numbers import listing_cents
@@ -144,24 +143,26 @@ def search_text(name: Column, set_name: Column) -> Column:
 
 
 def candidates(searched: DataFrame, items: DataFrame) -> DataFrame:
-    """(searched columns, candidate columns): items with the same set and base name; the searched item itself if there is none.
+    """(searched columns, title's features, candidates): items with the same set and base name; the searched item itself if there is none.
 
-    A candidate pair needs equal (set, base name), so this is an equi-join on the blocking key, never a comparison of all.
+    A candidate pair needs equal (set, base name), so this is an equi-join on the blocking key, never a comparison of all. What a title and
+    an item say is worked out once for each of them, before they meet.
     """
-    base = lambda c: F.lower(item_features(F.col(c))["base"])
-    left = searched.withColumn("__base", base("card_name"))
-    right = items.select(F.col("card_slug").alias("cand_slug"), F.col("card_name").alias("cand_name"), F.col("set_name").alias("set_name"), base("card_name").alias("__base"))
+    left = searched.withColumn("__title", title_features(F.col("title"))).withColumn("__own", item_features(F.col("card_name"))).withColumn("__base", F.lower(F.col("__own.base")))
+    right = items.select(F.col("card_slug").alias("cand_slug"), F.col("card_name").alias("cand_name"), F.col("set_name").alias("set_name"), item_features(F.col("card_name")).alias("__item"))
+    right = right.withColumn("__base", F.lower(F.col("__item.base")))
     met = left.join(right, ["set_name", "__base"], "left").drop("__base")
+    met = met.withColumn("__item", F.coalesce("__item", "__own")).drop("__own")
     return met.withColumn("cand_slug", F.coalesce("cand_slug", "card_slug")).withColumn("cand_name", F.coalesce("cand_name", "card_name"))
 
 
 def best_matches(pairs: DataFrame, key: str = "listing_id") -> DataFrame:
-    """One row per listing: its best candidate; ties go to the smaller slug. ``pairs`` has title, cand_slug and cand_name."""
-    points = score(title_features(F.col("title")), item_features(F.col("cand_name")))
-    scored = pairs.withColumn("points", points)
-    best = F.max_by(F.struct("cand_slug", "cand_name", "points"), F.struct(F.col("points"), (-F.col("__order")).alias("o")))
-    ordered = scored.withColumn("__order", F.row_number().over(W.partitionBy(key).orderBy("cand_slug")))
-    out = ordered.groupBy(key).agg(best.alias("b"), F.first("title").alias("title"), F.first("card_slug").alias("searched_slug"))
+    """One row per listing: its best candidate; ties go to the smaller slug. ``pairs`` has title, cand_slug and cand_name, maybe with features."""
+    if "__item" not in pairs.columns:
+        pairs = pairs.withColumn("__title", title_features(F.col("title"))).withColumn("__item", item_features(F.col("cand_name")))
+    scored = pairs.select(key, "title", "card_slug", "cand_slug", "cand_name", score(F.col("__title"), F.col("__item")).alias("points"))
+    best = F.min_by(F.struct("cand_slug", "cand_name", "points"), F.struct((-F.col("points")).alias("p"), F.col("cand_slug").alias("s")))
+    out = scored.groupBy(key).agg(best.alias("b"), F.first("title").alias("title"), F.first("card_slug").alias("searched_slug"))
     return out.select(key, "title", "searched_slug", F.col("b.cand_slug").alias("card_slug"), F.col("b.points").alias("points"), confidence(F.col("b.points")).alias("match_confidence"))
 
 
