@@ -84,7 +84,7 @@ def report_cells(pages: DataFrame) -> DataFrame:
                 parser = _Rows()
                 parser.feed(html or "")
                 out += [{"page_id": page_id, "pos": k, **r} for k, r in enumerate(parser.rows) if len(r["counts"]) >= LEAST_CELLS]
-            yield pd.DataFrame(out, columns=names).astype({"page_id": "int64", "pos": "int32"})
+            yield pd.DataFrame(out, columns=names).astype({"page_id": "Int64", "pos": "int32"})
 
     return pages.select("page_id", "html").mapInPandas(cut, _CELLS)
 

@@ -93,7 +93,7 @@ def keyword_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = t.read(spark, sf_dir, "pages")
-    return p.select("page_id", pg.layout_signature(F.col("html")).alias("signature"))
+    return p.select("page_id", pg.layout_signature(F.col("html"), F.col("url")).alias("signature"))
 
 
 def page_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,7 +228,8 @@ SELECT name, count(*) AS card_count, max({o.cents("p_retailprice")}) AS max_raw_
     "catalogue_diff": """WITH a AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE year(l_shipdate) = 1998 AND l_linenumber = 1), b AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE year(l_shipdate) = 2000 AND l_linenumber = 2)
 SELECT CAST(coalesce(a.k, b.k) AS VARCHAR) AS card_slug, CASE WHEN a.k IS NULL THEN 'only_stored' WHEN b.k IS NULL THEN 'new' ELSE 'overlap' END AS side FROM a FULL JOIN b ON a.k = b.k""",
     "keyword_texts": f"""SELECT doc_id, {_any("lower(text)", x.JUNK)} AS junk, {_any("lower(text)", x.SALE_LOT)} AS lot, regexp_matches(text, '(?i)\\b({"|".join(x.FOREIGN_LANGUAGES)})\\b') AS foreign_variant, sha256(lang || '|' || source || '||' || n_chars) AS key FROM documents""",
-    "page_layouts": """SELECT page_id, sha256(coalesce(array_to_string(list_sort(list_distinct(list_filter(flatten(list_transform(regexp_extract_all(html, 'class=["'']([^"'']*)["'']', 1), lambda c: regexp_split_to_array(trim(c), '\\s+'))), lambda n: n <> ''))), '|'), '')) AS signature FROM pages""",
+    "page_layouts": """WITH m AS (SELECT page_id, regexp_extract_all(html, '(?is)<a\\b[^>]*\\sclass=["'']([^"'']*)["'']', 1) AS links FROM pages)
+SELECT page_id, sha256('lang=unknown|anchor=0|full_prices=0|section_classes=|anchor_classes=' || array_to_string(list_sort(list_distinct(list_filter(flatten(list_transform(links, lambda c: string_split(c, ' '))), lambda n: n LIKE 'js-%-completed-sale'))), ',') || '|row_cell_classes=') AS signature FROM m""",
     "page_addresses": """SELECT page_id, lower(regexp_extract(url, '^(https?://[^/?#]*)', 1)) || regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1) AS clean, lower(regexp_extract(url, '^https?://([^/?#:]*)', 1)) AS host, 'unknown' AS language FROM pages""",
     "page_availability": f"""WITH p AS (SELECT page_id, {_TEXT} AS t FROM pages) SELECT page_id, CASE WHEN contains(t, 'add to basket') OR contains(t, 'add to cart') OR contains(t, 'buy now') THEN 'in_stock' WHEN contains(t, 'out of stock') OR contains(t, 'sold out') THEN 'sold_out' WHEN contains(t, 'pre-order') THEN 'preorder_open'
 WHEN contains(t, 'notify') THEN 'notify_me' ELSE 'unknown' END AS stock_state, CAST(CASE WHEN contains(t, 'add to basket') OR contains(t, 'add to cart') OR contains(t, 'buy now') THEN 0.85 WHEN contains(t, 'out of stock') OR contains(t, 'sold out') THEN 0.85 WHEN contains(t, 'pre-order') THEN 0.82 WHEN contains(t, 'notify') THEN 0.75 ELSE 0.3 END AS DOUBLE) AS confidence FROM p""",

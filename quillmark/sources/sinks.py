@@ -19,10 +19,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """A reliable checkpoint in the shared folder that the session names; one of our own only where it names none."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        sc.setCheckpointDir(new_folder(df.sparkSession, "checkpoint"))
     return df.checkpoint(eager=True)
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A new path below the folder that driver and executors share; local sessions without one get a temporary folder."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 # -- new states of a table ------------------------------------------------------------------------
 
 

@@ -169,9 +169,18 @@ def test_price_extracts(spark):
 
 
 def test_layout_signature_ignores_data(spark):
-    df = spark.createDataFrame([("<p class='a b'>1</p>",), ('<p class="b a">2</p>',), ("<p class='a c'>1</p>",)], "h string")
-    a, b, other = (r["s"] for r in df.select(pages.layout_signature(F.col("h")).alias("s")).collect())
-    assert a == b != other and len(a) == 64
+    advert = PAGE.replace("<h1>x</h1>", "<h1>x</h1><p class='advert'>buy</p>").replace("$9.00", "$8.00")
+    df = spark.createDataFrame([(PAGE, "https://h/game/pokemon-x/y"), (advert, "https://h/game/pokemon-x/z"), (PAGE.replace('"numeric"', '"number"'), "https://h/game/pokemon-x/y"), (PAGE, "https://h/game/jp-pokemon-x/y"), (None, None)], "h string, u string")
+    a, b, other, cheap, empty = (r["s"] for r in df.select(pages.layout_signature(F.col("h"), F.col("u")).alias("s")).collect())
+    assert a == b and len({a, other, cheap, empty}) == 4 and len(a) == 64
+
+
+def test_page_statuses(spark):
+    rows = [(1, "https://h/game/jp-pokemon-x/y", PAGE), (2, "https://h/game/pokemon-x/y", "<p></p>"), (3, "https://h/game/pokemon-x/y", '<div class="completed-auctions-used"><table class="hoverable-rows sortable"></table></div>'), (None, "https://h/game/pokemon-x/y", None)]
+    df = spark.createDataFrame([(*r, "77") for r in rows], "page_id bigint, url string, html string, provider_card_id string")
+    sales = pages.recent_sales(df)
+    assert sales.count() == 0
+    assert {r["page_id"]: r["status"] for r in pages.page_report(df, sales).collect()} == {1: "unsupported_layout", 2: "no_section", 3: "ok", None: "no_section"}
 
 
 def test_availability(spark):
