@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quillmark.llm import chat, components, langid, ngram_join, packing, pii, toxicity, warc
+from quillmark.llm import chat, components, langid, line_dedup, ngram_join, packing, pii, toxicity, warc
 from quillmark.llm.shared import Tables
 from tests.conftest import SMALL
 from tests.llm import brute
@@ -70,6 +70,23 @@ def test_large_buckets_and_shuffled_joins(spark):
         assert {r["doc"]: r["component"] for r in found.collect()} == expected
 
 
+def test_line_runs_hold_every_key_once(spark):
+    """Holders come from the anti-joined part, counts from all batches, whatever the order of the levels."""
+    rng = random.Random(7)
+    runs, expected = line_dedup.LineRuns(spark, 2), {}
+    for b in range(5):
+        rows = {rng.randrange(40): (rng.randrange(1, 4), 100 - b) for _ in range(25)}
+        for k, (n, holder) in rows.items():
+            old = expected.get(k, (0, holder))
+            expected[k] = (old[0] + n, old[1])
+        runs.admit(spark.createDataFrame([(k, -k, n, h) for k, (n, h) in rows.items()], "h1 long, h2 long, n long, holder long"))
+        stored = runs._read(runs.runs(), "h1 long, h2 long, holder long").collect()
+        assert {r["h1"]: r["holder"] for r in stored} == {k: h for k, (_, h) in expected.items()} and len(stored) == len(expected)
+    assert {r["h1"]: r["holder"] for r in runs.repeated(5).collect()} == {k: h for k, (n, h) in expected.items() if n >= 5}
+    assert len(runs.runs()) <= 4
+    runs.drop()
+
+
 def test_loser_tree():
     rng = random.Random(2)
     for k in (0, 1, 2, 3, 7, 16):
