@@ -14,9 +14,11 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or one of our own where that is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or one of our own where a local session leaves that unset."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-checkpoint-")
         spark.sparkContext.setCheckpointDir(found)
     return found
@@ -61,6 +63,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/quillmark/{name}-{uuid.uuid4().hex}"
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(where)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete through Hadoop's file system, so that any shared store works."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -1,5 +1,6 @@
 """Parts of the operators that the queries' tests don't reach."""
 
+import gzip
 import os
 import random
 
@@ -100,6 +101,29 @@ def test_warc_revisits_need_size(spark, tmp_path):
     assert rows == {1: "response", 2: "response", 3: "revisit", 4: "response"}
 
 
+def test_warc_external_merge(spark, tmp_path):
+    """Short runs, several merge passes and many ranges give the whole index in order; records can be fetched by it."""
+    rng, path = random.Random(11), f"file://{tmp_path}/w"
+    rows = [(i, f"http://h{rng.randrange(3) if i % 3 else 0}.org/{rng.randrange(4)}", f"<p>{rng.randrange(150)}</p>") for i in range(400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    warc.write_archive(pages, f"{path}/archive", file_bytes=4000)
+    captures = warc.read_archive(spark, f"{path}/archive")
+    index = warc.build_index(captures, f"{path}/runs", run_rows=20, fan_in=3, range_rows=30)
+    found = index.collect()
+    keys = [(r["url_key"], r["captured_at"], r["page_id"]) for r in found]
+    assert keys == sorted(keys) and sorted(k[2] for k in keys) == list(range(400)) and index.rdd.getNumPartitions() > 1
+    assert len({r["file"] for r in found}) > 3
+    texts = {i: h for i, _, h in rows}
+    for r in rng.sample(found, 20):
+        data = warc.fetch(f"{path}/archive", r["file"], r["offset"], r["length"])
+        assert f"<urn:capture:{r['page_id']}>".encode() in data and (r["record_type"] == "revisit" or texts[r["page_id"]].encode() in data)
+    warc.write_archive(pages, f"{path}/again", file_bytes=4000, broadcast_rows=0)
+    plain = lambda df: sorted((r["page_id"], r["record_type"], r["refers_to"] or -1) for r in df.collect())
+    assert plain(warc.read_archive(spark, f"{path}/again")) == plain(captures)
+    with pytest.raises(ValueError, match="cut off"):
+        list(warc.members(gzip.compress(b"x" * 100)[:-3]))
+
+
 def test_packing_improves():
     rng = random.Random(3)
     lengths = [rng.randrange(1, 1025) for _ in range(3000)]
