@@ -12,7 +12,8 @@ has its most frequent ones however few its rows are. Scoring reads every whole t
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0. A text with letters of which the model knows
 nothing gets the language with the most words in training and its share of them as score. Without any labelled row every text is
-``und``. Ties between languages go to the first in order. Repeated rows are scored alike.
+``und``; an empty table gives no rows. Ties between languages go to the first in order. Repeated rows are scored alike. Input columns named
+``lang_pred`` or ``score`` are replaced; others stay.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillmark.llm.shared import held_out, without
+from quillmark.llm.shared import checkpointed, held_out, without
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -51,18 +52,21 @@ def grams(word: str, n: int) -> list[str]:
 class Model:
     """Log frequencies of words and n-grams: a row of ``table`` for each, a column for each language."""
 
-    def __init__(self, counts: list[tuple[str, str, int]], totals: dict[tuple[str, str], int], max_n: int, evidence_words: int):
+    def __init__(self, counts: pa.Table | list[tuple[str, str, int]], totals: dict[tuple[str, str], int], max_n: int, evidence_words: int):
         """counts: (feature, language, n); a feature is ``w`` + word or the order of the n-gram + the n-gram."""
+        if not isinstance(counts, pa.Table):
+            counts = pa.table({"feature": pa.array([c[0] for c in counts], pa.string()), "lang": pa.array([c[1] for c in counts], pa.string()), "n": pa.array([c[2] for c in counts], pa.int64())})
         self.languages = sorted({lang for _, lang in totals})
         self.max_n, self.evidence_words = max_n, evidence_words
         column = {lang: i for i, lang in enumerate(self.languages)}
         kinds = sorted({k for k, _ in totals})
         sums = {k: np.array([totals.get((k, lang), 0) for lang in self.languages], float) for k in kinds}
-        features = sorted({f for f, _, _ in counts})
+        coded, langs = (counts.column(c).combine_chunks().dictionary_encode() for c in ("feature", "lang"))
+        features = coded.dictionary.to_pylist()
         self.row = {f: i for i, f in enumerate(features)}
         table = np.zeros((len(features), len(self.languages)))
-        for f, lang, n in counts:
-            table[self.row[f], column[lang]] = n
+        columns = np.array([column[x] for x in langs.dictionary.to_pylist()], int)
+        table[coded.indices.to_numpy(), columns[langs.indices.to_numpy()] if len(columns) else columns] = counts.column("n").to_numpy()
         of_kind = Counter(f[0] for f in features)
         spread = np.array([sums[f[0]] + 0.5 * (of_kind[f[0]] + 1) for f in features]).reshape(table.shape)
         self.prior = sums.get("w", np.zeros(len(self.languages)))
@@ -143,25 +147,21 @@ def train(docs: DataFrame, *, max_rows: int = 20_000, max_words: int = 60_000, m
             yield pa.RecordBatch.from_pydict({"feature": pa.array([f for f, _ in seen], pa.string()), "lang": pa.array([x for _, x in seen], pa.string()), "n": pa.array(list(seen.values()), pa.int64())})
 
     columns = labelled.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    by_word = columns.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).persist()
-    by_gram = by_word.select("lang", "word", "n").mapInArrow(split, "feature string, lang string, n long").groupBy("feature", "lang").agg(F.sum("n").alias("n")).persist()
+    by_word = columns.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    by_word = checkpointed(by_word)
+    by_gram = by_word.select("lang", "word", "n").mapInArrow(split, "feature string, lang string, n long").groupBy("feature", "lang").agg(F.sum("n").alias("n"))
+    by_gram = checkpointed(by_gram)
     by_word = by_word.select(F.concat(F.lit("w"), "word").alias("feature"), "lang", "n")
-    try:
-        counts: list[tuple[str, str, int]] = []
-        totals: dict[tuple[str, str], int] = {}
-        for table, most in ((by_word, max_words), (by_gram, max_grams)):
-            totals |= {(r["k"], r["lang"]): r["n"] for r in table.groupBy(F.substring("feature", 1, 1).alias("k"), "lang").agg(F.sum("n").alias("n")).collect()}
-            # No feature below rank ``most`` in all its languages is kept, so the rank filter leaves out none that could be.
-            rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "feature"))
-            first = table.select("feature", "lang", "n", rank.alias("rank")).where(F.col("rank") <= most).groupBy("feature").agg(F.min("rank").alias("rank"))
-            kept = first.orderBy("rank", "feature").limit(most).select("feature", "rank")
-            packed = table.join(F.broadcast(kept), "feature").groupBy("feature").agg(F.collect_list(F.struct("lang", "n")).alias("by"))
-            for r in packed.collect():
-                counts += [(r["feature"], lang, n) for lang, n in r["by"]]
-    finally:
-        by_gram.unpersist()
-        by_word.unpersist()
-    return Model(counts, totals, max_n, evidence_words)
+    kept: list[pa.Table] = []
+    totals: dict[tuple[str, str], int] = {}
+    for table, most in ((by_word, max_words), (by_gram, max_grams)):
+        totals |= {(r["k"], r["lang"]): r["n"] for r in table.groupBy(F.substring("feature", 1, 1).alias("k"), "lang").agg(F.sum("n").alias("n")).collect()}
+        # No feature below rank ``most`` in all its languages is kept, so the rank filter leaves out none that could be.
+        rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "feature"))
+        first = table.select("feature", "lang", "n", rank.alias("rank")).where(F.col("rank") <= most).groupBy("feature").agg(F.min("rank").alias("rank"))
+        chosen = first.orderBy("rank", "feature").limit(most).select("feature")
+        kept.append(table.join(F.broadcast(chosen), "feature").select("feature", "lang", "n").toArrow())
+    return Model(pa.concat_tables(kept).sort_by([("feature", "ascending"), ("lang", "ascending")]), totals, max_n, evidence_words)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
