@@ -2,7 +2,11 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. All but the last return the columns
 of ``documents``. ``run`` writes each stage's result as Parquet into the shared folder and reads it again, which also
-cuts the lineage: a lost executor costs one stage's tasks, not the whole run.
+cuts the lineage: a lost executor costs one stage's tasks, not the whole run. A stage's folder goes as soon as the next one is written;
+the last, which the result is read from, stays.
+
+Defined results: every stage takes null texts and ids, empty and very long texts, repeated rows, empty tables and columns with any other names, which it
+leaves out. Null ids are never copies of other documents, all else is as the operators say.
 """
 
 from __future__ import annotations
@@ -12,7 +16,7 @@ from pyspark.sql import functions as F
 
 from quillmark.llm import decontaminate, langid, line_dedup, ngram_join, packing
 from quillmark.llm.queries import table, tokenizer_path
-from quillmark.llm.shared import new_folder
+from quillmark.llm.shared import new_folder, remove_folder
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -22,10 +26,16 @@ def _columns(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", "lang", "source", F.char_length("text").cast("long").alias("n_chars"))
 
 
-def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; texts without a letter (``und``) go."""
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str, *, languages: tuple[str, ...] | None = None) -> DataFrame:
+    """Documents whose language can be told and is among ``languages`` (any, if none are given); the others go.
+
+    The predicted language fills ``lang`` where that is null. Texts without a letter are of no language (``und``). Without any labelled document
+    every text is ``und``.
+    """
     model = langid.train(docs)
-    return _columns(langid.identify(docs.select(*COLUMNS), model).where("lang_pred <> 'und'"))
+    scored = langid.identify(docs.select(*COLUMNS), model)
+    wanted = F.col("lang_pred") != "und" if languages is None else F.col("lang_pred").isin(*languages)
+    return _columns(scored.where(wanted).withColumn("lang", F.coalesce("lang", "lang_pred")))
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,4 +79,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
+        if k:
+            remove_folder(spark, f"{folder}/{k - 1}")
     return docs
