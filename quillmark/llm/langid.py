@@ -63,7 +63,6 @@ class Model:
         sums = {k: np.array([totals.get((k, lang), 0) for lang in self.languages], float) for k in kinds}
         coded, langs = (counts.column(c).combine_chunks().dictionary_encode() for c in ("feature", "lang"))
         features = coded.dictionary.to_pylist()
-        self.row = {f: i for i, f in enumerate(features)}
         table = np.zeros((len(features), len(self.languages)))
         columns = np.array([column[x] for x in langs.dictionary.to_pylist()], int)
         table[coded.indices.to_numpy(), columns[langs.indices.to_numpy()] if len(columns) else columns] = counts.column("n").to_numpy()
@@ -71,8 +70,8 @@ class Model:
         spread = np.array([sums[f[0]] + 0.5 * (of_kind[f[0]] + 1) for f in features]).reshape(table.shape)
         self.prior = sums.get("w", np.zeros(len(self.languages)))
         self.table = np.log((table + 0.5) / spread).astype("float64")
-        self.word_row = {f[1:]: i for f, i in self.row.items() if f[0] == "w"}
-        self.gram_row = [{f[1:]: i for f, i in self.row.items() if f[0] == str(n)} for n in range(max_n + 1)]
+        self.word_row = {f[1:]: i for i, f in enumerate(features) if f[0] == "w"}
+        self.gram_row = [{f[1:]: i for i, f in enumerate(features) if f[0] == str(n)} for n in range(max_n + 1)]
         self.seen: dict[str, list[int]] = {}
 
     def backoff(self, word: str) -> list[int]:
@@ -100,7 +99,7 @@ class Model:
             else:
                 found = self.seen.get(word)
                 if found is None:
-                    if len(self.seen) > 100_000:
+                    if len(self.seen) > 20_000:
                         self.seen.clear()
                     found = self.seen[word] = self.backoff(word)
                 rows += found
@@ -128,7 +127,7 @@ def train(docs: DataFrame, *, max_rows: int = 20_000, max_words: int = 60_000, m
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 seen.setdefault(lang, Counter()).update(words(text or ""))
             held = sum(map(len, seen.values()))
-            if held > 500_000:
+            if held > 100_000:
                 yield from _flush(seen)
         yield from _flush(seen)
 
@@ -138,9 +137,9 @@ def train(docs: DataFrame, *, max_rows: int = 20_000, max_words: int = 60_000, m
         seen.clear()
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for part in (batch.slice(at, 2000) for batch in batches for at in range(0, batch.num_rows, 2000)):
             seen: Counter = Counter()
-            for lang, word, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for lang, word, n in zip(*(c.to_pylist() for c in part.columns), strict=True):
                 for k in range(1, max_n + 1):
                     for g in grams(word, k):
                         seen[f"{k}{g}", lang] += n
