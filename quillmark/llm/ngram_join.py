@@ -484,8 +484,8 @@ class NgramJoin:
             flat = np.stack([folded(x, short) for x in bits]).view(np.uint64)
             last = np.searchsorted(size, size * 100 // schemes.percent, side="right")
             out = []
-            for at in range(0, len(rows), 64):  # by size: a stretch of documents meets those up to 1 / t times its largest
-                p, q = np.arange(at, min(at + 64, len(rows))), np.arange(at, last[min(at + 64, len(rows)) - 1])
+            for at in range(0, len(rows), 16):  # by size: a stretch of documents meets those up to 1 / t times its largest
+                p, q = np.arange(at, min(at + 16, len(rows))), np.arange(at, last[min(at + 16, len(rows)) - 1])
                 far = np.bitwise_count(flat[p][:, None] ^ flat[q][None]).sum(2, dtype=np.int64)
                 fine = (far <= (size[p][:, None] + size[q]) * (100 - schemes.percent) // (100 + schemes.percent)) & (label[p][:, None] != label[q]) & (p[:, None] < q) & (q < last[p][:, None])
                 if key[1] != key[2]:
