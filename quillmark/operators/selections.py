@@ -79,7 +79,7 @@ def history_pick(trends: DataFrame, prices: DataFrame, seed: int, set_names: Dat
     """The 365 earliest prices of one item of at least $20, picked by a seeded hash among 15 eligible ones of the top 80."""
     top = _top(trends.where("current_raw >= 2000 and raw_pct_90d is not null"), 80, F.desc("current_raw"))
     some = _top(with_history(allowed(top, set_names), prices, least), 15, F.desc("current_raw"))
-    one = some.orderBy(F.xxhash64(F.lit(seed), "card_slug"), "card_slug").limit(1).select("card_slug", "card_name")
+    one = some.orderBy(F.md5(F.concat_ws("|", F.lit(seed), "card_slug")), "card_slug").limit(1).select("card_slug", "card_name")
     own = prices.select(bare_slug(F.col("card_slug")).alias("card_slug"), "date", "raw_usd").where("raw_usd > 0")
     return own.join(one, "card_slug").orderBy("date").limit(365)
 

@@ -98,8 +98,8 @@ def grading_premiums(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sleepers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Few items have prices at both anchors, so the month's change stands for the quarter's too; prices are folded into the rule's range."""
-    folded = a.card_trends(spark, sf_dir).withColumn("current_raw", F.col("current_raw") % 30_000).withColumn("raw_pct_90d", F.col("raw_pct_30d"))
+    """Prices are folded into the rule's range. Few items have prices at both anchors, so small tables may give no rows."""
+    folded = a.card_trends(spark, sf_dir).withColumn("current_raw", F.col("current_raw") % 30_000)
     return s.sleepers(folded, t.monthly_prices(spark, sf_dir), least=10).select(*_CARD, "raw_pct_30d", "raw_pct_90d")
 
 
@@ -231,9 +231,12 @@ SELECT card_slug, card_name, set_name, current_raw, raw_pct_7d, side FROM (SELEC
 UNION ALL SELECT card_slug, card_name, set_name, current_raw, raw_pct_7d, side FROM (SELECT * FROM down WHERE coalesce(abs(raw_pct_30d), 0) <= 200 AND {_ENOUGH} ORDER BY raw_pct_7d, card_slug LIMIT 6)""",
     "grading_premiums": f"""{_T}, dear AS (SELECT *, {o.r("CAST(current_psa10 AS DOUBLE) / current_raw", 1)} AS multiplier FROM trends WHERE current_psa10 > 0 AND current_raw > 0 ORDER BY current_psa10 DESC, card_slug LIMIT 80)
 SELECT card_slug, card_name, set_name, current_raw, current_psa10, multiplier FROM dear WHERE {_ENOUGH} ORDER BY multiplier DESC, card_slug LIMIT 10""",
-    "sleepers": f"""{_T}, m AS (SELECT * REPLACE (current_raw % 30000 AS current_raw, raw_pct_30d AS raw_pct_90d) FROM trends),
+    "sleepers": f"""{_T}, m AS (SELECT * REPLACE (current_raw % 30000 AS current_raw) FROM trends),
 c AS (SELECT * FROM m WHERE raw_pct_30d > 5 AND raw_pct_30d <= 200 AND raw_pct_90d > 5 AND raw_pct_90d <= 500 AND current_raw > 2000 AND current_raw < 30000 ORDER BY raw_pct_30d DESC, card_slug LIMIT 80)
 SELECT card_slug, card_name, set_name, current_raw, raw_pct_30d, raw_pct_90d FROM c WHERE {_ENOUGH} ORDER BY raw_pct_30d DESC, card_slug LIMIT 10""",
+    "history_pick": f"""{_T}, c AS (SELECT * FROM trends WHERE current_raw >= 2000 AND raw_pct_90d IS NOT NULL ORDER BY current_raw DESC, card_slug LIMIT 80),
+b AS (SELECT * FROM c WHERE {_ENOUGH} ORDER BY current_raw DESC, card_slug LIMIT 15), one AS (SELECT card_slug, card_name FROM b ORDER BY md5('7|' || card_slug), card_slug LIMIT 1)
+SELECT card_slug, date, raw_usd, card_name FROM prices JOIN one USING (card_slug) WHERE raw_usd > 0 ORDER BY date LIMIT 365""",
     "index_pulse": f"""WITH {o.PRICES},{o.index()} SELECT date, CASE WHEN total_raw_usd > 1000000 THEN CAST(total_raw_usd AS DOUBLE) / 100 ELSE CAST(total_raw_usd AS DOUBLE) END AS total_raw,
 CASE WHEN median_raw_usd > 10000 THEN CAST(median_raw_usd AS DOUBLE) / 100 ELSE CAST(median_raw_usd AS DOUBLE) END AS median_raw, raw_pct_7d, raw_pct_30d FROM idx_pct ORDER BY date DESC LIMIT 35""",
     "market_trend": f"WITH {o.PRICES},{o.index()} SELECT date, total_raw_usd, raw_pct_7d FROM idx_pct WHERE raw_pct_7d IS NOT NULL AND date = (SELECT max(date) FROM idx_pct)",

@@ -1,7 +1,6 @@
-"""Writes: upsert, insert-only, day replacement, expiry, fill-nulls; and the versioned tables under them.
+"""Writes: upsert, insert-only, day replacement, expiry, fill-nulls; and tables that are rewritten by buckets of a key.
 
-Plain Parquet can't be updated in place. A table is a folder of versions; a write makes a new version from the current
-one and then moves the pointer file, so readers never see half a write and a failed one leaves nothing but an unused folder.
+Plain Parquet can't be updated in place. What changes is worked out first and checkpointed, then whole partitions are replaced.
 """
 
 from __future__ import annotations
@@ -9,10 +8,11 @@ from __future__ import annotations
 import datetime as dt
 import tempfile
 import uuid
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -58,46 +58,31 @@ def filled(old: DataFrame, new: DataFrame, key: str, columns: list[str], guard:
     return j.select(*[F.when(empty, F.coalesce(F.col(f"__{c}"), F.col(c))).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in old.columns])
 
 
-# -- versioned tables -----------------------------------------------------------------------------
+# -- tables in place ------------------------------------------------------------------------------
 
 
-class VersionedTable:
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | str):
-        self.spark, self.path = spark, path.rstrip("/")
-        self.schema = schema
+def stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The columns of ``schema`` under ``path``; no rows before the first write."""
+    none = spark.createDataFrame([], schema)
+    try:
+        return spark.read.schema(schema).parquet(path).select(*none.columns)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return none
 
-    def _hadoop(self, name: str):
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def version(self) -> str | None:
-        """The newest pointer: pointers are empty files whose names sort by time."""
-        p, fs = self._hadoop("_pointers")
-        if not fs.exists(p):
-            return None
-        names = sorted(s.getPath().getName() for s in fs.listStatus(p))
-        return names[-1].split(".", 1)[1] if names else None
+def merge_buckets(batch: DataFrame, path: str, schema: str, key: str, merge: Callable[[DataFrame, DataFrame], DataFrame], buckets: int = 256) -> None:
+    """Replace the buckets of ``key`` that ``batch`` touches by merge(their rows, batch); the others are neither read nor written.
 
-    def read(self) -> DataFrame:
-        v = self.version()
-        return self.spark.createDataFrame([], self.schema) if v is None else self.spark.read.schema(self.schema).parquet(f"{self.path}/{v}")
-
-    def replace(self, rows: DataFrame, partition_by: tuple[str, ...] = ()) -> str:
-        count = 0
-        p, fs = self._hadoop("_pointers")
-        if fs.exists(p):
-            count = len(fs.listStatus(p))
-        name = f"v-{uuid.uuid4().hex}"
-        rows.write.partitionBy(*partition_by).parquet(f"{self.path}/{name}")
-        q, fs = self._hadoop(f"_pointers/{count:09d}.{name}")
-        fs.create(q, False).close()
-        return name
-
-    def upsert(self, new: DataFrame, keys: list[str]) -> str:
-        return self.replace(upserted(self.read(), new, keys))
-
-    def insert(self, new: DataFrame, keys: list[str]) -> str:
-        return self.replace(inserted(self.read(), new, keys))
+    ``merge`` must give the same rows when it meets its own result, as a batch that fails while its partitions are replaced comes again.
+    One writer at a time. A bucket of which nothing is left keeps its old rows. Null keys share a bucket.
+    """
+    bucket = F.coalesce(F.pmod(F.xxhash64(key), F.lit(buckets)), F.lit(0)).cast("int")
+    touched = [r["bucket"] for r in batch.select(bucket.alias("bucket")).distinct().collect()]  # at most ``buckets``
+    old = stored(batch.sparkSession, path, f"{schema}, bucket int").where(F.col("bucket").isin(touched)).drop("bucket")
+    rows = checkpointed(merge(old, batch).withColumn("bucket", bucket))
+    rows.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
 
 
 def replace_day(rows: DataFrame, path: str, column: str = "as_of") -> None:

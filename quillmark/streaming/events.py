@@ -8,10 +8,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQueryListener
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampType
 
+from quillmark.operators.retention import reconcile
 from quillmark.operators.scheduling import CATEGORIES, REACHED
+from quillmark.sources.sinks import merge_buckets, stored, unexpired
 
 #: The store that stateful processors need.
 ROCKSDB = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
@@ -135,19 +137,43 @@ def streak_stream(attempts: DataFrame, prior: DataFrame | None = None) -> DataFr
     return own.groupBy("card_slug").transformWithStateInPandas(_Streak(), STREAKS, "update", "none", initialState=start)
 
 
-def sales_batches(table, most: int = 5) -> Callable[[DataFrame, int], None]:
-    """For ``foreachBatch``: reconciles a versioned table with each micro-batch of sale rows. A batch that comes again changes nothing."""
-    from quillmark.operators.retention import reconcile
+def sales_batches(path: str, schema: str, most: int = 5, buckets: int = 256) -> Callable[[DataFrame, int], None]:
+    """For ``foreachBatch``: reconciles the table under ``path`` with each micro-batch of sale rows.
+
+    Only buckets of the batch's cards are read and rewritten; a sale's key belongs to one card. The numbers of finished batches are kept next to
+    the table, so a batch that comes again is skipped; one that failed half-way is reconciled again, which gives the same rows.
+    """
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
-        table.replace(reconcile(table.read(), batch.withColumn("review_status", F.lit("active")), most))
+        spark, done = batch.sparkSession, f"{path}_batches"
+        if stored(spark, done, "batch_id bigint").where(F.col("batch_id") == batch_id).isEmpty():
+            rows = batch.withColumn("review_status", F.lit("active"))
+            merge_buckets(rows, path, schema, "provider_card_id", lambda old, new: reconcile(old, new, most), buckets)
+            spark.range(batch_id, batch_id + 1, numPartitions=1).toDF("batch_id").write.mode("append").parquet(done)
 
     return ingest
 
 
-def unexpired_stream(rows: DataFrame, column: str = "scraped_at", keep: str = "1 day") -> DataFrame:
-    """Newest row per key within the watermark; state older than a day is dropped by Spark."""
-    return rows.withWatermark(column, keep).dropDuplicatesWithinWatermark(["card_slug", "marketplace", "ebay_item_id"])
+def listing_batches(path: str, schema: str, days: int = 1, buckets: int = 256) -> Callable[[DataFrame, int], None]:
+    """For ``foreachBatch``: keeps the newest row of each listing and drops what is older than ``days`` before the batch's newest row.
+
+    A bucket loses its expired rows when a batch touches it; readers apply ``unexpired`` for the rest. A batch without times changes nothing.
+    """
+    key = ["card_slug", "marketplace", "ebay_item_id"]
+
+    def ingest(batch: DataFrame, batch_id: int) -> None:
+        now = batch.agg(F.max("scraped_at")).first()[0]
+        if now is None:
+            return
+
+        def merge(old: DataFrame, new: DataFrame) -> DataFrame:
+            both = old.unionByName(new.select(*old.columns))
+            newest = F.row_number().over(W.partitionBy(*key).orderBy(F.desc("scraped_at"), F.xxhash64(*old.columns)))
+            return unexpired(both.withColumn("__rank", newest).where("__rank = 1").drop("__rank"), now, days=days)
+
+        merge_buckets(batch, path, schema, "ebay_item_id", merge, buckets)
+
+    return ingest
 
 
 def hourly_counts(events: DataFrame, column: str = "observed_at", delay: str = "2 hours") -> DataFrame:
@@ -158,3 +184,24 @@ def hourly_counts(events: DataFrame, column: str = "observed_at", delay: str = "
 def observed(events: DataFrame, name: str = "run") -> DataFrame:
     """Run metrics next to the data: rows, alerts and pages, readable from the query's progress."""
     return events.observe(name, F.count("*").alias("rows"), F.count_if(F.col("alert") == "true").alias("alerts"), F.approx_count_distinct("page_id").alias("pages"))
+
+
+class RunListener(StreamingQueryListener):
+    """Hands the metrics of ``observed`` to ``sink`` once a micro-batch, with the query's name and the batch's number."""
+
+    def __init__(self, sink: Callable[[dict], None], name: str = "run"):
+        self.sink, self.name = sink, name
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        found = event.progress.observedMetrics.get(self.name)
+        if found is not None:
+            self.sink({"query": event.progress.name, "batch_id": event.progress.batchId, **found.asDict()})
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass

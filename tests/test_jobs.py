@@ -243,13 +243,21 @@ def test_bulk_plan(spark):
     assert found == {"A": (102, None), "B": (50, None), "C": (None, "no denominator"), "D": (5, "no rows")}
 
 
-def test_versioned_table(spark, tmp_path):
-    t = sinks.VersionedTable(spark, f"file://{tmp_path}/t", "k int, v string")
-    assert t.read().count() == 0
-    t.upsert(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), ["k"])
-    t.upsert(spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string"), ["k"])
-    t.insert(spark.createDataFrame([(3, "e"), (4, "f")], "k int, v string"), ["k"])
-    assert sorted(map(tuple, t.read().collect())) == [(1, "a"), (2, "c"), (3, "d"), (4, "f")]
+def test_merged_buckets(spark, tmp_path):
+    path, schema = f"file://{tmp_path}/t", "k int, v string"
+    rows = lambda *r: spark.createDataFrame(list(r), schema)
+    for batch, step in ((rows((1, "a"), (2, "b"), (None, "n")), sinks.upserted), (rows((2, "c"), (3, "d")), sinks.upserted), (rows((3, "e"), (4, "f")), sinks.inserted)):
+        sinks.merge_buckets(batch, path, schema, "k", lambda old, new, step=step: step(old, new, ["k"]), buckets=3)
+    assert sorted(map(tuple, sinks.stored(spark, path, schema).collect()), key=str) == [(1, "a"), (2, "c"), (3, "d"), (4, "f"), (None, "n")]
+
+
+def test_sleepers_need_the_quarter_too(spark):
+    trends = spark.createDataFrame(
+        [("up", 5000, 10.0, 20.0), ("fell", 5000, 30.0, -5.0), ("unknown", 5000, 30.0, None), ("dear", 30000, 10.0, 20.0), ("few", 5000, 12.0, 20.0)],
+        "card_slug string, current_raw int, raw_pct_30d double, raw_pct_90d double",
+    )
+    prices = spark.range(30).selectExpr("explode(array('up', 'fell', 'unknown', 'dear')) as card_slug").union(spark.createDataFrame([("few",)], "card_slug string"))
+    assert [r["card_slug"] for r in selections.sleepers(trends, prices).collect()] == ["up"]
 
 
 def test_replace_day(spark, tmp_path):

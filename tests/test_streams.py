@@ -65,10 +65,44 @@ def test_hourly_counts_and_dedup(spark, tmp_path):
 def test_sales_ingest(spark, tmp_path):
     from tests.test_jobs import SALES, sale
 
-    table = sinks.VersionedTable(spark, f"file://{tmp_path}/sales", SALES)
-    rows = spark.createDataFrame([sale(f"k{i:02d}", f"2024-01-{i + 1:02d}") for i in range(12)], SALES)
-    stream = in_batches(spark, rows, tmp_path, 3, "sale_date")
-    q = stream.writeStream.foreachBatch(ev.sales_batches(table)).option("checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True).start()
-    q.awaitTermination(120)
-    active = sorted(r["provider_sale_key"] for r in table.read().where("review_status = 'active'").collect())
-    assert active == [f"k{i:02d}" for i in range(7, 12)]
+    path = f"file://{tmp_path}/sales"
+    rows = spark.createDataFrame([sale(f"{c}{i:02d}", f"2024-01-{i + 1:02d}", c) for i in range(12) for c in "cd"], SALES)
+    ingest = ev.sales_batches(path, SALES, buckets=4)
+    q = in_batches(spark, rows, tmp_path, 3, "sale_date").writeStream.foreachBatch(ingest).option("checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True).start()
+    q.awaitTermination(240)
+    assert q.exception() is None
+    active = lambda: sorted(r["provider_sale_key"] for r in sinks.stored(spark, path, SALES).where("review_status = 'active'").collect())
+    assert active() == sorted(f"{c}{i:02d}" for i in range(7, 12) for c in "cd")
+    ingest(spark.createDataFrame([sale("c99", "2024-02-01")], SALES), 0)
+    assert "c99" not in active()  # batch 0 is done
+    ingest(spark.createDataFrame([sale("c99", "2024-02-01")], SALES), 3)
+    assert active() == sorted(["c99", *(f"c{i:02d}" for i in range(8, 12)), *(f"d{i:02d}" for i in range(7, 12))])
+
+
+def test_listings_expire(spark, tmp_path):
+    schema = "card_slug string, marketplace string, ebay_item_id string, price int, scraped_at timestamp"
+    path, start = f"file://{tmp_path}/listings", dt.datetime(2024, 1, 1)
+    ingest = ev.listing_batches(path, schema, buckets=1)
+    batch = lambda *rows: spark.createDataFrame([("c", "m", i, p, start + dt.timedelta(hours=h)) for i, p, h in rows], schema)
+    found = lambda: sorted((r["ebay_item_id"], r["price"]) for r in sinks.stored(spark, path, schema).collect())
+    ingest(batch(("a", 1, 0), ("b", 2, 1), ("b", 3, 2)), 0)
+    assert found() == [("a", 1), ("b", 3)]
+    ingest(batch(("b", 9, 1), ("d", 4, 25)), 1)  # an older row of b changes nothing, a is older than a day
+    assert found() == [("b", 3), ("d", 4)]
+    ingest(batch(("b", 5, 49)), 2)
+    ingest(batch(("b", 5, 49)), 2)
+    assert found() == [("b", 5), ("d", 4)]
+    ingest(spark.createDataFrame([], schema), 3)
+    assert found() == [("b", 5), ("d", 4)]
+
+
+def test_run_listener():
+    from types import SimpleNamespace
+
+    from pyspark.sql import Row
+
+    found = []
+    listener = ev.RunListener(found.append)
+    for batch_id, metrics in enumerate([{"run": Row(rows=3, alerts=1)}, {"other": Row(rows=1)}]):
+        listener.onQueryProgress(SimpleNamespace(progress=SimpleNamespace(name="q", batchId=batch_id, observedMetrics=metrics)))
+    assert found == [{"query": "q", "batch_id": 0, "rows": 3, "alerts": 1}]
