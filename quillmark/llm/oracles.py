@@ -73,4 +73,25 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || E'\n' || text ||
 FROM c GROUP BY conv_id
 """
 
-SQL: dict[str, str] = {"op1_decontaminate": OP1, "op3_warc_index": OP3, "op4_ngram_join": OP4, "op5_topk": OP5, "op7_line_dedup": OP7, "op9_chat": OP9}
+#: CRC-32 of a number's decimal digits: each digit is taken in whole and shifted out bit by bit.
+_CRC = "xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split(CAST({0} AS VARCHAR), ''), lambda ch: [CAST(ascii(ch) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))), lambda a, s: CASE WHEN s >= 0 THEN xor(a, s) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295)"
+
+OP11 = rf"""
+WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) - 1 AS pos FROM conversations WHERE conv_id IS NOT NULL),
+v AS (SELECT c, {_CRC.format("c")} % 9 AS h, c - c % 5 AS b FROM (SELECT DISTINCT c FROM t)),
+base AS (SELECT v.c, t.pos AS i, r, x FROM v JOIN t ON t.c = v.b WHERE t.pos < h),
+hb AS (SELECT c, count(*) AS hb FROM base GROUP BY c),
+own AS (SELECT v.c, coalesce(hb, 0) + t.pos - h AS i, r, x FROM v JOIN t USING (c) LEFT JOIN hb USING (c) WHERE t.pos >= h),
+k AS (SELECT c, i, octet_length(encode(x)) AS b, sha256(string_agg(length(r) || ':' || r || length(x) || ':' || x, '') OVER (PARTITION BY c ORDER BY i)) AS k FROM (FROM base UNION ALL FROM own)),
+pre AS (SELECT c, i + 1 AS d, k, lag(k, 1, '') OVER (PARTITION BY c ORDER BY i) AS pk, b FROM k UNION ALL SELECT c, 0, '', NULL, 0 FROM v),
+node AS (SELECT d, k, any_value(pk) AS pk, min(c) AS m, count(*) AS n, max(b) AS b FROM pre GROUP BY d, k),
+e AS (SELECT d, k, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ids FROM pre JOIN (SELECT c, max(d) AS d FROM pre GROUP BY c) USING (c, d) GROUP BY d, k),
+child AS (SELECT d - 1 AS d, pk AS k, count(*) AS nc FROM node WHERE d > 0 GROUP BY ALL),
+own2 AS (SELECT node.*, coalesce(nc, 0) AS nc FROM node LEFT JOIN child USING (d, k)),
+sub AS (SELECT a.d, a.k, count(*) FILTER (u.nc = 0) AS leaves, sum((u.n - 1) * u.b) AS saved FROM own2 u JOIN pre a ON a.c = u.m AND a.d <= u.d GROUP BY a.d, a.k)
+SELECT o.m AS conv_id, CAST(o.d AS BIGINT) AS depth, p.m AS parent_conv_id, o.n AS n_convs, CAST(o.nc AS BIGINT) AS n_children, CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM own2 o JOIN sub USING (d, k) LEFT JOIN e USING (d, k) LEFT JOIN node p ON p.d = o.d - 1 AND p.k = o.pk
+"""
+
+SQL: dict[str, str] = {"op1_decontaminate": OP1, "op3_warc_index": OP3, "op4_ngram_join": OP4, "op5_topk": OP5, "op7_line_dedup": OP7, "op9_chat": OP9, "op11_prefix_trie": OP11}

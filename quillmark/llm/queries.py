@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillmark.llm import chat, decontaminate, langid, line_dedup, ngram_join, packing, pii, topk, toxicity, warc, whitening
+from quillmark.llm import chat, decontaminate, langid, line_dedup, ngram_join, packing, pii, prefix_trie, topk, toxicity, warc, whitening
 from quillmark.llm.shared import checkpointed, held_out, new_folder, remove_folder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -94,10 +94,14 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents.select("doc_id", "text"), model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"), components=4)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op2_pack, op3_warc_index, op4_ngram_join, op5_topk, op6_toxicity, op7_line_dedup, op8_pii, op9_chat, op10_langid, op13_whiten)
+    f.__name__: f for f in (op1_decontaminate, op2_pack, op3_warc_index, op4_ngram_join, op5_topk, op6_toxicity, op7_line_dedup, op8_pii, op9_chat, op10_langid, op11_prefix_trie, op13_whiten)
 }
