@@ -273,7 +273,7 @@ def _subtree_sums(nodes: DataFrame, n_nodes: int, tables: Tables, broadcast_rows
         further = paths.where("anc is not null").select(F.col("conv").alias("anc"), F.col("anc").alias("next"))
         stepped = join_counted(stepped, further, "anc", "left", rows, broadcast_rows)
         add = lambda c: (F.col(c) + F.coalesce(f"more_{c}", F.lit(0))).alias(c)
-        paths, seen = tables.keep(stepped.select("conv", "up", "at", add("leaf"), add("saved"), F.col("next").alias("anc")), live=F.count("next"))
+        paths, seen = tables.keep(stepped.select("conv", "up", "at", add("leaf"), add("saved"), F.col("next").alias("anc")), live=F.count("anc"))
     hung = paths.where("up is not null").groupBy(F.col("up").alias("conv"), F.col("at").alias("depth")).agg(F.sum("leaf").alias("hung_leaf"), F.sum("saved").alias("hung_saved"))
     full = join_counted(nodes, hung, ["conv", "depth"], "left", n_nodes, broadcast_rows).withColumn("chunk", F.floor(F.col("depth") / chunk).cast("long"))
     below = W.partitionBy("conv", "chunk").orderBy(F.desc("depth"))
