@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillmark.llm import chat, decontaminate, langid, line_dedup, ngram_join, packing, pii, prefix_trie, topk, toxicity, warc, whitening
+from quillmark.llm import chat, decontaminate, langid, line_dedup, lm, ngram_join, packing, pii, prefix_trie, topk, toxicity, warc, whitening
 from quillmark.llm.shared import checkpointed, held_out, new_folder, remove_folder
 
 TOKENIZER = "byte_bpe_50k.json"
+SUBWORDS = "byte_bpe_multi_50k.tiktoken"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -98,10 +99,16 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return lm.score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path(SUBWORDS)).select(*lm.SCORED)
+
+
 def op13_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"), components=4)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op2_pack, op3_warc_index, op4_ngram_join, op5_topk, op6_toxicity, op7_line_dedup, op8_pii, op9_chat, op10_langid, op11_prefix_trie, op13_whiten)
+    f.__name__: f for f in (op1_decontaminate, op2_pack, op3_warc_index, op4_ngram_join, op5_topk, op6_toxicity, op7_line_dedup, op8_pii, op9_chat, op10_langid, op11_prefix_trie, op12_lm, op13_whiten)
 }
