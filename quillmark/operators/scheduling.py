@@ -108,22 +108,26 @@ def checked_category(category: Column) -> Column:
 def streaks(attempts: DataFrame, prior: DataFrame | None = None, order: tuple[str, ...] = ("attempted_at",)) -> DataFrame:
     """Final state per card of a batch of attempts: streak of reached pages without price since the last price, last category, last reach.
 
-    A priced attempt resets, a reached page without price adds one, others carry. ``prior`` (card_slug, no_price_streak)
-    counts only when the batch has no priced attempt. One aggregate: the streak is the number of unpriced pages
-    after the last priced attempt.
+    A priced attempt resets, a reached page without price adds one, others carry. ``prior`` (card_slug, no_price_streak and whatever else is
+    stored) gives the streak when the batch has no priced attempt, and every field for which the batch has nothing new. One aggregate: the streak is
+    the number of unpriced pages after the last priced attempt. Cards that only ``prior`` has are not returned.
     """
     at = F.struct(*order)
     last_priced = F.max(F.when(F.col("category") == "priced", at)).over(W.partitionBy("card_slug"))
-    rows = attempts.withColumn("category", checked_category(F.col("category"))).withColumn("__last", last_priced)
+    status = F.col("http_status") if "http_status" in attempts.columns else F.lit(None)
+    rows = attempts.withColumn("category", checked_category(F.col("category"))).withColumn("__status", status.cast("bigint")).withColumn("__last", last_priced)
     after = F.col("__last").isNull() | (at > F.col("__last"))
     out = rows.groupBy("card_slug").agg(
         F.count(F.when((F.col("category") == "page_reached_no_price") & after, 1)).alias("n"),
         F.max(F.col("__last").isNotNull()).alias("priced"),
         F.max_by("category", at).alias("last_result_category"),
+        F.max_by("__status", F.when(F.col("__status").isNotNull(), at)).alias("last_http_status"),
         F.max("attempted_at").alias("last_attempted_at"),
         F.max(F.when(F.col("category").isin(*REACHED), F.col("attempted_at"))).alias("last_successful_fetch_at"),
     )
-    if prior is not None:
-        out = out.join(prior.select("card_slug", F.col("no_price_streak").alias("before")), "card_slug", "left")
-    before = F.coalesce("before", F.lit(0)) if prior is not None else F.lit(0)
-    return out.select("card_slug", (F.col("n") + F.when(F.col("priced"), 0).otherwise(before)).cast("bigint").alias("no_price_streak"), "last_result_category", "last_attempted_at", "last_successful_fetch_at")
+    kept = {"no_price_streak": "bigint", "last_http_status": "bigint", "last_successful_fetch_at": "timestamp"}
+    stored = [(F.col(c) if prior is not None and c in prior.columns else F.lit(None)).cast(t).alias(f"__{c}") for c, t in kept.items()]
+    out = out.select("*", *stored) if prior is None else out.join(prior.select("card_slug", *stored), "card_slug", "left")
+    streak = F.col("n") + F.when(F.col("priced"), 0).otherwise(F.coalesce("__no_price_streak", F.lit(0)))
+    newer = lambda c: F.coalesce(c, f"__{c}").alias(c)
+    return out.select("card_slug", streak.cast("bigint").alias("no_price_streak"), "last_result_category", newer("last_http_status"), "last_attempted_at", newer("last_successful_fetch_at"))

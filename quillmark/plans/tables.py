@@ -19,10 +19,11 @@ from quillmark.sources import standins as t
 from quillmark.streaming import events as ev
 
 TODAY = dt.datetime(2024, 1, 30)
+CHANGE = ("page_id", "event_id", "event_type", "old_value", "new_value", "significance", "alert")
 
 
 def state_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ev.changes(t.observations(spark, sf_dir)).select("page_id", "event_id", "event_type", "significance", "alert")
+    return ev.changes(t.observations(spark, sf_dir)).select(*CHANGE)
 
 
 def deduplicated_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,8 +32,7 @@ def deduplicated_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def attempt_streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = t.attempts(spark, sf_dir).withColumn("category", F.when(F.col("category") == "page_reached_priced", "priced").otherwise(F.col("category")))
-    return sc.streaks(rows, order=("attempted_at", "event_id")).select("card_slug", "no_price_streak", "last_result_category")
+    return sc.streaks(t.attempts(spark, sf_dir), t.stored_streaks(spark, sf_dir), order=("attempted_at", "event_id")).withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("last_attempted_at", "last_successful_fetch_at")})
 
 
 def hourly_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,15 +190,25 @@ QUERIES = {
 }
 
 _SIG = "CASE {0} WHEN 'in_stock' THEN 10 ELSE 0 END"
+_STATE = "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in t.STATES.items()) + " ELSE 'unknown' END"
+_SIGN = "CASE {0} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in ev.SIGNIFICANCE.items()) + " ELSE 0 END"
+_ALERT = "(old, st) IN (" + ", ".join(f"('{a}', '{b}')" for a, b in ev.ALERTS) + ")"
 _CHANGES = f"""
-w AS (SELECT *, coalesce(lag(event_type) OVER u, 'unknown') AS old, last_value(value IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM events WINDOW u AS (PARTITION BY user_id ORDER BY ts, event_id)),
-ch AS (SELECT CAST(user_id AS VARCHAR) AS page_id, event_id, ts, event_type AS new_value, CASE WHEN old <> event_type THEN 'stock_change' ELSE 'price_change' END AS kind FROM w WHERE old <> event_type OR (before <> 0 AND value <> 0 AND value < before * 0.95::DOUBLE))"""
+good AS (SELECT *, {_STATE} AS st FROM events WHERE event_id % 13 <> 0),
+w AS (SELECT *, coalesce(lag(st) OVER u, 'unknown') AS old, last_value(value IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM good WINDOW u AS (PARTITION BY user_id ORDER BY ts, event_id)),
+ch AS (SELECT CAST(user_id AS VARCHAR) AS page_id, event_id, ts, CASE WHEN old <> st THEN 'stock_change' ELSE 'price_change' END AS kind, CASE WHEN old <> st THEN old ELSE CAST(before AS VARCHAR) END AS old_value, CASE WHEN old <> st THEN st ELSE CAST(value AS VARCHAR) END AS new_value,
+       CAST(CASE WHEN old <> st THEN greatest({_SIGN.format("old")}, {_SIGN.format("st")}) ELSE 7 END AS BIGINT) AS significance, CASE WHEN old = st OR {_ALERT} THEN 'true' ELSE 'false' END AS alert
+       FROM w WHERE old <> st OR (before <> 0 AND value <> 0 AND value < before * 0.95::DOUBLE))"""
 _STREAKS = """
-att AS (SELECT CAST(user_id AS VARCHAR) AS card_slug, ts, event_id, CASE event_type WHEN 'purchase' THEN 'priced' WHEN 'view' THEN 'page_reached_no_price' ELSE 'transient_http_failure' END AS category FROM events),
+att AS (SELECT CAST(user_id AS VARCHAR) AS card_slug, ts, event_id, CASE event_type WHEN 'purchase' THEN 'priced' WHEN 'view' THEN 'page_reached_no_price' WHEN 'click' THEN 'transient_http_failure' WHEN 'error' THEN 'timeout' ELSE 'not_found' END AS category,
+        CASE event_type WHEN 'purchase' THEN 200 WHEN 'view' THEN 200 WHEN 'click' THEN 503 WHEN 'signup' THEN 404 END AS status FROM events),
 lp AS (SELECT *, max(CASE WHEN category = 'priced' THEN (ts, event_id) END) OVER (PARTITION BY card_slug) AS lp FROM att),
-st AS (SELECT card_slug, count(*) FILTER (category = 'page_reached_no_price' AND (lp IS NULL OR (ts, event_id) > lp)) AS no_price_streak, arg_max(category, (ts, event_id)) AS last_result_category FROM lp GROUP BY 1)"""
+ag AS (SELECT card_slug, count(*) FILTER (category = 'page_reached_no_price' AND (lp IS NULL OR (ts, event_id) > lp)) AS n, bool_or(lp IS NOT NULL) AS priced, arg_max(category, (ts, event_id)) AS last_result_category, arg_max(status, (ts, event_id)) FILTER (status IS NOT NULL) AS status,
+       max(ts) AS last_attempted_at, max(ts) FILTER (category IN ('priced', 'page_reached_no_price')) AS reached FROM lp GROUP BY 1),
+pri AS (SELECT CAST(c_custkey AS VARCHAR) AS card_slug, c_custkey % 5 AS n0, CASE WHEN c_custkey % 2 = 0 THEN TIMESTAMP '2023-12-01' + to_minutes(c_custkey) END AS reached0 FROM customer WHERE c_custkey % 3 = 0),
+st AS (SELECT ag.card_slug, CAST(n + CASE WHEN priced THEN 0 ELSE coalesce(n0, 0) END AS BIGINT) AS no_price_streak, last_result_category, CAST(coalesce(status, CASE WHEN n0 IS NOT NULL THEN 200 END) AS BIGINT) AS last_http_status, last_attempted_at, coalesce(reached, reached0) AS last_successful_fetch_at FROM ag LEFT JOIN pri USING (card_slug))"""
 _COHORTS = f"""{_STREAKS}, pr AS (SELECT card_slug, arg_max(raw_usd, date) FILTER (raw_usd IS NOT NULL) % 500 AS price FROM prices GROUP BY 1),
-co AS (SELECT st.card_slug, CASE WHEN price >= 200 THEN 'DAILY_VALUE' WHEN price > 0 THEN 'WEEKLY_LOW' WHEN last_result_category = 'transient_http_failure' THEN 'DAILY_DISCOVERY' WHEN no_price_streak >= 3 THEN 'WEEKLY_UNPRICED' ELSE 'DAILY_DISCOVERY' END AS cohort FROM st LEFT JOIN pr USING (card_slug))"""
+co AS (SELECT st.card_slug, CASE WHEN price >= 200 THEN 'DAILY_VALUE' WHEN price > 0 THEN 'WEEKLY_LOW' WHEN last_result_category IN ('transient_http_failure', 'timeout') THEN 'DAILY_DISCOVERY' WHEN no_price_streak >= 3 THEN 'WEEKLY_UNPRICED' ELSE 'DAILY_DISCOVERY' END AS cohort FROM st LEFT JOIN pr USING (card_slug))"""
 
 
 def _any(text: str, words: tuple[str, ...]) -> str:
@@ -213,10 +223,10 @@ _NAME = "lower(p_name || ' & Co''s [' || p_type || '] #' || p_size)"
 _TEXT = r"""lower(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '(?is)<script\b.*?</script\s*>', ' ', 'g'), '(?is)<style\b.*?</style\s*>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')))"""
 
 SQL = {
-    "state_changes": f"WITH {_CHANGES} SELECT page_id, event_id, kind AS event_type, CAST(CASE kind WHEN 'stock_change' THEN 0 ELSE 7 END AS BIGINT) AS significance, CASE kind WHEN 'stock_change' THEN 'false' ELSE 'true' END AS alert FROM ch",
+    "state_changes": f"WITH {_CHANGES} SELECT page_id, event_id, kind AS event_type, old_value, new_value, significance, alert FROM ch",
     "deduplicated_changes": f"WITH {_CHANGES} SELECT DISTINCT page_id, kind AS event_type, new_value, date_trunc('hour', ts) AS hour FROM ch WHERE kind = 'stock_change'",
     "attempt_streaks": f"WITH {_STREAKS} SELECT * FROM st",
-    "hourly_events": "SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n FROM events GROUP BY 1, 2",
+    "hourly_events": f"SELECT date_trunc('hour', ts) AS hour, {_STATE} AS event_type, count(*) AS n FROM events GROUP BY 1, 2",
     "cohort_counts": f"WITH {o.PRICES},{_COHORTS} SELECT c AS cohort, count(co.cohort) AS n FROM (VALUES ('DAILY_VALUE'), ('WEEKLY_LOW'), ('DAILY_DISCOVERY'), ('WEEKLY_UNPRICED')) x(c) LEFT JOIN co ON co.cohort = c GROUP BY 1",
     "cohort_cards": f"WITH {o.PRICES},{_COHORTS} SELECT card_slug, cohort FROM co WHERE cohort IN ('WEEKLY_LOW', 'WEEKLY_UNPRICED')",
     "rotation_slice": """SELECT CAST(c_custkey AS VARCHAR) AS provider_card_id, p AS position, p - s + 1 AS number FROM (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS p, 700 % count(*) OVER () AS s FROM customer) WHERE p >= s AND p < s + 300""",

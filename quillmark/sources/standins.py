@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmark.functions.numbers import dollars_to_cents
+from quillmark.operators.scheduling import attempt_category
 
 #: Which event type or return flag stands for which grade column.
 DAILY_GRADES = {"view": "raw_usd", "click": "psa9_usd", "purchase": "psa10_usd", "signup": "psa8_usd", "error": "psa7_usd"}
@@ -83,14 +84,43 @@ def population(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(F.col("p_brand").alias("set_name"), F.col("p_partkey").cast("string").alias("card_number"), F.col("p_name").alias("card_name"), "psa_7", "psa_8", "psa_9", "psa_10", "total_graded")
 
 
+#: Which event type stands for which state of a page.
+STATES = {"view": "in_stock", "click": "sold_out", "purchase": "unavailable", "signup": "preorder_open", "error": "low_stock"}
+
+
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Page observations: users as pages, event types as states."""
+    """Page observations: users as pages, event types as states; every thirteenth failed."""
     e = read(spark, sf_dir, "events")
-    return e.select(F.col("user_id").cast("string").alias("page_id"), F.col("event_id"), F.col("event_type").alias("stock_state"), F.col("value").alias("price"), F.col("ts").cast("timestamp").alias("observed_at"))
+    state = F.lit("unknown")
+    for kind, name in STATES.items():
+        state = F.when(F.col("event_type") == kind, name).otherwise(state)
+    failed = F.when(F.col("event_id") % 13 == 0, "timeout")
+    return e.select(F.col("user_id").cast("string").alias("page_id"), F.col("event_id"), state.alias("stock_state"), F.col("value").alias("price"), F.col("ts").cast("timestamp").alias("observed_at"), failed.alias("error"))
+
+
+#: Which event type stands for which result of a fetch, whether a price was there, and the status of the answer.
+FETCHES = {"purchase": ("ok", True, 200), "view": ("ok", False, 200), "click": ("transient_http_failure", False, 503), "error": ("timeout", False, None), "signup": ("not_found", False, 404)}
 
 
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fetch attempts: purchases are priced, views reach a page without a price, the rest fail in passing."""
+    """Fetch attempts by event type, with the category that result and price make."""
+    e = read(spark, sf_dir, "events")
+    fetch, priced, status = F.lit(None).cast("string"), F.lit(False), F.lit(None).cast("bigint")
+    for kind, (result, found, code) in FETCHES.items():
+        own = F.col("event_type") == kind
+        fetch, priced, status = F.when(own, result).otherwise(fetch), F.when(own, found).otherwise(priced), F.when(own, F.lit(code).cast("bigint")).otherwise(status)
+    return e.select(F.col("user_id").cast("string").alias("card_slug"), "event_id", attempt_category(fetch, priced).alias("category"), status.alias("http_status"), F.col("ts").cast("timestamp").alias("attempted_at"))
+
+
+def stored_streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state before the attempts: every third customer has a stored row."""
+    c = read(spark, sf_dir, "customer").where("c_custkey % 3 = 0")
+    k = F.col("c_custkey")
+    reached = F.timestamp_seconds(F.lit(1_701_388_800) + k * 60)
+    return c.select(k.cast("string").alias("card_slug"), (k % 5).cast("bigint").alias("no_price_streak"), F.lit("page_reached_no_price").alias("last_result_category"), F.lit(200).cast("bigint").alias("last_http_status"), reached.alias("last_attempted_at"), F.when(k % 2 == 0, reached).alias("last_successful_fetch_at"))
+
+
+def scraped_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings by user and event type, scraped at the event's time."""
     e = read(spark, sf_dir, "events")
-    kind = F.when(F.col("event_type") == "purchase", "page_reached_priced").when(F.col("event_type") == "view", "page_reached_no_price").otherwise("transient_http_failure")
-    return e.select(F.col("user_id").cast("string").alias("card_slug"), "event_id", kind.alias("category"), F.col("ts").cast("timestamp").alias("attempted_at"))
+    return e.select(F.col("user_id").cast("string").alias("card_slug"), F.when(F.col("event_type") == "error", "uk").otherwise("us").alias("marketplace"), F.concat_ws("-", F.col("user_id").cast("string"), "event_type").alias("ebay_item_id"), F.col("value").alias("price"), F.col("ts").cast("timestamp").alias("scraped_at"))

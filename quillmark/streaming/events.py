@@ -74,7 +74,7 @@ class _PageState(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("page", StructType([StructField("state", StringType()), StructField("price", DoubleType())]))
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         old, before = self.state.get() if self.state.exists() else ("unknown", None)
         out = []
         frame = pd.concat(list(rows)).sort_values(["observed_at", "event_id"], kind="stable")
@@ -104,39 +104,132 @@ def deduplicated(events: DataFrame, delay: str = "2 hours") -> DataFrame:
     return keyed.withWatermark("observed_at", delay).dropDuplicatesWithinWatermark(["event_hash"]) if events.isStreaming else keyed.dropDuplicates(["event_hash"])
 
 
-STREAKS = StructType([StructField("card_slug", StringType()), StructField("no_price_streak", LongType()), StructField("last_result_category", StringType()), StructField("last_attempted_at", TimestampType()), StructField("last_successful_fetch_at", TimestampType())])
+STREAKS = StructType([
+    StructField("card_slug", StringType()), StructField("no_price_streak", LongType()), StructField("last_result_category", StringType()), StructField("last_http_status", LongType()),
+    StructField("last_attempted_at", TimestampType()), StructField("last_successful_fetch_at", TimestampType()),
+])
+
+
+def _present(value):
+    return None if value is None or pd.isna(value) else value
 
 
 class _Streak(StatefulProcessor):
+    """A card's whole stored row is its state, so a micro-batch never loses a field that it has nothing new for."""
+
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("streak", StructType([StructField("n", LongType()), StructField("reached", TimestampType())]))
+        self.state = handle.getValueState("streak", StructType(STREAKS.fields[1:]))
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        n, reached = self.state.get() if self.state.exists() else (0, None)
-        category = at = None
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        n, category, status, at, reached = self.state.get() if self.state.exists() else (0, None, None, None, None)
         frame = pd.concat(list(rows)).sort_values(["attempted_at", "event_id"], kind="stable")
-        for category, at in zip(frame["category"], frame["attempted_at"], strict=True):
+        for category, at, code in zip(frame["category"], frame["attempted_at"], frame["http_status"], strict=True):
             if category not in CATEGORIES:
                 raise ValueError(f"invalid attempt category {category!r}")
             n = 0 if category == "priced" else n + (category == "page_reached_no_price")
+            status = status if pd.isna(code) else int(code)
             reached = at if category in REACHED else reached
-        self.state.update((n, reached))
-        yield pd.DataFrame([(key[0], n, category, at, reached)], columns=STREAKS.names)
+        row = (n, category, status, at, reached)
+        self.state.update(tuple(x.to_pydatetime() if isinstance(x, pd.Timestamp) else x for x in row))
+        out = pd.DataFrame([(key[0], *row)], columns=STREAKS.names)
+        yield out.astype({"last_http_status": "Int64", "last_attempted_at": "datetime64[us]", "last_successful_fetch_at": "datetime64[us]"})
 
-    def handleInitialState(self, key, initial: pd.DataFrame, timer_values) -> None:
-        self.state.update((int(initial["no_price_streak"].iloc[0]), None))
+    def handleInitialState(self, key, initial: pd.DataFrame, timerValues) -> None:
+        n, *others = (_present(initial[c].iloc[0]) for c in STREAKS.names[1:])
+        category, status, at, reached = (x.to_pydatetime() if isinstance(x, pd.Timestamp) else x for x in others)
+        self.state.update((int(n or 0), category, None if status is None else int(status), at, reached))
 
     def close(self) -> None:
         pass
 
 
+def _as_streaks(rows: DataFrame) -> DataFrame:
+    """The columns of a stored streak; what ``rows`` doesn't have is null."""
+    return rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in STREAKS.fields])
+
+
 def streak_stream(attempts: DataFrame, prior: DataFrame | None = None) -> DataFrame:
-    """New state per card and micro-batch; ``prior`` (card_slug, no_price_streak) is the state to start from."""
-    own = attempts.select("card_slug", F.col("event_id").cast("long").alias("event_id"), "category", F.col("attempted_at").cast("timestamp").alias("attempted_at"))
-    start = None if prior is None else prior.select("card_slug", F.col("no_price_streak").cast("long").alias("no_price_streak")).groupBy("card_slug")
+    """New state per card and micro-batch; ``prior`` (card_slug and any columns of ``STREAKS``) is the stored state to start from."""
+    status = F.col("http_status") if "http_status" in attempts.columns else F.lit(None)
+    own = attempts.select("card_slug", F.col("event_id").cast("long").alias("event_id"), "category", status.cast("long").alias("http_status"), F.col("attempted_at").cast("timestamp").alias("attempted_at"))
+    start = None if prior is None else _as_streaks(prior).groupBy("card_slug")
     return own.groupBy("card_slug").transformWithStateInPandas(_Streak(), STREAKS, "update", "none", initialState=start)
 
 
+LISTING_KEY = ("card_slug", "marketplace", "ebay_item_id")
+LISTINGS = StructType([
+    *[StructField(c, StringType()) for c in LISTING_KEY], StructField("price", DoubleType()), StructField("scraped_at", TimestampType()), StructField("kind", StringType()),
+])
+
+
+class _Listing(StatefulProcessor):
+    """The newest row of a listing, and an event-time timer for the end of its life.
+
+    The timer is moved when a newer row comes, so a listing is forgotten ``life_ms`` after its newest row also when nothing comes
+    for its key any more. Only the state of live listings is kept.
+    """
+
+    def __init__(self, life_ms: int):
+        self.life_ms = life_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.newest = handle.getValueState("newest", StructType([StructField("price", DoubleType()), StructField("us", LongType())]))
+
+    def _ends(self, us: int) -> int:
+        """The first millisecond at which a row of this time is older than a life."""
+        return us // 1000 + self.life_ms + 1
+
+    def _out(self, key, price: float | None, us: int, kind: str) -> pd.DataFrame:
+        return pd.DataFrame([(*key, price, pd.Timestamp(us, unit="us"), kind)], columns=LISTINGS.names).astype({"price": "float64"})
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        frame = pd.concat(list(rows)).sort_values(["scraped_at", "price"], kind="stable")
+        last = frame.iloc[-1]
+        us, price = int(pd.Timestamp(last["scraped_at"]).value // 1000), _present(last["price"])
+        known = self.newest.get() if self.newest.exists() else None
+        if known is not None and known[1] > us:
+            return
+        # A row that is over already would set a timer for a time that the watermark has passed.
+        if self._ends(us) <= timerValues.getCurrentWatermarkInMs():
+            return
+        if known is not None:
+            self.handle.deleteTimer(self._ends(known[1]))
+        self.newest.update((None if price is None else float(price), us))
+        self.handle.registerTimer(self._ends(us))
+        yield self._out(key, price, us, "listed" if known is None else "updated")
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        price, us = self.newest.get()
+        self.newest.clear()
+        yield self._out(key, price, us, "expired")
+
+    def close(self) -> None:
+        pass
+
+
+def listing_stream(listings: DataFrame, days: float = 1, delay: str = "0 seconds") -> DataFrame:
+    """What happens to listings: listed, updated, and expired as soon as the watermark is more than ``days`` after their newest row.
+
+    Rows without a time are left out; rows later than ``delay`` behind the newest time of earlier micro-batches are dropped by the watermark.
+    """
+    own = listings.where("scraped_at is not null").select(*[F.col(c).cast("string").alias(c) for c in LISTING_KEY], F.col("price").cast("double").alias("price"), F.col("scraped_at").cast("timestamp").alias("scraped_at"))
+    keyed = own.withWatermark("scraped_at", delay).groupBy(*LISTING_KEY)
+    return keyed.transformWithStateInPandas(_Listing(int(days * 86_400_000)), LISTINGS, "append", "eventTime")
+
+
+def live_listings(happened: DataFrame) -> DataFrame:
+    """The listings that ``listing_stream`` has not let expire: the last row of each, unless it says so."""
+    last = happened.groupBy(*LISTING_KEY).agg(F.max_by(F.struct("price", "scraped_at", "kind"), F.struct("scraped_at", (F.col("kind") == "expired").cast("int"))).alias("l"))
+    return last.where("l.kind <> 'expired'").select(*LISTING_KEY, "l.price", "l.scraped_at")
+
+
+def newest_listings(listings: DataFrame, as_of: Column, days: float = 1) -> DataFrame:
+    """Batch form of ``live_listings``: the newest row of each listing that is not older than ``days`` at ``as_of``."""
+    newest = listings.groupBy(*LISTING_KEY).agg(F.max(F.struct("scraped_at", "price")).alias("l")).select(*LISTING_KEY, "l.price", "l.scraped_at")
+    return newest.where(F.unix_micros("scraped_at") >= F.unix_micros(as_of) - F.lit(int(days * 86_400_000_000)))
+
+
 def sales_batches(path: str, schema: str, most: int = 5, buckets: int = 256) -> Callable[[DataFrame, int], None]:
     """For ``foreachBatch``: reconciles the table under ``path`` with each micro-batch of sale rows.
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quillmark.operators import scheduling
 from quillmark.sources import sinks
 from quillmark.streaming import events as ev
+from quillmark.streaming import runs
 
 pytest.importorskip("google.protobuf")
 
@@ -106,3 +107,57 @@ def test_run_listener():
     for batch_id, metrics in enumerate([{"run": Row(rows=3, alerts=1)}, {"other": Row(rows=1)}]):
         listener.onQueryProgress(SimpleNamespace(progress=SimpleNamespace(name="q", batchId=batch_id, observedMetrics=metrics)))
     assert found == [{"query": "q", "batch_id": 0, "rows": 3, "alerts": 1}]
+
+
+LISTINGS = "card_slug string, marketplace string, ebay_item_id string, price double, scraped_at timestamp"
+START = dt.datetime(2024, 1, 1)
+
+
+def listed(spark, *rows):
+    return spark.createDataFrame([("c", "m", i, p, None if h is None else START + dt.timedelta(hours=h)) for i, p, h in rows], LISTINGS)
+
+
+def arrivals(spark, folder, *batches):
+    """What the listing stream says when these batches arrive one after the other."""
+    for k, batch in enumerate(batches):
+        batch.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        with runs.stateful(spark):
+            runs.to_the_end(ev.listing_stream(spark.readStream.schema(LISTINGS).parquet(f"{folder}/in")), f"{folder}/out", f"{folder}/state", f"listings-{k}")
+    return spark.read.schema(ev.LISTINGS).parquet(f"{folder}/out")
+
+
+def test_timers_forget_listings_without_new_input(spark, tmp_path):
+    found = arrivals(spark, tmp_path, listed(spark, ("a", 1.0, 0), ("b", 2.0, 1), ("b", 3.0, 2), ("n", 1.0, None)), listed(spark, ("d", 4.0, 25)), listed(spark, ("b", 5.0, 26), ("a", 9.0, 26)), listed(spark, ("z", None, 60)))
+    said = [(r["ebay_item_id"], r["price"], (r["scraped_at"] - START).total_seconds() / 3600, r["kind"]) for r in found.collect()]
+    # a is forgotten at hour 24 though nothing came for it, and comes back as new; b, d and a are over by hour 60.
+    assert sorted(said, key=str) == sorted([("a", 1.0, 0, "listed"), ("b", 3.0, 2, "listed"), ("a", 1.0, 0, "expired"), ("d", 4.0, 25, "listed"), ("b", 5.0, 26, "updated"), ("a", 9.0, 26, "listed"), ("b", 5.0, 26, "expired"), ("a", 9.0, 26, "expired"), ("d", 4.0, 25, "expired"), ("z", None, 60, "listed")], key=str)
+    assert [r["ebay_item_id"] for r in ev.live_listings(found).collect()] == ["z"]
+    # The state itself holds live listings only.
+    with runs.stateful(spark):
+        state = spark.read.format("statestore").option("stateVarName", "newest").load(f"{tmp_path}/state")
+        assert [r["key"]["ebay_item_id"] for r in state.collect()] == ["z"]
+
+
+def test_a_day_is_kept_and_a_moment_more_is_not(spark, tmp_path):
+    batch = [("x", 1.0, 0), ("y", 1.0, 0.001), ("now", 1.0, 24.0005)]
+    found = arrivals(spark, tmp_path, listed(spark, *batch))
+    assert {r["ebay_item_id"] for r in ev.live_listings(found).collect()} == {"y", "now"}
+    assert {r["ebay_item_id"] for r in ev.newest_listings(listed(spark, *batch), F.lit(START + dt.timedelta(hours=24.0005))).collect()} == {"y", "now"}
+
+
+def test_streak_keeps_every_stored_field(spark, tmp_path):
+    schema = "card_slug string, event_id bigint, category string, http_status bigint, attempted_at timestamp"
+    at = lambda h: START + dt.timedelta(hours=h)
+    rows = spark.createDataFrame([("a", 1, "timeout", None, at(0)), ("b", 2, "page_reached_no_price", 200, at(1)), ("a", 3, "not_found", 404, at(2)), ("c", 4, "timeout", None, at(3)), ("a", 5, "timeout", None, at(4))], schema)
+    prior = spark.createDataFrame([("a", 4, "priced", 200, at(-9), at(-9)), ("c", 2, None, None, None, None), ("b", 1, "timeout", 500, at(-5), at(-6))], ev.STREAKS)
+    states = runs.in_slices(rows, "attempted_at", lambda s: ev.streak_stream(s, prior), "streak-test", slices=2)
+    last = {r["card_slug"]: tuple(r)[1:] for r in states.orderBy("last_attempted_at").collect()}
+    expected = {"a": (4, "timeout", 404, at(4), at(-9)), "b": (2, "page_reached_no_price", 200, at(1), at(1)), "c": (2, "timeout", None, at(3), None)}
+    assert last == expected
+    batch = scheduling.streaks(rows, prior, order=("attempted_at", "event_id"))
+    assert {r["card_slug"]: tuple(r)[1:] for r in batch.select(ev.STREAKS.names).collect()} == expected
+
+
+def test_slices_of_an_empty_table(spark):
+    empty = spark.createDataFrame([], LISTINGS)
+    assert runs.in_slices(empty, "scraped_at", ev.listing_stream, "empty-test").count() == 0
