@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quillmark.functions.numbers import ratio
 from quillmark.functions.text import bare_slug
+from quillmark.operators.history import anchor_days, on_anchor_days
 from quillmark.operators.timeseries import latest_date
 
 PRICES = ("raw_usd", "psa7_usd", "psa8_usd", "psa9_usd", "cgc95_usd", "psa10_usd")
@@ -35,6 +36,21 @@ def spread_daily(prices: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     rows = prices.where(F.col("date").isin(wanted)).select(bare_slug(F.col("card_slug")).alias("card_slug"), "date", *have)
     at = lambda d, c: F.max(F.when(F.col("date") == F.lit(anchors[d]).cast("date"), F.col(c) if c in have else F.lit(None).cast("bigint"))).alias(f"{c}_{d}")
     wide = rows.groupBy("card_slug").agg(*[at(0, c) for c in PRICES], *[at(d, c) for d in (30, 90) for c in ("raw_usd", "psa9_usd", "psa10_usd")])
+    return _premiums(wide, as_of)
+
+
+def history_spread(history: DataFrame, as_of: dt.date) -> DataFrame:
+    """``spread_daily`` over a history that is partitioned by date: only the partitions of three days are read."""
+    kinds = {"0": 0, "30": 30, "90": 90}
+    have = [c for c in PRICES if c in history.columns]
+    rows = on_anchor_days(history, anchor_days(history, as_of, kinds)).where((F.col("kind") != "0") | (F.col("date") == F.lit(as_of)))
+    at = lambda k, c: F.max(F.when(F.col("kind") == k, F.col(c) if c in have else F.lit(None).cast("bigint"))).alias(f"{c}_{k}")
+    wide = rows.groupBy(bare_slug(F.col("card_slug")).alias("card_slug")).agg(*[at("0", c) for c in PRICES], *[at(k, c) for k in ("30", "90") for c in ("raw_usd", "psa9_usd", "psa10_usd")])
+    return _premiums(wide, as_of)
+
+
+def _premiums(wide: DataFrame, as_of: dt.date | None) -> DataFrame:
+    """Ratios of an item's prices today (``_0``) and at two anchors, for items with a raw and a graded price today."""
     now = lambda c: F.col(f"{c}_0")
     graded = [now(c) for c in ("psa7_usd", "psa8_usd", "psa9_usd", "psa10_usd")]
     wide = wide.where((now("raw_usd") != 0) & (F.greatest(*[F.coalesce(g, F.lit(0)) for g in graded]) > 0))

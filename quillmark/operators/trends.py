@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quillmark.functions.numbers import pct_change
 from quillmark.functions.text import bare_slug
+from quillmark.operators.history import anchor_days, on_anchor_days
 from quillmark.operators.spread import anchor_dates
 from quillmark.operators.timeseries import latest_date
 
@@ -42,6 +43,11 @@ def card_trends(prices: DataFrame, cards: DataFrame, as_of: dt.date | None = Non
         *[at(anchors[d], "raw_usd").alias(f"raw_{h}") for h, d in HORIZONS.items()],
         *[at(anchors[d], "psa10_usd").alias(f"psa10_{h}") for h, d in HORIZONS.items() if h in ("30d", "90d")],
     )
+    return _changes(wide, cards, as_of)
+
+
+def _changes(wide: DataFrame, cards: DataFrame, as_of: dt.date) -> DataFrame:
+    """Catalogued items with their prices at the anchors, and the changes since."""
     instead = lambda g, h: F.when((F.lit(h) == "30d") & F.col("at_30").isNull(), F.col("fallback")[f"{g}_usd"]).otherwise(F.col(f"{g}_{h}"))
     raw: dict[str, Column] = {h: instead("raw", h) for h in HORIZONS}
     ten: dict[str, Column] = {h: instead("psa10", h) for h in ("30d", "90d")}
@@ -54,6 +60,23 @@ def card_trends(prices: DataFrame, cards: DataFrame, as_of: dt.date | None = Non
     )
 
 
+def history_trends(history: DataFrame, cards: DataFrame, as_of: dt.date) -> DataFrame:
+    """``card_trends`` over a history that is partitioned by date: the anchor days are a table, and the join with it prunes the scan to their partitions."""
+    days = anchor_days(history, as_of, HORIZONS | {"today": 0}, fallback=("30d", *FALLBACK_DAYS))
+    rows = on_anchor_days(history, days).select(bare_slug(F.col("card_slug")).alias("card_slug"), "kind", "date", "raw_usd", "psa9_usd", "psa10_usd")
+    at = lambda kind, c: F.max(F.when(F.col("kind") == kind, F.col(c)))
+    today = (F.col("kind") == "today") & (F.col("date") == F.lit(as_of))
+    wide = rows.groupBy("card_slug").agg(
+        F.max(F.when(today, True)).alias("today"),
+        F.max(F.when(F.col("kind") == "30d", True)).alias("at_30"),
+        F.max_by(F.struct("raw_usd", "psa10_usd"), F.when(F.col("kind") == "near", F.col("date"))).alias("fallback"),
+        *[F.max(F.when(today, F.col(f"{g}_usd"))).alias(f"current_{g}") for g in ("raw", "psa10", "psa9")],
+        *[at(h, "raw_usd").alias(f"raw_{h}") for h in HORIZONS],
+        *[at(h, "psa10_usd").alias(f"psa10_{h}") for h in ("30d", "90d")],
+    )
+    return _changes(wide, cards, as_of)
+
+
 def null_rates(trends: DataFrame) -> DataFrame:
     """How often each horizon has no earlier price."""
     counts = [F.count(F.when(F.col(f"raw_{h}_ago").isNull(), 1)).alias(h) for h in HORIZONS]
