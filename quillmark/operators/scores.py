@@ -9,30 +9,30 @@ from pyspark.sql import functions as F
 
 from quillmark.functions.numbers import clamp, rounded
 from quillmark.functions.text import era
+from quillmark.operators.medians import exact_medians
 
 NEAR_DAYS = 5
 
 
 def index_row(prices: DataFrame, as_of: dt.date) -> DataFrame:
-    """Totals, counts and medians of one day. Medians are exact and floored."""
-    raw, ten = (F.when(F.col(c) > 0, F.col(c)) for c in ("raw_usd", "psa10_usd"))
-    whole = F.coalesce("raw_usd", F.lit(0)) + F.coalesce("psa9_usd", F.lit(0)) + F.coalesce("psa10_usd", F.lit(0))
-    return prices.where(F.col("date") == F.lit(as_of)).agg(
-        F.coalesce(F.sum(raw), F.lit(0)).alias("total_raw_usd"), F.count(raw).alias("cards_with_raw_price"), F.floor(F.median(raw)).cast("bigint").alias("median_raw_usd"),
-        F.coalesce(F.sum(ten), F.lit(0)).alias("total_psa10_usd"), F.count(ten).alias("cards_with_psa10_price"), F.floor(F.median(ten)).cast("bigint").alias("median_psa10_usd"),
-        F.sum(whole).alias("total_combined_usd"), F.count("*").alias("total_cards_tracked"),
-    ).withColumn("date", F.lit(as_of).cast("date"))
+    """Totals, counts and medians of one day; zeros and no medians for a day without prices."""
+    day = prices.sparkSession.range(1).select(F.lit(as_of).cast("date").alias("date"))
+    found = day.join(index_history(prices.where(F.col("date") == F.lit(as_of))), "date", "left")
+    return found.fillna(0, [c for c in found.columns if c.startswith(("total_raw", "total_psa10", "total_cards", "cards_"))])
 
 
 def index_history(prices: DataFrame) -> DataFrame:
-    """The index of every day at once."""
+    """The index of every day at once. Medians are exact and floored, and selected by counting, so a day may have any number of items."""
     raw, ten = (F.when(F.col(c) > 0, F.col(c)) for c in ("raw_usd", "psa10_usd"))
     whole = F.coalesce("raw_usd", F.lit(0)) + F.coalesce("psa9_usd", F.lit(0)) + F.coalesce("psa10_usd", F.lit(0))
-    return prices.groupBy("date").agg(
-        F.coalesce(F.sum(raw), F.lit(0)).alias("total_raw_usd"), F.count(raw).alias("cards_with_raw_price"), F.floor(F.median(raw)).cast("bigint").alias("median_raw_usd"),
-        F.coalesce(F.sum(ten), F.lit(0)).alias("total_psa10_usd"), F.count(ten).alias("cards_with_psa10_price"), F.floor(F.median(ten)).cast("bigint").alias("median_psa10_usd"),
+    totals = prices.groupBy("date").agg(
+        F.coalesce(F.sum(raw), F.lit(0)).alias("total_raw_usd"), F.count(raw).alias("cards_with_raw_price"),
+        F.coalesce(F.sum(ten), F.lit(0)).alias("total_psa10_usd"), F.count(ten).alias("cards_with_psa10_price"),
         F.sum(whole).alias("total_combined_usd"), F.count("*").alias("total_cards_tracked"),
     )
+    both = prices.select("date", F.explode(F.array(F.struct(F.lit("raw").alias("kind"), raw.cast("bigint").alias("cents")), F.struct(F.lit("psa10").alias("kind"), ten.cast("bigint").alias("cents")))).alias("p")).select("date", "p.kind", "p.cents")
+    middle = exact_medians(both, ["date", "kind"], "cents").groupBy("date").agg(*[F.max(F.when(F.col("kind") == k, F.col("median"))).alias(f"median_{k}_usd") for k in ("raw", "psa10")])
+    return totals.join(middle, "date", "left")
 
 
 def nearest_index(history: DataFrame, targets: DataFrame, days: int = NEAR_DAYS) -> DataFrame:

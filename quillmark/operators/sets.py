@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillmark.functions.numbers import rounded
+from quillmark.operators.medians import exact_medians
 
 PERIODS = ("30d", "90d", "180d", "365d")
 
@@ -22,7 +23,7 @@ def set_metrics_daily(trends: DataFrame, cards: DataFrame, as_of: dt.date) -> Da
     """One row per set with at least two priced items.
 
     Ranks come from a window by set, which the aggregate reuses, so trends are shuffled once. Counts of the catalogue
-    are aggregated before the join.
+    are aggregated before the join; medians are selected by counting.
     """
     priced = trends.where("set_name <> '' and current_raw > 0")
     rank = F.row_number().over(W.partitionBy("set_name").orderBy(F.desc("current_raw"), "card_slug"))
@@ -36,7 +37,6 @@ def set_metrics_daily(trends: DataFrame, cards: DataFrame, as_of: dt.date) -> Da
         F.count(F.when(raw >= 1000, 1)).alias("cards_over_10"),
         F.count(F.when(raw >= 10_000, 1)).alias("cards_over_100"),
         total.alias("set_total_value"),
-        F.floor(F.median("current_raw")).cast("bigint").alias("set_median_value"),
         rounded(top(1) / total * 100, 1).alias("top1_share_pct"),
         F.when(n >= 5, rounded(top(5) / total * 100, 1)).alias("top5_share_pct"),
         F.when(n >= 10, rounded(top(10) / total * 100, 1)).alias("top10_share_pct"),
@@ -47,5 +47,6 @@ def set_metrics_daily(trends: DataFrame, cards: DataFrame, as_of: dt.date) -> Da
         mean(rk > 5).alias("rest_avg_pct_90d"),
     )
     counts = cards.where("set_name <> ''").groupBy("set_name").agg(F.count("*").alias("total_cards"))
-    out = grouped.where("priced_cards >= 2").join(counts, "set_name", "left").withColumn("total_cards", F.coalesce("total_cards", "priced_cards"))
+    medians = exact_medians(priced, ["set_name"], "current_raw").withColumnRenamed("median", "set_median_value")
+    out = grouped.where("priced_cards >= 2").join(medians, "set_name").join(counts, "set_name", "left").withColumn("total_cards", F.coalesce("total_cards", "priced_cards"))
     return out.withColumn("set_avg_value", F.expr("set_total_value div total_cards")).withColumn("divergence_90d", rounded(F.col("rest_avg_pct_90d") - F.col("top5_avg_pct_90d"), 1)).withColumn("as_of", F.lit(as_of).cast("date"))

@@ -2,31 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_WORDS = 3
 #: Names that the equi-join finds: up to MAX_WORDS letter runs with marks between them that the rule takes as they stand (or, a hyphen, as a space too).
 SIMPLE = rf"^[a-z]+([^a-z \\^$|?*+()\[\]{{}}]+[a-z]+){{0,{MAX_WORDS - 1}}}$"
+#: Signs by which a name is a pattern and not a text, as the rule takes it.
+PATTERN = r"[\\^$|?*+()\[\]{}]"
+#: Length of the beginnings by which other names are found.
+BEGINNING = 4
 
 
+def _spaced(text: Column) -> Column:
+    return F.replace(F.lower(text), F.lit("-"), F.lit(" "))
 
-def mentions_by_regex(cards: DataFrame, species: DataFrame) -> DataFrame:
-    """(card_slug, name): the rule itself, as a join on a regular expression; for checks, since it compares all pairs."""
-    form = F.concat(F.lit("(?<![a-z])"), F.regexp_replace(F.regexp_replace(F.lower("name"), r"\.", "\\\\."), "-", "[- ]"), F.lit("(?![a-z])"))
-    s = species.select("name", form.alias("form"))
-    return cards.select("card_slug", "card_name").join(s, F.expr("lower(card_name) rlike form")).select("card_slug", "name").distinct()
 
-
-def mentions(cards: DataFrame, species: DataFrame) -> DataFrame:
-    """(card_slug, name) by equi-join, and by the rule's pattern for the few names of another form.
-
-    Most species names are letters and marks between them; a hyphen also matches a space. An item's name yields every stretch of up to
-    ``MAX_WORDS`` letter runs with the marks as they stand. Equal stretches, hyphens read as spaces, are exactly the matches of
-    ``SIMPLE`` names: runs are whole, so no letter adjoins a match. Names with more runs, with another beginning or end (``porygon2``)
-    or with a space or a sign of the pattern language are joined by ``mentions_by_regex``.
-    """
-    plain = F.replace(F.lower("card_name"), F.lit("-"), F.lit(" "))
+def _stretched(cards: DataFrame, species: DataFrame) -> DataFrame:
+    """Names of letter runs by an equi-join on an item's stretches of runs."""
+    plain = _spaced(F.col("card_name"))
     runs = F.regexp_extract_all(plain, F.lit(r"[a-z]+"), F.lit(0))
     marks = F.split(plain, r"[a-z]+", -1)
 
@@ -37,10 +31,53 @@ def mentions(cards: DataFrame, species: DataFrame) -> DataFrame:
 
     stretches = F.array_distinct(F.concat(*[stretch(n) for n in range(1, MAX_WORDS + 1)]))
     exploded = cards.select("card_slug", F.explode(stretches).alias("key"))
-    simple = F.lower("name").rlike(SIMPLE)
-    keys = species.where(simple).select("name", F.replace(F.lower("name"), F.lit("-"), F.lit(" ")).alias("key"))
-    found = exploded.join(keys, "key").select("card_slug", "name")
-    return found.unionByName(mentions_by_regex(cards, species.where(~simple))).distinct()
+    return exploded.join(species.select("name", _spaced(F.col("name")).alias("key")), "key").select("card_slug", "name")
+
+
+def _begun(cards: DataFrame, species: DataFrame) -> DataFrame:
+    """Names of any characters, by an equi-join of their beginnings with those of the places of an item's name where a match can begin.
+
+    It is the first level of a trie over all names. A place follows anything but a letter. At a place the rest of the name is compared
+    as text; nothing is compared with all names, however many there are.
+    """
+    low = F.lower("card_name")
+    letter = lambda c: F.coalesce(c.between("a", "z"), F.lit(False))
+    places = F.filter(F.sequence(F.lit(1), F.greatest(F.char_length(low), F.lit(1))), lambda i: ~letter(F.substr(low, F.greatest(i - 1, F.lit(1)), F.lit(1))) | (i == 1))
+    at = cards.where(F.char_length("card_name") > 0).select("card_slug", low.alias("low"), F.explode(places).alias("i"))
+    keys = F.array_distinct(F.transform(F.sequence(F.lit(1), F.lit(BEGINNING)), lambda n: F.struct(n.alias("n"), F.substr(F.col("plain"), F.col("i"), n).alias("key"))))
+    begun = at.withColumn("plain", F.replace("low", F.lit("-"), F.lit(" "))).withColumn("k", F.explode(keys)).where(F.char_length("k.key") == F.col("k.n")).select("card_slug", "low", "plain", "i", F.col("k.key").alias("key"))
+    names = species.select("name", F.lower("name").alias("said"), _spaced(F.col("name")).alias("want"), F.left(_spaced(F.col("name")), F.lit(BEGINNING)).alias("key"))
+    met = begun.join(names, "key").where(F.substr("plain", F.col("i"), F.char_length("want")) == F.col("want"))
+    # A space in a name is a space only; hyphens were read as spaces on both sides.
+    here = F.substr("low", F.col("i"), F.char_length("want"))
+    strict = F.forall(F.sequence(F.lit(1), F.greatest(F.char_length("said"), F.lit(1))), lambda k: (F.substr("said", k, F.lit(1)) != " ") | (F.substr(here, k, F.lit(1)) == " "))
+    ends = ~letter(F.substr("low", F.col("i") + F.char_length("want"), F.lit(1)))
+    return met.where(ends & (~F.contains("said", F.lit(" ")) | strict)).select("card_slug", "name")
+
+
+def _patterned(cards: DataFrame, names: list[str]) -> DataFrame:
+    """Names with signs of the pattern language, as patterns, all in one pass over the items."""
+    form = lambda n: "(?<![a-z])" + n.lower().replace("-", "[- ]").replace(".", "\\.") + "(?![a-z])"
+    found = F.array_compact(F.array(*[F.when(F.rlike(F.lower("card_name"), F.lit(form(n))), F.lit(n)) for n in names]))
+    return cards.select("card_slug", F.explode(found).alias("name"))
+
+
+def mentions(cards: DataFrame, species: DataFrame, *, max_patterns: int = 200) -> DataFrame:
+    """(card_slug, name): the names that an item's name holds, in any case, with no letter next to them; a hyphen also matches a space.
+
+    Most species names are letters and marks between them (``SIMPLE``). An item's name yields every stretch of up to ``MAX_WORDS`` letter runs with
+    the marks as they stand, and equal stretches, hyphens read as spaces, are exactly the matches. Other names (``porygon2``, with a space, with more
+    runs) are found by their beginnings. Names with signs of the pattern language, of which there may be ``max_patterns``, are patterns.
+    An empty name is in no item.
+    """
+    species = species.where("name <> ''").select("name")
+    plain, pattern = F.lower("name").rlike(SIMPLE), F.col("name").rlike(PATTERN)
+    patterns = [r["name"] for r in species.where(pattern & ~plain).distinct().limit(max_patterns + 1).collect()]
+    if len(patterns) > max_patterns:
+        raise ValueError(f"more than {max_patterns} names are patterns")
+    own = cards.select("card_slug", "card_name")
+    found = _stretched(own, species.where(plain)).unionByName(_begun(own, species.where(~plain & ~pattern)))
+    return (found.unionByName(_patterned(own, sorted(patterns))) if patterns else found).distinct()
 
 
 def species_stats(cards: DataFrame, species: DataFrame, prices: DataFrame) -> DataFrame:

@@ -1,13 +1,14 @@
 """Vectors and properties of jobs: matching, retention, scheduling, pages, populations, sinks."""
 
 import datetime as dt
+import random
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quillmark.operators import catalogue, matching, pages, population, retention, scheduling, selections, species
+from quillmark.operators import catalogue, matching, medians, pages, population, retention, scheduling, scores, selections, species
 from quillmark.sources import readers, sinks
 
 ITEMS = [("1", "Charizard #4"), ("2", "Charizard [1st Edition] #4"), ("3", "Charizard [Shadowless] #4"), ("4", "Charizard [Reverse Holo] #4"), ("5", "Charizard #11")]
@@ -105,11 +106,18 @@ def test_streaks(spark):
         scheduling.streaks(df.withColumn("category", F.lit("odd"))).collect()
 
 
+def by_regex(cards, names):
+    """The rule itself, comparing all pairs."""
+    form = F.concat(F.lit("(?<![a-z])"), F.regexp_replace(F.regexp_replace(F.lower("name"), r"\.", "\\\\."), "-", "[- ]"), F.lit("(?![a-z])"))
+    pairs = cards.select("card_slug", "card_name").join(names.where("name <> ''").select("name", form.alias("form")), F.expr("lower(card_name) rlike form"))
+    return pairs.select("card_slug", "name").distinct()
+
+
 def test_species(spark):
     cards = spark.createDataFrame([("1", "Mr. Mime #6"), ("2", "Mr Mime GX"), ("3", "Mewtwo #10"), ("4", "Mew 151"), ("5", "Ho-Oh & Lugia"), ("6", "Ho Oh v2"), ("7", "mew2")], "card_slug string, card_name string")
     names = spark.createDataFrame([("mr-mime",), ("mew",), ("mewtwo",), ("ho-oh",), ("lugia",)], "name string")
     fast = sorted(map(tuple, species.mentions(cards, names).collect()))
-    assert fast == sorted(map(tuple, species.mentions_by_regex(cards, names).collect()))
+    assert fast == sorted(map(tuple, by_regex(cards, names).collect()))
     assert ("7", "mew") in fast and ("3", "mew") not in fast
 
 
@@ -117,10 +125,45 @@ def test_species_of_other_forms(spark):
     cards = spark.createDataFrame([("1", "Porygon2 #6"), ("2", "Porygon-Z"), ("3", "Tapu the great Koko V"), ("4", "Tapu-the great koko"), ("5", "Nidoran\u2640 8")], "card_slug string, card_name string")
     names = spark.createDataFrame([("porygon",), ("porygon2",), ("tapu-the-great-koko",), ("nidoran\u2640",)], "name string")
     fast = sorted(map(tuple, species.mentions(cards, names).collect()))
-    assert fast == sorted(map(tuple, species.mentions_by_regex(cards, names).collect()))
+    assert fast == sorted(map(tuple, by_regex(cards, names).collect()))
     assert {("1", "porygon2"), ("3", "tapu-the-great-koko"), ("4", "tapu-the-great-koko"), ("5", "nidoran\u2640")} <= set(fast)
 
 
+def test_thousands_of_names_without_comparing_all(spark):
+    rng = random.Random(9)
+    part = lambda: "".join(rng.choice("abé 2-.'♀") for _ in range(rng.randrange(1, 7)))
+    cards = spark.createDataFrame([(str(i), "".join(part() for _ in range(4))) for i in range(150)] + [("e", ""), ("n", None)], "card_slug string, card_name string")
+    names = spark.createDataFrame([(n,) for n in sorted({part() for _ in range(3000)} | {"a+b", "(ab)", "é[a2]", ""})], "name string")
+    found = species.mentions(cards, names)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, by_regex(cards, names).collect()))
+    assert found.count() > 1000 and "NestedLoop" not in found._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError, match="patterns"):
+        species.mentions(cards, names, max_patterns=2)
+
+
+def test_exact_medians(spark):
+    rng = random.Random(10)
+    rows = [(g, "x", None if rng.random() < 0.1 else rng.choice([rng.randrange(-50, 50), rng.randrange(10**7), 7])) for g in [1, 1, 2, 2, 2, None] * 60]
+    rows += [(3, "x", None), (4, "x", 5), (5, "y", 4), (5, "y", 7), (6, "z", -(2**61)), (6, "z", 2**61 - 1), (7, "z", -3), (7, "z", -2)]
+    df = spark.createDataFrame(rows, "g int, h string, v bigint")
+    values = {}
+    for g, h, v in rows:
+        if v is not None:
+            values.setdefault((g, h), []).append(v)
+    middle = lambda v: (sorted(v)[(len(v) - 1) // 2] + sorted(v)[len(v) // 2]) // 2
+    expected = {k: middle(v) for k, v in values.items()}
+    for parts, groups in ((1024, 100_000), (16, 0)):
+        found = medians.exact_medians(df, ["g", "h"], "v", parts=parts, broadcast_groups=groups)
+        assert {(r["g"], r["h"]): r["median"] for r in found.collect()} == expected
+    assert medians.exact_medians(df.where("false"), ["g"], "v").count() == 0
+
+
+def test_index_of_a_day_without_prices(spark):
+    empty = spark.createDataFrame([], "date date, raw_usd bigint, psa9_usd bigint, psa10_usd bigint")
+    row = scores.index_row(empty, dt.date(2024, 1, 1)).first()
+    assert (row["date"], row["total_raw_usd"], row["cards_with_raw_price"], row["median_raw_usd"]) == (dt.date(2024, 1, 1), 0, 0, None)
+
+
 PAGE = """<html><h1>x</h1><div class="completed-auctions-used tab available"></div>
 <div class="completed-auctions-used"><table class="hoverable-rows sortable"><tbody>
 <tr id="ebay-123456"><td class="date">2024-01-05</td><td class="title"><a class="js-ebay-completed-sale" href="https://www.ebay.co.uk/itm/123456?x=1">Mew near mint #8</a> [eBay]</td><td class="numeric"><span class="js-price">$1,050.00</span></td></tr>
