@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillmark.functions.numbers import listing_cents
 from quillmark.functions.text import JUNK, contains_any, item_url, larger_image, second_part
+from quillmark.sources.sinks import checkpointed
 
 #: Variants that change an item's worth, with the phrases that tell them, in order.
 VALUE_VARIANTS = {
@@ -98,18 +99,29 @@ def item_features(name: Column) -> Column:
     )
 
 
-def score(title: Column, item: Column) -> Column:
-    """Points of a title's features against an item's; ``NO_NAME`` alone if the item's first word isn't in the title."""
-    first = F.get(F.split(F.lower(item["base"]), r"\s+"), F.lit(0))
-    plain = lambda n: F.lower(F.regexp_replace(n, r"^0+(?=.)", ""))
-    number = F.when(title["number"].isNull() | item["number"].isNull(), 0).when(plain(title["number"]) == plain(item["number"]), NUMBER).otherwise(WRONG_NUMBER)
+def _plain(number: Column) -> Column:
+    return F.lower(F.regexp_replace(number, r"^0+(?=.)", ""))
+
+
+def names_first_word(title: Column, base: Column) -> Column:
+    """Whether a title's features hold the first word of a base name."""
+    first = F.get(F.split(F.lower(base), r"\s+"), F.lit(0))
+    return F.coalesce((first != "") & F.contains(title["low"], first), F.lit(False))
+
+
+def points(found: Column, title: Column, item: Column) -> Column:
+    """Points of what a title says (number, value, cosmetic) against what an item's name says; ``NO_NAME`` alone if the item's first word wasn't found."""
+    number = F.when(title["number"].isNull() | item["number"].isNull(), 0).when(_plain(title["number"]) == _plain(item["number"]), NUMBER).otherwise(WRONG_NUMBER)
 
     def variants(kind: str, shared: int, apart: int) -> Column:
         mine, yours = F.array_distinct(item[kind]), F.array_distinct(title[kind])
         return F.size(F.array_intersect(mine, yours)) * shared + (F.size(F.array_except(mine, yours)) + F.size(F.array_except(yours, mine))) * apart
 
-    found = (first != "") & F.contains(title["low"], first)
-    return F.when(F.coalesce(found, F.lit(False)), NAME + number + variants("value", SHARED, ONE_SIDED) + variants("cosmetic", FINISH, OTHER_FINISH)).otherwise(NO_NAME)
+    return F.when(found, NAME + number + variants("value", SHARED, ONE_SIDED) + variants("cosmetic", FINISH, OTHER_FINISH)).otherwise(NO_NAME)
+
+
+def score(title: Column, item: Column) -> Column:
+    return points(names_first_word(title, item["base"]), title, item)
 
 
 def confidence(points: Column) -> Column:
@@ -142,43 +154,87 @@ def search_text(name: Column, set_name: Column) -> Column:
     return F.trim(F.regexp_replace(F.array_join(parts, " "), r"\s+", " "))
 
 
-def candidates(searched: DataFrame, items: DataFrame) -> DataFrame:
-    """(searched columns, title's features, candidates): items with the same set and base name; the searched item itself if there is none.
+#: Copies of the index rows that every title of a base name meets; titles are dealt over them.
+DEALT = 16
 
-    A candidate pair needs equal (set, base name), so this is an equi-join on the blocking key, never a comparison of all. What a title and
-    an item say is worked out once for each of them, before they meet.
+
+def _signature(features: Column) -> list[Column]:
+    """What the score sees of a title or an item, as plain columns."""
+    names = lambda kind: F.array_sort(F.array_distinct(features[kind]))
+    return [_plain(features["number"]).alias("number"), names("value").alias("value"), names("cosmetic").alias("cosmetic")]
+
+
+def item_index(items: DataFrame) -> DataFrame:
+    """(set_name, base, at, i_slug, i_number, i_value, i_cosmetic): the items that can be a title's best, by what the title must say to meet them.
+
+    Items of one set and base name that say the same score the same, and the smallest slug wins, so one item stands for each signature. Of a number
+    that differs from the title's only that it does matters: two items with different numbers stand for all of a variant signature. So a title
+    meets its own number (``=number``), the items without one (``none``), and two others a signature (``other``); a title without a
+    number meets one item a signature (``any``). A base name on a third of all items has no more candidates a title than its variants.
     """
-    left = searched.withColumn("__title", title_features(F.col("title"))).withColumn("__own", item_features(F.col("card_name"))).withColumn("__base", F.lower(F.col("__own.base")))
-    right = items.select(F.col("card_slug").alias("cand_slug"), F.col("card_name").alias("cand_name"), F.col("set_name").alias("set_name"), item_features(F.col("card_name")).alias("__item"))
-    right = right.withColumn("__base", F.lower(F.col("__item.base")))
-    met = left.join(right, ["set_name", "__base"], "left").drop("__base")
-    met = met.withColumn("__item", F.coalesce("__item", "__own")).drop("__own")
-    return met.withColumn("cand_slug", F.coalesce("cand_slug", "card_slug")).withColumn("cand_name", F.coalesce("cand_name", "card_name"))
+    f = item_features(F.col("card_name"))
+    own = items.where("set_name is not null").select("set_name", F.lower(f["base"]).alias("base"), F.col("card_slug").alias("slug"), *_signature(f))
+    said = ["set_name", "base", "value", "cosmetic"]
+    by_number = own.groupBy(*said, "number").agg(F.min("slug").alias("slug"))
+    numbered = by_number.where("number is not null")
+    first = numbered.groupBy(*said).agg(F.min(F.struct("slug", "number")).alias("a"))
+    second = numbered.join(first, said).where(F.col("number") != F.col("a.number")).groupBy(*said).agg(F.min(F.struct("slug", "number")).alias("a"))
+    form = lambda df, at, slug="slug", number="number": df.select("set_name", "base", at.alias("at"), F.col(slug).alias("i_slug"), F.col(number).alias("i_number"), F.col("value").alias("i_value"), F.col("cosmetic").alias("i_cosmetic"))
+    anyone = by_number.groupBy(*said).agg(F.min("slug").alias("slug")).withColumn("number", F.lit(None).cast("string"))
+    others = first.unionByName(second)
+    return (
+        form(numbered, F.concat(F.lit("="), F.col("number")))
+        .unionByName(form(by_number.where("number is null"), F.lit("none")))
+        .unionByName(form(others, F.lit("other"), "a.slug", "a.number"))
+        .unionByName(form(anyone, F.lit("any")))
+    )
 
 
-def best_matches(pairs: DataFrame, key: str = "listing_id") -> DataFrame:
-    """One row per listing: its best candidate; ties go to the smaller slug. ``pairs`` has title, cand_slug and cand_name, maybe with features."""
-    if "__item" not in pairs.columns:
-        pairs = pairs.withColumn("__title", title_features(F.col("title"))).withColumn("__item", item_features(F.col("cand_name")))
-    scored = pairs.select(key, "title", "card_slug", "cand_slug", "cand_name", score(F.col("__title"), F.col("__item")).alias("points"))
-    best = F.min_by(F.struct("cand_slug", "cand_name", "points"), F.struct((-F.col("points")).alias("p"), F.col("cand_slug").alias("s")))
-    out = scored.groupBy(key).agg(best.alias("b"), F.first("title").alias("title"), F.first("card_slug").alias("searched_slug"))
-    return out.select(key, "title", "searched_slug", F.col("b.cand_slug").alias("card_slug"), F.col("b.points").alias("points"), confidence(F.col("b.points")).alias("match_confidence"))
+def match_listings(searched: DataFrame, items: DataFrame, key: str = "listing_id", *, broadcast_rows: int = 200_000) -> DataFrame:
+    """(key, title, searched_slug, card_slug, points, match_confidence, said): the best item of the searched one's set and base name; the searched item itself if there is none.
+
+    ``searched`` has key, title, card_slug, card_name and set_name. Ties go to the smaller slug. Titles that say the same are scored once, against the
+    ``item_index``; only what they say is shuffled, no titles and no names. ``said`` are the title's features. Up to ``broadcast_rows`` distinct
+    sayings, counted, are broadcast back to the listings.
+    """
+    title = title_features(F.col("title"))
+    own = item_features(F.col("card_name"))
+    left = searched.select(key, "title", "card_slug", "set_name", title.alias("said"), own.alias("own"))
+    left = left.select("*", F.lower("own.base").alias("base"), names_first_word(F.col("said"), F.col("own.base")).alias("found"), *_signature(F.col("said")))
+    same = ["set_name", "base", "found", "number", "value", "cosmetic"]
+    sayings = left.where("set_name is not null").select(*same).distinct()
+    meets = F.when(F.col("number").isNull(), F.array(F.lit("any"))).otherwise(F.array(F.concat(F.lit("="), F.col("number")), F.lit("none"), F.lit("other")))
+    dealt = F.pmod(F.xxhash64("number", "value", "cosmetic"), F.lit(DEALT)).cast("int")
+    index = item_index(items).withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1))))
+    met = sayings.withColumn("at", F.explode(meets)).withColumn("deal", dealt).join(index, ["set_name", "base", "at", "deal"])
+    met = met.where((F.col("at") != "other") | (F.col("i_number") != F.col("number")))
+    item = F.struct(F.col("i_number").alias("number"), F.col("i_value").alias("value"), F.col("i_cosmetic").alias("cosmetic"))
+    scored = met.withColumn("points", points(F.col("found"), F.struct("number", "value", "cosmetic"), item))
+    best = checkpointed(scored.groupBy(*same).agg(F.min_by(F.struct(F.col("i_slug").alias("slug"), "points"), F.struct((-F.col("points")).alias("p"), F.col("i_slug").alias("s"))).alias("b")))
+    right = best.select(*[F.col(c).alias(f"b_{c}") for c in same], "b")
+    few = best.count() <= broadcast_rows
+    equal = F.lit(True)
+    for c in same:
+        equal = equal & F.col(c).eqNullSafe(F.col(f"b_{c}"))
+    out = left.join(F.broadcast(right) if few else right, equal, "left")
+    scored_own = points(F.col("found"), F.col("said"), F.col("own"))
+    n = F.coalesce("b.points", scored_own)
+    return out.select(key, "title", F.col("card_slug").alias("searched_slug"), F.coalesce("b.slug", "card_slug").alias("card_slug"), n.alias("points"), confidence(n).alias("match_confidence"), "said")
 
 
 def process_listings(raw: DataFrame, items: DataFrame, trends: DataFrame) -> DataFrame:
     """Listings as found (listing_id, card_slug, title, price, shipping, currency, marketplace, image, web_url) to stored rows.
 
-    Junk titles, unreadable prices and listings without a match go; the item is the matched one, not the searched one.
+    Junk titles, unreadable prices and listings without a match go; the item is the matched one, not the searched one. A title's features are worked out once.
     """
     fine = raw.where(~contains_any(F.col("title"), JUNK)).withColumn("price_cents", listing_cents(F.col("price"))).where("price_cents is not null and title <> ''")
     searched = fine.join(items.select("card_slug", "card_name", "set_name"), "card_slug")
-    matched = best_matches(candidates(searched.select("listing_id", "title", "card_slug", "card_name", "set_name"), items)).where("match_confidence <> 'none'")
-    own = fine.select("listing_id", "price_cents", F.coalesce(listing_cents(F.col("shipping")), F.lit(0).cast("bigint")).alias("shipping_cents"), F.coalesce("currency", F.lit("USD")).alias("currency"), "marketplace", "image", "web_url")
-    features = title_features(F.col("title"))
-    condition = F.when(features["graded"] & features["grader"].isNotNull() & features["grade"].isNotNull(), F.concat_ws(" ", features["grader"], features["grade"])).when(features["graded"], "Graded").otherwise("Ungraded")
-    out = matched.join(own, "listing_id").join(trends.select("card_slug", "current_raw", "current_psa9", "current_psa10"), "card_slug", "left")
-    value = fair_value(features["graded"], features["grade"], F.col("current_raw"), F.col("current_psa9"), F.col("current_psa10"))
+    kept = F.struct("listing_id", "price_cents", F.coalesce(listing_cents(F.col("shipping")), F.lit(0).cast("bigint")).alias("shipping_cents"), F.coalesce("currency", F.lit("USD")).alias("currency"), "marketplace", "image", "web_url")
+    matched = match_listings(searched.withColumn("kept", kept), items, "kept").where("match_confidence <> 'none'")
+    out = matched.select("*", "kept.*").join(trends.select("card_slug", "current_raw", "current_psa9", "current_psa10"), "card_slug", "left")
+    said = F.col("said")
+    condition = F.when(said["graded"] & said["grader"].isNotNull() & said["grade"].isNotNull(), F.concat_ws(" ", said["grader"], said["grade"])).when(said["graded"], "Graded").otherwise("Ungraded")
+    value = fair_value(said["graded"], said["grade"], F.col("current_raw"), F.col("current_psa9"), F.col("current_psa10"))
     item = second_part(F.col("listing_id"))
     return out.select(
         "card_slug", "searched_slug", "marketplace", item.alias("ebay_item_id"), F.left("title", F.lit(500)).alias("title"), "price_cents", "currency", "shipping_cents",

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillmark.functions.numbers import dollars_to_cents
+from quillmark.functions.text import JUNK
 from quillmark.operators import deals as d
 from quillmark.operators import matching as m
 from quillmark.operators import population as p
@@ -44,9 +46,10 @@ def _found(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("l_linenumber")
     words = F.when(n % 4 == 0, " PSA 10").when(n % 4 == 1, " 1st edition").when(n % 4 == 2, " reverse holo").otherwise(" graded")
     title = F.concat("p_name", words, F.lit(" #"), (F.col("p_size") + F.when(n == 7, 1).otherwise(0)).cast("string"))
+    line = line.withColumn("cents", dollars_to_cents(F.col("l_extendedprice") / F.col("l_quantity")))
     return line.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), n.cast("string"), F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"), F.col("l_quantity").cast("string")).alias("listing_id"),
-        F.col("l_partkey").cast("string").alias("card_slug"), title.alias("title"), F.format_string("%.2f", F.col("l_extendedprice") / F.col("l_quantity")).alias("price"), F.lit(None).cast("string").alias("shipping"),
+        F.col("l_partkey").cast("string").alias("card_slug"), title.alias("title"), F.format_string("%d.%02d", F.expr("cents div 100"), F.expr("cents % 100")).alias("price"), F.lit(None).cast("string").alias("shipping"),
         F.lit("USD").alias("currency"), F.lit("EBAY_US").alias("marketplace"), F.lit("").alias("image"), F.lit("").alias("web_url"),
     ).dropDuplicates(["listing_id"])
 
@@ -54,7 +57,7 @@ def _found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def listing_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = _items(spark, sf_dir)
     searched = _found(spark, sf_dir).select("listing_id", "title", "card_slug").join(items, "card_slug")
-    return m.best_matches(m.candidates(searched, items)).select("listing_id", "searched_slug", "card_slug", F.col("points").cast("int").alias("points"), "match_confidence")
+    return m.match_listings(searched, items).select("listing_id", "searched_slug", "card_slug", F.col("points").cast("int").alias("points"), "match_confidence")
 
 
 def match_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,6 +202,17 @@ pairs AS (SELECT f.listing_id, CAST(f.l_partkey AS VARCHAR) AS searched_slug, c.
   FROM found f JOIN items i ON f.l_partkey = i.p_partkey JOIN items c ON c.set_name = i.set_name AND c.base = i.base),
 best AS (SELECT *, CASE WHEN points >= 35 THEN 'high' WHEN points >= 20 THEN 'medium' WHEN points >= 0 THEN 'low' ELSE 'none' END AS match_confidence FROM pairs QUALIFY row_number() OVER (PARTITION BY listing_id ORDER BY points DESC, card_slug) = 1)"""
 
+_ROWS = f"""
+{_MATCH},
+said AS (SELECT DISTINCT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || l_quantity AS listing_id, l_linenumber AS n, p_name || CASE l_linenumber % 4 WHEN 0 THEN ' PSA 10' WHEN 1 THEN ' 1st edition' WHEN 2 THEN ' reverse holo' ELSE ' graded' END || ' #' || (p_size + CASE WHEN l_linenumber = 7 THEN 1 ELSE 0 END) AS title,
+  CAST(trunc(CAST(({o.cents("l_extendedprice / l_quantity")} // 100) || '.' || lpad(CAST({o.cents("l_extendedprice / l_quantity")} % 100 AS VARCHAR), 2, '0') AS DOUBLE) * 100) AS BIGINT) AS price_cents FROM lineitem JOIN part ON p_partkey = l_partkey),
+fv AS (SELECT CAST(p_partkey AS VARCHAR) AS card_slug, {o.cents("p_retailprice")} AS raw, p_partkey % 11 <> 0 AS has_raw, p_partkey % 5 <> 0 AS has_nine, p_partkey % 7 <> 0 AS has_ten FROM part)"""
+_LISTING_ROWS = f"""WITH {_ROWS} SELECT b.card_slug, searched_slug, 'EBAY_US' AS marketplace, listing_id AS ebay_item_id, title, price_cents, 'USD' AS currency, CAST(0 AS BIGINT) AS shipping_cents, price_cents AS total_cost_cents,
+  CASE n % 4 WHEN 0 THEN 'PSA 10' WHEN 3 THEN 'Graded' ELSE 'Ungraded' END AS condition, '' AS item_image_url, 'https://www.ebay.com/itm/' || listing_id AS item_web_url, match_confidence, points,
+  CASE WHEN n % 4 = 0 AND has_ten THEN raw * 3 WHEN n % 4 IN (0, 3) AND has_nine THEN raw * 2 WHEN has_raw THEN raw ELSE 0 END AS fair_value_cents,
+  CASE WHEN n % 4 = 0 AND has_ten THEN 'PSA 10' WHEN n % 4 = 0 AND has_nine THEN 'PSA 9' WHEN n % 4 = 3 AND has_nine THEN 'PSA 9 (estimate)' ELSE 'Raw' END AS fair_value_kind
+FROM best b JOIN said USING (listing_id) JOIN fv ON fv.card_slug = b.card_slug WHERE match_confidence <> 'none' AND NOT ({" OR ".join(f"contains(lower(title), '{w}')" for w in JUNK)})"""
+
 _POP = """
 pop AS (SELECT p_brand AS set_name, CAST(p_partkey AS VARCHAR) AS card_number, p_name AS card_name, count(*) FILTER (l_linenumber = 1) AS psa_10, count(*) FILTER (l_linenumber = 2) AS psa_9, count(*) FILTER (l_linenumber = 3) AS psa_8,
   count(*) FILTER (l_linenumber = 4) AS psa_7, count(*) AS total_graded FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3)"""
@@ -217,6 +231,7 @@ SQL = {
 SELECT listing_id, card_slug, discount_pct, total_usd FROM (SELECT *, row_number() OVER (ORDER BY discount_pct DESC, listing_id) - 1 AS p, count(*) OVER () AS c FROM top) WHERE p = 274 % c""",
     "listing_matches": f"WITH {_MATCH} SELECT listing_id, searched_slug, card_slug, CAST(points AS INTEGER) AS points, match_confidence FROM best",
     "match_counts": f"WITH {_MATCH} SELECT match_confidence, count(*) AS n, count(*) FILTER (card_slug <> searched_slug) AS rematched FROM best GROUP BY 1",
+    "listing_rows": _LISTING_ROWS,
     "population_totals": f"WITH {_POP}, z AS (SELECT set_name, CAST(sum(total_graded) AS BIGINT) AS total_graded, CAST(sum(psa_10) AS BIGINT) AS total_psa_10, CAST(sum(psa_9) AS BIGINT) AS total_psa_9, CAST(sum(psa_8) AS BIGINT) AS total_psa_8 FROM pop GROUP BY 1) SELECT *, {o.r('CAST(total_psa_10 AS DOUBLE) / total_graded * 100', 2)} AS gem_rate FROM z",
     "population_snapshot": f"WITH {_POP} SELECT set_name, card_number, card_name, psa_8, psa_9, psa_10, total_graded, {o.r('CAST(psa_10 AS DOUBLE) / total_graded * 100', 2)} AS gem_rate, DATE '2001-10-01' AS snapshot_date FROM pop WHERE total_graded > 0",
     "population_top": f"WITH {_POP} SELECT set_name, CAST(rk AS INTEGER) AS rank, card_number, card_name, total_graded, CAST(set_total AS BIGINT) AS set_total FROM (SELECT *, row_number() OVER (PARTITION BY set_name ORDER BY total_graded DESC, card_number) AS rk, sum(total_graded) OVER (PARTITION BY set_name) AS set_total FROM pop) WHERE rk <= 5",

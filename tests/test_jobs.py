@@ -26,12 +26,41 @@ ITEMS = [("1", "Charizard #4"), ("2", "Charizard [1st Edition] #4"), ("3", "Char
     ],
 )
 def test_best_match(spark, title, slug, confidence):
-    items = spark.createDataFrame(ITEMS, "cand_slug string, cand_name string")
-    pairs = items.select("*", F.lit("L").alias("listing_id"), F.lit(title).alias("title"), F.lit("1").alias("card_slug"))
-    row = matching.best_matches(pairs).first()
+    items = spark.createDataFrame(ITEMS, "card_slug string, card_name string").withColumn("set_name", F.lit("Base Set"))
+    searched = items.where("card_slug = '1'").select("*", F.lit("L").alias("listing_id"), F.lit(title).alias("title"))
+    row = matching.match_listings(searched, items.withColumn("card_name", F.regexp_replace("card_name", "^[A-Za-z]+", "Charizard"))).first()
     assert (row["card_slug"], row["match_confidence"]) == (slug, confidence)
 
 
+def all_pairs(searched, items):
+    """Every title against every item of its set and base name, or the searched item alone."""
+    base = lambda c: F.lower(matching.item_features(F.col(c))["base"])
+    right = items.select(F.col("card_slug").alias("slug"), F.col("card_name").alias("name"), "set_name", base("card_name").alias("base"))
+    met = searched.withColumn("base", base("card_name")).join(right, ["set_name", "base"], "left").withColumn("name", F.coalesce("name", "card_name")).withColumn("slug", F.coalesce("slug", "card_slug"))
+    scored = met.select("listing_id", "slug", matching.score(matching.title_features(F.col("title")), matching.item_features(F.col("name"))).alias("points"))
+    return scored.groupBy("listing_id").agg(F.min_by(F.struct("slug", "points"), F.struct(-F.col("points"), F.col("slug"))).alias("b")).select("listing_id", "b.*")
+
+
+def test_matching_meets_the_best_of_all_pairs(spark):
+    rng = random.Random(12)
+    tags = ["", "", " [1st Edition]", " [Shadowless]", " [Reverse Holo]", " [Holo] [1st Edition]", " [Staff Prerelease]"]
+    said = ["", " 1st edition", " shadowless", " reverse holo", " holo", " staff", " psa 9"]
+    name = lambda base: base + rng.choice(tags) + rng.choice(["", f" #{rng.randrange(12)}", f" #0{rng.randrange(12)}", " #TG03"])
+    items = [(str(i), name("Mew" if i % 3 else rng.choice(["Mewtwo", "Mr. Mime", "mew"])), rng.choice(["A", "A", "A", "B", None])) for i in range(220)]
+    df = spark.createDataFrame(items, "card_slug string, card_name string, set_name string")
+    titles = [(f"L{k}", rng.choice(["Mew", "mew two", "Mewtwo", "Mr. Mime", "Pikachu", ""]) + rng.choice(said) + rng.choice(["", f" {rng.randrange(12)}/102", " #TG03", f" #{rng.randrange(12)}"]), rng.choice(items)) for k in range(400)]
+    rows = [(k, t, *card) for k, t, card in titles] + [("gone", "Abra 5/10", "x", "Abra #5", "A"), ("noset", "Abra", "y", "Abra", None)]
+    searched = spark.createDataFrame(rows, "listing_id string, title string, card_slug string, card_name string, set_name string")
+    expected = sorted(map(tuple, all_pairs(searched, df).collect()))
+    for few in (200_000, 0):
+        got = matching.match_listings(searched, df, broadcast_rows=few).select("listing_id", F.col("card_slug").alias("slug"), "points")
+        assert sorted(map(tuple, got.collect())) == expected
+    # A base name on two thirds of the items: a title meets a few of them.
+    index = matching.item_index(df)
+    most = index.where("base = 'mew' and set_name = 'A'").groupBy("at").count().agg(F.max("count")).first()[0]
+    assert most <= 2 * df.select(matching.item_features(F.col("card_name"))["value"].alias("v"), matching.item_features(F.col("card_name"))["cosmetic"].alias("c")).distinct().count()
+
+
 def test_title_features(spark):
     t = spark.createDataFrame([("Mew CGC 9.5 Reverse Holo 007/102 Gold Star",)], "t string").select(matching.title_features(F.col("t")).alias("f")).first()["f"]
     assert (t["number"], t["grader"], t["grade"], t["graded"], t["value"], t["cosmetic"]) == ("7", "CGC", "9.5", True, ["gold star"], ["reverse holo"])
