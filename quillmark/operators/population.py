@@ -150,7 +150,12 @@ def text_report(reports: DataFrame) -> DataFrame:
     from the first, is a grade's count. Blocks with fewer values, and the block of totals, give nothing.
     """
     blocks = F.split(F.concat(F.lit("\n"), F.regexp_replace("text", r"\r", "")), r"\n(?=\s*(?:[0-9]+\t|TOTAL POPULATION))")
-    rows = reports.select("set_name", F.posexplode(blocks).alias("pos", "block")).where(F.rlike(F.ltrim("block"), F.lit(r"^[0-9]+\t")))
+    return report_items(reports.select("set_name", F.posexplode(blocks).alias("pos", "block")))
+
+
+def report_items(blocks: DataFrame) -> DataFrame:
+    """Item rows of blocks (set_name, pos, block) of text reports, however they were cut."""
+    rows = blocks.where(F.rlike(F.ltrim("block"), F.lit(r"^[0-9]+\t")))
     lines = F.transform(F.split(F.trim("block"), "\n"), lambda v: F.trim(v))
     rows = rows.select("set_name", "pos", lines.alias("lines"))
     clean = lambda v: F.trim(F.replace(v, F.lit("Shop with Affiliates"), F.lit("")))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -51,19 +50,19 @@ def cohort_counts(with_cohort: DataFrame) -> DataFrame:
 def pack_batches(counts: DataFrame, batches: int) -> DataFrame:
     """(language, name, n, batch): the largest set goes to the lightest batch; names break ties; a language's batches are its own.
 
-    ``counts`` has one row a set: thousands of rows however many cards there are, so a language fits one task.
+    A fold over a language's sorted sets: the state is the load of every batch, and each set takes the first of the lightest. ``counts`` has one row
+    a set: thousands of rows however many cards there are.
     """
+    one = F.struct((-F.col("n")).alias("order"), F.col("name"), F.col("n"))
+    sets = counts.select("language", "name", F.col("n").cast("bigint").alias("n")).groupBy("language").agg(F.array_sort(F.collect_list(one)).alias("sets"))
+    start = F.struct(F.array_repeat(F.lit(0).cast("bigint"), batches).alias("loads"), F.array().cast("array<int>").alias("dealt"))
 
-    def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["n", "name"], ascending=[False, True], ignore_index=True)
-        load, out = [0] * batches, []
-        for n in rows["n"]:
-            lightest = load.index(min(load))
-            load[lightest] += int(n)
-            out.append(lightest)
-        return rows.assign(batch=out)[["language", "name", "n", "batch"]]
+    def put(state: Column, one_set: Column) -> Column:
+        to = (F.array_position(state["loads"], F.array_min(state["loads"])) - 1).cast("int")
+        return F.struct(F.transform(state["loads"], lambda load, k: load + F.when(k == to, one_set["n"]).otherwise(0)).alias("loads"), F.concat(state["dealt"], F.array(to)).alias("dealt"))
 
-    return counts.select("language", "name", F.col("n").cast("bigint").alias("n")).groupBy("language").applyInPandas(pack, "language string, name string, n bigint, batch int")
+    dealt = sets.withColumn("dealt", F.aggregate("sets", start, put, lambda state: state["dealt"]))
+    return dealt.select("language", F.explode(F.arrays_zip("sets", "dealt")).alias("s")).select("language", "s.sets.name", "s.sets.n", F.col("s.dealt").alias("batch"))
 
 
 def slices(rows: DataFrame, order: str, parts: int, part: int) -> DataFrame:

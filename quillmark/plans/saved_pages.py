@@ -150,14 +150,16 @@ def report_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts written as a catalogue file and read back."""
-    part = t.read(spark, sf_dir, "part")
-    name = F.concat("p_name", F.when(F.col("p_size") % 3 == 0, ' booster "box"').otherwise(F.concat(F.lit(", the one #"), F.col("p_size").cast("string"), F.when(F.col("p_size") % 4 == 0, "a").otherwise(""))))
-    rows = part.select(F.when(F.col("p_partkey") % 10 != 0, F.col("p_partkey").cast("string")).alias("id"), F.col("p_brand").alias("console-name"), name.alias("product-name"), F.lit("").alias("loose-price"))
     path = sinks.new_folder(spark, "catalogue")
-    rows.write.option("header", True).option("escape", '"').csv(path)
+    _catalogue_rows(t.read(spark, sf_dir, "part")).write.option("header", True).option("escape", '"').csv(path)
     return readers.catalogue(spark, path)
 
 
+def _catalogue_rows(part: DataFrame) -> DataFrame:
+    name = F.concat("p_name", F.when(F.col("p_size") % 3 == 0, ' booster "box"').otherwise(F.concat(F.lit(", the one #"), F.col("p_size").cast("string"), F.when(F.col("p_size") % 4 == 0, "a").otherwise(""))))
+    return part.select(F.when(F.col("p_partkey") % 10 != 0, F.col("p_partkey").cast("string")).alias("id"), F.col("p_brand").alias("console-name"), name.alias("product-name"), F.lit("").alias("loose-price"))
+
+
 def seeded_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.seed_rows(_catalogue(spark, sf_dir), "A set", "en", 102).select("card_slug", "card_name", "card_number", "card_number_display", "is_sealed", "language")
 
@@ -166,15 +168,42 @@ def imported_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.import_rows(_catalogue(spark, sf_dir), "A set", 102).select("card_slug", "card_number", "card_number_display", "is_sealed")
 
 
+#: Catalogue files: their names and which parts they list.
+FILES = {"english-a.csv": "p_partkey % 2 = 0", "english-b.csv": "p_partkey % 3 = 0 and p_size > 40", "Japan-c.csv": "p_partkey % 5 = 0"}
+
+
 def catalogue_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Consoles by language over several files, with the files that list them; a console in more than one is a duplicate."""
+    folder = sinks.new_folder(spark, "catalogues")
+    for file, rule in FILES.items():
+        _catalogue_rows(t.read(spark, sf_dir, "part").where(rule)).write.option("header", True).option("escape", '"').csv(f"{folder}/{file}")
     wanted = t.read(spark, sf_dir, "part").where("p_size > 45").select(F.col("p_brand").alias("console_name")).distinct()
-    rows = _catalogue(spark, sf_dir).join(wanted, "console_name", "left_semi")
-    return readers.console_counts(rows).select("language", "console_name", "n")
+    counted = readers.console_counts(readers.catalogue(spark, f"{folder}/*", sets=wanted))
+    return counted.select("language", "console_name", "n", "files", F.array_join("file_names", ",").alias("file_names"), "duplicate")
+
+
+def text_report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as text reports, a set a folder, read back as records."""
+    part = t.read(spark, sf_dir, "part")
+    value = lambda k: (F.col("p_size") * (k + 1) * 37 + F.col("p_partkey") % 11).cast("bigint")
+    grades = [F.when((F.col("p_size") + k) % 9 == 0, "-").otherwise(F.format_number(value(k), 0)) for k in range(13)]
+    values = F.concat_ws("\n", *[v for g in grades for v in (g, F.lit("0"), F.lit("3"))])
+    block = F.concat_ws("\n", F.concat(F.col("p_partkey").cast("string"), F.lit("\t"), F.col("p_name"), F.when(F.col("p_size") % 2 == 0, "Shop with Affiliates").otherwise("")), F.when(F.col("p_size") % 3 == 0, F.col("p_type")), F.lit("Grade"), F.lit("+"), F.lit("Q"), F.when(F.col("p_size") % 10 == 0, F.substring_index(values, "\n", 30)).otherwise(values))
+    folder = sinks.new_folder(spark, "reports")
+    part.select(F.col("p_brand").alias("set_name"), block.alias("text")).write.partitionBy("set_name").text(folder)
+    return po.report_items(readers.text_reports(spark, folder)).select("set_name", "card_number", "card_name", "variant", "full_name", "auth", "psa_1_5", "psa_10", "total_graded", "gem_rate")
+
+
+def sales_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parse and store the sales of all pages; the audit row comes from the job that writes them."""
+    start = dt.datetime(2024, 1, 30, 3)
+    row = sinks.write_run(sale_pages(spark, sf_dir), pg.recent_sales, sinks.new_folder(spark, "sales"), started=start, ended=start + dt.timedelta(seconds=90), notes={"pages": "none", "kind": "nightly"})
+    return row.select("status", "pages_processed", "rows_ok", "rows_quarantined", "rows_rejected", "duration_ms", F.get_json_object("notes", "$.pages").alias("noted_pages"), F.get_json_object("notes", "$.kind").alias("kind"))
 
 
 QUERIES = {
     f.__name__: f
-    for f in (page_prices, page_full_prices, page_volumes, page_images, page_history, page_daily_rows, page_sales, page_sales_report, page_signatures, report_rows, report_totals, seeded_cards, imported_cards, catalogue_counts)
+    for f in (page_prices, page_full_prices, page_volumes, page_images, page_history, page_daily_rows, page_sales, page_sales_report, page_signatures, report_rows, report_totals, seeded_cards, imported_cards, catalogue_counts, text_report_rows, sales_run)
 }
 
 _PART = f"p AS (SELECT CAST(p_partkey AS BIGINT) AS page_id, p_size AS k, {o.cents('p_retailprice')} AS c FROM part)"
@@ -221,5 +250,10 @@ CAST(auth AS INTEGER) AS auth, CAST(psa_9 AS INTEGER) AS psa_9, CAST(psa_10 AS I
 CASE WHEN p_size % 3 <> 0 THEN p_size || CASE WHEN p_size % 4 = 0 THEN 'a' ELSE '' END || '/102' END AS card_number_display, p_size % 3 = 0 AS is_sealed, 'en' AS language FROM part WHERE p_partkey % 10 <> 0""",
     "imported_cards": """SELECT CAST(p_partkey AS VARCHAR) AS card_slug, CASE WHEN p_size % 3 <> 0 THEN p_size || CASE WHEN p_size % 4 = 0 THEN 'a' ELSE '' END END AS card_number,
 CASE WHEN p_size % 3 <> 0 THEN p_size || CASE WHEN p_size % 4 = 0 THEN 'a' ELSE '' END || '/102' END AS card_number_display, p_size % 3 = 0 AS is_sealed FROM part WHERE p_partkey % 10 <> 0""",
-    "catalogue_counts": "SELECT 'en' AS language, p_brand AS console_name, count(*) AS n FROM part WHERE p_partkey % 10 <> 0 AND p_brand IN (SELECT p_brand FROM part WHERE p_size > 45) GROUP BY p_brand",
+    "catalogue_counts": "WITH f AS (" + " UNION ALL ".join(f"SELECT *, '{n}' AS file, '{'jp' if 'japan' in n.lower() else 'en'}' AS language FROM part WHERE {r}" for n, r in FILES.items()) + """)
+SELECT language, p_brand AS console_name, count(*) AS n, count(DISTINCT file) AS files, string_agg(DISTINCT file, ',' ORDER BY file) AS file_names, count(DISTINCT file) > 1 AS duplicate FROM f WHERE p_partkey % 10 <> 0 AND p_brand IN (SELECT p_brand FROM part WHERE p_size > 45) GROUP BY 1, 2""",
+    "text_report_rows": f"""WITH q AS (SELECT p_brand AS set_name, CAST(p_partkey AS VARCHAR) AS card_number, p_name AS card_name, CASE WHEN p_size % 3 = 0 THEN p_type ELSE '' END AS variant, {", ".join(f"CASE WHEN (p_size + {k}) % 9 = 0 THEN 0 ELSE CAST(p_size * {k + 1} * 37 + p_partkey % 11 AS BIGINT) END AS {g}" for k, g in enumerate(po.GRADES))} FROM part WHERE p_size % 10 <> 0)
+SELECT set_name, card_number, card_name, variant, card_name || CASE WHEN variant <> '' THEN ' (' || variant || ')' ELSE '' END AS full_name, auth, psa_1_5, psa_10, total_graded, CASE WHEN total_graded > 0 THEN {o.r("CAST(psa_10 AS DOUBLE) / total_graded * 100", 2)} ELSE 0 END AS gem_rate FROM q""",
+    "sales_run": f"""WITH {_SALES} SELECT 'success' AS status, (SELECT count(*) FROM part) AS pages_processed, count(*) FILTER (parse_status = 'ok') AS rows_ok, count(*) FILTER (parse_status = 'quarantined') AS rows_quarantined, count(*) FILTER (parse_status = 'rejected') AS rows_rejected,
+CAST(90000 AS BIGINT) AS duration_ms, CAST((SELECT count(*) FROM part) AS VARCHAR) AS noted_pages, 'nightly' AS kind FROM q""",
 }

@@ -55,7 +55,7 @@ def cohort_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def set_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Brands as sets, types as languages, balanced over three batches; returned as load by batch."""
+    """Brands as sets, types as languages, balanced over three batches."""
     counts = t.read(spark, sf_dir, "part").groupBy(F.col("p_type").alias("language"), F.col("p_brand").alias("name")).agg(F.count("*").alias("n"))
     return sc.pack_batches(counts, 3)
 
@@ -229,6 +229,10 @@ SQL = {
     "hourly_events": f"SELECT date_trunc('hour', ts) AS hour, {_STATE} AS event_type, count(*) AS n FROM events GROUP BY 1, 2",
     "cohort_counts": f"WITH {o.PRICES},{_COHORTS} SELECT c AS cohort, count(co.cohort) AS n FROM (VALUES ('DAILY_VALUE'), ('WEEKLY_LOW'), ('DAILY_DISCOVERY'), ('WEEKLY_UNPRICED')) x(c) LEFT JOIN co ON co.cohort = c GROUP BY 1",
     "cohort_cards": f"WITH {o.PRICES},{_COHORTS} SELECT card_slug, cohort FROM co WHERE cohort IN ('WEEKLY_LOW', 'WEEKLY_UNPRICED')",
+    "set_batches": """WITH RECURSIVE r AS (SELECT p_type AS language, p_brand AS name, count(*) AS n, row_number() OVER (PARTITION BY p_type ORDER BY count(*) DESC, p_brand) AS k FROM part GROUP BY 1, 2),
+f AS (SELECT language, name, n, k, 0 AS batch, [n, 0, 0] AS loads FROM r WHERE k = 1
+UNION ALL SELECT r.language, r.name, r.n, r.k, CAST(list_position(loads, list_min(loads)) - 1 AS INTEGER), list_transform(loads, lambda x, i: x + CASE WHEN i = list_position(loads, list_min(loads)) THEN r.n ELSE 0 END) FROM f JOIN r ON r.language = f.language AND r.k = f.k + 1)
+SELECT language, name, n, CAST(batch AS INTEGER) AS batch FROM f""",
     "rotation_slice": """SELECT CAST(c_custkey AS VARCHAR) AS provider_card_id, p AS position, p - s + 1 AS number FROM (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS p, 700 % count(*) OVER () AS s FROM customer) WHERE p >= s AND p < s + 300""",
     "species_counts": f"""WITH {o.CARDS}, nm AS (SELECT DISTINCT unnest(string_split(lower(p_name), ' ')) AS name FROM part UNION SELECT replace(lower(p_name), ' ', '-') FROM part),
 m AS (SELECT DISTINCT name, card_slug FROM nm JOIN cards ON regexp_matches(' ' || lower(card_name) || ' ', '[^a-z]' || replace(name, '-', '[- ]') || '[^a-z]'))

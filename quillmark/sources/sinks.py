@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -76,13 +76,24 @@ def merge_buckets(batch: DataFrame, path: str, schema: str, key: str, merge: Cal
     """Replace the buckets of ``key`` that ``batch`` touches by merge(their rows, batch); the others are neither read nor written.
 
     ``merge`` must give the same rows when it meets its own result, as a batch that fails while its partitions are replaced comes again.
-    One writer at a time. A bucket of which nothing is left keeps its old rows. Null keys share a bucket.
+    One writer at a time. A bucket of which nothing is left goes. Null keys share a bucket. The batch is computed once.
     """
+    spark = batch.sparkSession
     bucket = F.coalesce(F.pmod(F.xxhash64(key), F.lit(buckets)), F.lit(0)).cast("int")
-    touched = [r["bucket"] for r in batch.select(bucket.alias("bucket")).distinct().collect()]  # at most ``buckets``
-    old = stored(batch.sparkSession, path, f"{schema}, bucket int").where(F.col("bucket").isin(touched)).drop("bucket")
+    batch = checkpointed(batch)
+    touched = {r["bucket"] for r in batch.select(bucket.alias("bucket")).distinct().collect()}  # at most ``buckets``
+    old = stored(spark, path, f"{schema}, bucket int").where(F.col("bucket").isin(*touched)).drop("bucket")
     rows = checkpointed(merge(old, batch).withColumn("bucket", bucket))
+    kept = {r["bucket"] for r in rows.select("bucket").distinct().collect()}
     rows.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+    for gone in touched - kept:
+        remove(spark, f"{path}/bucket={gone}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete through Hadoop's file system, so that any shared store works; what isn't there is gone already."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def replace_day(rows: DataFrame, path: str, column: str = "as_of") -> None:
@@ -98,12 +109,29 @@ def export_csv(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("header", True).csv(path)
 
 
-def run_row(sales: DataFrame, *, pages: int, started: dt.datetime, ended: dt.datetime, status: str, notes: dict[str, str] | None = None) -> DataFrame:
-    """One audit row of a run. Built-in notes win over given ones of the same name; an unknown status is ``failed``."""
+STATUSES = ("ok", "quarantined", "rejected")
+
+
+def run_row(spark: SparkSession, counts: dict[str, int], *, pages: int, started: dt.datetime, ended: dt.datetime, status: str, notes: dict[str, str] | None = None) -> DataFrame:
+    """One audit row of a run with the numbers of rows by parse status. Built-in notes win over given ones of the same name; an unknown status is ``failed``."""
     from quillmark.functions.text import run_status
 
     ms = int((ended - started).total_seconds() * 1000)
-    counts = sales.agg(*[F.count_if(F.col("parse_status") == s).alias(f"rows_{s}") for s in ("ok", "quarantined", "rejected")])
     given = {str(k): str(v) for k, v in (notes or {}).items() if k not in ("pages", "duration_ms")}
     pairs = [F.lit(x) for item in {**given, "pages": str(pages), "duration_ms": str(ms)}.items() for x in item]
-    return counts.select(run_status(F.lit(status)).alias("status"), F.lit(started).alias("started_at"), F.lit(ended).alias("completed_at"), F.lit(pages).cast("bigint").alias("pages_processed"), "rows_ok", "rows_quarantined", "rows_rejected", F.lit(ms).cast("bigint").alias("duration_ms"), F.to_json(F.create_map(*pairs)).alias("notes"))
+    rows = [F.lit(counts.get(s, 0)).cast("bigint").alias(f"rows_{s}") for s in STATUSES]
+    return spark.range(1).select(run_status(F.lit(status)).alias("status"), F.lit(started).alias("started_at"), F.lit(ended).alias("completed_at"), F.lit(pages).cast("bigint").alias("pages_processed"), *rows, F.lit(ms).cast("bigint").alias("duration_ms"), F.to_json(F.create_map(*pairs)).alias("notes"))
+
+
+def write_run(pages: DataFrame, parse: Callable[[DataFrame], DataFrame], path: str, *, started: dt.datetime, ended: dt.datetime | None = None, status: str = "success", notes: dict[str, str] | None = None) -> DataFrame:
+    """Write the sales that ``parse`` finds in ``pages`` and return the run's audit row.
+
+    Pages and rows are counted by the job that writes them; nothing is read a second time. A failed write raises, after which ``run_row``
+    can say so with the counts that are known.
+    """
+    spark = pages.sparkSession
+    seen, found = Observation(), Observation()
+    sales = parse(pages.observe(seen, F.count("*").alias("pages")))
+    counts = [F.count_if(F.col("parse_status") == s).alias(s) for s in STATUSES]
+    sales.observe(found, *counts).write.mode("overwrite").parquet(path)
+    return run_row(spark, found.get, pages=seen.get["pages"], started=started, ended=ended or dt.datetime.now(), status=status, notes=notes)

@@ -340,15 +340,86 @@ def test_replace_day(spark, tmp_path):
     assert sorted(r["k"] for r in spark.read.parquet(path).collect()) == [1, 3]
 
 
-def test_run_row(spark):
-    sales = spark.createDataFrame([("ok",), ("ok",), ("rejected",)], "parse_status string")
-    row = sinks.run_row(sales, pages=3, started=dt.datetime(2024, 1, 1), ended=dt.datetime(2024, 1, 1, 0, 0, 2), status="completed", notes={"pages": "9", "x": "y"}).first()
-    assert (row["status"], row["rows_ok"], row["rows_rejected"], row["duration_ms"]) == ("failed", 2, 1, 2000)
+def test_run_row(spark, tmp_path):
+    start, end = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 0, 0, 2)
+    row = sinks.run_row(spark, {"ok": 2, "rejected": 1}, pages=3, started=start, ended=end, status="completed", notes={"pages": "9", "x": "y"}).first()
+    assert (row["status"], row["rows_ok"], row["rows_quarantined"], row["rows_rejected"], row["duration_ms"]) == ("failed", 2, 0, 1, 2000)
     assert '"pages":"3"' in row["notes"] and '"x":"y"' in row["notes"]
 
 
+def test_run_row_of_the_writing_job(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "ok,ok,rejected"), (2, ""), (3, "quarantined")], "page_id int, html string")
+    parse = lambda p: p.select("page_id", F.explode(F.split("html", ",")).alias("parse_status")).where("parse_status <> ''")
+    row = sinks.write_run(pages, parse, f"file://{tmp_path}/sales", started=dt.datetime(2024, 1, 1), ended=dt.datetime(2024, 1, 2)).first()
+    assert (row["pages_processed"], row["rows_ok"], row["rows_quarantined"], row["rows_rejected"], row["status"]) == (3, 2, 1, 1, "success")
+    assert spark.read.parquet(f"file://{tmp_path}/sales").count() == 4
+
+
+def test_a_bucket_that_empties_goes(spark, tmp_path):
+    path, schema = f"file://{tmp_path}/buckets", "k string, v int"
+    put = lambda rows, merge: sinks.merge_buckets(spark.createDataFrame(rows, schema), path, schema, "k", merge, buckets=1)
+    put([("a", 1), ("b", 2)], lambda old, new: new)
+    put([("a", 1)], lambda old, new: old.where("false"))
+    assert sinks.stored(spark, path, schema).count() == 0
+    put([("c", 3)], lambda old, new: old.unionByName(new))
+    assert [tuple(r) for r in sinks.stored(spark, path, schema).collect()] == [("c", 3)]
+
+
 def test_releases_prefer_upcoming(spark):
     day = dt.date(2024, 1, 31)
     calendar = spark.createDataFrame([("soon", dt.date(2024, 2, 10)), ("past", dt.date(2024, 1, 20)), ("far", dt.date(2025, 1, 1))], "set_name string, release_date date")
     assert [r["set_name"] for r in selections.releases(calendar, day).collect()] == ["soon"]
     assert [r["set_name"] for r in selections.releases(calendar.where("set_name <> 'soon'"), day).collect()] == ["past"]
+
+
+def report_text(n):
+    values = lambda i: "\n".join(str(v) for k in range(13) for v in (f"{1000 * i + k:,}" if k % 4 else "–", "0", "3"))
+    items = [f"{i}\tName {i}{'Shop with Affiliates' if i % 2 else ''}\n{'Holo' + chr(10) if i % 3 == 0 else ''}Grade\n+\nQ\n{values(i) if i % 7 else '1'}" for i in range(n)]
+    return "Card No.\tDescription\nTOTAL POPULATION\n1\n2\n3\n" + "\n".join(items)
+
+
+def test_reports_larger_than_a_partition(spark, tmp_path):
+    """Files cut into many splits give what whole texts give, with every item's own number."""
+    for name, n in (("Set A", 120), ("Set B", 1), ("Empty", 0)):
+        (tmp_path / f"{name}.txt").write_text(report_text(n))
+    (tmp_path / "crlf.txt").write_bytes(report_text(9).replace("\n", "\r\n").encode())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("700", "5000", before):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            blocks = readers.text_reports(spark, f"file://{tmp_path}")
+            found = population.report_items(blocks)
+            whole = spark.read.text(f"file://{tmp_path}", wholetext=True).select(F.regexp_extract(F.url_decode(F.col("_metadata.file_name")), r"^(.*)\.txt$", 1).alias("set_name"), F.col("value").alias("text"))
+            expected = population.text_report(whole)
+            assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+            assert found.count() == 120 - 18 + 0 + 9 - 2
+            if size == "700":
+                assert spark.read.text(f"file://{tmp_path}", lineSep="\t").select("_metadata.file_block_start").distinct().count() > 20
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["en", "jp"]), st.text("abc", min_size=1, max_size=3), st.integers(0, 9)), max_size=14, unique_by=lambda r: r[:2]), st.integers(1, 4))
+def test_batches_are_dealt_greedily(spark, sets, batches):
+    expected = []
+    for language in ("en", "jp"):
+        load = [0] * batches
+        for _, name, n in sorted((r for r in sets if r[0] == language), key=lambda r: (-r[2], r[1])):
+            to = load.index(min(load))
+            load[to] += n
+            expected.append((language, name, n, to))
+    found = scheduling.pack_batches(spark.createDataFrame(sets, "language string, name string, n int"), batches)
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+
+
+def test_file_names(spark):
+    paths = ["file:/a/Japan%20b.csv", "file:/a/x.csv/part-00000-1.csv", "part-0"]
+    rows = spark.createDataFrame([(p,) for p in paths], "p string").select(readers.file_name(F.col("p")).alias("n"))
+    assert [r["n"] for r in rows.collect()] == ["Japan b.csv", "x.csv", "part-0"]
+
+
+def test_saved_pages_are_whole(spark, tmp_path):
+    (tmp_path / "a.html").write_text("<p>\none\n</p>\n")
+    rows = readers.saved_pages(spark, f"file://{tmp_path}").collect()
+    assert [(r["url"].rsplit("/", 1)[1], r["html"]) for r in rows] == [("a.html", "<p>\none\n</p>\n")]
