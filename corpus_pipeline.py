@@ -6,7 +6,7 @@ cuts the lineage: a lost executor costs one stage's tasks, not the whole run. A
 the last, which the result is read from, stays.
 
 Defined results: every stage takes null texts and ids, empty and very long texts, repeated rows, empty tables and columns with any other names, which it
-leaves out. Null ids are never copies of other documents, all else is as the operators say.
+leaves out. All else is as the operators say.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from quillmark.llm import decontaminate, langid, line_dedup, ngram_join, packing
 from quillmark.llm.queries import table, tokenizer_path
-from quillmark.llm.shared import new_folder, remove_folder
+from quillmark.llm.shared import Tables, checkpointed, new_folder, remove_folder
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -44,10 +44,23 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of every group of near copies; documents without words are no copies of each other."""
-    found = ngram_join.join_ngrams(docs)
-    gone = found.where("component <> doc").select(F.col("doc").alias("doc_id"))
-    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """One document of every group of near copies, that with the smallest doc_id; documents without words are no copies of each other.
+
+    Rows are judged one by one: where ids repeat or are null, each row is a document of its own, and of equally small ids (null ones come last) one row stays.
+    """
+    docs = docs.select(*COLUMNS)
+    rows, known, distinct = docs.agg(F.count("*"), F.count("doc_id"), F.count_distinct("doc_id")).first()
+    if rows == known == distinct:
+        found = ngram_join.join_ngrams(docs)
+        return docs.join(found.where("component <> doc").select(F.col("doc").alias("doc_id")), "doc_id", "left_anti").select(*COLUMNS)
+    tables = Tables(spark, "rows")
+    numbered, _ = tables.keep(docs.withColumn("row", F.monotonically_increasing_id()))
+    found = ngram_join.join_ngrams(numbered.select(F.col("row").alias("doc_id"), "text")).select(F.col("doc").alias("row"), "component")
+    order = F.struct(F.col("doc_id").isNull().alias("x"), F.col("doc_id").alias("y"), F.col("row").alias("z"))
+    stay = found.join(numbered.select("row", "doc_id"), "row").groupBy("component").agg(F.min_by("row", order).alias("row"))
+    kept = checkpointed(numbered.join(stay.select("row"), "row", "left_semi").select(*COLUMNS))
+    tables.drop()
+    return kept
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,9 +6,8 @@ mean log frequency of those of the longest order of which the model knows any. T
 its posterior with the evidence of a long text scaled to ``evidence_words`` words, so that mixed texts score lower.
 
 Training reads rows with text and language outside the held-out fold. It is a classifier fitted on a bounded sample: of
-more than ``max_rows`` labelled rows a hash of the id picks about that many. Words and n-grams are counted by Spark. The
-model holds the ``max_words`` words and ``max_grams`` n-grams that come first by their rank within a language, so that each language
-has its most frequent ones however few its rows are. Scoring reads every whole text and shuffles nothing.
+more than ``max_rows`` labelled rows a hash of the id picks about that many. Words and n-grams are counted by Spark, and the
+model holds every word and n-gram of the sample. Scoring reads every whole text and shuffles nothing.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0. A text with letters of which the model knows
 nothing gets the language with the most words in training and its share of them as score. Without any labelled row every text is
@@ -24,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -114,7 +113,7 @@ class Model:
         return self.languages[best], float(min(1.0, p[best] / p.sum()))
 
 
-def train(docs: DataFrame, *, max_rows: int = 20_000, max_words: int = 60_000, max_grams: int = 60_000, max_n: int = 5, evidence_words: int = 30) -> Model:
+def train(docs: DataFrame, *, max_rows: int = 2_000, max_n: int = 5, evidence_words: int = 30) -> Model:
     labelled = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     share = min(1.0, max_rows / max(1, labelled.select("lang").count()))
     if share < 1:
@@ -151,16 +150,9 @@ def train(docs: DataFrame, *, max_rows: int = 20_000, max_words: int = 60_000, m
     by_gram = by_word.select("lang", "word", "n").mapInArrow(split, "feature string, lang string, n long").groupBy("feature", "lang").agg(F.sum("n").alias("n"))
     by_gram = checkpointed(by_gram)
     by_word = by_word.select(F.concat(F.lit("w"), "word").alias("feature"), "lang", "n")
-    kept: list[pa.Table] = []
-    totals: dict[tuple[str, str], int] = {}
-    for table, most in ((by_word, max_words), (by_gram, max_grams)):
-        totals |= {(r["k"], r["lang"]): r["n"] for r in table.groupBy(F.substring("feature", 1, 1).alias("k"), "lang").agg(F.sum("n").alias("n")).collect()}
-        # No feature below rank ``most`` in all its languages is kept, so the rank filter leaves out none that could be.
-        rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "feature"))
-        first = table.select("feature", "lang", "n", rank.alias("rank")).where(F.col("rank") <= most).groupBy("feature").agg(F.min("rank").alias("rank"))
-        chosen = first.orderBy("rank", "feature").limit(most).select("feature")
-        kept.append(table.join(F.broadcast(chosen), "feature").select("feature", "lang", "n").toArrow())
-    return Model(pa.concat_tables(kept).sort_by([("feature", "ascending"), ("lang", "ascending")]), totals, max_n, evidence_words)
+    totals = {(r["k"], r["lang"]): r["n"] for table in (by_word, by_gram) for r in table.groupBy(F.substring("feature", 1, 1).alias("k"), "lang").agg(F.sum("n").alias("n")).collect()}
+    counts = pa.concat_tables([table.select("feature", "lang", "n").toArrow() for table in (by_word, by_gram)])
+    return Model(counts.sort_by([("feature", "ascending"), ("lang", "ascending")]), totals, max_n, evidence_words)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

@@ -3,10 +3,12 @@
 Tokens are made by the byte-level BPE named by path, in tasks. A document longer than a sequence is cut from its end, so
 that all its pieces but the first are full; full pieces are sequences of their own. The other pieces are dealt by a hash
 of (doc_id, piece) over shards of about ``shard_pieces`` pieces, a number that doesn't grow with the input, and each
-shard is packed on its own: best fit by descending length, then local search. The search takes underfull bins from the emptiest up
+shard is packed on its own: best fit by descending length, then local search. What stays in sequences that are less than three quarters full is dealt
+over fewer shards and packed again, until one shard holds all of it, so hardly a sequence is due to the sharding. Pieces that fill such
+sequences in every shard, since nothing fits beside them, end it too, after shards of eight times the size. The search takes underfull bins from the emptiest up
 and moves documents out of them into other bins, exchanges one for one or two for one, whenever that makes the sum
 of squared fills grow, until bins empty or no step helps. Every bin and every pair of a donor's documents is tried; bins with equal
-contents are tried once. Shards leave at most a bin each that one global packing might have saved, one in several thousand.
+contents are tried once.
 
 Defined results: a null or empty text is the end token alone. Ties go by (length, doc_id, piece), so a lost task packs
 the same again. Repeated rows are packed as often as they come, rows without an id too. An empty table gives no rows. Other columns aren't used.
@@ -26,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmark.llm.shared import checkpointed
+from quillmark.llm.shared import Tables, checkpointed
 
 #: Where a run of white space that another character follows must be cut: the BPE's pattern keeps its last character for the next word.
 _RUN = regex.compile(r"\p{White_Space}(?=\p{White_Space}\P{White_Space})")
@@ -220,19 +222,43 @@ def pack_shard(lengths: list[int], size: int) -> list[list[int]]:
 
 def pack(docs: DataFrame, tokenizer: str, *, size: int = 1024, end_id: int = 2, shard_pieces: int = 8192) -> DataFrame:
     """A row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    pieces = checkpointed(tokenized(docs, tokenizer, size=size, end_id=end_id))
-    shards = max(1, -(-pieces.count() // shard_pieces))
-
-    def pack_one(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([(c, "ascending") for c in ("length", "doc_id", "piece", "ids_crc32")])
-        sequence, offset = np.zeros(len(rows), "int64"), np.zeros(len(rows), "int64")
-        lengths = rows["length"].to_pylist()
-        for s, members in enumerate(pack_shard(lengths, size)):
-            at = 0
-            for i in members:
-                sequence[i], offset[i] = (rows["shard"][0].as_py() << 32) + s, at
-                at += lengths[i]
-        return rows.drop_columns("shard").append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
-
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards)))
-    return dealt.groupBy("shard").applyInArrow(pack_one, PIECES + ", sequence_id long, offset long")
+    tables = Tables(docs.sparkSession, "packing")
+    schema = PIECES + ", sequence_id long, offset long, open boolean"
+
+    def packer(level: int):
+        def pack_one(rows: pa.Table) -> pa.Table:
+            rows = rows.sort_by([(c, "ascending") for c in ("length", "doc_id", "piece", "ids_crc32")])
+            sequence, offset, is_open = np.zeros(len(rows), "int64"), np.zeros(len(rows), "int64"), np.zeros(len(rows), bool)
+            lengths = rows["length"].to_pylist()
+            for s, members in enumerate(pack_shard(lengths, size)):
+                at = 0
+                for i in members:
+                    sequence[i], offset[i] = (((level << 24) + rows["shard"][0].as_py()) << 32) + s, at
+                    at += lengths[i]
+                is_open[members] = 4 * at < 3 * size
+            columns = {"sequence_id": pa.array(sequence), "offset": pa.array(offset), "open": pa.array(is_open)}
+            rows = rows.select([c.split()[0] for c in PIECES.split(", ")])
+            for name, column in columns.items():
+                rows = rows.append_column(name, column)
+            return rows
+
+        return pack_one
+
+    left, seen = tables.keep(tokenized(docs, tokenizer, size=size, end_id=end_id), n=F.count("*"))
+    full, level, n, room = None, 0, seen["n"], shard_pieces
+    while True:
+        shards = max(1, -(-n // room))
+        dealt = left.withColumn("shard", F.pmod(F.xxhash64(F.lit(level), "doc_id", "piece", "ids_crc32"), F.lit(shards)))
+        packed, seen = tables.keep(dealt.groupBy("shard").applyInArrow(packer(level), schema), n=F.count_if("open"))
+        # Sequences that are less than three quarters full are packed again together, in fewer shards each time; where hardly any got fuller, in larger ones.
+        stuck = 5 * seen["n"] > 4 * n
+        last = shards == 1 or not seen["n"] or (stuck and room >= 8 * shard_pieces)
+        done = packed if last else packed.where("not open")
+        full = done if full is None else full.unionByName(done)
+        if last:
+            break
+        room = 2 * room if stuck else room
+        left, n, level = packed.where("open").select(*[c.split()[0] for c in PIECES.split(", ")]), seen["n"], level + 1
+    out = checkpointed(full.drop("open"))
+    tables.drop()
+    return out

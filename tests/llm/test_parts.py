@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from quillmark.llm import chat, components, langid, line_dedup, ngram_join, packing, pii, toxicity, warc
+from quillmark.llm.queries import tokenizer_path
 from quillmark.llm.shared import Tables
 from tests.conftest import SMALL
 from tests.llm import brute
@@ -195,10 +196,32 @@ def test_langid_backs_off():
     assert model.backoff("these") == [model.gram_row[3]["<th"]] and model.score("123 !") == ("und", 0.0)
 
 
+def test_langid_keeps_every_feature(spark):
+    """200,000 words in a few rows: all of them are in the model."""
+    rows = [(3 * i, "en", " ".join(f"w{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676 % 26)}{chr(97 + k // 17576)}" for k in range(20_000 * i, 20_000 * (i + 1)))) for i in range(15)]
+    rows = [r for r in rows if not brute.held_out(r[0])]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, lang string, text string"))
+    assert len(model.word_row) == 20_000 * len(rows) >= 150_000
+    assert {len(w) for w in model.word_row} == {5}
+
+
+def test_packing_does_not_depend_on_shards(spark):
+    """Open sequences of all shards are packed again together: hardly more of them than in one shard, however small the shards are."""
+    rng = random.Random(8)
+    docs = spark.createDataFrame([(i, " ".join("ab" for _ in range(rng.choice([3, 40, 90, 200, 333])))) for i in range(700)], "doc_id long, text string")
+    few = None
+    for pieces in (10_000, 90, 20):
+        out = packing.pack(docs, tokenizer_path(), size=400, shard_pieces=pieces)
+        total = out.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.min("offset").alias("low"), F.max(F.col("offset") + F.col("length")).alias("high")).collect()
+        assert all(r["low"] == 0 and r["high"] == r["n"] <= 400 for r in total)
+        few = few or len(total)
+        assert out.count() == 700 and len(total) <= few + 3
+
+
 def test_langid_names_every_text_with_letters(spark):
     rows = [(i, "en", " ".join(f"{a}{b}ing" for a in "bcdfghklmn" for b in "aeiou") + " the") for i in range(60)] + [(100 + i, "zh", "\u6c34\u706b\u6728 \u91d1\u571f") for i in range(3)]
     docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
-    model = langid.train(docs, max_words=12, max_grams=40)
+    model = langid.train(docs)
     assert model.score("\u6c34\u706b")[0] == "zh"
     name, score = model.score("\u0e20\u0e32\u0e29\u0e32")
     assert name == "en" and 0 < score < 1 and model.score("12 !") == ("und", 0.0)

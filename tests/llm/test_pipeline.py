@@ -41,8 +41,11 @@ def test_stages(spark, data, tmp_path):  # noqa: F811
             assert sorted([(d, brute.sha(t)) for d, t in got], key=_key) == sorted([(None if d == -1 else d, h) for d, _, _, h in kept], key=_key)
             expected = got
         elif name == "n-gram Jaccard join":
-            component = {d: c for d, _, c in brute.op4([(d, t) for d, t in given if d is not None])}
-            expected = [(d, t) for d, t in given if d is None or component[d] == d]
+            component = {i: c for i, _, c in brute.op4([(i, t) for i, (_, t) in enumerate(given)])}
+            groups = collections.defaultdict(list)
+            for i, (d, t) in enumerate(given):
+                groups[component[i]].append((d is None, d or 0, i))
+            expected = [given[min(g)[2]] for g in groups.values()]
         else:
             bad = [r[-1] for r in brute.op1(given, rows(data, "benchmark", "item_id", "text"))]
             expected = [x for x, b in zip(given, bad, strict=True) if not b]
@@ -68,3 +71,12 @@ def test_languages_are_a_parameter(spark, odd):  # noqa: F811
     docs = table(spark, odd, "documents")
     only = corpus_pipeline.language_id(spark, docs, odd, languages=("en",)).count()
     assert 0 < only < corpus_pipeline.language_id(spark, docs, odd).count()
+
+
+def test_rows_that_share_an_id(spark):
+    """Equal rows leave one; a text of its own stays though its namesake goes."""
+    base = " ".join(f"word{i}" for i in range(60))
+    rows = [(3, base), (7, base + " more"), (7, "quite another text with words of its own"), (5, base), (None, base), (None, "no id here but many words to say"), (9, ""), (9, "")]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.ngram_jaccard(spark, docs, "").collect()), key=str)
+    assert kept == sorted([rows[0], rows[2], rows[5], rows[6], rows[7]], key=str)
