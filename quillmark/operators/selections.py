@@ -15,8 +15,21 @@ MIN_ROWS = 30
 MAX_WEEK, MAX_MONTH = 100, 200
 
 
-def allowed(rows: DataFrame, set_names: DataFrame | None) -> DataFrame:
-    return rows if set_names is None else rows.join(set_names.select("set_name"), "set_name", "left_semi")
+#: Sets with deep history, to which articles keep.
+ALLOWED_SETS = (
+    "Base Set", "Jungle", "Fossil", "Team Rocket", "Neo Genesis", "Neo Destiny",
+    "Hidden Fates", "Cosmic Eclipse", "Unified Minds", "Team Up", "Unbroken Bonds",
+    "Rebel Clash", "Darkness Ablaze", "Champion's Path", "Vivid Voltage", "Shining Fates", "Battle Styles", "Chilling Reign", "Evolving Skies", "Celebrations", "Fusion Strike",
+    "Brilliant Stars", "Astral Radiance", "Lost Origin", "Silver Tempest", "Crown Zenith",
+    "Scarlet & Violet", "Paldea Evolved", "Obsidian Flames", "151", "Paradox Rift", "Paldean Fates", "Temporal Forces", "Twilight Masquerade", "Stellar Crown", "Surging Sparks", "Prismatic Evolutions",
+)
+
+
+def allowed(rows: DataFrame, set_names: DataFrame | tuple[str, ...] | None) -> DataFrame:
+    """Rows of the allowed sets: a tuple of names, a table with ``set_name``, or None for all."""
+    if set_names is None:
+        return rows
+    return rows.where(F.col("set_name").isin(*set_names)) if isinstance(set_names, tuple) else rows.join(set_names.select("set_name"), "set_name", "left_semi")
 
 
 def credible(week: Column, month: Column) -> Column:
@@ -43,7 +56,7 @@ def top_items(trends: DataFrame, n: int) -> DataFrame:
     return _top(trends.where("current_raw > 0"), n, F.desc("current_raw")).where(~contains_any(F.col("card_name"), SEARCH_SEALED))
 
 
-def movers(trends: DataFrame, prices: DataFrame, set_names: DataFrame | None = None, least: int = MIN_ROWS) -> DataFrame:
+def movers(trends: DataFrame, prices: DataFrame, set_names: DataFrame | tuple[str, ...] | None = ALLOWED_SETS, least: int = MIN_ROWS) -> DataFrame:
     """Up to 8 risers and 6 fallers of the week, with ``side``."""
     base = trends.where("current_raw > 2000")
     up = _top(base.where("raw_pct_7d > 0 and raw_pct_7d <= 100 and raw_pct_30d <= 200"), 60, F.desc("raw_pct_7d")).withColumn("side", F.lit("riser"))
@@ -52,7 +65,7 @@ def movers(trends: DataFrame, prices: DataFrame, set_names: DataFrame | None = N
     return _top(fine(up), 8, F.desc("raw_pct_7d")).unionByName(_top(fine(down), 6, F.asc("raw_pct_7d")))
 
 
-def grading_premiums(trends: DataFrame, prices: DataFrame, set_names: DataFrame | None = None, least: int = MIN_ROWS) -> DataFrame:
+def grading_premiums(trends: DataFrame, prices: DataFrame, set_names: DataFrame | tuple[str, ...] | None = ALLOWED_SETS, least: int = MIN_ROWS) -> DataFrame:
     """Of the 80 dearest tens, the 10 with the largest multiple of raw and enough history, taken from the best 12."""
     dear = _top(trends.where("current_psa10 > 0 and current_raw > 0"), 80, F.desc("current_psa10"))
     rated = allowed(dear, set_names).withColumn("multiplier", rounded(F.col("current_psa10") / F.col("current_raw"), 1))
@@ -63,7 +76,7 @@ def low_population(population: DataFrame, most: int = 500) -> DataFrame:
     return population.where((F.col("psa_10") > 0) & (F.col("psa_10") < most)).orderBy("psa_10", "set_name", "card_number").limit(10)
 
 
-def sleepers(trends: DataFrame, prices: DataFrame, set_names: DataFrame | None = None, least: int = MIN_ROWS) -> DataFrame:
+def sleepers(trends: DataFrame, prices: DataFrame, set_names: DataFrame | tuple[str, ...] | None = ALLOWED_SETS, least: int = MIN_ROWS) -> DataFrame:
     found = trends.where("raw_pct_30d > 5 and raw_pct_30d <= 200 and raw_pct_90d > 5 and raw_pct_90d <= 500 and current_raw > 2000 and current_raw < 30000")
     return _top(with_history(allowed(_top(found, 80, F.desc("raw_pct_30d")), set_names), prices, least), 10, F.desc("raw_pct_30d"))
 
@@ -75,7 +88,7 @@ def pulse(index: DataFrame, n: int = 35) -> DataFrame:
     return last.select("date", dollars("total_raw_usd", 1_000_000).alias("total_raw"), dollars("median_raw_usd", 10_000).alias("median_raw"), "raw_pct_7d", "raw_pct_30d").orderBy("date")
 
 
-def history_pick(trends: DataFrame, prices: DataFrame, seed: int, set_names: DataFrame | None = None, least: int = MIN_ROWS) -> DataFrame:
+def history_pick(trends: DataFrame, prices: DataFrame, seed: int, set_names: DataFrame | tuple[str, ...] | None = ALLOWED_SETS, least: int = MIN_ROWS) -> DataFrame:
     """The 365 earliest prices of one item of at least $20, picked by a seeded hash among 15 eligible ones of the top 80."""
     top = _top(trends.where("current_raw >= 2000 and raw_pct_90d is not null"), 80, F.desc("current_raw"))
     some = _top(with_history(allowed(top, set_names), prices, least), 15, F.desc("current_raw"))
@@ -122,7 +135,7 @@ def population_angle(population: DataFrame, day: dt.date, least: int = 100, n: i
     """By day: lowest rate of tens, most graded, highest rate."""
     rated = population.where(F.col("total_graded") >= least).withColumn("gem_rate", rounded(F.col("psa_10") / F.col("total_graded") * 100, 2))
     orders = ([F.asc("gem_rate")], [F.desc("total_graded")], [F.desc("gem_rate")])
-    angle = day.timetuple().tm_yday % 3
+    angle = day.timetuple().tm_yday % len(orders)
     return rated.orderBy(*orders[angle], "set_name", "card_number").limit(n).withColumn("angle", F.lit(("low_gem_rate", "most_graded", "high_gem_rate")[angle]))
 
 

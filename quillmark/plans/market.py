@@ -81,7 +81,10 @@ def population_top(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def population_angle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return s.population_angle(t.population(spark, sf_dir), DAY, least=20).select("set_name", "card_number", "gem_rate", "total_graded", "angle")
+    """The angles of three days in a row, which are all there are."""
+    population = t.supplier_population(spark, sf_dir)
+    angles = [s.population_angle(population, DAY + dt.timedelta(days=k)).select("set_name", "card_number", "gem_rate", "total_graded", "angle") for k in range(3)]
+    return angles[0].unionByName(angles[1]).unionByName(angles[2])
 
 
 def data_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,17 +96,15 @@ def low_population(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def movers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return s.movers(a.card_trends(spark, sf_dir), t.monthly_prices(spark, sf_dir), least=10).select(*_CARD, "raw_pct_7d", "side")
+    return s.movers(a.weekly_trends(spark, sf_dir), t.weekly_prices(spark, sf_dir)).select(*_CARD, "raw_pct_7d", "side")
 
 
 def grading_premiums(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return s.grading_premiums(a.card_trends(spark, sf_dir), t.monthly_prices(spark, sf_dir), least=10).select(*_CARD, "current_psa10", "multiplier")
+    return s.grading_premiums(a.weekly_trends(spark, sf_dir), t.weekly_prices(spark, sf_dir)).select(*_CARD, "current_psa10", "multiplier")
 
 
 def sleepers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prices are folded into the rule's range. Few items have prices at both anchors, so small tables may give no rows."""
-    folded = a.card_trends(spark, sf_dir).withColumn("current_raw", F.col("current_raw") % 30_000)
-    return s.sleepers(folded, t.monthly_prices(spark, sf_dir), least=10).select(*_CARD, "raw_pct_30d", "raw_pct_90d")
+    return s.sleepers(a.weekly_trends(spark, sf_dir), t.weekly_prices(spark, sf_dir)).select(*_CARD, "raw_pct_30d", "raw_pct_90d")
 
 
 def index_pulse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,11 +116,11 @@ def market_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def busiest_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return s.busiest_set(a.card_trends(spark, sf_dir), least=2).drop("top_riser", "top_faller")
+    return s.busiest_set(a.weekly_trends(spark, sf_dir))
 
 
 def collector_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return s.collector_sets(a.set_metrics_daily(spark, sf_dir), a.card_trends(spark, sf_dir)).drop("top_card")
+    return s.collector_sets(a.weekly_set_metrics(spark, sf_dir), a.weekly_trends(spark, sf_dir))
 
 
 def top_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,7 +132,7 @@ def riser_of_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def history_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return s.history_pick(a.card_trends(spark, sf_dir), t.monthly_prices(spark, sf_dir), 7, least=10)
+    return s.history_pick(a.weekly_trends(spark, sf_dir), t.weekly_prices(spark, sf_dir), 7)
 
 
 def price_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,7 +219,10 @@ pop AS (SELECT p_brand AS set_name, CAST(p_partkey AS VARCHAR) AS card_number, p
   count(*) FILTER (l_linenumber = 4) AS psa_7, count(*) AS total_graded FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3)"""
 
 _T = a._WITH_MONTHLY  # noqa: SLF001
-_ENOUGH = "card_slug IN (SELECT card_slug FROM prices GROUP BY 1 HAVING count(*) >= 10)"
+_W = a.WITH_WEEKLY
+_ALLOWED = "set_name IN (" + ", ".join("'" + n.replace("'", "''") + "'" for n in s.ALLOWED_SETS) + ")"
+_ENOUGH = f"card_slug IN (SELECT card_slug FROM prices GROUP BY 1 HAVING count(*) >= 30) AND {_ALLOWED}"
+_RATED = f"WITH p AS (SELECT [{', '.join(f"'{n}'" for n in t.SETS)}][l_suppkey % {len(t.SETS)} + 1] AS set_name, CAST(l_suppkey AS VARCHAR) AS card_number, count(*) FILTER (l_linenumber = 1) AS tens, count(*) AS total_graded FROM lineitem WHERE l_suppkey IN (SELECT s_suppkey FROM supplier) GROUP BY 1, 2), q AS (SELECT set_name, card_number, {o.r('CAST(tens AS DOUBLE) / total_graded * 100', 2)} AS gem_rate, total_graded FROM p WHERE total_graded >= 100)"
 _SALES = """
 s AS (SELECT CAST(l_partkey AS VARCHAR) AS provider_card_id, l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || CAST(l_quantity AS INTEGER) AS provider_sale_key, strftime(l_shipdate, '%Y-%m-%d') AS sale_date, l_linenumber * 10 AS conf,
   CASE l_returnflag WHEN 'N' THEN 'Raw' WHEN 'A' THEN 'PSA 10' ELSE '9' END AS k, l_linenumber AS n, l_returnflag FROM lineitem)"""
@@ -235,30 +239,30 @@ SELECT listing_id, card_slug, discount_pct, total_usd FROM (SELECT *, row_number
     "population_totals": f"WITH {_POP}, z AS (SELECT set_name, CAST(sum(total_graded) AS BIGINT) AS total_graded, CAST(sum(psa_10) AS BIGINT) AS total_psa_10, CAST(sum(psa_9) AS BIGINT) AS total_psa_9, CAST(sum(psa_8) AS BIGINT) AS total_psa_8 FROM pop GROUP BY 1) SELECT *, {o.r('CAST(total_psa_10 AS DOUBLE) / total_graded * 100', 2)} AS gem_rate FROM z",
     "population_snapshot": f"WITH {_POP} SELECT set_name, card_number, card_name, psa_8, psa_9, psa_10, total_graded, {o.r('CAST(psa_10 AS DOUBLE) / total_graded * 100', 2)} AS gem_rate, DATE '2001-10-01' AS snapshot_date FROM pop WHERE total_graded > 0",
     "population_top": f"WITH {_POP} SELECT set_name, CAST(rk AS INTEGER) AS rank, card_number, card_name, total_graded, CAST(set_total AS BIGINT) AS set_total FROM (SELECT *, row_number() OVER (PARTITION BY set_name ORDER BY total_graded DESC, card_number) AS rk, sum(total_graded) OVER (PARTITION BY set_name) AS set_total FROM pop) WHERE rk <= 5",
-    "population_angle": f"WITH {_POP} SELECT set_name, card_number, {o.r('CAST(psa_10 AS DOUBLE) / total_graded * 100', 2)} AS gem_rate, total_graded, 'most_graded' AS angle FROM pop WHERE total_graded >= 20 ORDER BY total_graded DESC, set_name, card_number LIMIT 5",
+    "population_angle": _RATED + " " + " UNION ALL ".join(f"SELECT *, '{n}' AS angle FROM (FROM q ORDER BY {k}, set_name, card_number LIMIT 5)" for n, k in (("low_gem_rate", "gem_rate"), ("most_graded", "total_graded DESC"), ("high_gem_rate", "gem_rate DESC"))),
     "data_facts": f"""WITH {_POP} SELECT * FROM (SELECT 'most_graded' AS fact, set_name, card_number, psa_10, total_graded FROM pop ORDER BY total_graded DESC, set_name, card_number LIMIT 1)
 UNION ALL SELECT * FROM (SELECT 'most_tens', set_name, card_number, psa_10, total_graded FROM pop ORDER BY psa_10 DESC, set_name, card_number LIMIT 1)
 UNION ALL SELECT * FROM (SELECT 'fewest_tens', set_name, card_number, psa_10, total_graded FROM pop WHERE psa_10 > 0 ORDER BY psa_10, set_name, card_number LIMIT 1)""",
     "low_population": f"WITH {_POP} SELECT set_name, card_number, psa_10 FROM pop WHERE psa_10 > 0 AND psa_10 < 500 ORDER BY psa_10, set_name, card_number LIMIT 10",
-    "movers": f"""{_T}, up AS (SELECT *, 'riser' AS side FROM trends WHERE current_raw > 2000 AND raw_pct_7d > 0 AND raw_pct_7d <= 100 AND raw_pct_30d <= 200 ORDER BY raw_pct_7d DESC, card_slug LIMIT 60),
+    "movers": f"""{_W}, up AS (SELECT *, 'riser' AS side FROM trends WHERE current_raw > 2000 AND raw_pct_7d > 0 AND raw_pct_7d <= 100 AND raw_pct_30d <= 200 ORDER BY raw_pct_7d DESC, card_slug LIMIT 60),
 down AS (SELECT *, 'faller' AS side FROM trends WHERE current_raw > 2000 AND raw_pct_7d < 0 AND raw_pct_7d >= -100 ORDER BY raw_pct_7d, card_slug LIMIT 60)
 SELECT card_slug, card_name, set_name, current_raw, raw_pct_7d, side FROM (SELECT * FROM up WHERE coalesce(abs(raw_pct_30d), 0) <= 200 AND {_ENOUGH} ORDER BY raw_pct_7d DESC, card_slug LIMIT 8)
 UNION ALL SELECT card_slug, card_name, set_name, current_raw, raw_pct_7d, side FROM (SELECT * FROM down WHERE coalesce(abs(raw_pct_30d), 0) <= 200 AND {_ENOUGH} ORDER BY raw_pct_7d, card_slug LIMIT 6)""",
-    "grading_premiums": f"""{_T}, dear AS (SELECT *, {o.r("CAST(current_psa10 AS DOUBLE) / current_raw", 1)} AS multiplier FROM trends WHERE current_psa10 > 0 AND current_raw > 0 ORDER BY current_psa10 DESC, card_slug LIMIT 80)
+    "grading_premiums": f"""{_W}, dear AS (SELECT *, {o.r("CAST(current_psa10 AS DOUBLE) / current_raw", 1)} AS multiplier FROM trends WHERE current_psa10 > 0 AND current_raw > 0 ORDER BY current_psa10 DESC, card_slug LIMIT 80)
 SELECT card_slug, card_name, set_name, current_raw, current_psa10, multiplier FROM dear WHERE {_ENOUGH} ORDER BY multiplier DESC, card_slug LIMIT 10""",
-    "sleepers": f"""{_T}, m AS (SELECT * REPLACE (current_raw % 30000 AS current_raw) FROM trends),
-c AS (SELECT * FROM m WHERE raw_pct_30d > 5 AND raw_pct_30d <= 200 AND raw_pct_90d > 5 AND raw_pct_90d <= 500 AND current_raw > 2000 AND current_raw < 30000 ORDER BY raw_pct_30d DESC, card_slug LIMIT 80)
+    "sleepers": f"""{_W}, c AS (SELECT * FROM trends WHERE raw_pct_30d > 5 AND raw_pct_30d <= 200 AND raw_pct_90d > 5 AND raw_pct_90d <= 500 AND current_raw > 2000 AND current_raw < 30000 ORDER BY raw_pct_30d DESC, card_slug LIMIT 80)
 SELECT card_slug, card_name, set_name, current_raw, raw_pct_30d, raw_pct_90d FROM c WHERE {_ENOUGH} ORDER BY raw_pct_30d DESC, card_slug LIMIT 10""",
-    "history_pick": f"""{_T}, c AS (SELECT * FROM trends WHERE current_raw >= 2000 AND raw_pct_90d IS NOT NULL ORDER BY current_raw DESC, card_slug LIMIT 80),
+    "history_pick": f"""{_W}, c AS (SELECT * FROM trends WHERE current_raw >= 2000 AND raw_pct_90d IS NOT NULL ORDER BY current_raw DESC, card_slug LIMIT 80),
 b AS (SELECT * FROM c WHERE {_ENOUGH} ORDER BY current_raw DESC, card_slug LIMIT 15), one AS (SELECT card_slug, card_name FROM b ORDER BY md5('7|' || card_slug), card_slug LIMIT 1)
 SELECT card_slug, date, raw_usd, card_name FROM prices JOIN one USING (card_slug) WHERE raw_usd > 0 ORDER BY date LIMIT 365""",
     "index_pulse": f"""WITH {o.PRICES},{o.index()} SELECT date, CASE WHEN total_raw_usd > 1000000 THEN CAST(total_raw_usd AS DOUBLE) / 100 ELSE CAST(total_raw_usd AS DOUBLE) END AS total_raw,
 CASE WHEN median_raw_usd > 10000 THEN CAST(median_raw_usd AS DOUBLE) / 100 ELSE CAST(median_raw_usd AS DOUBLE) END AS median_raw, raw_pct_7d, raw_pct_30d FROM idx_pct ORDER BY date DESC LIMIT 35""",
     "market_trend": f"WITH {o.PRICES},{o.index()} SELECT date, total_raw_usd, raw_pct_7d FROM idx_pct WHERE raw_pct_7d IS NOT NULL AND date = (SELECT max(date) FROM idx_pct)",
-    "busiest_set": f"""{_T} SELECT set_name, count(*) AS cards, {o.r("avg(abs(raw_pct_7d))", 1)} AS activity, count(*) FILTER (raw_pct_7d > 0) AS risers, count(*) FILTER (raw_pct_7d < 0) AS fallers
-FROM trends WHERE raw_pct_7d IS NOT NULL AND current_raw > 0 GROUP BY 1 HAVING count(*) >= 2 ORDER BY activity DESC, set_name LIMIT 1""",
-    "collector_sets": f"""{_T},{o.sets()}, b AS (SELECT set_name, set_total_value FROM sets ORDER BY set_total_value DESC, set_name LIMIT 8)
-SELECT set_name, set_total_value, max(current_raw) AS top_price, count(*) FILTER (current_raw >= 2000) AS from_20 FROM trends JOIN b USING (set_name) WHERE current_raw > 0 GROUP BY 1, 2""",
+    "busiest_set": f"""{_W} SELECT set_name, count(*) AS cards, {o.r("avg(abs(raw_pct_7d))", 1)} AS activity, count(*) FILTER (raw_pct_7d > 0) AS risers, count(*) FILTER (raw_pct_7d < 0) AS fallers,
+arg_max(card_name, (raw_pct_7d, card_name)) AS top_riser, arg_min(card_name, (raw_pct_7d, card_name)) AS top_faller
+FROM trends WHERE raw_pct_7d IS NOT NULL AND current_raw > 0 GROUP BY 1 HAVING count(*) >= 8 ORDER BY activity DESC, set_name LIMIT 1""",
+    "collector_sets": f"""{_W},{o.sets()}, b AS (SELECT set_name, set_total_value FROM sets ORDER BY set_total_value DESC, set_name LIMIT 8)
+SELECT set_name, set_total_value, max(current_raw) AS top_price, arg_max(card_name, (current_raw, card_name)) AS top_card, count(*) FILTER (current_raw >= 2000) AS from_20 FROM trends JOIN b USING (set_name) WHERE current_raw > 0 GROUP BY 1, 2""",
     "top_items": f"{_T} SELECT card_slug, card_name, set_name, current_raw FROM trends WHERE current_raw > 0 ORDER BY current_raw DESC, card_slug LIMIT 100",
     "riser_of_day": f"""{_T}, top AS (SELECT * FROM trends WHERE raw_pct_7d >= 5 AND raw_pct_7d <= 150 ORDER BY raw_pct_7d DESC, card_slug LIMIT 3)
 SELECT card_slug, card_name, set_name, current_raw, raw_pct_7d FROM (SELECT *, row_number() OVER (ORDER BY raw_pct_7d DESC, card_slug) - 1 AS p, count(*) OVER () AS c FROM top) WHERE p = 274 % c""",

@@ -44,6 +44,35 @@ def monthly_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pivoted(rows, MONTHLY_GRADES, "l_returnflag")
 
 
+#: Names of the sets of ``supplier_cards``; five are on the articles' list.
+SETS = ("Base Set", "Neo Genesis", "Evolving Skies", "Paldea Evolved", "Obsidian Flames", "EX Legends", "XY Origins", "Sun & Moon", "Sword & Shield", "Promos")
+#: A Monday with prices of most items.
+WEEKLY_AS_OF = dt.date(2001, 8, 6)
+
+
+def weekly_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as items with long histories: card_slug, date (Mondays), a tenth of the dearest unit price of all, twice of the A and three times of the R lines."""
+    line = read(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate", "l_returnflag", dollars_to_cents(F.col("l_extendedprice") / F.col("l_quantity")).alias("c"))
+    cents = F.expr("c div 10")
+    of = lambda flag, n: F.max(F.when(F.col("l_returnflag") == flag, cents * n))
+    rows = line.groupBy(F.concat(F.lit("pc-"), F.col("l_suppkey").cast("string")).alias("card_slug"), F.to_date(F.date_trunc("week", "l_shipdate")).alias("date"))
+    return rows.agg(F.max(cents).alias("raw_usd"), of("A", 2).alias("psa9_usd"), of("R", 3).alias("psa10_usd"))
+
+
+def supplier_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue of the suppliers, in ten sets; every nineteenth is a sealed product."""
+    s = read(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    return s.select(k.cast("string").alias("card_slug"), F.concat("s_name", F.when(k % 19 == 0, " Booster Box").otherwise(F.lit(""))).alias("card_name"), F.get(F.array(*[F.lit(n) for n in SETS]), (k % len(SETS)).cast("int")).alias("set_name"))
+
+
+def supplier_population(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Graded counts of suppliers by line number, of which there are hundreds."""
+    line = read(spark, sf_dir, "lineitem").select(F.col("l_suppkey").cast("string").alias("card_slug"), "l_linenumber")
+    counts = line.groupBy("card_slug").agg(*[F.count(F.when(F.col("l_linenumber") == k, 1)).alias(name) for k, name in ((1, "psa_10"), (2, "psa_9"), (3, "psa_8"), (4, "psa_7"))], F.count("*").alias("total_graded"))
+    return counts.join(supplier_cards(spark, sf_dir), "card_slug").select("set_name", F.col("card_slug").alias("card_number"), "card_name", "psa_7", "psa_8", "psa_9", "psa_10", "total_graded")
+
+
 def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read(spark, sf_dir, "part")
     return p.select(F.col("p_partkey").cast("string").alias("card_slug"), F.concat("p_name", F.lit(" #"), F.col("p_size").cast("string")).alias("card_name"), F.col("p_brand").alias("set_name"))
