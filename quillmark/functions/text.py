@@ -277,7 +277,7 @@ def first_edition(title: Column) -> Column:
 
 def variant_text(title: Column) -> Column:
     """Bracketed texts joined by ``; ``, and Shadowless if only the title says so; null if neither."""
-    bits = F.transform(F.regexp_extract_all(title, F.lit(r"\[([^\]]+)\]"), F.lit(1)), F.trim)
+    bits = F.transform(F.regexp_extract_all(title, F.lit(r"\[([^\]]+)\]"), F.lit(1)), lambda b: F.trim(b))
     extra = F.rlike(title, F.lit(r"(?i)\bshadowless\b")) & ~F.exists(bits, lambda b: F.lower(b) == "shadowless")
     all_bits = F.when(extra, F.concat(bits, F.array(F.lit("Shadowless")))).otherwise(bits)
     return F.when(F.size(all_bits) > 0, F.array_join(all_bits, "; "))

@@ -329,7 +329,7 @@ def test_sleepers_need_the_quarter_too(spark):
         "card_slug string, current_raw int, raw_pct_30d double, raw_pct_90d double",
     )
     prices = spark.range(30).selectExpr("explode(array('up', 'fell', 'unknown', 'dear')) as card_slug").union(spark.createDataFrame([("few",)], "card_slug string"))
-    assert [r["card_slug"] for r in selections.sleepers(trends, prices).collect()] == ["up"]
+    assert [r["card_slug"] for r in selections.sleepers(trends, prices, None).collect()] == ["up"]
 
 
 def test_replace_day(spark, tmp_path):
