@@ -32,11 +32,20 @@ def live_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.live_listings(happened).withColumn("scraped_at", F.col("scraped_at").cast("timestamp_ntz"))
 
 
-QUERIES = {f.__name__: f for f in (state_change_stream, attempt_streak_stream, live_listings)}
+def stream_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row a run of the change stream with what the run itself observed."""
+    with ev.run_metrics(spark) as rows:
+        in_slices(t.observations(spark, sf_dir), "observed_at", lambda s: ev.observed(ev.change_stream(s)), "observed")
+    return spark.createDataFrame([(r["batch_id"], r["rows"], r["alerts"]) for r in rows], "batch_id bigint, rows bigint, alerts bigint")
+
+
+QUERIES = {f.__name__: f for f in (state_change_stream, attempt_streak_stream, live_listings, stream_runs)}
 
 SQL = {
     "state_change_stream": tables.SQL["state_changes"],
     "attempt_streak_stream": tables.SQL["attempt_streaks"],
     "live_listings": """SELECT CAST(user_id AS VARCHAR) AS card_slug, CASE WHEN event_type = 'error' THEN 'uk' ELSE 'us' END AS marketplace, user_id || '-' || event_type AS ebay_item_id, arg_max(value, (ts, value)) AS price, max(ts) AS scraped_at
 FROM events GROUP BY user_id, event_type HAVING max(ts) >= (SELECT max(ts) FROM events) - INTERVAL 1 DAY""",
+    "stream_runs": f"""WITH b AS (SELECT epoch_us(min(ts)) AS low, epoch_us(max(ts)) AS high FROM events), {tables._CHANGES.strip()}
+SELECT CAST(CASE WHEN epoch_us(ts) >= low + (high - low) * 2 // 3 THEN 2 WHEN epoch_us(ts) >= low + (high - low) // 3 THEN 1 ELSE 0 END AS BIGINT) AS batch_id, count(*) AS rows, count(*) FILTER (alert = 'true') AS alerts FROM ch, b GROUP BY 1""",
 }

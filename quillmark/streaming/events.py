@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQueryListener
@@ -280,13 +282,17 @@ def observed(events: DataFrame, name: str = "run") -> DataFrame:
 
 
 class RunListener(StreamingQueryListener):
-    """Hands the metrics of ``observed`` to ``sink`` once a micro-batch, with the query's name and the batch's number."""
+    """Hands the metrics of ``observed`` to ``sink`` once a micro-batch, with the query's name and the batch's number.
+
+    Events come on a thread of their own; ``wait`` returns when those of all queries that were started have come.
+    """
 
     def __init__(self, sink: Callable[[dict], None], name: str = "run"):
-        self.sink, self.name = sink, name
+        self.sink, self.name, self.open, self.changed = sink, name, set(), threading.Condition()
 
     def onQueryStarted(self, event) -> None:
-        pass
+        with self.changed:
+            self.open.add(str(event.runId))
 
     def onQueryProgress(self, event) -> None:
         found = event.progress.observedMetrics.get(self.name)
@@ -297,4 +303,24 @@ class RunListener(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        with self.changed:
+            self.open.discard(str(event.runId))
+            self.changed.notify_all()
+
+    def wait(self, seconds: float = 60) -> None:
+        with self.changed:
+            if not self.changed.wait_for(lambda: not self.open, seconds):
+                raise TimeoutError(f"no end of {len(self.open)} queries after {seconds} seconds")
+
+
+@contextmanager
+def run_metrics(spark: SparkSession, name: str = "run") -> Iterator[list[dict]]:
+    """The metrics of all ``observed`` micro-batches that run inside, complete when it ends."""
+    rows: list[dict] = []
+    listener = RunListener(rows.append, name)
+    spark.streams.addListener(listener)
+    try:
+        yield rows
+        listener.wait()
+    finally:
+        spark.streams.removeListener(listener)

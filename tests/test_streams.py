@@ -97,16 +97,14 @@ def test_listings_expire(spark, tmp_path):
     assert found() == [("b", 5), ("d", 4)]
 
 
-def test_run_listener():
-    from types import SimpleNamespace
-
-    from pyspark.sql import Row
-
-    found = []
-    listener = ev.RunListener(found.append)
-    for batch_id, metrics in enumerate([{"run": Row(rows=3, alerts=1)}, {"other": Row(rows=1)}]):
-        listener.onQueryProgress(SimpleNamespace(progress=SimpleNamespace(name="q", batchId=batch_id, observedMetrics=metrics)))
-    assert found == [{"query": "q", "batch_id": 0, "rows": 3, "alerts": 1}]
+def test_run_metrics(spark, tmp_path):
+    """Every micro-batch's metrics have come when the block ends, those of other names aren't taken."""
+    rows = observations(spark)
+    with ev.run_metrics(spark) as seen:
+        run(ev.observed(ev.change_stream(in_batches(spark, rows, tmp_path, 3, "event_id"))), tmp_path, "observed_out")
+    found = spark.table("observed_out")
+    assert len(seen) == 3 and [r["batch_id"] for r in seen] == [0, 1, 2] and {r["query"] for r in seen} == {"observed_out"}
+    assert sum(r["rows"] for r in seen) == found.count() and sum(r["alerts"] for r in seen) == found.where("alert = 'true'").count()
 
 
 LISTINGS = "card_slug string, marketplace string, ebay_item_id string, price double, scraped_at timestamp"
