@@ -4,12 +4,15 @@ A document's set is the 64-bit hashes of its distinct shingles of ``n`` words. D
 represented by its smallest id. For two sets of sizes r <= s with a Jaccard similarity of at least t, s <= r / t and the sets
 differ in at most K = (r + s)(1 - t) / (1 + t) elements.
 
-**Signatures.** The domain of hashes is divided into P > K parts. Sets that differ in at most K elements agree on
-at least P - K parts, so the contents of a part are a signature: similar sets share one. P depends on the sizes only
+**Signatures** (PartEnum). The domain of hashes is divided into n1 parts and each of these into n2 smaller ones. With n1 (k + 1) > K, sets that
+differ in at most K elements differ in at most k within one of the parts, so they agree on n2 - k of its smaller parts: the contents of every subset
+of n2 - k smaller parts are a signature, and similar sets share one. Bands of up to ``ENUMERATED`` signatures take n2 = 3 and k = 1, three subsets
+of two parts each; there texts are short, and a passage that many texts share fills whole parts, which larger subsets tell apart. Longer texts, of which
+parts hold little else than their own, take n2 = 1 and k = 0, every part on its own, a third fewer signatures. n1 depends on the sizes only
 through bands, since both sets must use the same parts: every set signs in the scheme of its own band, and near a
-band's edge also in the scheme of that edge, which only sets within a factor of t of it use. A part that is empty in
-both sets would be shared by all; a set with E empty parts leaves them out when P > K + E, as then some part that
-isn't empty agrees, and signs them otherwise.
+band's edge also in the scheme of that edge, which only sets within a factor of t of it use. A subset that is empty in
+both sets would be shared by all. A part is covered if none of its subsets is empty; a set with c covered parts leaves empty subsets out when c (k + 1) > K, as
+then a subset that isn't empty agrees, and signs them otherwise.
 
 **Candidates.** Rows (signature, document) are sorted by signature. Buckets of up to ``small`` documents give all their
 pairs, larger ones only a star and a chain of pairs at first. Pairs are pruned by sizes and by a parity sketch whose
@@ -32,6 +35,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -44,6 +48,8 @@ from quillmark.llm.shared import Tables, checkpointed, join_counted
 
 _U = np.uint64
 BAND_STEPS = 4
+#: The most signatures of a set in a scheme that enumerates subsets of two of three parts.
+ENUMERATED = 96
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -136,8 +142,8 @@ class Schemes:
     def largest(self, size: int) -> int:
         return size * 100 // self.percent
 
-    def of(self, size: int) -> list[tuple[int, int, int]]:
-        """(scheme, parts, most differences) for a set of ``size`` elements."""
+    def of(self, size: int) -> list[tuple[int, tuple[int, int, int], int]]:
+        """(scheme, (n1, n2, k), most differences) for a set of ``size`` elements."""
         band = int(np.searchsorted(self.edges_array, size, side="right")) - 1
         low, high = self.edges[band], self.edges[band + 1] - 1
         out = [(2 * band, self._parts(self.differ(2 * high)), self.differ(size + min(high, self.largest(size))))]
@@ -150,21 +156,28 @@ class Schemes:
         return out
 
     @staticmethod
-    def _parts(most: int) -> int:
-        return most + 1 + most // 32 + (2 if most else 0)
+    def _parts(most: int) -> tuple[int, int, int]:
+        """n1, n2, k, with some parts more than needed, since few may be empty."""
+        enough = most + 1 + most // 32 + (2 if most else 0)
+        two = (enough + 2) // 2
+        return (two, 3, 1) if most and 3 * two <= ENUMERATED else (enough, 1, 0)
 
 
 def signatures(own: np.ndarray, schemes: Schemes) -> np.ndarray:
     """48-bit signatures of a set in every scheme it takes part in."""
     out = []
-    for scheme, parts, most in schemes.of(len(own)):
-        part = ((own >> _U(20)) % _U(parts)).astype(np.int64)
+    for scheme, (n1, n2, k), most in schemes.of(len(own)):
+        part = ((own >> _U(20)) % _U(n1 * n2)).astype(np.int64)
         seed = (scheme * 0x9E3779B97F4A7C15) % 2**64
-        total = np.zeros(parts, np.uint64)
+        total = np.zeros(n1 * n2, np.uint64)
         np.add.at(total, part, mix(own + _U(seed)))
-        full = np.bincount(part, minlength=parts) > 0
-        sign = np.flatnonzero(full) if parts > most + np.count_nonzero(~full) else np.arange(parts)
-        out.append(mix(total[sign] + mix((sign + 1).astype(np.uint64) + _U(seed))) >> _U(16))
+        full = (np.bincount(part, minlength=n1 * n2) > 0).reshape(n1, n2)
+        enough = np.count_nonzero(full.sum(1) > k) * (k + 1) > most
+        content = mix(total + mix(np.arange(1, n1 * n2 + 1, dtype=np.uint64) + _U(seed))).reshape(n1, n2)
+        for subset in combinations(range(n2), n2 - k):
+            sign = full[:, subset].any(1) if enough else np.ones(n1, bool)
+            # The contents of a part depend on its place, so their sum names the subset with them.
+            out.append(mix(content[sign][:, subset].sum(1, dtype=np.uint64) + _U(seed)) >> _U(16))
     return np.concatenate(out).astype(np.int64)
 
 

@@ -171,6 +171,30 @@ def test_packing_keeps_large_ids_beside_null(spark):
         assert encode(text).tolist() == bpe.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_subsets_of_parts_are_enumerated():
+    """Small bands take subsets of two of three parts; a shared stretch fills fewer of them than single parts."""
+    schemes = ngram_join.Schemes(80)
+    forms = {size: schemes.of(size)[0][1] for size in (1, 10, 60, 200, 400, 5000)}
+    assert forms[60][1:] == forms[200][1:] == (3, 1) and forms[5000][1:] == (1, 0)
+    rng = np.random.default_rng(4)
+    fresh = lambda n: rng.integers(0, 2**63, n, dtype=np.int64).astype(np.uint64)
+    shared = fresh(46)
+    docs = [np.unique(np.concatenate([shared, fresh(110)])) for _ in range(40)]
+    seen: dict[int, int] = {}
+    for d in docs:
+        own = ngram_join.signatures(d, schemes)
+        assert len(own) <= 2 * ngram_join.ENUMERATED
+        for s in set(own.tolist()):
+            seen[s] = seen.get(s, 0) + 1
+    two = sum(n - 1 for n in seen.values())
+    single = lambda d: {(int(p), tuple(np.sort(d[(d >> np.uint64(20)) % np.uint64(60) == p]).tolist())) for p in range(60)}
+    plain: dict[tuple, int] = {}
+    for d in docs:
+        for s in single(d):
+            plain[s] = plain.get(s, 0) + 1
+    assert two < sum(n - 1 for n in plain.values())
+
+
 def test_chat_parts(spark):
     rows = [
         (1, 0, "user", [("text", "see <part:image:0> ", None, None), ("image", None, "a.png", 256), ("text", " and ", None, None), ("audio", None, "b.wav", 90)]),
