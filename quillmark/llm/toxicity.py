@@ -157,8 +157,9 @@ class BlockMaxIndex:
         partial = self._short(terms[~long], weights[~long])
         bound = partial + (self.maxima @ query)[self.block_of]
         if leave_out is not None:
-            bound[self.ids == leave_out] = 0.0
+            bound[self.ids == leave_out] = -1.0  # neither found nor among those that set the least cosine
         first = np.argpartition(-bound, 2 * k)[: 2 * k] if len(bound) > 2 * k else np.arange(len(bound))
+        first = first[bound[first] >= 0]
         cosines = partial[first] + self.matrix[first] @ query
         least = np.partition(cosines, -k)[-k] if len(cosines) >= k else 0.0
         found = np.flatnonzero((bound > 0) & (bound >= least - 1e-9))

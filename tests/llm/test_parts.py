@@ -255,6 +255,27 @@ def test_langid_names_every_text_with_letters(spark):
     assert 900 in kept and 901 not in kept
 
 
+def test_nearest_without_oneself_is_exact():
+    """Leave-one-out searches in small indexes, where the example itself is among the first that are scored."""
+    rng = np.random.default_rng(11)
+    for n in (2, 3, 5, 9, 14, 25, 60):
+        for _ in range(6):
+            vectors = []
+            for _ in range(n):
+                terms = np.sort(rng.choice(40, rng.integers(1, 12), replace=False))
+                w = rng.random(len(terms))
+                vectors.append((terms, w / np.linalg.norm(w)))
+            dense = np.zeros((n, 40))
+            for i, (t, w) in enumerate(vectors):
+                dense[i, t] = w
+            index = toxicity.BlockMaxIndex(list(range(n)), [i % 2 for i in range(n)], vectors, 40, block=4, frequent=0.2)
+            for i, (t, w) in enumerate(vectors):
+                cosines = np.round(dense @ dense[i], 12)
+                expected = sorted(((-c, j) for j, c in enumerate(cosines) if j != i and c > 0))[:5]
+                got = [(-c, int(index.ids[e])) for c, e in index.nearest(t, w, 5, leave_out=i)]
+                assert [j for _, j in got] == [j for _, j in expected] and np.allclose([c for c, _ in got], [c for c, _ in expected])
+
+
 def test_toxicity_separates(spark):
     rng = random.Random(4)
     plain = [f"word{i}" for i in range(200)]
