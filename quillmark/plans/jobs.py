@@ -136,7 +136,35 @@ def card_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sc.slices(t.read(spark, sf_dir, "customer").select("c_custkey"), "c_custkey", 4, 1)
 
 
-QUERIES = {f.__name__: f for f in (bulk_seeding, collision_report, set_rows, active_pages, merged_quotes, sale_text_rules, slug_forms, search_texts, set_chart_rows, replaced_days, reloaded_table, card_slices)}
+#: For each store the texts of its stand-in pages: every phrase of its rules, and one that says nothing.
+_SAID = {store: [*(phrase for phrases, *_ in rules for phrase in phrases), "nothing to see"] for store, rules in pg.STORES.items()}
+
+
+def _store_pages(spark: SparkSession, sf_dir: str, store: str) -> DataFrame:
+    """Product pages of a store, a part each: some with structured data, some scarce, some with a cart button, some without heading or price."""
+    k, size, cents = F.col("p_partkey"), F.col("p_size"), n.dollars_to_cents(F.col("p_retailprice"))
+    pounds = lambda c: F.format_string("%d.%02d", F.floor(c / 100), c % 100)
+    said = F.get(F.array(*map(F.lit, _SAID[store])), (k % len(_SAID[store])).cast("int"))
+    told = F.get(F.array(*[F.lit(p) for p, _ in pg.STRUCTURED]), (size % len(pg.STRUCTURED)).cast("int"))
+    blob = F.concat(F.lit('<script type="application/ld+json">{"name":"J '), "p_name", F.lit('","offers":{"availability":"http://schema.org/'), told, F.lit('","price":"'), pounds(cents + 1), F.lit('"}}</script>'))
+    button = F.when(size % 6 == 0, '<button class="single_add_to_cart_button">x</button>').when(size % 6 == 1, '<button class="single_add_to_cart_button disabled">x</button>').otherwise("")
+    html = F.concat(
+        F.lit("<html>"), F.when(size % 4 == 0, blob).otherwise(""), F.when(size % 9 != 0, F.concat(F.lit("<h1 id='t'><b>"), "p_name", F.lit("</b></h1>"))).otherwise(""), F.when(size % 5 != 0, F.concat(F.lit('<p class="the price">now £'), pounds(cents), F.lit("</p>"))).otherwise(""),
+        F.lit("<p>"), F.initcap(said), F.when(size % 7 == 0, "</p><p>Hurry").otherwise(""), F.lit("</p>"), button, F.lit("</html>"),
+    )
+    return t.read(spark, sf_dir, "part").select(k.alias("page_id"), html.alias("html"))
+
+
+def store_availability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State, confidence, price and title of product pages of all four stores."""
+    out = None
+    for store in pg.STORES:
+        rows = pg.availability(_store_pages(spark, sf_dir, store), store).select(F.lit(store).alias("store"), "page_id", "stock_state", F.col("confidence").cast("double").alias("confidence"), F.col("price").cast("double").alias("price"), "title")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+QUERIES = {f.__name__: f for f in (bulk_seeding, collision_report, set_rows, active_pages, merged_quotes, sale_text_rules, slug_forms, search_texts, set_chart_rows, replaced_days, reloaded_table, card_slices, store_availability)}
 
 _NAME = "lower(p_name || ' & Co''s [' || p_type || '] Été - #' || p_size)"
 _CONSOLE = "lower('Set, ' || p_brand)"
@@ -144,7 +172,30 @@ _TRIMMED = lambda e: f"regexp_replace({e}, '^-+|-+$', '', 'g')"
 _KEPT = lambda allow, name=_NAME: _dash(f"trim(regexp_replace({name}, '[^{allow}]', '', 'g'))")
 _STORED = "[" + ", ".join(f"'{v}'" for v in x.STORED_CONDITIONS.values()) + "]"
 
+
+
+def _by_rule(store: str, said: str) -> tuple[str, float]:
+    return next(((name, sure) for phrases, name, sure in pg.STORES[store] if any(p in said for p in phrases)), ("unknown", 0.30))
+
+
+def _store_sql(store: str) -> str:
+    found = [_by_rule(store, said) for said in _SAID[store]]
+    at = f"[p_partkey % {len(found)} + 1]"
+    rule = f"SELECT *, [{', '.join(f"'{a}'" for a, _ in found)}]{at} AS st, [{', '.join(str(b) for _, b in found)}]{at} AS su FROM part"
+    if store == "official":
+        rule = f"SELECT * REPLACE (CASE WHEN st = 'in_stock' AND p_size % 7 = 0 THEN 'low_stock' ELSE st END AS st, CASE WHEN st = 'in_stock' AND p_size % 7 = 0 THEN 0.85 ELSE su END AS su) FROM ({rule})"
+    if store == "cart_button":
+        rule = f"SELECT * REPLACE (CASE p_size % 6 WHEN 0 THEN 'in_stock' WHEN 1 THEN 'sold_out' ELSE st END AS st, CASE p_size % 6 WHEN 0 THEN 0.90 WHEN 1 THEN 0.88 ELSE su END AS su) FROM ({rule})"
+    sure = pg.STRUCTURED_CONFIDENCE.get(store)
+    told = f"p_size % 4 = 0 AND su <> 0.10 AND {sure is not None}" if store == "official" else f"p_size % 4 = 0 AND {sure is not None}"
+    names = "[" + ", ".join(f"'{b}'" for _, b in pg.STRUCTURED) + f"][p_size % {len(pg.STRUCTURED)} + 1]"
+    cents = o.cents("p_retailprice")
+    return f"""SELECT '{store}' AS store, p_partkey AS page_id, CASE WHEN {told} THEN {names} ELSE st END AS stock_state, CAST(CASE WHEN {told} THEN {sure or 0} ELSE su END AS DOUBLE) AS confidence,
+CASE WHEN p_size % 5 <> 0 THEN CAST({cents} AS DOUBLE) / 100 WHEN p_size % 4 = 0 THEN CAST({cents} + 1 AS DOUBLE) / 100 END AS price, CASE WHEN p_size % 9 <> 0 THEN p_name WHEN p_size % 4 = 0 THEN 'J ' || p_name END AS title FROM ({rule})"""
+
+
 SQL = {
+    "store_availability": " UNION ALL ".join(map(_store_sql, pg.STORES)),
     "bulk_seeding": """WITH s AS (SELECT p_brand, p_type, min(p_size) AS low, max(p_size) AS high FROM part GROUP BY 1, 2), m AS (SELECT CASE WHEN low % 5 = 0 THEN 'No ' || p_brand ELSE p_brand END AS console_name, p_brand || ' ' || p_type AS set_name, CASE WHEN high % 3 <> 0 THEN high WHEN high % 2 <> 0 THEN high + 7 END AS denominator FROM s)
 SELECT console_name, set_name, n AS rows, denominator, CASE WHEN denominator IS NULL THEN 'no denominator' WHEN n IS NULL THEN 'no rows' END AS problem FROM m LEFT JOIN (SELECT p_brand AS console_name, count(*) AS n FROM part GROUP BY 1) USING (console_name) WHERE set_name <> 'Brand#11 ECONOMY'""",
     "collision_report": """SELECT CAST(p_partkey AS VARCHAR) AS card_slug, 'en' AS stored_language, p_brand AS stored_set, 'jp' AS proposed_language, p_brand || ' JP' AS proposed_set, p_partkey || ': stored as en in ' || p_brand || ', proposed as jp in ' || p_brand || ' JP' AS report FROM part WHERE p_partkey % 6 = 0 AND p_size % 4 <> 0 AND p_partkey NOT IN (6, 12)""",

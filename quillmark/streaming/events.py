@@ -235,16 +235,17 @@ def newest_listings(listings: DataFrame, as_of: Column, days: float = 1) -> Data
 def sales_batches(path: str, schema: str, most: int = 5, buckets: int = 256) -> Callable[[DataFrame, int], None]:
     """For ``foreachBatch``: reconciles the table under ``path`` with each micro-batch of sale rows.
 
-    Only buckets of the batch's cards are read and rewritten; a sale's key belongs to one card. The numbers of finished batches are kept next to
-    the table, so a batch that comes again is skipped; one that failed half-way is reconciled again, which gives the same rows.
+    Only buckets of the batch's cards are read and rewritten; a sale's key belongs to one card. The number of the newest finished batch is kept next to
+    the table, a row whatever the number of batches, so a batch that comes again is skipped; one that failed half-way is reconciled again, which gives the same rows.
     """
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
-        spark, done = batch.sparkSession, f"{path}_batches"
-        if stored(spark, done, "batch_id bigint").where(F.col("batch_id") == batch_id).isEmpty():
+        spark, done = batch.sparkSession, f"{path}_newest_batch"
+        newest = stored(spark, done, "batch_id bigint").agg(F.max("batch_id")).first()[0]
+        if newest is None or batch_id > newest:
             rows = batch.withColumn("review_status", F.lit("active"))
             merge_buckets(rows, path, schema, "provider_card_id", lambda old, new: reconcile(old, new, most), buckets)
-            spark.range(batch_id, batch_id + 1, numPartitions=1).toDF("batch_id").write.mode("append").parquet(done)
+            spark.range(batch_id, batch_id + 1, numPartitions=1).toDF("batch_id").write.mode("overwrite").parquet(done)
 
     return ingest
 
