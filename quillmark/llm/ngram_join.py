@@ -336,8 +336,7 @@ class NgramJoin:
                     yield pa.RecordBatch.from_pydict({"sig": pa.array(np.concatenate(sigs)), "doc": pa.array(np.concatenate(docs))})
 
         # A copy's signatures are those of its representative.
-        copies = self.copies.select("doc").distinct()
-        return join_counted(self.texts.where("doc is not null"), copies, "doc", "left_anti", self.n_copies, self.broadcast_rows).mapInArrow(sign, "sig long, doc long")
+        return join_counted(self.texts.where("doc is not null"), self.copies, "doc", "left_anti", self.n_copies, self.broadcast_rows).mapInArrow(sign, "sig long, doc long")
 
     def _profiles(self, wanted: DataFrame, rows: int) -> DataFrame:
         """(doc, size, sketch, own) of the wanted documents, read again from their texts."""
@@ -358,25 +357,16 @@ class NgramJoin:
         classes = base.where("n_shingles > 0 and doc is not null").groupBy("k1", "k2").agg(F.min("doc").alias("rep"), F.count("*").alias("n"))
         copies = classes.where("n > 1").select("k1", "k2", "rep")
         based, _ = self.tables.keep(base.join(copies, ["k1", "k2"], "left").select("doc", "n_shingles", F.coalesce("rep", "doc").alias("rep")))
-        of_copy, _ = self.tables.keep(based.where("doc <> rep").select("doc", "rep").distinct())
-        # An id that repeats may have a copy's text and one of its own; such ids sign, and are taken for their representatives afterwards.
-        own = based.where("doc = rep").select("doc").distinct()
-        both, found = self.tables.keep(of_copy.join(own, "doc", "left_semi"), n=F.count("*"))
-        n_both = found["n"]
-        self.copies, found = self.tables.keep(of_copy.join(own, "doc", "left_anti"), n=F.count("*"))
+        # An id that repeats with different texts is one node with all of their sets, so it signs for them; an id with one copied text doesn't sign.
+        of = based.where("doc is not null").groupBy("doc").agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
+        self.copies, found = self.tables.keep(of.where("low = high and low <> doc").select("doc"), n=F.count("*"))
         self.n_copies = found["n"]
 
-        def to_rep(df: DataFrame, column: str) -> DataFrame:
-            if not n_both:
-                return df
-            other = both.select(F.col("doc").alias(column), F.col("rep").alias("__rep"))
-            return join_counted(df, other, column, "left", n_both, self.broadcast_rows).withColumn(column, F.coalesce("__rep", column)).drop("__rep")
-
         met, _ = self.tables.keep(_buckets(self._signed(), self.small))
-        pairs = to_rep(to_rep(met.where("n > 0").select("a", "b", "n"), "a"), "b").where("a <> b")
+        pairs = met.where("n > 0 and a <> b")
         pairs, _ = self.tables.keep(pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("n").alias("n")))
         # A document has a bounded number of signatures; what is asked of documents is asked once each.
-        large, _ = self.tables.keep(to_rep(met.where("n = 0").select("sig", F.col("a").alias("doc")), "doc").groupBy("doc").agg(F.collect_set("sig").alias("sigs")))
+        large, _ = self.tables.keep(met.where("n = 0").groupBy(F.col("a").alias("doc")).agg(F.collect_set("sig").alias("sigs")))
         wanted, found = self.tables.keep(pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).union(large.select("doc")).distinct(), n=F.count("*"))
         rows = found["n"]
         labels = None

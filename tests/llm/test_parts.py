@@ -171,6 +171,14 @@ def test_packing_keeps_large_ids_beside_null(spark):
         assert encode(text).tolist() == bpe.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_an_id_with_a_copy_and_a_text_of_its_own(spark):
+    """One node with both texts: it joins what is like either of them."""
+    a, b = (" ".join(f"{x}{i}" for i in range(80)) for x in "ab")
+    rows = [(1, a), (2, a), (2, b), (3, b + " more"), (4, b), (5, "alone " + " ".join(f"c{i}" for i in range(30))), (6, a), (6, a), (7, "d " * 3 + "e f g h i j"), (8, "d " * 3 + "e f g h i j"), (9, a), (9, "d " * 3 + "e f g h i j")]
+    found = ngram_join.join_ngrams(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc"], r["component"]) for r in found) == [(1, 1), (2, 1), (2, 1), (3, 1), (4, 1), (5, 5), (6, 1), (6, 1), (7, 1), (8, 1), (9, 1), (9, 1)]
+
+
 def test_subsets_of_parts_are_enumerated():
     """Small bands take subsets of two of three parts; a shared stretch fills fewer of them than single parts."""
     schemes = ngram_join.Schemes(80)
