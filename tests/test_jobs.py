@@ -423,3 +423,14 @@ def test_saved_pages_are_whole(spark, tmp_path):
     (tmp_path / "a.html").write_text("<p>\none\n</p>\n")
     rows = readers.saved_pages(spark, f"file://{tmp_path}").collect()
     assert [(r["url"].rsplit("/", 1)[1], r["html"]) for r in rows] == [("a.html", "<p>\none\n</p>\n")]
+
+
+def test_sale_cells_come_in_bounded_batches_with_their_pages_columns(spark):
+    """A page of many rows is handed on in pieces, and each page is read once: a repeated page's rows don't meet those of its copy."""
+    row = '<tr id="ebay-{0}"><td class="date">2024-01-05</td><td class="title"><a class="js-ebay-completed-sale" href="https://www.ebay.com/itm/{0}">Card</a></td><td class="numeric"><span class="js-price">$5.00</span></td></tr>'
+    html = '<div class="completed-auctions-used"><table class="hoverable-rows sortable"><tbody>' + "".join(row.format(100_000 + i) for i in range(5_001)) + "</tbody></table></div>"
+    df = spark.createDataFrame([(1, "https://h/game/pokemon-x/y", html, "77"), (2, None, None, "78")], "page_id bigint, url string, html string, provider_card_id string").coalesce(1)
+    cells = pages.sale_cells(df, "provider_card_id", "url")
+    assert (cells.count(), cells.select("provider_card_id").distinct().count()) == (5_001, 1)
+    found = pages.recent_sales(df)
+    assert found.count() == 5_001 and "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
