@@ -28,7 +28,7 @@ def attempt_streak_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def live_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listings that are left when the stream has seen all: timers let the others expire a day after their newest row."""
-    happened = in_slices(t.scraped_listings(spark, sf_dir), "scraped_at", ev.listing_stream, "listings")
+    happened = in_slices(t.scraped_listings(spark, sf_dir), "scraped_at", lambda rows: ev.listing_stream(rows, buckets=ev.BUCKETS), "listings")
     return ev.live_listings(happened).withColumn("scraped_at", F.col("scraped_at").cast("timestamp_ntz"))
 
 

@@ -1,6 +1,7 @@
 """Streams give what the batch forms give."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -159,3 +160,32 @@ def test_streak_keeps_every_stored_field(spark, tmp_path):
 def test_slices_of_an_empty_table(spark):
     empty = spark.createDataFrame([], LISTINGS)
     assert runs.in_slices(empty, "scraped_at", ev.listing_stream, "empty-test").count() == 0
+
+
+def test_buckets_of_listings_say_what_single_listings_say(spark, tmp_path):
+    """Random rows in several runs, among them late ones, ends on the watermark itself, and keys and prices that are null."""
+    rng = random.Random(5)
+    batches = [[(rng.choice("abcdefgh"), rng.choice("mn"), rng.choice(["1", "2", None]), rng.choice([None, 1.0, 2.0]), START + dt.timedelta(hours=rng.randrange(20) + 12 * k, milliseconds=rng.choice([0, 1]))) for _ in range(40)] for k in range(5)]
+
+    def said(buckets):
+        folder = f"{tmp_path}/{buckets}"
+        for k, batch in enumerate(batches):
+            spark.createDataFrame(batch, LISTINGS).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+            with runs.stateful(spark):
+                runs.to_the_end(ev.listing_stream(spark.readStream.schema(LISTINGS).parquet(f"{folder}/in"), buckets=buckets), f"{folder}/out", f"{folder}/state", f"both-{k}")
+        found = spark.read.schema(ev.LISTINGS).parquet(f"{folder}/out")
+        with runs.stateful(spark):
+            return sorted(map(str, found.collect())), spark.read.format("statestore").option("stateVarName", "newest" if buckets is None else "bucket").load(f"{folder}/state").count()
+
+    (single, listings), (bucketed, states) = said(None), said(3)
+    assert single == bucketed and states <= 3 < listings
+
+
+def test_streams_keep_state_by_bucket(spark, tmp_path):
+    """A call and a state a bucket, not a page."""
+    rows = observations(spark).withColumn("page_id", F.concat("page_id", F.col("event_id").cast("string")))
+    rows.coalesce(1).write.parquet(f"{tmp_path}/in")
+    with runs.stateful(spark):
+        runs.to_the_end(ev.change_stream(spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/in"), buckets=4), f"{tmp_path}/out", f"{tmp_path}/state", "by-bucket")
+        assert spark.read.format("statestore").option("stateVarName", "bucket").load(f"{tmp_path}/state").count() <= 4
+    assert spark.read.parquet(f"{tmp_path}/out").count() == ev.changes(rows).count()
