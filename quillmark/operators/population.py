@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -75,18 +75,38 @@ class _Rows(HTMLParser):
             self.row["counts"][self.cell] += t
 
 
+#: Characters of a page that are parsed, and rows that a task hands on, at a time.
+_PIECE, _ROWS_AT_ONCE = 65_536, 2_000
+
+
 def report_cells(pages: DataFrame) -> DataFrame:
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.split()[0] for c in _CELLS.split(", ")]
-        for pages_ in batches:
-            out = []
-            for page_id, html in zip(pages_["page_id"], pages_["html"], strict=True):
-                parser = _Rows()
-                parser.feed(html or "")
-                out += [{"page_id": page_id, "pos": k, **r} for k, r in enumerate(parser.rows) if len(r["counts"]) >= LEAST_CELLS]
-            yield pd.DataFrame(out, columns=names).astype({"page_id": "Int64", "pos": "int32"})
-
-    return pages.select("page_id", "html").mapInPandas(cut, _CELLS)
+    """Cells of every row of report pages. A page is parsed piece by piece, and its rows leave the task as they come."""
+    names = [c.split()[0] for c in _CELLS.split(", ")]
+    types = [pa.int64(), pa.int32(), *[pa.string()] * 5, pa.list_(pa.string())]
+
+    def rows(page_id: int | None, html: str) -> Iterator[tuple]:
+        parser, pos = _Rows(), 0
+        for k in range(0, len(html), _PIECE):
+            parser.feed(html[k : k + _PIECE])
+            found, parser.rows = parser.rows, []
+            for r in found:
+                if len(r["counts"]) >= LEAST_CELLS:
+                    yield page_id, pos, *(r[n] for n in names[2:])
+                pos += 1
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        flush = lambda: pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                for row in rows(batch.column(0)[i].as_py(), batch.column(1)[i].as_py() or ""):
+                    out.append(row)
+                    if len(out) >= _ROWS_AT_ONCE:
+                        yield flush()
+                        out.clear()
+        yield flush()
+
+    return pages.select(F.col("page_id").cast("bigint").alias("page_id"), "html").mapInArrow(cut, _CELLS)
 
 
 def set_identity(pages: DataFrame, known_sets: DataFrame) -> DataFrame:

@@ -434,3 +434,17 @@ def test_sale_cells_come_in_bounded_batches_with_their_pages_columns(spark):
     assert (cells.count(), cells.select("provider_card_id").distinct().count()) == (5_001, 1)
     found = pages.recent_sales(df)
     assert found.count() == 5_001 and "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_reports_of_any_size_are_parsed_in_pieces(spark, monkeypatch):
+    """Rows across the cuts between pieces are whole, and no saved page of the stand-in lists a whole brand when that is large."""
+    from quillmark.plans import saved_pages
+
+    cells = "".join(f"<td><div>{k}</div><div>x</div></td>" for k in range(13))
+    html = "<table><tbody>" + "".join(f"<tr><td></td><td>{n}</td><td><strong>Card {n} &amp; co</strong></td><td></td>{cells}</tr>" for n in range(3_000)) + "</tbody></table>"
+    found = population.report_cells(spark.createDataFrame([(1, html), (2, None)], "page_id bigint, html string")).select("pos", "number", "strong", F.element_at("counts", 17).alias("last")).collect()
+    assert sorted(map(tuple, found)) == [(n, str(n), f"Card {n} & co", "12") for n in range(3_000)]
+    monkeypatch.setattr(saved_pages, "REPORT_ITEMS", 2)
+    pages_ = saved_pages.report_pages(spark, "/root/testdata/sf0.001")
+    rows = F.size(F.split("html", "<tr>")) - 1
+    assert pages_.agg(F.max(rows)).first()[0] < 20 and pages_.agg(F.sum(rows)).first()[0] == spark.read.parquet("/root/testdata/sf0.001/part.parquet").count() + pages_.where(F.contains("html", F.lit("TOTAL POPULATION"))).count()
