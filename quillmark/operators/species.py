@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillmark.sources.sinks import checkpointed
+
 MAX_WORDS = 3
 #: Names that the equi-join finds: up to MAX_WORDS letter runs with marks between them that the rule takes as they stand (or, a hyphen, as a space too).
 SIMPLE = rf"^[a-z]+([^a-z \\^$|?*+()\[\]{{}}]+[a-z]+){{0,{MAX_WORDS - 1}}}$"
@@ -62,25 +64,30 @@ def _patterned(cards: DataFrame, names: list[str]) -> DataFrame:
     return cards.select("card_slug", F.explode(found).alias("name"))
 
 
-def mentions(cards: DataFrame, species: DataFrame, *, max_patterns: int = 200) -> DataFrame:
+def mentions(cards: DataFrame, species: DataFrame, *, max_patterns: int = 200, broadcast_names: int = 100_000) -> DataFrame:
     """(card_slug, name): the names that an item's name holds, in any case, with no letter next to them; a hyphen also matches a space.
 
     Most species names are letters and marks between them (``SIMPLE``). An item's name yields every stretch of up to ``MAX_WORDS`` letter runs with
     the marks as they stand, and equal stretches, hyphens read as spaces, are exactly the matches. Other names (``porygon2``, with a space, with more
     runs) are found by their beginnings. Names with signs of the pattern language, of which there may be ``max_patterns``, are patterns.
-    An empty name is in no item.
+    An empty name is in no item. Up to ``broadcast_names`` distinct names, counted, are broadcast to the items' stretches, so a word that a third of
+    all items hold doesn't bring these together in one task.
     """
-    species = species.where("name <> ''").select("name")
+    species = checkpointed(species.where("name <> ''").select("name").distinct())
+    species = F.broadcast(species) if species.count() <= broadcast_names else species
     plain, pattern = F.lower("name").rlike(SIMPLE), F.col("name").rlike(PATTERN)
-    patterns = [r["name"] for r in species.where(pattern & ~plain).distinct().limit(max_patterns + 1).collect()]
+    patterns = [r["name"] for r in species.where(pattern & ~plain).limit(max_patterns + 1).collect()]
     if len(patterns) > max_patterns:
         raise ValueError(f"more than {max_patterns} names are patterns")
     own = cards.select("card_slug", "card_name")
-    found = _stretched(own, species.where(plain)).unionByName(_begun(own, species.where(~plain & ~pattern)))
+    found, others = _stretched(own, species.where(plain)), species.where(~plain & ~pattern)
+    found = found if others.isEmpty() else found.unionByName(_begun(own, others))
     return (found.unionByName(_patterned(own, sorted(patterns))) if patterns else found).distinct()
 
 
 def species_stats(cards: DataFrame, species: DataFrame, prices: DataFrame) -> DataFrame:
     """Items and highest raw price by species; species without items don't appear."""
-    j = mentions(cards, species).join(prices.select("card_slug", F.col("raw_usd").alias("raw")), "card_slug", "left")
-    return j.groupBy("name").agg(F.count_distinct("card_slug").alias("card_count"), F.max(F.when(F.col("raw") > 0, F.col("raw"))).alias("max_raw_usd"))
+    best = prices.groupBy("card_slug").agg(F.max(F.when(F.col("raw_usd") > 0, F.col("raw_usd"))).alias("raw"))
+    # A pair of item and name is one row, and an item has one price, so rows are counted.
+    j = mentions(cards, species).join(best, "card_slug", "left")
+    return j.groupBy("name").agg(F.count("card_slug").alias("card_count"), F.max("raw").alias("max_raw_usd"))

@@ -448,3 +448,12 @@ def test_reports_of_any_size_are_parsed_in_pieces(spark, monkeypatch):
     pages_ = saved_pages.report_pages(spark, "/root/testdata/sf0.001")
     rows = F.size(F.split("html", "<tr>")) - 1
     assert pages_.agg(F.max(rows)).first()[0] < 20 and pages_.agg(F.sum(rows)).first()[0] == spark.read.parquet("/root/testdata/sf0.001/part.parquet").count() + pages_.where(F.contains("html", F.lit("TOTAL POPULATION"))).count()
+
+
+def test_names_of_few_species_are_broadcast(spark):
+    cards = spark.createDataFrame([(str(i), "Mew ex") for i in range(50)] + [(None, "Mew")], "card_slug string, card_name string")
+    names = spark.createDataFrame([("mew",), ("mew",), ("mew-ex",)], "name string")
+    plan = lambda **k: species.mentions(cards, names, **k)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan() and "strategy=broadcast" not in plan(broadcast_names=1)
+    prices = spark.createDataFrame([("1", 5), ("1", 9), ("2", 0)], "card_slug string, raw_usd bigint")
+    assert sorted(map(tuple, species.species_stats(cards, names, prices).collect())) == [("mew", 50, 9), ("mew-ex", 50, 9)]
