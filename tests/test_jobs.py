@@ -457,3 +457,13 @@ def test_names_of_few_species_are_broadcast(spark):
     assert "strategy=broadcast" in plan() and "strategy=broadcast" not in plan(broadcast_names=1)
     prices = spark.createDataFrame([("1", 5), ("1", 9), ("2", 0)], "card_slug string, raw_usd bigint")
     assert sorted(map(tuple, species.species_stats(cards, names, prices).collect())) == [("mew", 50, 9), ("mew-ex", 50, 9)]
+
+
+def test_chart_points_are_grouped_in_tasks_that_dont_grow(spark, monkeypatch):
+    from quillmark.plans import saved_pages
+
+    monkeypatch.setattr(saved_pages, "TASK_LINES", 1_000)
+    history = saved_pages.page_history(spark, "/root/testdata/sf0.001")
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    plan = history._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == plan.count(f", {-(-lines // 1_000)}), REPARTITION_BY_NUM") == 1
