@@ -249,6 +249,13 @@ def test_price_extracts(spark):
     assert sorted((str(r["date"]), r["raw_usd"], r["psa9_usd"]) for r in rows.collect()) == [("2024-01-01", 200, None), ("2024-02-01", 123450, 1200)]
 
 
+def test_an_image_is_looked_for_once_a_place(spark):
+    html = '<div id="product_image"><img src="//a.b/logo.png"></div><img itemprop="image" src="//a.b/d.png">'
+    out = spark.createDataFrame([(html,), ("<p>",), (None,)], "html string").select(pages.image_url(F.col("html")).alias("u"))
+    assert [r["u"] for r in out.collect()] == ["https://a.b/d.png", None, None]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("product_image") == 1
+
+
 def test_layout_signature_ignores_data(spark):
     advert = PAGE.replace("<h1>x</h1>", "<h1>x</h1><p class='advert'>buy</p>").replace("$9.00", "$8.00")
     df = spark.createDataFrame([(PAGE, "https://h/game/pokemon-x/y"), (advert, "https://h/game/pokemon-x/z"), (PAGE.replace('"numeric"', '"number"'), "https://h/game/pokemon-x/y"), (PAGE, "https://h/game/jp-pokemon-x/y"), (None, None)], "h string, u string")
