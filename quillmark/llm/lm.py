@@ -11,9 +11,9 @@ token's probability is a product of binary decisions along its path in a Huffman
 counts' frequencies. Ids that training texts don't have share one leaf evenly, so every text has a probability above zero and
 all continuations' probabilities add up to one.
 
-Training is numpy in tasks. Every training text gives a segment of ``segment`` subwords for each started ``stretch`` words, at a place that a hash
-picks, so what is learnt from grows with the corpus. In each round every task goes on from the same model over its own segments (Adagrad); Spark averages the rows that changed,
-each over the tasks that changed it. Only the model, whose size the BPE's vocabulary bounds, comes to the driver.
+Training is numpy in tasks, over every token of every training text once: a hash deals texts to rounds. In each round every task goes on from the same
+model over its own texts (Adagrad); Spark averages the rows that changed, each over the tasks that changed it. Only the model, whose size the BPE's vocabulary bounds,
+comes to the driver. With ``stretch`` only a segment of ``segment`` subwords is learnt from in each started ``stretch`` words, at a place that a hash picks.
 
 Scoring cuts a text's ids into windows of ``STRIDE`` tokens to be scored and up to ``CONTEXT`` before them. Windows overlap, every
 token is scored once, and attention runs over batches of windows under the causal mask.
@@ -180,16 +180,41 @@ def _segments(path: str, segment: int, stretch: int):
     return run
 
 
+def _whole(path: str, at_once: int = 200_000, cache: int = 200_000):
+    """Lists of subword ids for training: every text from its begin to its end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        end = subwords(path).end
+        known = _Words(path, np.arange(end + 1, dtype=np.int32), {})
+        for batch in batches:
+            texts, done = batch.column(1), 0
+            while done < batch.num_rows:
+                if len(known) > cache:
+                    known = _Words(path, np.arange(end + 1, dtype=np.int32), {})
+                found, sizes = [], []
+                while done < batch.num_rows and len(found) < at_once:
+                    # An end stands before every text too, as its begin.
+                    own = [END, *words(texts[done].as_py()), END]
+                    found += own
+                    sizes.append(len(own))
+                    done += 1
+                _, _, flat, lengths = known.look_up(found)
+                stops = np.append(0, np.cumsum(lengths))[np.append(0, np.cumsum(sizes))]
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(stops.astype(np.int32)), pa.array(flat))], ["ids"])
+
+    return run
+
+
 # The model
 
 
 class Tree:
     """A Huffman tree over ``counts``: for every leaf its path of inner nodes, and the side it takes at each, as the sign of the log odds against it.
 
-    Inner nodes are numbered by ascending counts. The part of a path at the last ``DENSE`` ones is a row of ``columns`` and ``sides`` (0 pads), the rest is in ``nodes`` and ``signs``.
+    Inner nodes are numbered by ascending counts. The part of a path at the last ``DENSE`` ones is a row of ``columns`` and ``sides`` (padded with a column beyond the last and 0), the rest is in ``nodes`` and ``signs``.
     """
 
-    DENSE = 64
+    DENSE = 128
 
     def __init__(self, counts: np.ndarray):
         n = len(counts)
@@ -222,7 +247,7 @@ class Tree:
             starts.append(len(nodes))
         self.nodes, self.signs, self.starts = np.array(nodes, np.int32), np.array(signs, np.float32), np.array(starts, np.int64)
         depth = max(map(len, often), default=0)
-        self.columns, self.sides = np.zeros((n, depth), np.int64), np.zeros((n, depth), np.float32)
+        self.columns, self.sides = np.full((n, depth), len(bias) - top), np.zeros((n, depth), np.float32)
         for leaf, own in enumerate(often):
             for k, (column, at) in enumerate(own):
                 self.columns[leaf, k], self.sides[leaf, k] = column, at
@@ -234,25 +259,35 @@ class Visits:
 
     def __init__(self, tree: Tree, leaves: np.ndarray):
         self.tree = tree
-        width = len(tree.bias) - tree.top
+        width = len(tree.bias) - tree.top + 1  # with the column that pads
         self.sides, self.padding = tree.sides.take(leaves, axis=0), tree.padding.take(leaves)
         self.cells = tree.columns.take(leaves, axis=0)
         self.cells += (np.arange(len(leaves)) * width)[:, None]
         first = tree.starts.take(leaves)
         lengths = tree.starts.take(leaves + 1) - first
-        ends = np.cumsum(lengths)
-        self.owner = np.repeat(np.arange(len(leaves)), lengths)
-        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + lengths, lengths)
+        # All first decisions at other nodes, then all second ones, and so on: no leaf comes twice in a level.
+        self.levels, at, level = [], [], np.flatnonzero(lengths)
+        while len(level):
+            at.append(first[level] + len(self.levels))
+            self.levels.append(level)
+            level = level[lengths[level] > len(self.levels)]
+        self.owner = np.concatenate([np.zeros(0, np.int64), *self.levels])
+        at = np.concatenate([np.zeros(0, np.int64), *at])
         self.nodes, self.signs = tree.nodes.take(at), tree.signs.take(at)
 
+    def _dense(self, u: np.ndarray) -> np.ndarray:
+        """The rows of the frequent nodes, and one of zeros for the column that pads."""
+        return np.concatenate([u[self.tree.top :], np.zeros((1, *u.shape[1:]), u.dtype)])
+
     def doubts(self, h: np.ndarray, u: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Each decision's log odds against the side that is taken: at frequent nodes as a matrix, where padding is 0, and at the others."""
-        top = self.tree.top
-        dense = h @ u[top:].T
-        dense += b[top:]
+        dense = h @ self._dense(u).T
+        dense += self._dense(b)
         often = dense.ravel().take(self.cells)
         often *= self.sides
-        rare = np.einsum("ij,ij->i", h.take(self.owner, axis=0), u.take(self.nodes, axis=0))
+        self.before = h.take(self.owner, axis=0)
+        self.rows = u.take(self.nodes, axis=0)
+        rare = np.einsum("ij,ij->i", self.before, self.rows)
         rare += b.take(self.nodes)
         rare *= self.signs
         return often, rare
@@ -275,16 +310,29 @@ class Visits:
     def gradients(self, doubts: tuple[np.ndarray, np.ndarray], scale: float, h: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, tuple, tuple]:
         """Those of h, of the rows of u, and of the biases, for the sum of losses times ``scale``."""
         top = self.tree.top
-        often, rare = ((side * scale / (1 + np.exp(-np.clip(d, -60, 60)))).astype(np.float32) for side, d in zip((self.sides, self.signs), doubts, strict=True))
-        dense = np.zeros((len(h), len(u) - top), np.float32)
-        real = self.sides != 0
-        dense.ravel()[self.cells[real]] = often[real]
-        dh = dense @ u[top:]
-        rows, values = _scatter(self.nodes, np.concatenate([rare[:, None] * h.take(self.owner, axis=0), rare[:, None]], axis=1))
-        owners, sums = _scatter(self.owner, rare[:, None] * u.take(self.nodes, axis=0))
-        dh[owners] += sums
+        often, rare = (_sigmoid(d) for d in doubts)
+        often *= self.sides * np.float32(scale)
+        rare *= self.signs * np.float32(scale)
+        dense = np.zeros((len(h), len(u) - top + 1), h.dtype)
+        dense.ravel()[self.cells] = often
+        dh = dense @ self._dense(u)
+        self.rows *= rare[:, None]
+        self.before *= rare[:, None]
+        done = 0
+        for level in self.levels:
+            dh[level] += self.rows[done : done + len(level)]
+            done += len(level)
+        order, cuts, rows = _sorted(self.nodes)
         rows = np.append(rows, np.arange(top, len(u)))
-        return dh, (rows, np.concatenate([values[:, :-1], dense.T @ h])), (rows, np.concatenate([values[:, -1:], dense.sum(0)[:, None]]))
+        often_u, often_b = (dense.T @ h)[:-1], (np.ones(len(h), h.dtype) @ dense)[:-1]
+        return dh, (rows, np.concatenate([_sums(self.before, order, cuts), often_u])), (rows, np.concatenate([_sums(rare, order, cuts), often_b])[:, None])
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    out = np.clip(x, -60, 60)
+    np.exp(np.negative(out, out=out), out=out)
+    out += 1
+    return np.reciprocal(out, out=out)
 
 
 class Net:
@@ -318,73 +366,98 @@ class Net:
         """The bias of every query of a window for every key: by distance, and closed for what comes later."""
         return np.where(self.DISTANCE >= 0, self.p["near"][np.maximum(self.DISTANCE, 0), 0], np.float32(-1e4))
 
-    def _mask(self, seen: np.ndarray) -> np.ndarray:
-        return np.where(seen[:, None, :], self.causal(), np.float32(-1e4))
-
     def step(self, ids: np.ndarray, targets: np.ndarray, at: np.ndarray, seen: np.ndarray, scored: np.ndarray) -> tuple[float, dict[str, tuple[np.ndarray | None, np.ndarray]]]:
-        """The mean loss of a batch of windows, and gradients as (rows, values); rows None means all."""
-        p, scale = self.p, np.float32(_WIDTH**-0.5)
-        tokens = ids[at]
-        x = p["E"][tokens]
-        xq = x[:, CONTEXT:]
-        q, k, v = (xq @ p["q"]) * scale, x @ p["k"], x @ p["v"]
-        s = q @ k.transpose(0, 2, 1) + self._mask(seen)
-        a = np.exp(s - s.max(2, keepdims=True))
-        a /= a.sum(2, keepdims=True)
-        z = xq + a @ v
-        u = z @ p["w1"] + p["c1"]
+        """The mean loss of a batch of windows, and gradients as (rows, values); rows None means all.
+
+        Attention weights stay without their divisor, which scales what comes out of them and its gradient: both are narrower. A column of ones
+        beside the values gives the divisor, and takes the mean out of the weights' gradient.
+        """
+        p, scale, n = self.p, np.float32(_WIDTH**-0.5), len(at)
+        flat = lambda t: t.reshape(-1, t.shape[-1])
+        tokens = ids.take(at)
+        x = p["E"].take(tokens, axis=0)
+        xq = np.ascontiguousarray(x[:, CONTEXT:])
+        q, k = (flat(xq) @ (p["q"] * scale)).reshape(xq.shape), (flat(x) @ p["k"]).reshape(x.shape)
+        v = np.ones((n, CONTEXT + STRIDE, _WIDTH + 1), x.dtype)
+        v[..., :-1] = (flat(x) @ p["v"]).reshape(x.shape)
+        a = q @ k.transpose(0, 2, 1)
+        a += self.causal()
+        part = np.flatnonzero(~seen.all(1))
+        a[part] += np.where(seen[part], np.float32(0), np.float32(-1e4))[:, None, :]
+        if a.max(initial=0) > 60:  # no more than a row's largest may leave its exponential
+            a -= a.max(2, keepdims=True)
+        np.exp(a, out=a)
+        out_of = a @ v
+        mean, divisor = out_of[..., :-1], out_of[..., -1:]
+        divisor = np.maximum(divisor, np.finfo(np.float32).tiny)
+        mean = mean / divisor
+        z = xq + mean
+        flat_z = flat(z)
+        u = flat_z @ p["w1"]
+        u += p["c1"]
         r = np.maximum(u, 0)
-        h = (z + r @ p["w2"])[scored]
-        visits = Visits(self.tree, targets[at[:, CONTEXT:][scored]])
+        live = np.flatnonzero(scored.ravel())
+        h = (flat_z + r @ p["w2"]).take(live, axis=0)
+        visits = Visits(self.tree, targets.take(at[:, CONTEXT:].ravel().take(live)))
         doubts = visits.doubts(h, p["U"], p["b"][:, 0])
         loss = float(visits.losses(doubts).sum())
-        n = max(1, len(h))
         out = {}
-        dh = np.zeros_like(z)
-        dh[scored], out["U"], out["b"] = visits.gradients(doubts, 1 / n, h, p["U"])
+        dh = np.zeros_like(flat_z)
+        dh[live], out["U"], out["b"] = visits.gradients(doubts, 1 / max(1, len(h)), h, p["U"])
         du = (dh @ p["w2"].T) * (u > 0)
-        flat = lambda t: t.reshape(-1, t.shape[-1])
-        out["w2"] = None, flat(r).T @ flat(dh)
-        out["w1"], out["c1"] = (None, flat(z).T @ flat(du)), (None, flat(du).sum(0, keepdims=True))
-        dz = dh + du @ p["w1"].T
-        da = dz @ v.transpose(0, 2, 1)
-        dv = a.transpose(0, 2, 1) @ dz
-        ds = a * (da - (da * a).sum(2, keepdims=True))
-        near = np.bincount(np.maximum(self.DISTANCE, 0).ravel(), ds.sum(0).ravel() * (self.DISTANCE >= 0).ravel(), minlength=CONTEXT + STRIDE)
+        out["w2"] = None, r.T @ dh
+        out["w1"], out["c1"] = (None, flat_z.T @ du), (None, du.sum(0, keepdims=True))
+        dz = (dh + du @ p["w1"].T).reshape(z.shape)
+        g = np.empty((n, STRIDE, _WIDTH + 1), x.dtype)
+        np.divide(dz, divisor, out=g[..., :-1])
+        g[..., -1] = -np.einsum("ijk,ijk->ij", g[..., :-1], mean)
+        dv = a.transpose(0, 2, 1) @ g[..., :-1]
+        ds = g @ v.transpose(0, 2, 1)
+        ds *= a
+        near = np.bincount(np.maximum(self.DISTANCE, 0).ravel(), (np.ones(n, x.dtype) @ ds.reshape(n, -1)) * (self.DISTANCE >= 0).ravel(), minlength=CONTEXT + STRIDE)
         out["near"] = None, near[:, None].astype(np.float32)
-        dq, dk = (ds @ k) * scale, ds.transpose(0, 2, 1) @ q
-        out["q"], out["k"], out["v"] = (None, flat(xq).T @ flat(dq)), (None, flat(x).T @ flat(dk)), (None, flat(x).T @ flat(dv))
-        dx = dk @ p["k"].T + dv @ p["v"].T
-        dx[:, CONTEXT:] += dq @ p["q"].T + dz
-        out["E"] = _scatter(tokens.ravel(), flat(dx))
-        return loss / n, out
-
-    def fit(self, segments: list[np.ndarray], rate: float, batch: int, rng: np.random.Generator, memory: dict[str, np.ndarray]) -> float:
-        """One pass of Adagrad over the segments, in an order of its own; returns the mean loss."""
-        order = rng.permutation(len(segments))
+        dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
+        out["q"], out["k"], out["v"] = (None, flat(xq).T @ flat(dq) * scale), (None, flat(x).T @ flat(dk)), (None, flat(x).T @ flat(dv))
+        dx = flat(dk) @ p["k"].T
+        dx += flat(dv) @ p["v"].T
+        dx = dx.reshape(x.shape)
+        dx[:, CONTEXT:] += (flat(dq) @ (p["q"].T * scale)).reshape(dq.shape) + dz
+        order, cuts, rows = _sorted(tokens.ravel())
+        out["E"] = rows, _sums(flat(dx), order, cuts)
+        return loss / max(1, len(h)), out
+
+    def fit(self, ids: np.ndarray, targets: np.ndarray, doc: np.ndarray, rate: float, batch: int, rng: np.random.Generator, memory: dict[str, np.ndarray]) -> float:
+        """One pass of Adagrad over all windows of these texts, ``batch`` at a time, in an order of its own; returns the mean loss."""
+        at, seen, scored = self.windows(ids, doc)
+        order = rng.permutation(len(at))
         losses = []
         for k in range(0, len(order), batch):
-            some = [segments[i] for i in order[k : k + batch] if len(segments[i]) > 1]
-            if not some:
-                continue
-            ids = np.concatenate([s[:-1] for s in some])
-            targets = np.concatenate([s[1:] for s in some])
-            doc = np.repeat(np.arange(len(some)), [len(s) - 1 for s in some])
-            loss, gradients = self.step(ids, targets, *self.windows(ids, doc))
+            own = order[k : k + batch]
+            loss, gradients = self.step(ids, targets, at[own], seen[own], scored[own])
             losses.append(loss)
             for name, (rows, g) in gradients.items():
                 rows = slice(None) if rows is None else rows
-                memory[name][rows] += g * g
-                self.p[name][rows] -= rate * g / (np.sqrt(memory[name][rows]) + 1e-8)
+                squares = memory[name][rows] + g * g
+                memory[name][rows] = squares
+                np.sqrt(squares, out=squares)
+                squares += 1e-8
+                self.p[name][rows] -= rate * g / squares
         return float(np.mean(losses)) if losses else 0.0
 
 
-def _scatter(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of ``values`` by row."""
+def _sorted(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order that sorts ``rows``, where each begins in it, and the distinct rows."""
+    if len(rows) and rows.max() < 1 << 16:
+        rows = rows.astype(np.uint16)  # sorted in linear time
     order = np.argsort(rows, kind="stable")
-    rows = rows[order]
-    cuts = np.flatnonzero(np.diff(rows, prepend=-1))
-    return rows[cuts], np.add.reduceat(values[order], cuts) if len(cuts) else values[:0]
+    rows = rows.take(order)
+    cuts = np.flatnonzero(np.diff(rows.astype(np.int32), prepend=-1))
+    return order, cuts, rows[cuts]
+
+
+def _sums(values: np.ndarray, order: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """Sums of ``values`` by row."""
+    return np.add.reduceat(values.take(order, axis=0), cuts) if len(cuts) else values[:0]
 
 
 class Scorer:
@@ -442,21 +515,24 @@ def new_net(counts: dict[int, int], end: int) -> tuple[Net, np.ndarray, int]:
     return Net(Tree(weights), len(ids) + 1), compact, unseen
 
 
-def _trained(net: Net, compact: np.ndarray, round_: int, rate: float, batch: int, passes: int):
-    """Rows of the parameters that a task's segments changed, by how much."""
+def _trained(read: Callable, net: Net, compact: np.ndarray, round_: int, rate: float, batch: int, passes: int):
+    """Rows of the parameters that a task's texts changed, by how much; ``read`` makes lists of ids of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Net.__new__(Net)
         own.tree, own.p = net.tree, {k: v.copy() for k, v in net.p.items()}
-        segments = []
-        for b in batches:
-            lists = b.column(0)
-            offsets, flat = lists.offsets.to_numpy(), compact[lists.values.to_numpy()]
-            segments += [flat[i:j] for i, j in zip(offsets[:-1], offsets[1:], strict=True)]
         rng = np.random.default_rng(round_)
         memory = {k: np.zeros_like(v) for k, v in own.p.items()}
-        for _ in range(passes):
-            own.fit(segments, rate, batch, rng, memory)
+        for b in read(batches):
+            lists = b.column(0)
+            offsets, flat = lists.offsets.to_numpy(), compact[lists.values.to_numpy()]
+            sizes = np.diff(offsets)
+            doc = np.repeat(np.arange(len(sizes)), np.maximum(sizes - 1, 0))
+            inside = np.ones(len(flat), bool)
+            inside[offsets[1:][sizes > 0] - 1] = False  # a text's last id is no input, its first one no target
+            inputs = np.flatnonzero(inside)
+            for _ in range(passes):
+                own.fit(flat[inputs], flat[inputs + 1], doc, rate, batch, rng, memory)
         for t, (name, after) in enumerate(own.p.items()):
             rows, values = _rows(after - net.p[name])
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), t, np.int32)), pa.array(rows.astype(np.int32)), *[pa.array(values[:, i].astype(float)) for i in range(_WIDTH)]], ["tab", "row", *[f"x{i}" for i in range(_WIDTH)]])
@@ -473,13 +549,13 @@ def _rows(delta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rows, flat[rows]
 
 
-def train(segments: DataFrame, net: Net, compact: np.ndarray, *, n_segments: int, rounds: int, passes: int, rate: float, batch: int, per_task: int) -> None:
-    """Rounds of local training and averaging; ``net`` is changed."""
-    dealt = segments.repartition(max(1, -(-n_segments // per_task)))
+def train(texts: DataFrame, read: Callable, net: Net, compact: np.ndarray, *, rounds: int, passes: int, rate: float, batch: int) -> None:
+    """Rounds of local training and averaging, each over its share of the ``texts`` (doc_id, text); ``net`` is changed."""
     columns = [f"x{i}" for i in range(_WIDTH)]
     schema = "tab int, row int, " + ", ".join(f"{c} double" for c in columns)
     for k in range(rounds):
-        changed = dealt.mapInArrow(_trained(net, compact, k, rate, batch, passes), schema)
+        own = texts.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)) == k)
+        changed = own.mapInArrow(_trained(read, net, compact, k, rate, batch, passes), schema)
         mean = changed.groupBy("tab", "row").agg(*[F.avg(c).alias(c) for c in columns]).toArrow()
         tab, row = (mean.column(c).to_numpy() for c in ("tab", "row"))
         values = np.stack([mean.column(c).to_numpy() for c in columns], axis=1).astype(np.float32) if mean.num_rows else np.zeros((0, _WIDTH), np.float32)
@@ -495,8 +571,8 @@ def train(segments: DataFrame, net: Net, compact: np.ndarray, *, n_segments: int
 class _Words:
     """What is known of words, in growing arrays: their ids, their number of them, their counts."""
 
-    def __init__(self, scorer: Scorer, hot: dict[bytes, int]):
-        self.bpe, self.compact, self.hot = subwords(scorer.path), scorer.compact, hot
+    def __init__(self, path: str, compact: np.ndarray, hot: dict[bytes, int]):
+        self.bpe, self.compact, self.hot = subwords(path), compact, hot
         self.places: dict[bytes, int] = {}
         self.ids, self.sizes, self.counts = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
         self.names: list[bytes] = []
@@ -529,7 +605,7 @@ def _scored(scorer: Scorer, hot: pa.Table, at_once: int = 200_000, cache: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = dict(zip(hot.column("word").to_pylist(), hot.column("n").to_pylist(), strict=True))
-        known = _Words(scorer, counts)
+        known = _Words(scorer.path, scorer.compact, counts)
         begin = int(scorer.compact[-1])
         row = 0
         for batch in batches:
@@ -537,7 +613,7 @@ def _scored(scorer: Scorer, hot: pa.Table, at_once: int = 200_000, cache: int =
             done = 0
             while done < batch.num_rows:
                 if len(known) > cache:
-                    known = _Words(scorer, counts)
+                    known = _Words(scorer.path, scorer.compact, counts)
                 first, found, sizes = done, [], []
                 while done < batch.num_rows and len(found) < at_once:
                     own = words(texts[done].as_py())
@@ -581,10 +657,9 @@ def score_texts(
     rounds: int = 3,
     passes: int = 1,
     rate: float = 0.1,
-    batch: int = 32,
-    per_task: int = 8192,
+    batch: int = 128,
     segment: int = 48,
-    stretch: int = 2048,
+    stretch: int | None = None,
     hot_words: int = 100_000,
 ) -> DataFrame:
     """A row per row of ``documents`` (doc_id, text), columns ``SCORED``; ``vocabulary`` is a tiktoken file of ranks."""
@@ -606,9 +681,9 @@ def score_texts(
     end = subwords(vocabulary).end
     of_subwords = {r["id"]: r["n"] for r in counts.where("n > 0").select("word", "n").mapInArrow(_subword_counts(vocabulary), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()}
     net, compact, unseen = new_net(of_subwords, end)
-    segments, seen = tables.keep(given.where(~F.col("held_out")).select("doc_id", "text").mapInArrow(_segments(vocabulary, segment, stretch), "ids array<int>"), n=F.count("*"))
-    if seen["n"]:
-        train(segments, net, compact, n_segments=seen["n"], rounds=rounds, passes=passes, rate=rate, batch=batch, per_task=per_task)
+    if total:
+        read = _segments(vocabulary, segment, stretch) if stretch else _whole(vocabulary)
+        train(given.where(~F.col("held_out")).select("doc_id", "text"), read, net, compact, rounds=rounds, passes=passes, rate=rate, batch=batch)
 
     id_type = documents.select("doc_id").schema[0].dataType.simpleString()
     schema = f"part long, row long, doc_id {id_type}, held_out boolean, n_tokens long, hot_known long, hot_log double, score double, rare array<binary>, times array<long>"

@@ -163,3 +163,42 @@ def test_many_words_are_encoded_like_one():
     ids, sizes = bpe.all(odd)
     assert ids.tolist() == [i for w in odd for i in bpe.one(w)] and sizes.tolist() == [len(bpe.one(w)) for w in odd]
     assert [len(x) for x in bpe.all([])] == [0, 0]
+
+
+def test_training_sees_every_token_once(spark, monkeypatch):
+    rng = random.Random(2)
+    rows = [(d, " ".join(rng.choice("ab cd EF gh ijk \u4f60".split()) for _ in range(rng.choice([0, 1, 40, 3000])))) for d in range(60)] + [(1000, None), (1001, "")]
+    rows += [(None, "null id"), (1003, "a\u00a0b c")]
+    given = []
+
+    def local(texts, read, net, compact, *, rounds, passes, rate, batch):
+        """One round in this process, counting the targets."""
+        seen = Counter()
+        fit = lm.Net.fit
+        monkeypatch.setattr(lm.Net, "fit", lambda self, ids, targets, *rest: (seen.update(targets.tolist()), fit(self, ids, targets, *rest))[1])
+        list(lm._trained(read, net, compact, 0, rate, batch, passes)(iter(texts.toArrow().to_batches())))
+        given.append((seen, compact))
+
+    monkeypatch.setattr(lm, "train", local)
+    lm.score_texts(spark.createDataFrame(rows, "doc_id int, text string"), PATH)
+    (seen, compact), bpe = given[0], lm.subwords(PATH)
+    assert seen == Counter(int(compact[i]) for d, x in rows if not held(d) for w in [*lm.words(x), lm.END] for i in bpe.one(w))
+
+
+def test_rounds_share_all_texts(spark, monkeypatch):
+    import pyarrow as pa
+
+    rows = [(d, f"text {d}") for d in range(50)] + [(None, None)] * 3
+
+    def counted(read, net, compact, round_, *rest):
+        def run(batches):
+            n = sum(b.num_rows for b in batches)
+            yield pa.RecordBatch.from_arrays([pa.array([3], pa.int32()), pa.array([0], pa.int32()), *[pa.array([float(n)]) for _ in range(lm._WIDTH)]], ["tab", "row", *[f"x{i}" for i in range(lm._WIDTH)]])
+
+        return run
+
+    monkeypatch.setattr(lm, "_trained", counted)
+    net, compact, _ = random_net(20)
+    before = net.p["v"][0].copy()
+    lm.train(spark.createDataFrame(rows, "doc_id int, text string").coalesce(1), None, net, compact, rounds=3, passes=1, rate=0.1, batch=8)
+    assert net.p["v"][0] - before == pytest.approx(np.full(lm._WIDTH, len(rows)), abs=1e-3)
