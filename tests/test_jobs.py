@@ -102,6 +102,17 @@ def test_reconcile_caps_each_grade_and_spares_others(spark):
     assert sum(k[0] == "b" for k in active) == 5 and sum(k[0] == "x" for k in active) == 9
 
 
+def test_reconcile_meets_in_one_shuffle_by_item(spark):
+    old = [sale("k", "2024-01-09"), sale("", "2024-01-01"), sale("gone", "2024-01-02"), sale("hidden", "2024-01-03", status="superseded"), sale("o", "2024-01-01", card="other"), sale("n", "2024-01-01", card=None)]
+    new = [sale("k", "2024-01-05"), sale("hidden", "2024-01-08"), sale(None, "2024-01-09"), sale("late", "2023-01-01"), sale("m", "2024-01-01", card=None)]
+    out = retention.reconcile(spark.createDataFrame(old, SALES), spark.createDataFrame(new, SALES), 2)
+    found = {(r["provider_sale_key"], r["review_status"], r["sale_date"]) for r in out.collect()}
+    assert found == {("hidden", "active", "2024-01-08"), ("k", "active", "2024-01-09"), ("", "superseded", "2024-01-01"), ("gone", "superseded", "2024-01-02"), ("o", "active", "2024-01-01"), ("n", "active", "2024-01-01"), ("m", "active", "2024-01-01")}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    plan = plan.split("Initial Plan")[-1]
+    assert plan.count("Exchange ") <= 2 and "Join" not in plan  # scraped rows by item and grade, then both sides by item
+
+
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.integers(1, 28), st.sampled_from(["PSA 9", "PSA 10"]), st.integers(0, 100)), max_size=25), st.integers(1, 4))
 def test_newest_per_grade_is_capped_and_idempotent(spark, drawn, most):
