@@ -212,9 +212,12 @@ class Tree:
     """A Huffman tree over ``counts``: for every leaf its path of inner nodes, and the side it takes at each, as the sign of the log odds against it.
 
     Inner nodes are numbered by ascending counts. The part of a path at the last ``DENSE`` ones is a row of ``columns`` and ``sides`` (padded with a column beyond the last and 0), the rest is in ``nodes`` and ``signs``.
+
+    Leaves are dealt to groups, each below one place of the tree. ``members`` has a row of frequent nodes for every group: those above its place, then those below it. ``places`` says
+    where in that row the nodes of ``columns`` are (padded with its last place, which is no node's).
     """
 
-    DENSE = 128
+    DENSE, GROUPS = 256, 16
 
     def __init__(self, counts: np.ndarray):
         n = len(counts)
@@ -224,14 +227,17 @@ class Tree:
         weight[:n] = counts
         above, side = np.full(2 * n - 1, -1), np.zeros(2 * n - 1, np.int8)
         bias = np.zeros(max(1, n - 1))
+        below, frequent = np.zeros((max(0, n - 1), 2), np.int64), np.zeros(2 * n - 1, np.int64)
+        self.top = top = max(0, n - 1 - self.DENSE)
         for k in range(n - 1):
             (a, i), (b, j) = heapq.heappop(heap), heapq.heappop(heap)
+            below[k] = i, j
+            frequent[n + k] = frequent[i] + frequent[j] + (k >= top)
             above[i] = above[j] = k
             side[i], side[j] = -1, 1
             bias[k] = np.log((a + 1e-9) / (b + 1e-9))
             heapq.heappush(heap, (a + b, n + k))
         self.bias = bias.astype(np.float32)
-        self.top = top = max(0, n - 1 - self.DENSE)
         nodes, signs, starts = [], [], [0]
         often: list[list[tuple[int, int]]] = []
         for leaf in range(n):
@@ -252,27 +258,71 @@ class Tree:
             for k, (column, at) in enumerate(own):
                 self.columns[leaf, k], self.sides[leaf, k] = column, at
         self.padding = (np.log(2) * (self.sides == 0).sum(1)).astype(np.float32)  # a margin of 0 costs log 2
+        self._deal(n, above, below, frequent)
+
+    def _deal(self, n: int, above: np.ndarray, below: np.ndarray, frequent: np.ndarray) -> None:
+        """Groups of leaves; ``frequent`` is the number of frequent nodes from a place on downwards."""
+        tops = [(-int(frequent[2 * n - 2]), 2 * n - 2)]  # what has most frequent nodes is split next
+        while len(tops) < self.GROUPS and tops[0][0] < -1:
+            _, i = heapq.heappop(tops)
+            for j in below[i - n]:
+                heapq.heappush(tops, (-int(frequent[j]), int(j)))
+        self.group = np.zeros(n, np.uint16)
+        shared, owned = [], []
+        for g, (_, i) in enumerate(tops):
+            up, found, rest = i, [], [i]
+            while above[up] >= 0:
+                found.append(above[up] - self.top)
+                up = n + above[up]
+            shared.append(found)
+            found = []
+            while rest:
+                j = rest.pop()
+                if j < n:
+                    self.group[j] = g
+                else:
+                    if j - n >= self.top:
+                        found.append(j - n - self.top)
+                    rest += below[j - n].tolist()
+            owned.append(found)
+        width, pad = max(len(a) + len(b) for a, b in zip(shared, owned, strict=True)) + 1, len(self.bias) - self.top
+        self.members = np.full((len(tops), width), pad)
+        place = np.full((len(tops), pad + 1), width - 1)
+        for g, own in enumerate(a + b for a, b in zip(shared, owned, strict=True)):
+            self.members[g, : len(own)] = own
+            place[g, own] = np.arange(len(own))
+        self.places = place[self.group[:, None], self.columns]
+        # Where the members are that only one group has, and the others by node.
+        flat, mine = self.members.ravel(), np.zeros(self.members.shape, bool)
+        for g, (a, b) in enumerate(zip(shared, owned, strict=True)):
+            mine[g, len(a) : len(a) + len(b)] = True
+        self.single = np.flatnonzero(mine)
+        several = np.flatnonzero(~mine.ravel() & (flat < pad))
+        order, cuts, self.several_nodes = _sorted(flat[several])
+        self.several, self.several_cuts = several[order], cuts
+
+    def order(self, leaves: np.ndarray) -> np.ndarray:
+        """An order in which each group's leaves are together."""
+        return np.argsort(self.group.take(leaves), kind="stable")
 
 
 class Visits:
-    """The decisions on the way to each of ``leaves``. The nodes with the largest counts, which most of any path goes through, are one product of matrices for all."""
+    """The decisions on the way to each of ``leaves``, which are in the tree's order. The nodes with the largest counts, which most of any path goes through, are a product of matrices a group."""
 
     def __init__(self, tree: Tree, leaves: np.ndarray):
-        self.tree = tree
-        width = len(tree.bias) - tree.top + 1  # with the column that pads
-        self.sides, self.padding = tree.sides.take(leaves, axis=0), tree.padding.take(leaves)
-        self.cells = tree.columns.take(leaves, axis=0)
+        self.tree, self.leaves = tree, leaves
+        width = tree.members.shape[1]
+        self.sides = tree.sides.take(leaves, axis=0)
+        self.cells = tree.places.take(leaves, axis=0)
         self.cells += (np.arange(len(leaves)) * width)[:, None]
+        stops = np.cumsum(np.bincount(tree.group.take(leaves), minlength=len(tree.members))).tolist()
+        self.stretches = [(g, slice(i, j)) for g, (i, j) in enumerate(zip([0, *stops], stops)) if i < j]  # noqa: B905
         first = tree.starts.take(leaves)
-        lengths = tree.starts.take(leaves + 1) - first
-        # All first decisions at other nodes, then all second ones, and so on: no leaf comes twice in a level.
-        self.levels, at, level = [], [], np.flatnonzero(lengths)
-        while len(level):
-            at.append(first[level] + len(self.levels))
-            self.levels.append(level)
-            level = level[lengths[level] > len(self.levels)]
-        self.owner = np.concatenate([np.zeros(0, np.int64), *self.levels])
-        at = np.concatenate([np.zeros(0, np.int64), *at])
+        self.lengths = tree.starts.take(leaves + 1) - first
+        self.ends = np.cumsum(self.lengths)
+        self.owner = np.repeat(np.arange(len(leaves)), self.lengths)
+        at = np.repeat(first - self.ends + self.lengths, self.lengths)
+        at += np.arange(len(at))
         self.nodes, self.signs = tree.nodes.take(at), tree.signs.take(at)
 
     def _dense(self, u: np.ndarray) -> np.ndarray:
@@ -281,8 +331,13 @@ class Visits:
 
     def doubts(self, h: np.ndarray, u: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Each decision's log odds against the side that is taken: at frequent nodes as a matrix, where padding is 0, and at the others."""
-        dense = h @ self._dense(u).T
-        dense += self._dense(b)
+        # A column of ones beside h brings the biases, and later their gradients, into the products.
+        self.h = np.ones((len(h), h.shape[1] + 1), h.dtype)
+        self.h[:, :-1] = h
+        self.frequent = np.concatenate([self._dense(u), self._dense(b)[:, None]], axis=1).take(self.tree.members, axis=0)
+        dense = np.empty((len(h), self.frequent.shape[1]), h.dtype)
+        for g, own in self.stretches:
+            np.matmul(self.h[own], self.frequent[g].T, out=dense[own])
         often = dense.ravel().take(self.cells)
         often *= self.sides
         self.before = h.take(self.owner, axis=0)
@@ -305,32 +360,39 @@ class Visits:
         return out
 
     def _summed(self, often: np.ndarray, rare: np.ndarray) -> np.ndarray:
-        return often.sum(1) - self.padding + np.bincount(self.owner, rare, minlength=len(often))
+        return often @ np.ones(often.shape[1], often.dtype) - self.tree.padding.take(self.leaves) + np.bincount(self.owner, rare, minlength=len(often))
 
-    def gradients(self, doubts: tuple[np.ndarray, np.ndarray], scale: float, h: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, tuple, tuple]:
+    def gradients(self, doubts: tuple[np.ndarray, np.ndarray], scale: float, u: np.ndarray) -> tuple[np.ndarray, tuple, tuple]:
         """Those of h, of the rows of u, and of the biases, for the sum of losses times ``scale``."""
         top = self.tree.top
         often, rare = (_sigmoid(d) for d in doubts)
-        often *= self.sides * np.float32(scale)
-        rare *= self.signs * np.float32(scale)
-        dense = np.zeros((len(h), len(u) - top + 1), h.dtype)
+        often *= self.sides
+        often *= np.float32(scale)
+        rare *= self.signs
+        rare *= np.float32(scale)
+        dense = np.zeros((len(self.h), self.frequent.shape[1]), self.h.dtype)
         dense.ravel()[self.cells] = often
-        dh = dense @ self._dense(u)
+        dh, by_member = np.empty((len(self.h), u.shape[1]), u.dtype), np.zeros(self.frequent.shape, u.dtype)
+        for g, own in self.stretches:
+            np.matmul(dense[own], self.frequent[g, :, :-1], out=dh[own])
+            np.matmul(dense[own].T, self.h[own], out=by_member[g])
         self.rows *= rare[:, None]
         self.before *= rare[:, None]
-        done = 0
-        for level in self.levels:
-            dh[level] += self.rows[done : done + len(level)]
-            done += len(level)
+        some = np.flatnonzero(self.lengths)
+        dh[some] += _sums(self.rows, (self.ends - self.lengths).take(some))
         order, cuts, rows = _sorted(self.nodes)
         rows = np.append(rows, np.arange(top, len(u)))
-        often_u, often_b = (dense.T @ h)[:-1], (np.ones(len(h), h.dtype) @ dense)[:-1]
-        return dh, (rows, np.concatenate([_sums(self.before, order, cuts), often_u])), (rows, np.concatenate([_sums(rare, order, cuts), often_b])[:, None])
+        tree, by_member = self.tree, by_member.reshape(-1, by_member.shape[-1])
+        often = np.zeros((len(u) - top, by_member.shape[1]), u.dtype)
+        often[tree.members.ravel().take(tree.single)] = by_member.take(tree.single, axis=0)
+        often[tree.several_nodes] = _sums(by_member.take(tree.several, axis=0), tree.several_cuts)
+        return dh, (rows, np.concatenate([_sums(self.before.take(order, axis=0), cuts), often[:, :-1]])), (rows, np.append(_sums(rare.take(order), cuts), often[:, -1])[:, None])
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    out = np.clip(x, -60, 60)
-    np.exp(np.negative(out, out=out), out=out)
+    out = np.negative(x)
+    with np.errstate(over="ignore"):  # one by infinity is 0
+        np.exp(out, out=out)
     out += 1
     return np.reciprocal(out, out=out)
 
@@ -366,83 +428,106 @@ class Net:
         """The bias of every query of a window for every key: by distance, and closed for what comes later."""
         return np.where(self.DISTANCE >= 0, self.p["near"][np.maximum(self.DISTANCE, 0), 0], np.float32(-1e4))
 
-    def step(self, ids: np.ndarray, targets: np.ndarray, at: np.ndarray, seen: np.ndarray, scored: np.ndarray) -> tuple[float, dict[str, tuple[np.ndarray | None, np.ndarray]]]:
-        """The mean loss of a batch of windows, and gradients as (rows, values); rows None means all.
+    def crossed(self) -> np.ndarray:
+        """The product of queries' and keys' projections: a logit is a query's embedding times this times a key's embedding."""
+        return (self.p["q"] * np.float32(_WIDTH**-0.5)) @ self.p["k"].T
+
+    def step(self, ids: np.ndarray, targets: np.ndarray, at: np.ndarray, seen: np.ndarray, scored: np.ndarray, with_loss: bool = True) -> tuple[float, dict[str, tuple[np.ndarray | None, np.ndarray]]]:
+        """The mean loss of a batch of windows (0 unless asked for), and gradients as (rows, values); rows None means all.
 
-        Attention weights stay without their divisor, which scales what comes out of them and its gradient: both are narrower. A column of ones
-        beside the values gives the divisor, and takes the mean out of the weights' gradient.
+        Keys and values aren't projected one by one: queries take both projections of a logit, and values are projected after their mean. Attention weights stay without
+        their divisor, which scales what comes out of them and its gradient: both are narrower. A row of ones below the embeddings takes the mean out of the weights' gradient.
         """
-        p, scale, n = self.p, np.float32(_WIDTH**-0.5), len(at)
+        p, n = self.p, len(at)
         flat = lambda t: t.reshape(-1, t.shape[-1])
         tokens = ids.take(at)
         x = p["E"].take(tokens, axis=0)
         xq = np.ascontiguousarray(x[:, CONTEXT:])
-        q, k = (flat(xq) @ (p["q"] * scale)).reshape(xq.shape), (flat(x) @ p["k"]).reshape(x.shape)
-        v = np.ones((n, CONTEXT + STRIDE, _WIDTH + 1), x.dtype)
-        v[..., :-1] = (flat(x) @ p["v"]).reshape(x.shape)
-        a = q @ k.transpose(0, 2, 1)
+        across = np.ones((n, _WIDTH + 1, CONTEXT + STRIDE), x.dtype)
+        across[:, :-1] = x.transpose(0, 2, 1)
+        crossed = self.crossed()
+        # Weights above their logits' gradients, and what each of them multiplies: the gradients of what weights give above queries.
+        left = np.empty((n, 2 * STRIDE, CONTEXT + STRIDE), x.dtype)
+        right = np.empty((n, 2 * STRIDE, _WIDTH), x.dtype)
+        a, ds, g, q = left[:, :STRIDE], left[:, STRIDE:], right[:, :STRIDE], right[:, STRIDE:]
+        q[:] = (flat(xq) @ crossed).reshape(xq.shape)
+        np.matmul(q, across[:, :-1], out=a)
         a += self.causal()
-        part = np.flatnonzero(~seen.all(1))
+        part = _partly(seen)
         a[part] += np.where(seen[part], np.float32(0), np.float32(-1e4))[:, None, :]
         if a.max(initial=0) > 60:  # no more than a row's largest may leave its exponential
             a -= a.max(2, keepdims=True)
         np.exp(a, out=a)
-        out_of = a @ v
-        mean, divisor = out_of[..., :-1], out_of[..., -1:]
-        divisor = np.maximum(divisor, np.finfo(np.float32).tiny)
-        mean = mean / divisor
-        z = xq + mean
-        flat_z = flat(z)
-        u = flat_z @ p["w1"]
+        divisor = a @ np.ones((CONTEXT + STRIDE, 1), x.dtype)
+        np.maximum(divisor, np.finfo(np.float32).tiny, out=divisor)
+        mean = a @ x
+        mean /= divisor
+        live = np.flatnonzero(scored.ravel())
+        goal = targets.take(at[:, CONTEXT:].ravel().take(live))
+        order = self.tree.order(goal)
+        live, goal = live.take(order), goal.take(order)
+        z = flat(mean) @ p["v"]
+        z += flat(xq)
+        z = z.take(live, axis=0)
+        u = z @ p["w1"]
         u += p["c1"]
         r = np.maximum(u, 0)
-        live = np.flatnonzero(scored.ravel())
-        h = (flat_z + r @ p["w2"]).take(live, axis=0)
-        visits = Visits(self.tree, targets.take(at[:, CONTEXT:].ravel().take(live)))
+        h = r @ p["w2"]
+        h += z
+        visits = Visits(self.tree, goal)
         doubts = visits.doubts(h, p["U"], p["b"][:, 0])
-        loss = float(visits.losses(doubts).sum())
+        loss = float(visits.losses(doubts).sum()) if with_loss else 0.0
         out = {}
-        dh = np.zeros_like(flat_z)
-        dh[live], out["U"], out["b"] = visits.gradients(doubts, 1 / max(1, len(h)), h, p["U"])
-        du = (dh @ p["w2"].T) * (u > 0)
+        dh, out["U"], out["b"] = visits.gradients(doubts, 1 / max(1, len(h)), p["U"])
+        du = dh @ p["w2"].T
+        du *= u > 0
         out["w2"] = None, r.T @ dh
-        out["w1"], out["c1"] = (None, flat_z.T @ du), (None, du.sum(0, keepdims=True))
-        dz = (dh + du @ p["w1"].T).reshape(z.shape)
-        g = np.empty((n, STRIDE, _WIDTH + 1), x.dtype)
-        np.divide(dz, divisor, out=g[..., :-1])
-        g[..., -1] = -np.einsum("ijk,ijk->ij", g[..., :-1], mean)
-        dv = a.transpose(0, 2, 1) @ g[..., :-1]
-        ds = g @ v.transpose(0, 2, 1)
+        out["w1"], out["c1"] = (None, z.T @ du), (None, (np.ones(len(du), du.dtype) @ du)[None])
+        dh += du @ p["w1"].T
+        dz = np.zeros((n * STRIDE, _WIDTH), x.dtype)
+        dz[live] = dh
+        out["v"] = None, flat(mean).T @ dz
+        np.divide((dz @ p["v"].T).reshape(g.shape), divisor, out=g)
+        below = np.empty((n, STRIDE, _WIDTH + 1), x.dtype)
+        below[..., :-1] = g
+        np.negative(np.einsum("ijk,ijk->ij", g, mean), out=below[..., -1])
+        np.matmul(below, across, out=ds)
         ds *= a
         near = np.bincount(np.maximum(self.DISTANCE, 0).ravel(), (np.ones(n, x.dtype) @ ds.reshape(n, -1)) * (self.DISTANCE >= 0).ravel(), minlength=CONTEXT + STRIDE)
         out["near"] = None, near[:, None].astype(np.float32)
-        dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-        out["q"], out["k"], out["v"] = (None, flat(xq).T @ flat(dq) * scale), (None, flat(x).T @ flat(dk)), (None, flat(x).T @ flat(dv))
-        dx = flat(dk) @ p["k"].T
-        dx += flat(dv) @ p["v"].T
-        dx = dx.reshape(x.shape)
-        dx[:, CONTEXT:] += (flat(dq) @ (p["q"].T * scale)).reshape(dq.shape) + dz
+        dq = flat(ds @ x)
+        d_crossed = flat(xq).T @ dq
+        scale = np.float32(_WIDTH**-0.5)
+        out["q"], out["k"] = (None, d_crossed @ p["k"] * scale), (None, d_crossed.T @ p["q"] * scale)
+        dx = left.transpose(0, 2, 1) @ right
+        dz += dq @ crossed.T
+        dx[:, CONTEXT:] += dz.reshape(xq.shape)
         order, cuts, rows = _sorted(tokens.ravel())
-        out["E"] = rows, _sums(flat(dx), order, cuts)
+        out["E"] = rows, _sums(flat(dx).take(order, axis=0), cuts)
         return loss / max(1, len(h)), out
 
-    def fit(self, ids: np.ndarray, targets: np.ndarray, doc: np.ndarray, rate: float, batch: int, rng: np.random.Generator, memory: dict[str, np.ndarray]) -> float:
-        """One pass of Adagrad over all windows of these texts, ``batch`` at a time, in an order of its own; returns the mean loss."""
+    def fit(self, ids: np.ndarray, targets: np.ndarray, doc: np.ndarray, rate: float, batch: int, rng: np.random.Generator, memory: dict[str, np.ndarray]) -> None:
+        """One pass of Adagrad over all windows of these texts, ``batch`` at a time, in an order of its own."""
         at, seen, scored = self.windows(ids, doc)
         order = rng.permutation(len(at))
-        losses = []
         for k in range(0, len(order), batch):
             own = order[k : k + batch]
-            loss, gradients = self.step(ids, targets, at[own], seen[own], scored[own])
-            losses.append(loss)
+            _, gradients = self.step(ids, targets, at[own], seen[own], scored[own], with_loss=False)
             for name, (rows, g) in gradients.items():
-                rows = slice(None) if rows is None else rows
-                squares = memory[name][rows] + g * g
+                rows = np.arange(len(g)) if rows is None else rows
+                squares = g * g
+                squares += memory[name].take(rows, axis=0)
                 memory[name][rows] = squares
                 np.sqrt(squares, out=squares)
                 squares += 1e-8
-                self.p[name][rows] -= rate * g / squares
-        return float(np.mean(losses)) if losses else 0.0
+                np.divide(g, squares, out=squares)
+                squares *= rate
+                self.p[name][rows] = np.subtract(self.p[name].take(rows, axis=0), squares, out=squares)
+
+
+def _partly(seen: np.ndarray) -> np.ndarray:
+    """Windows that don't see all of their places; what one sees is a stretch."""
+    return np.flatnonzero(~(seen[:, 0] & seen[:, -1]))
 
 
 def _sorted(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -451,13 +536,19 @@ def _sorted(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         rows = rows.astype(np.uint16)  # sorted in linear time
     order = np.argsort(rows, kind="stable")
     rows = rows.take(order)
-    cuts = np.flatnonzero(np.diff(rows.astype(np.int32), prepend=-1))
-    return order, cuts, rows[cuts]
+    new = np.ones(len(rows), bool)
+    np.not_equal(rows[1:], rows[:-1], out=new[1:])
+    cuts = np.flatnonzero(new)
+    return order, cuts, rows.take(cuts).astype(np.int64)
 
 
-def _sums(values: np.ndarray, order: np.ndarray, cuts: np.ndarray) -> np.ndarray:
-    """Sums of ``values`` by row."""
-    return np.add.reduceat(values.take(order, axis=0), cuts) if len(cuts) else values[:0]
+def _sums(values: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """Sums of the stretches of ``values`` that begin at ``cuts``."""
+    if not len(cuts):
+        return values[:0]
+    if values.ndim == 2 and values.dtype == np.float32 and values.shape[1] % 2 == 0:  # two columns are added at a time, as one complex number
+        return np.add.reduceat(values.view(np.complex64), cuts).view(np.float32)
+    return np.add.reduceat(values, cuts)
 
 
 class Scorer:
@@ -468,10 +559,10 @@ class Scorer:
         self.net, self.compact, self.path, self.block = net, compact, path, block
         self.log_unseen = float(np.log10(max(1, unseen)))
         self.rare = len(p["E"]) - 1
-        self.q, self.k, self.v = (p["E"] @ p["q"]) * np.float32(_WIDTH**-0.5), p["E"] @ p["k"], p["E"] @ p["v"]
+        self.crossed = net.crossed()
         # Without this bound a window's largest logit would have to be taken out before exponentials.
-        self.bounded = np.linalg.norm(self.q, axis=1).max() * np.linalg.norm(self.k, axis=1).max() + np.abs(p["near"]).max() < 80
-        self.e, self.b = p["E"], p["b"][:, 0].copy()
+        self.bounded = np.linalg.norm(p["E"] @ self.crossed, axis=1).max() * np.linalg.norm(p["E"], axis=1).max() + np.abs(p["near"]).max() < 80
+        self.b = p["b"][:, 0].copy()
         self.causal = net.causal()
 
     ones = np.ones((CONTEXT + STRIDE, 1), np.float32)
@@ -480,25 +571,30 @@ class Scorer:
         """log10 probability of every target after its inputs; compact ids."""
         out = np.zeros(len(targets))
         at, seen, scored = self.net.windows(ids, doc)
-        whole = seen.all(1)
         p = self.net.p
         for k in range(0, len(at), self.block):
             a, live = at[k : k + self.block], np.flatnonzero(scored[k : k + self.block])
-            tokens = ids.take(a)
-            own = tokens[:, CONTEXT:]
-            s = self.q.take(own, axis=0) @ self.k.take(tokens, axis=0).transpose(0, 2, 1)
+            where = a[:, CONTEXT:].ravel().take(live)
+            goal = targets.take(where)
+            order = self.net.tree.order(goal)
+            live, where, goal = live.take(order), where.take(order), goal.take(order)
+            x = p["E"].take(ids.take(a), axis=0)
+            xq = x[:, CONTEXT:].reshape(-1, _WIDTH)
+            s = (xq @ self.crossed).reshape(len(a), STRIDE, _WIDTH) @ np.ascontiguousarray(x.transpose(0, 2, 1))
             s += self.causal
-            part = np.flatnonzero(~whole[k : k + self.block])
+            part = _partly(seen[k : k + self.block])
             s[part] += np.where(seen[k : k + self.block][part], np.float32(0), np.float32(-1e4))[:, None, :]
             if not self.bounded:
                 s -= s.max(2, keepdims=True)
             np.exp(s, out=s)
-            z = s @ self.v.take(tokens, axis=0)
-            z /= s @ self.ones
-            z = z.reshape(-1, _WIDTH).take(live, axis=0) + self.e.take(own.ravel().take(live), axis=0)
-            z += np.maximum(z @ p["w1"] + p["c1"], 0) @ p["w2"]
-            where = a[:, CONTEXT:].ravel().take(live)
-            goal = targets.take(where)
+            mean = s @ x
+            mean /= s @ self.ones
+            z = mean.reshape(-1, _WIDTH) @ p["v"]
+            z += xq
+            z = z.take(live, axis=0)
+            r = z @ p["w1"]
+            r += p["c1"]
+            z += np.maximum(r, 0, out=r) @ p["w2"]
             visits = Visits(self.net.tree, goal)
             out[where] = visits.losses(visits.doubts(z, p["U"], self.b)) / -np.log(10)
             out[where[goal == self.rare]] -= self.log_unseen
@@ -568,31 +664,43 @@ def train(texts: DataFrame, read: Callable, net: Net, compact: np.ndarray, *, ro
 # Scoring
 
 
+class _Places(dict):
+    """A new word gets the next place."""
+
+    def __init__(self):
+        self.names: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = place = len(self.names)
+        self.names.append(word)
+        return place
+
+
 class _Words:
     """What is known of words, in growing arrays: their ids, their number of them, their counts."""
 
     def __init__(self, path: str, compact: np.ndarray, hot: dict[bytes, int]):
         self.bpe, self.compact, self.hot = subwords(path), compact, hot
-        self.places: dict[bytes, int] = {}
+        self.places = _Places()
         self.ids, self.sizes, self.counts = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
-        self.names: list[bytes] = []
 
     def __len__(self) -> int:
-        return len(self.names)
+        return len(self.sizes)
+
+    @property
+    def names(self) -> list[bytes]:
+        return self.places.names
 
     def look_up(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Places and counts of words, all their ids one after the other, and how many each has."""
-        places = self.places
-        new = list({w: None for w in found if w not in places})
+        take = np.fromiter(map(self.places.__getitem__, found), np.int64, len(found))
+        new = self.names[len(self) :]
         if new:
-            places.update(zip(new, range(len(self.names), len(self.names) + len(new)), strict=True))
-            self.names += new
             ids, sizes = self.bpe.all(new)
             self.ids = np.append(self.ids, self.compact[ids])
             self.sizes = np.append(self.sizes, sizes)
             get = self.hot.get
-            self.counts = np.append(self.counts, np.fromiter((get(w, -1) for w in new), np.int64, len(new)))
-        take = np.fromiter(map(places.__getitem__, found), np.int64, len(found))
+            self.counts = np.append(self.counts, np.fromiter((get(w, -1) for w in new), np.int64, len(new)) if self.hot else np.full(len(new), -1))
         ends = np.cumsum(self.sizes)
         lengths = self.sizes[take]
         stops = np.cumsum(lengths)

@@ -202,3 +202,50 @@ def test_rounds_share_all_texts(spark, monkeypatch):
     before = net.p["v"][0].copy()
     lm.train(spark.createDataFrame(rows, "doc_id int, text string").coalesce(1), None, net, compact, rounds=3, passes=1, rate=0.1, batch=8)
     assert net.p["v"][0] - before == pytest.approx(np.full(lm._WIDTH, len(rows)), abs=1e-3)
+
+
+def test_frequent_decisions_are_worked_out_by_groups_of_leaves():
+    rng = np.random.default_rng(8)
+    for n in (1, 2, 3, 40, 3000):
+        tree = lm.Tree((1e6 / np.arange(1, n + 1)).astype(np.int64) + 1)
+        width = tree.members.shape[1]
+        assert width <= 64  # one matrix for all leaves had a column for every frequent node
+        goals = rng.integers(0, n, 500)
+        goals = goals[tree.order(goals)]
+        assert (np.diff(tree.group[goals].astype(int)) >= 0).all()
+        for leaf in range(n):
+            live = tree.sides[leaf] != 0
+            assert (tree.members[tree.group[leaf], tree.places[leaf][live]] == tree.columns[leaf][live]).all()
+            assert (tree.places[leaf][~live] == width - 1).all()
+        assert (tree.members[:, -1] == len(tree.bias) - tree.top).all()
+        u, b = rng.standard_normal((len(tree.bias), 4)).astype(np.float32), tree.bias
+        h = rng.standard_normal((500, 4)).astype(np.float32)
+        visits = lm.Visits(tree, goals)
+        doubts = visits.doubts(h, u, b)
+        losses = visits.losses(doubts)
+        dh, (rows, du), (rows_b, db) = visits.gradients(doubts, 1.0, u)
+        assert len(set(rows.tolist())) == len(rows) and (rows == rows_b).all()
+        expected, full_h, full_u, full_b = np.zeros(500), np.zeros((500, 4)), np.zeros(u.shape), np.zeros(len(b))
+        for i, leaf in enumerate(goals):
+            path = list(zip(tree.nodes[tree.starts[leaf] : tree.starts[leaf + 1]], tree.signs[tree.starts[leaf] : tree.starts[leaf + 1]], strict=True))
+            path += [(tree.top + k, s) for k, s in zip(tree.columns[leaf], tree.sides[leaf], strict=True) if s]
+            for k, s in path:
+                doubt = s * (h[i].astype(float) @ u[k] + b[k])
+                expected[i] += np.logaddexp(0, doubt)
+                slope = s / (1 + np.exp(-doubt))
+                full_h[i] += slope * u[k]
+                full_u[k] += slope * h[i]
+                full_b[k] += slope
+        got_u, got_b = np.zeros(u.shape), np.zeros(len(b))
+        got_u[rows], got_b[rows_b] = du, db[:, 0]
+        assert losses == pytest.approx(expected, abs=1e-4)
+        assert dh == pytest.approx(full_h, abs=1e-3) and got_u == pytest.approx(full_u, abs=1e-2) and got_b == pytest.approx(full_b, abs=1e-2)
+
+
+def test_words_get_places_as_they_come():
+    known = lm._Words(PATH, np.arange(lm.subwords(PATH).end + 1, dtype=np.int32), {b"ab": 7})
+    for found in ([b"ab", b"cd", b"ab", lm.END], [b"cd", b"ef", lm.END, b"ef"]):
+        take, counts, ids, sizes = known.look_up(found)
+        assert [known.names[i] for i in take] == found and counts.tolist() == [7 if w == b"ab" else -1 for w in found]
+        assert ids.tolist() == [i for w in found for i in lm.subwords(PATH).one(w)] and sizes.tolist() == [len(lm.subwords(PATH).one(w)) for w in found]
+    assert len(known) == len(known.names) == 4
