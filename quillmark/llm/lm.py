@@ -31,6 +31,7 @@ import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -552,7 +553,7 @@ def _sums(values: np.ndarray, cuts: np.ndarray) -> np.ndarray:
 
 
 class Scorer:
-    """A trained model with its projections worked out for every id, and the log counts of hot words."""
+    """A trained model that scores windows of many texts at a time."""
 
     def __init__(self, net: Net, compact: np.ndarray, unseen: int, path: str, block: int = 256):
         p = net.p
@@ -699,8 +700,7 @@ class _Words:
             ids, sizes = self.bpe.all(new)
             self.ids = np.append(self.ids, self.compact[ids])
             self.sizes = np.append(self.sizes, sizes)
-            get = self.hot.get
-            self.counts = np.append(self.counts, np.fromiter((get(w, -1) for w in new), np.int64, len(new)) if self.hot else np.full(len(new), -1))
+            self.counts = np.append(self.counts, np.fromiter(map(self.hot.get, new, repeat(-1)), np.int64, len(new)))
         ends = np.cumsum(self.sizes)
         lengths = self.sizes[take]
         stops = np.cumsum(lengths)
@@ -741,7 +741,7 @@ def _scored(scorer: Scorer, hot: pa.Table, at_once: int = 200_000, cache: int =
                 scores = np.bincount(doc, scorer.token_scores(inputs, flat, doc), minlength=len(n))
                 pairs, times = np.unique(owner[count < 0] * np.int64(len(known)) + take[count < 0], return_counts=True)
                 offsets = np.searchsorted(pairs // len(known), np.arange(len(n) + 1)).astype(np.int32)
-                rare = pa.array([known.names[i] for i in pairs % len(known)], pa.binary())
+                rare = pa.array(list(map(known.names.__getitem__, (pairs % len(known)).tolist())), pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.slice(first, len(n)), pa.array(np.arange(row, row + len(n))), ids.slice(first, len(n)), folds.slice(first, len(n)), pa.array(n), pa.array(np.add.reduceat((count > 0).astype(np.int64), starts)),
