@@ -20,16 +20,21 @@ _CELLS = "page_id bigint, pos int, number string, strong string, after_break str
 
 
 class _Rows(HTMLParser):
-    """Cells of the first table body: number, name parts, first division of each grade cell."""
+    """Cells of the first table body: number, name parts, first division of each grade cell.
+
+    A page comes in pieces that end anywhere, also within a text; a text's parts are kept until what ends it.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
+        self.text: list[str] = []
         self.rows: list[dict] = []
         self.row: dict | None = None
         self.body = self.done = False
         self.cell, self.strong, self.broken, self.division = -1, False, False, 0
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        self._end_text()
         a = {k: v or "" for k, v in attrs}
         if tag == "tbody" and not self.done:
             self.body = True
@@ -50,6 +55,7 @@ class _Rows(HTMLParser):
             self.broken = False
 
     def handle_endtag(self, tag: str) -> None:
+        self._end_text()
         if tag == "tbody" and self.body:
             self.body, self.done = False, True
         elif tag == "strong":
@@ -60,9 +66,21 @@ class _Rows(HTMLParser):
             self.row = None
 
     def handle_data(self, data: str) -> None:
-        if self.row is None or not data.strip():
+        if self.row is not None:
+            self.text.append(data)
+
+    def handle_comment(self, data: str) -> None:
+        self._end_text()
+
+    handle_decl = handle_pi = unknown_decl = handle_comment
+
+    def _end_text(self) -> None:
+        if not self.text:
+            return
+        t = "".join(self.text).strip()
+        self.text.clear()
+        if self.row is None or not t:
             return
-        t = data.strip()
         if self.cell == 1:
             self.row["number"] += t
         elif self.cell == 2:

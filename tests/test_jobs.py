@@ -477,6 +477,26 @@ def test_reports_of_any_size_are_parsed_in_pieces(spark, monkeypatch):
     assert pages_.agg(F.max(rows)).first()[0] < 20 and pages_.agg(F.sum(rows)).first()[0] == spark.read.parquet("/root/testdata/sf0.001/part.parquet").count() + pages_.where(F.contains("html", F.lit("TOTAL POPULATION"))).count()
 
 
+def test_texts_across_the_cuts_of_a_report_are_whole(spark):
+    cells = "".join(f"<td><div>1,0{k:02d}</div><div>x</div></td>" for k in range(13))
+    row = lambda n: f"<tr><td></td><td>{n}</td><td><strong>red  ring</strong><!-- c --><br>Holo Shop with Affiliates<a>s</a></td><td></td>{cells}</tr>"
+    html = f"<table><tbody>{row(10)}{row(11)}</tbody></table>"
+
+    def parsed(size: int) -> list[dict]:
+        parser = population._Rows()
+        for k in range(0, len(html), size):
+            parser.feed(html[k : k + size])
+        return parser.rows
+
+    whole = parsed(len(html))
+    assert (whole[0]["strong"], whole[0]["after_break"]) == ("red  ring", "Holo Shop with Affiliates")
+    assert all(parsed(size) == whole for size in range(1, len(html)))
+    # Names and variants at every place of a cut between pieces of a page.
+    bodies = [(k, "<table><tbody>" + " " * (population._PIECE - k) + row(10) + "</tbody></table>") for k in range(40, 110)]
+    found = population.report_cells(spark.createDataFrame(bodies, "page_id bigint, html string")).select("number", "strong", "after_break")
+    assert set(map(tuple, found.collect())) == {("10", "red  ring", "Holo Shop with Affiliates")}
+
+
 def test_names_of_few_species_are_broadcast(spark):
     cards = spark.createDataFrame([(str(i), "Mew ex") for i in range(50)] + [(None, "Mew")], "card_slug string, card_name string")
     names = spark.createDataFrame([("mew",), ("mew",), ("mew-ex",)], "name string")
