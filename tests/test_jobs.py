@@ -463,6 +463,41 @@ def test_sale_cells_come_in_bounded_batches_with_their_pages_columns(spark):
     assert found.count() == 5_001 and "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_plain_pages_are_read_as_the_parser_reads_them():
+    rng = random.Random(4)
+    row = '<tr id="ebay-1"><td class="date"> 2001-01-15 </td> <td class="title"><a title="x" href="h?a=1&amp;b">N&amp;M\xa0é </a> [e] </td><td class="numeric"><span class="js-price"> $1 </span> <span class="js-price">$2</span></td></tr>'
+    bits = [
+        row, row.replace(' class="numeric"', ""), "<", ">", '"', "&amp;", "&lt", "<br>", "<br/>", "<!-- x -->", "<!--> -->", "<script>a<b</script>", "<script>x", "</SCRIPT>", "<style>p</style>", "</td>", '<td class="date">', '<td class="title">',
+        '<td class="numeric">', "<td class=date>", "<tr>", "</tr>", '<tr id="ebay-9">', "</table>", '<table class="sortable hoverable-rows">', '<div class="completed-auctions-used tab">', '<div class="completed-auctions-new">', "</div>", "</p>", '<a href="x&amp;y">',
+        "</a>", '<span class="js-price" title="Best offer list price">', "<span class='js-price'>", "</span>", "text ", "<B CLASS='x'>", '<img src="a>b">', "<!doctype html>", "<title>a</title>", "<?x?>", '<div class="completed-auctions-">', "<input checked>", "\x00",
+    ]
+    start, seen, plain, rows = '<div class="completed-auctions-used"><table class="hoverable-rows sortable">', {}, 0, 0
+    assert pages._plain_rows(PAGE, seen) == pages._parsed_rows(PAGE) != []
+    for _ in range(6_000):
+        html = rng.choice(["", start, start + '<tr id="a"><td class="date">2001-01-01</td><td class="title">']) + "".join(rng.choice(bits) for _ in range(rng.randrange(1, 9)))
+        found = pages._plain_rows(html, seen)
+        if found is not None:
+            plain, rows = plain + 1, rows + len(found)
+            assert found == pages._parsed_rows(html), html
+    assert plain > 1_000 and rows > 300
+
+
+def test_sales_are_shuffled_as_lines_and_as_rows_of_one_key(spark):
+    """No page is shuffled; a row has one key until the window is over, and titles need no second Python task."""
+    from quillmark.plans import saved_pages
+
+    plan = saved_pages.page_sales(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert [line.split("hashpartitioning(")[1].split("#")[0] for line in exchanges] == ["page_id", "page_id", "l_partkey"]
+    assert "ArrowEvalPython" not in plan and plan.count("provider_sale_key") == 1
+
+
+def test_a_title_is_compared_in_its_compatibility_form(spark):
+    html = PAGE.split("<tr")[0] + "".join(f'<tr id="x"><td class="date">2024-01-05</td><td class="title"><a href="https://www.tcgplayer.com/p/1">{t}</a> [TCGPlayer]</td><td class="numeric"><span class="js-price">$5.00</span></td></tr>' for t in ("Mew #4", "  Ｍｅｗ　＃4 ", "mew #5", "Mew  # 4")) + "</tbody></table></div>"
+    df = spark.createDataFrame([(1, "https://h/game/pokemon-x/y", html, "77")], "page_id bigint, url string, html string, provider_card_id string")
+    assert sorted(r["pos"] for r in pages.recent_sales(df).collect()) == [0, 2]
+
+
 def test_reports_of_any_size_are_parsed_in_pieces(spark, monkeypatch):
     """Rows across the cuts between pieces are whole, and no saved page of the stand-in lists a whole brand when that is large."""
     from quillmark.plans import saved_pages
