@@ -282,6 +282,15 @@ def test_page_statuses(spark):
     assert {r["page_id"]: r["status"] for r in pages.page_report(df, sales).collect()} == {1: "unsupported_layout", 2: "no_section", 3: "ok", None: "no_section"}
 
 
+def test_a_status_looks_no_further_than_the_first_table_of_sales(spark):
+    table = '<div class="completed-auctions-used"><table class="hoverable-rows sortable"></table></div>'
+    rows = [(1, table), (2, "<table></table>" + table), (3, "<table></table>"), (4, table.replace("</table>", "")), (5, None)]
+    df = spark.createDataFrame([(k, "https://h/game/pokemon-x/y", h, "77") for k, h in rows], "page_id bigint, url string, html string, provider_card_id string")
+    report = pages.page_report(df, pages.recent_sales(df))
+    assert {r["page_id"]: r["status"] for r in report.collect()} == {1: "ok", 2: "ok", 3: "no_section", 4: "no_section", 5: "no_section"}
+    assert "instr(html" in report._jdf.queryExecution().optimizedPlan().toString().replace("coalesce(html", "html").replace("instr(html#", "instr(html")
+
+
 def test_availability(spark):
     html = """<h1>Box</h1><p class="price">£12.50</p><button>Add to basket</button><script type="application/ld+json">{"offers":{"availability":"https://schema.org/OutOfStock"}}</script>"""
     df = spark.createDataFrame([(1, html), (2, "<p>Checking your browser</p>"), (3, "Add to basket, only 2 left"), (4, "")], "page_id bigint, html string")
