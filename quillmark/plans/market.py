@@ -40,18 +40,30 @@ def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select(F.col("p_partkey").cast("string").alias("card_slug"), F.concat("p_name", tag, F.lit(" #"), F.col("p_size").cast("string")).alias("card_name"), F.col("p_brand").alias("set_name"))
 
 
+#: Line items whose listings a task finds at a time, about.
+TASK_LINES = 250_000
+
+
 def _found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Titles of line items, written from their part: with a grade, an edition or a finish, and its number."""
-    line, part = t.read(spark, sf_dir, "lineitem"), t.read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    """Titles of line items, written from their part: with a grade, an edition or a finish, and its number.
+
+    Lines are dealt by item before they become listings, over at least as many tasks as a shuffle has, so that whatever joins them by item later finds
+    them in place; equal lines, which have one item, are found there too.
+    """
+    slug = F.col("l_partkey").cast("string").alias("card_slug")
+    line = t.read(spark, sf_dir, "lineitem").select(slug, "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice")
+    line = line.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-line.count() // TASK_LINES)), "card_slug")
     n = F.col("l_linenumber")
+    name = F.concat_ws("-", F.col("l_orderkey").cast("string"), n.cast("string"), "card_slug", F.col("l_suppkey").cast("string"), F.col("l_quantity").cast("string"))
+    line = line.withColumn("listing_id", name).dropDuplicates(["card_slug", "listing_id"])
+    part = t.read(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("card_slug"), "p_name", "p_size").dropDuplicates(["card_slug"])
     words = F.when(n % 4 == 0, " PSA 10").when(n % 4 == 1, " 1st edition").when(n % 4 == 2, " reverse holo").otherwise(" graded")
     title = F.concat("p_name", words, F.lit(" #"), (F.col("p_size") + F.when(n == 7, 1).otherwise(0)).cast("string"))
     line = line.withColumn("cents", dollars_to_cents(F.col("l_extendedprice") / F.col("l_quantity")))
-    return line.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
-        F.concat_ws("-", F.col("l_orderkey").cast("string"), n.cast("string"), F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"), F.col("l_quantity").cast("string")).alias("listing_id"),
-        F.col("l_partkey").cast("string").alias("card_slug"), title.alias("title"), F.format_string("%d.%02d", F.expr("cents div 100"), F.expr("cents % 100")).alias("price"), F.lit(None).cast("string").alias("shipping"),
+    return line.join(part, "card_slug").select(
+        "listing_id", "card_slug", title.alias("title"), F.format_string("%d.%02d", F.expr("cents div 100"), F.expr("cents % 100")).alias("price"), F.lit(None).cast("string").alias("shipping"),
         F.lit("USD").alias("currency"), F.lit("EBAY_US").alias("marketplace"), F.lit("").alias("image"), F.lit("").alias("web_url"),
-    ).dropDuplicates(["listing_id"])
+    )
 
 
 def listing_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
