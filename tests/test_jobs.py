@@ -531,6 +531,19 @@ def test_sales_are_shuffled_as_lines_and_as_rows_of_one_key(spark):
     assert "ArrowEvalPython" not in plan and plan.count("provider_sale_key") == 1
 
 
+def test_pages_of_a_run_are_dealt_by_their_lines(spark, monkeypatch):
+    """A run's pages stay where their lines were dealt to, in tasks that don't grow with the table."""
+    from quillmark.plans import saved_pages
+
+    monkeypatch.setattr(saved_pages, "TASK_SALES", 500)
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    rows = F.size(F.split("html", "<tr")) - 1
+    dealt = saved_pages.sale_pages(spark, "/root/testdata/sf0.001").select(F.spark_partition_id().alias("task"), rows.alias("n")).groupBy("task").agg(F.sum("n").alias("n")).collect()
+    assert len(dealt) == -(-lines // 500) and max(r["n"] for r in dealt) < 1_000
+    run = saved_pages.sales_run(spark, "/root/testdata/sf0.001").first()
+    assert run["pages_processed"] == spark.read.parquet("/root/testdata/sf0.001/part.parquet").count() and run["rows_ok"] > 0
+
+
 def test_a_title_is_compared_in_its_compatibility_form(spark):
     html = PAGE.split("<tr")[0] + "".join(f'<tr id="x"><td class="date">2024-01-05</td><td class="title"><a href="https://www.tcgplayer.com/p/1">{t}</a> [TCGPlayer]</td><td class="numeric"><span class="js-price">$5.00</span></td></tr>' for t in ("Mew #4", "  Ｍｅｗ　＃4 ", "mew #5", "Mew  # 4")) + "</tbody></table></div>"
     df = spark.createDataFrame([(1, "https://h/game/pokemon-x/y", html, "77")], "page_id bigint, url string, html string, provider_card_id string")
